@@ -1,0 +1 @@
+"""Batch only: the covered workload has no stream, so there is no streaming operator."""
