@@ -19,7 +19,7 @@ def orphan_count(child: DataFrame, parent: DataFrame, on: str) -> DataFrame:
 
     Keys are counted before the join, so a heavy key travels as one row.
     """
-    keys = child.where(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    keys = child.where(F.col(on).isNotNull()).groupBy(on).agg(F.count("*").alias("_n"))
     return keys.join(parent.select(on), on, "left_anti").agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("orphans")
     )

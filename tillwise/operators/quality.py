@@ -24,14 +24,14 @@ def audit(df: DataFrame, table: str) -> DataFrame:
     and gives the duplicates; everything else is added up from the folded rows.
     """
     names = df.columns
-    folded = df.groupBy(*names).agg(F.count(F.lit(1)).alias("_n"))
+    folded = df.groupBy(*names).agg(F.count("*").alias("_n"))
     nulls = [
         F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)).alias(f"_null_{i}")
         for i, c in enumerate(names)
     ]
     totals = folded.agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count(F.lit(1))).alias("duplicate_rows"),
+        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("*")).alias("duplicate_rows"),
         *nulls,
     )
     per_column = F.explode(
@@ -52,7 +52,7 @@ def drop_exact_duplicates(df: DataFrame, mark: str | None = None) -> DataFrame:
     """Keep one of every set of equal rows; ``mark`` keeps the number of dropped copies."""
     if mark is None:
         return df.dropDuplicates()
-    return df.groupBy(*df.columns).agg((F.count(F.lit(1)) - 1).alias(mark))
+    return df.groupBy(*df.columns).agg((F.count("*") - 1).alias(mark))
 
 
 def dedup_by_key(
@@ -73,7 +73,7 @@ def dedup_by_key(
     aggs = [F.min(F.struct(*order, *rest)).alias("_first")]
     aggs += [F.sum(m).alias(m) for m in marks]
     if mark:
-        aggs.append((F.count(F.lit(1)) - 1).alias(mark))
+        aggs.append((F.count("*") - 1).alias(mark))
     kept = [c for c in df.columns if c not in marks] + marks + ([mark] if mark else [])
 
     def first_rows(part: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def dense_id(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
         df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id())
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_size")).select(
+    offsets = parts.groupBy("_part").agg(F.count("*").alias("_size")).select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
     inside = Window.partitionBy("_part").orderBy(*order_by)

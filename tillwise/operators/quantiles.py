@@ -59,7 +59,7 @@ def exact_quantiles(
         banded.select(*by, "v", gap.alias("gap"), F.when(inside, v).alias("single"))
         .groupBy(*by, "gap", "single")
         .agg(
-            F.count(F.lit(1)).alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")
+            F.count("*").alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")
         )
     )
     everything = Window.partitionBy(*by)
@@ -122,7 +122,7 @@ def quantile_scores(
     ).scalar()
     scored = df.withColumn("_edges", edges)
     if strict is not None:
-        scored = scored.withColumn("_rows", df.agg(F.count(F.lit(1))).scalar())
+        scored = scored.withColumn("_rows", df.agg(F.count("*")).scalar())
     for name, low_is_best in columns.items():
         cuts = F.col("_edges")[name]["q"]
         value = F.col(name).cast("double")
@@ -150,7 +150,7 @@ def running_share_by_value(
     equal size; only the bucket sums, never the rows, are put in one order.
     """
     distinct = df.where(F.col(value).isNotNull()).groupBy(value).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(value).alias("value_sum")
+        F.count("*").alias("rows"), F.sum(value).alias("value_sum")
     )
     probs = [i / buckets for i in range(1, buckets)]
     cuts = distinct.agg(

@@ -37,7 +37,7 @@ def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> Dat
                 F.floor((F.col("v") - F.col("e.lo")) / width * bins), F.lit(bins - 1)
             ).cast("int").alias("bin")
         )
-        .groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bin").agg(F.count("*").alias("n"))
     )
     step = (F.col("hi") - F.col("lo")) / bins
     spine = edges.where("lo IS NOT NULL").select(

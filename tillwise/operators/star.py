@@ -48,26 +48,32 @@ def order_totals(items: DataFrame) -> DataFrame:
     return items.groupBy("order_id").agg(
         F.sum("line_total").alias("revenue"),
         F.sum("quantity").alias("units"),
-        F.count(F.lit(1)).alias("lines"),
+        F.count("line_total").alias("lines"),
     )
 
 
 def costed_lines(star: Star, *product_cols: str, how: str = "inner") -> DataFrame:
-    """Order lines with ``line_cost`` (quantity x unit cost) and the wanted product columns."""
+    """Order lines with ``line_cost``, ``line_profit`` and the wanted product columns."""
     products = star.products.select("product_id", "unit_cost", *product_cols)
-    return star.order_items.join(products, "product_id", how).withColumn(
-        "line_cost", (F.col("quantity") * F.col("unit_cost")).cast(MONEY)
+    return with_profit(star.order_items.join(products, "product_id", how))
+
+
+def with_profit(lines: DataFrame) -> DataFrame:
+    """Cost is quantity x unit cost; without a unit cost a line has no profit figure."""
+    cost = (F.col("quantity") * F.col("unit_cost")).cast(MONEY)
+    return lines.withColumn("line_cost", cost).withColumn(
+        "line_profit", F.col("line_total") - F.col("line_cost")
     )
 
 
 def costed_order_totals(star: Star) -> DataFrame:
-    """Per order: revenue, cost, units, lines, discounts of the lines with a known product."""
+    """Per order, over lines with a known product: revenue, profit, discounts, line counts."""
     return costed_lines(star).groupBy("order_id").agg(
         F.sum("line_total").alias("revenue"),
-        F.sum("line_cost").alias("cost"),
-        F.sum("quantity").alias("units"),
+        F.sum("line_profit").alias("profit"),
         F.sum("discount_pct").alias("discounts"),
-        F.count(F.lit(1)).alias("lines"),
+        F.count("line_total").alias("lines"),
+        F.count("discount_pct").alias("discount_lines"),
     )
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tillwise.functions import (
     clip_fill, digits_only, line_total, money, null_outside, parse_date, parse_money,
@@ -18,7 +18,7 @@ from tillwise.functions import (
 from tillwise.operators.integrity import fk_report
 from tillwise.operators.quality import (
     MARK, abs_values, add_date_parts, cap_outliers, dedup_by_key, drop_exact_duplicates,
-    fill_constant, flag, impute_from_lookup, impute_group_median, null_when, quality_report,
+    fill_constant, flag, impute_group_median, null_when, quality_report,
     without_marks,
 )
 from tillwise.schema import (
@@ -42,7 +42,7 @@ class CleaningRules:
     letter_runs: bool = True
 
 
-def _mark(condition) -> F.Column:
+def _mark(condition: Column) -> Column:
     return F.coalesce(condition.cast("bigint"), F.lit(0).cast("bigint"))
 
 
@@ -123,12 +123,28 @@ def stage_orders(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Data
     return add_date_parts(df, "order_date")
 
 
-def _mark_orphans(df: DataFrame, parent: DataFrame, on: str, mark: str) -> DataFrame:
-    """Count column: 1 where the key is missing from the parent (which is unique on it)."""
-    known = parent.select(on, F.lit(0).cast("bigint").alias("_known"))
-    return df.join(known, on, "left").withColumn(
-        mark, F.coalesce("_known", F.lit(1).cast("bigint"))
-    ).drop("_known")
+def _mark_orphans(
+    df: DataFrame, products: DataFrame, orders: DataFrame, *product_cols: str
+) -> DataFrame:
+    """Count lines without a product, and of the others those without an order.
+
+    Both parents are unique on their key, so the left joins keep every row once. The wanted
+    product columns come along under ``_product_<name>``.
+    """
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    known_products = products.select(
+        "product_id", zero.alias("_no_product"),
+        *[F.col(c).alias(f"_product_{c}") for c in product_cols],
+    )
+    known_orders = orders.select("order_id", zero.alias("_no_order"))
+    marked = df.join(known_products, "product_id", "left").join(known_orders, "order_id", "left")
+    no_product = F.coalesce("_no_product", one)
+    return marked.withColumns({
+        MARK + "product_orphans": no_product,
+        MARK + "order_orphans": F.when(no_product == 0, F.coalesce("_no_order", one)).otherwise(
+            zero
+        ),
+    }).drop("_no_product", "_no_order")
 
 
 def stage_order_items(
@@ -148,10 +164,11 @@ def stage_order_items(
     })
     df = df.withColumn(MARK + "quantity_negative", _mark(F.col("quantity") < 0))
     df = abs_values(df, ["quantity"], zero_to=1)
-    df = impute_from_lookup(df, "unit_price", products, "product_id", "unit_price")
+    # One join brings both the list price for missing prices and the orphan mark.
+    df = _mark_orphans(df, products, orders, "unit_price")
+    df = df.withColumn("unit_price", F.coalesce("unit_price", "_product_unit_price"))
+    df = df.drop("_product_unit_price")
     df = df.withColumn(MARK + "price_still_missing", _mark(F.col("unit_price").isNull()))
-    df = _mark_orphans(df, products, "product_id", MARK + "product_orphans")
-    df = _mark_orphans(df, orders, "order_id", MARK + "order_orphans")
     return df.withColumn("line_total", line_total("quantity", "unit_price", "discount_pct"))
 
 
@@ -170,8 +187,7 @@ def stage_returns(
     df = df.withColumn(MARK + "return_date_unreadable", _mark(F.col("return_date").isNull()))
     df = cap_outliers(df, "refund_amount", "iqr", MARK + "refund_capped")
     df = fill_constant(df, {"reason": "Unknown"})
-    df = _mark_orphans(df, products, "product_id", MARK + "product_orphans")
-    return _mark_orphans(df, orders, "order_id", MARK + "order_orphans")
+    return _mark_orphans(df, products, orders)
 
 
 def _without_orphans(df: DataFrame) -> DataFrame:

@@ -68,7 +68,7 @@ def load_table(
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count)."""
     counts = [
-        df.agg(F.count(F.lit(1)).alias("row_count"))
+        df.agg(F.count("*").alias("row_count"))
         .select(F.lit(name).alias("table_name"), "row_count")
         for name, df in tables.items()
     ]
