@@ -7,11 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from tillwise.operators.star import Star
 from tillwise.operators.windows import top_n
 
-CHUNK = 1000  # distinct products of one order that one task pairs with the rest
-SEED_NAMES = 100  # names whose pairs set the bar that the other names must be able to reach
+LARGE_ORDER = 1000  # distinct products; more are paired in chunks, and only where it matters
 
 
-def _named_lines(star: Star) -> tuple[DataFrame, DataFrame]:
+def _folded_lines(star: Star) -> tuple[DataFrame, DataFrame]:
     """(order_id, product_id, name_id, n) folded from the lines, and the names by name_id.
 
     Products of equal name and category share a name_id, their lowest product_id, so that
@@ -20,69 +19,85 @@ def _named_lines(star: Star) -> tuple[DataFrame, DataFrame]:
     names = star.products.groupBy("product_name", "category").agg(
         F.min("product_id").alias("name_id")
     )
-    ids = star.products.select("product_id", "product_name", "category").join(
-        names.select(
-            F.col("product_name").alias("n_name"), F.col("category").alias("n_cat"), "name_id"
-        ),
-        F.col("product_name").eqNullSafe(F.col("n_name"))
-        & F.col("category").eqNullSafe(F.col("n_cat")),
+    ids = star.products.select(
+        "product_id", F.col("product_name").alias("p_name"), F.col("category").alias("p_category")
+    ).join(
+        names,
+        F.col("p_name").eqNullSafe(F.col("product_name"))
+        & F.col("p_category").eqNullSafe(F.col("category")),
     ).select("product_id", "name_id")
-    folded = star.order_items.groupBy("order_id", "product_id").agg(
-        F.count("*").alias("n")
-    )
+    folded = star.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     return folded.join(ids, "product_id"), names
 
 
-def _count_pairs(lines: DataFrame) -> DataFrame:
-    """(a, b, times) over line pairs of one order with product a < product b, by name_id.
-
-    Orders with very many products are cut into chunks: each chunk meets the whole order in a
-    task of its own.
-    """
-    large = (
-        lines.groupBy("order_id").agg(F.count("*").alias("k"))
-        .where(F.col("k") > CHUNK)
-        .select("order_id", F.ceil(F.col("k") / CHUNK).cast("int").alias("chunks"))
-    )
-    sized = lines.join(large, "order_id", "left").withColumn(
-        "chunks", F.coalesce("chunks", F.lit(1))
+def _count_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+    """(a, b, times) over line pairs with product a < product b, by name_id."""
+    a = left.select(
+        *on, F.col("product_id").alias("id_a"), F.col("name_id").alias("a"),
+        F.col("n").alias("n_a"),
     )
-    left = sized.select(
-        "order_id", F.pmod(F.xxhash64("product_id"), F.col("chunks")).cast("int").alias("chunk"),
-        F.col("product_id").alias("id_a"), F.col("name_id").alias("a"), F.col("n").alias("n_a"),
+    b = right.select(
+        *on, F.col("product_id").alias("id_b"), F.col("name_id").alias("b"),
+        F.col("n").alias("n_b"),
     )
-    right = sized.select(
-        "order_id", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
-        F.col("product_id").alias("id_b"), F.col("name_id").alias("b"), F.col("n").alias("n_b"),
-    )
-    return (
-        left.join(right, ["order_id", "chunk"]).where("id_a < id_b")
-        .groupBy("a", "b").agg(F.sum(F.col("n_a") * F.col("n_b")).alias("times"))
+    return a.join(b, on).where("id_a < id_b").groupBy("a", "b").agg(
+        F.sum(F.col("n_a") * F.col("n_b")).alias("times")
     )
 
 
-def top_pairs(star: Star, n: int = 30) -> DataFrame:
-    """The n pairs most often bought together; copies in one order multiply.
+def _large_order_pairs(
+    lines: DataFrame, large: DataFrame, small_pairs: DataFrame, n: int
+) -> DataFrame:
+    """Pairs from the large orders, for names that can still reach the n-th place.
 
-    With S(x) the sum over orders of the squared number of lines named x, a pair counts at
-    most sqrt(S(x) * S(y)). The pairs among the strongest names give a lower bar for the n-th
-    place; a name that could not reach the bar even with the strongest partner is left out
-    before pairing. The result is the same as over all pairs.
+    The small orders alone give a bar for that place. With S(x) the sum over large orders of
+    the squared number of lines named x, those orders add at most sqrt(S(x) * S(y)) to a pair,
+    so a name whose best count so far plus that bound with the strongest partner stays under
+    the bar cannot show up in the result. What is left of an order is cut into chunks, each
+    meeting the whole order in a task of its own.
     """
-    lines, names = _named_lines(star)
+    held = lines.join(large, "order_id")
     strength = (
-        lines.groupBy("order_id", "name_id").agg(F.sum("n").alias("w"))
+        held.groupBy("order_id", "name_id").agg(F.sum("n").alias("w"))
         .groupBy("name_id").agg(F.sum(F.col("w").cast("double") * F.col("w")).alias("s"))
     )
-    seeds = top_n(strength, SEED_NAMES, "s", ["name_id"]).select("name_id")
-    best = top_n(_count_pairs(lines.join(seeds, "name_id", "left_semi")), n, "times", ["a", "b"])
-    bar = best.agg(
+    nth = top_n(small_pairs, n, "times", ["a", "b"]).agg(
         F.when(F.count("*") == n, F.min("times")).otherwise(F.lit(0)).cast("double")
     ).scalar()
+    best = (
+        small_pairs.select(F.explode(F.array("a", "b")).alias("name_id"), "times")
+        .groupBy("name_id").agg(F.max("times").alias("best"))
+    )
     strongest = strength.agg(F.max("s")).scalar()
-    # A hair of slack keeps names whose bound meets the bar up to rounding.
-    able = strength.where(F.col("s") * strongest * 1.000001 >= bar * bar).select("name_id")
-    pairs = _count_pairs(lines.join(able, "name_id", "left_semi"))
+    # A hair of slack keeps a name whose bound meets the bar up to rounding.
+    reach = F.coalesce("best", F.lit(0)) + F.sqrt(F.col("s") * strongest) * 1.000001
+    able = strength.join(best, "name_id", "left").where(reach >= nth).select("name_id")
+    kept = held.join(able, "name_id", "left_semi")
+    chunk = F.pmod(F.xxhash64("product_id"), F.col("chunks")).cast("int")
+    return _count_pairs(
+        kept.withColumn("chunk", chunk),
+        kept.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))),
+        ["order_id", "chunk"],
+    )
+
+
+def top_pairs(star: Star, n: int = 30, large_order: int = LARGE_ORDER) -> DataFrame:
+    """The n pairs most often bought together; copies in one order multiply.
+
+    Ties go by the lowest product ids of the two names.
+    """
+    lines, names = _folded_lines(star)
+    large = (
+        star.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
+        .groupBy("order_id").agg(F.count("*").alias("k")).where(F.col("k") > large_order)
+        .select("order_id", F.ceil(F.col("k") / large_order).cast("int").alias("chunks"))
+    )
+    small = lines.join(large, "order_id", "left_anti")
+    small_pairs = _count_pairs(small, small, ["order_id"])
+    pairs = (
+        small_pairs.unionByName(_large_order_pairs(lines, large, small_pairs, n))
+        .groupBy("a", "b").agg(F.sum("times").alias("times"))
+    )
     a = names.select(
         F.col("name_id").alias("a"), F.col("product_name").alias("product_a"),
         F.col("category").alias("category_a"),
@@ -91,11 +106,11 @@ def top_pairs(star: Star, n: int = 30) -> DataFrame:
         F.col("name_id").alias("b"), F.col("product_name").alias("product_b"),
         F.col("category").alias("category_b"),
     )
-    # Ties at the cut go by name, so names must be known for every pair at the n-th count.
-    nth = top_n(pairs, n, "times", ["a", "b"]).agg(F.min("times")).scalar()
-    contenders = pairs.where(F.col("times") >= nth).join(a, "a").join(b, "b")
-    tie_break = ["product_a", "product_b", "category_a", "category_b"]
-    return top_n(contenders, n, "times", tie_break).select(
-        "product_a", "product_b", "category_a", "category_b",
-        F.col("times").alias("times_bought_together"),
-    ).orderBy(F.desc("times_bought_together"), *tie_break)
+    return (
+        top_n(pairs, n, "times", ["a", "b"]).join(a, "a").join(b, "b")
+        .orderBy(F.desc("times"), "a", "b")
+        .select(
+            "product_a", "product_b", "category_a", "category_b",
+            F.col("times").alias("times_bought_together"),
+        )
+    )
