@@ -244,10 +244,13 @@ SELECT isodow(order_date) || '-' || dayname(order_date) AS day_of_week, {N_ORDER
        {dbl(REV)} AS total_revenue, {r2(div(REV, N_ORDERS))} AS avg_order_value
 FROM f GROUP BY 1""")
     q["q20_product_affinity"] = over("fa", body="""
+, named AS (
+  SELECT *, (SELECT MIN(product_id) FROM pr WHERE pr.product_name = fa.product_name
+             AND pr.category = fa.category) AS lowest FROM fa)
 SELECT x.product_name AS product_a, y.product_name AS product_b, x.category AS category_a,
        y.category AS category_b, COUNT(*) AS times_bought_together
-FROM fa x JOIN fa y ON x.order_id = y.order_id AND x.product_id < y.product_id
-GROUP BY 1, 2, 3, 4 ORDER BY 5 DESC, 1, 2, 3, 4 LIMIT 30""")
+FROM named x JOIN named y ON x.order_id = y.order_id AND x.product_id < y.product_id
+GROUP BY 1, 2, 3, 4, x.lowest, y.lowest ORDER BY 5 DESC, x.lowest, y.lowest LIMIT 30""")
     q["q21_revenue_by_loyalty_tier"] = over("f", "cu", body=f"""
 SELECT loyalty_tier, {N_CUSTOMERS} AS customers, {N_ORDERS} AS total_orders, {dbl(REV)} AS total_revenue,
        {r2(div(REV, N_CUSTOMERS))} AS revenue_per_customer, {r2(div(REV, N_ORDERS))} AS avg_order_value
@@ -258,7 +261,3 @@ SELECT state, {N_ORDERS} AS total_orders, {N_CUSTOMERS} AS unique_customers, {db
        {big(f'RANK() OVER (ORDER BY {REV} DESC)')} AS revenue_rank
 FROM f GROUP BY state""")
     return q
-
-
-def all_oracles() -> dict[str, str]:
-    return named_queries()

@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillwise.catalog.cleaning_queries import CLEANING
 from tillwise.catalog.driver import DriverStar
+from tillwise.catalog.oracle import named_queries
+from tillwise.catalog.oracle_cleaning import cleaning_oracles
 from tillwise.plans import queries as Q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,4 +46,8 @@ NAMED = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {key: on_star(build) for key, build in NAMED.items()}
+    return {key: on_star(build) for key, build in (NAMED | CLEANING).items()}
+
+
+def all_oracles() -> dict[str, str]:
+    return named_queries() | cleaning_oracles()

@@ -75,6 +75,7 @@ def _per_product(star: Star, *order_cols: str) -> DataFrame:
     """Revenue lines added up per product before the product's attributes join."""
     return revenue_lines(star, *order_cols).groupBy("product_id", *order_cols).agg(
         F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"),
+        F.sum(F.when(F.col("line_total").isNotNull(), F.col("quantity"))).alias("priced_units"),
     )
 
 
@@ -88,7 +89,7 @@ def _per_category(star: Star) -> DataFrame:
         .groupBy("category")
         .agg(
             F.sum("revenue").alias("revenue"),
-            F.sum(F.col("revenue") - F.col("units") * F.col("unit_cost")).alias("profit"),
+            F.sum(F.col("revenue") - F.col("priced_units") * F.col("unit_cost")).alias("profit"),
         )
     )
 
