@@ -10,6 +10,8 @@ from tillwise.catalog.cleaning_queries import CLEANING
 from tillwise.catalog.driver import DriverStar
 from tillwise.catalog.oracle import named_queries
 from tillwise.catalog.oracle_cleaning import cleaning_oracles
+from tillwise.catalog.oracle_reports import report_oracles
+from tillwise.catalog.report_queries import REPORTS
 from tillwise.plans import queries as Q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,8 +48,8 @@ NAMED = {
 
 
 def all_queries() -> dict[str, Query]:
-    return {key: on_star(build) for key, build in (NAMED | CLEANING).items()}
+    return {key: on_star(build) for key, build in (NAMED | REPORTS | CLEANING).items()}
 
 
 def all_oracles() -> dict[str, str]:
-    return named_queries() | cleaning_oracles()
+    return named_queries() | report_oracles() | cleaning_oracles()
