@@ -89,7 +89,6 @@ MEASURE_SQL = {
     "units_sold": big("SUM(quantity)"),
     "completed_orders": "COUNT(DISTINCT CASE WHEN counts THEN order_id END)",
     "avg_items_per_order": rk(div("SUM(quantity)", "COUNT(DISTINCT line_order)"), 4),
-    "total_customers": "(SELECT COUNT(*) FROM cu)",
     "avg_customer_lifetime_value": r2(div(REV, "(SELECT COUNT(*) FROM cu)")),
 }
 SERIES = f"""spine AS (
@@ -312,6 +311,7 @@ def measure_oracles() -> dict[str, str]:
         where = " WHERE product_id IS NOT NULL" if {"category", "brand"} & set(by) else ""
         q[f"{key}_{name}"] = over("ln", "od", "cu", "pr", extra=WIDE, body=(
             f"SELECT {cols}{MEASURE_SQL[name]} AS {name} FROM wide{where}{group}"))
+    q["m23_total_customers"] = over("cu", body="SELECT COUNT(*) AS total_customers FROM cu")
     q["m28_total_returns"] = over("rt", "pr", body="""
 SELECT category, COUNT(*) AS total_returns FROM rt JOIN pr USING (product_id) GROUP BY 1""")
     q["m29_return_rate"] = over("rt", "od", body=f"""
@@ -388,7 +388,7 @@ SELECT date, CAST(year(date) AS INT) AS year, CAST(month(date) AS INT) AS month_
        strftime(date, '%Y') || ' Q' || quarter(date) AS year_quarter,
        CAST(isodow(date) AS INT) AS day_of_week, dayname(date) AS day_name,
        CASE WHEN isodow(date) > 5 THEN 'Weekend' ELSE 'Weekday' END AS is_weekend,
-       CAST(date_diff('week', date_trunc('year', date) + INTERVAL 1 DAY, date + INTERVAL 1 DAY) + 1 AS INT)
+       CAST(strftime(date, '%U') AS INT) + CASE WHEN dayofweek(date_trunc('year', date)) = 0 THEN 0 ELSE 1 END
          AS week_number FROM d""")
     margin = f"COALESCE({r2(div(f'{REV} - {COST}', REV) + ' * 100')}, 0.0)"
     q["m37_product_detail"] = over("f", "rt", extra=RETURN_RATE, body=f"""

@@ -71,14 +71,19 @@ def _line_sums() -> list[Column]:
     ]
 
 
-def base_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None) -> DataFrame:
+def base_sums(
+    star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None, with_lines: bool = True
+) -> DataFrame:
     """Additive parts of the measures per group.
 
-    Columns: revenue, cost, units, discount, orders, completed, line_orders, customers.
+    Columns: revenue, cost, units, discount, orders, completed, line_orders, customers. Without
+    lines, and with no product attribute asked for, only the order counts.
     """
     by = list(by)
     wanted = set(by) | _sliced_columns(spec)
     by_product = bool(wanted & set(PRODUCT_ATTRIBUTES))
+    if not with_lines and not by_product:
+        return _order_counts(star, by, wanted, spec)
     lines = with_profit(
         star.order_items.join(_product_columns(star, wanted), "product_id", "left")
     )
@@ -100,13 +105,26 @@ def base_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None)
         F.count(has_lines).alias("line_orders"),
     )
     sums = [F.sum(c).alias(c) for c in (*_SUMS, "orders", "completed", "line_orders")]
-    if "customer_id" in by:
-        return per_customer.withColumn("customers", F.count("customer_id").over(
-            Window.partitionBy(*by)
-        ))
     return per_customer.groupBy(*by).agg(*sums, F.count("customer_id").alias("customers"))
 
 
+def _order_counts(
+    star: Star, by: list[str], wanted: set[str], spec: SliceSpec | None
+) -> DataFrame:
+    """orders, completed and customers per group, without reading a line."""
+    completed = F.col("status").isin(*star.params.revenue_statuses)
+    return (
+        apply_slice(_orders_with(star, wanted), spec)
+        .groupBy(*dict.fromkeys([*by, "customer_id"]))
+        .agg(F.count("*").alias("orders"), F.count(F.when(completed, 1)).alias("completed"))
+        .groupBy(*by)
+        .agg(
+            F.sum("orders").alias("orders"), F.sum("completed").alias("completed"),
+            F.count("customer_id").alias("customers"),
+        )
+    )
+
+
 def return_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None) -> DataFrame:
     """Returns and refunds per group, by attributes of the returned order or product."""
     by = list(by)
@@ -119,7 +137,8 @@ def return_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = Non
         returned = returned.join(
             _product_columns(star, wanted).drop("unit_cost"), "product_id", "left"
         )
-    if wanted - set(PRODUCT_ATTRIBUTES) or (spec and (spec.years or spec.date_from or spec.date_to)):
+    dated = spec is not None and bool(spec.years or spec.date_from or spec.date_to)
+    if dated or wanted - set(PRODUCT_ATTRIBUTES):
         returned = returned.join(_orders_with(star, wanted), "order_id")
     return apply_slice(returned, spec).groupBy(*by).agg(
         *[F.sum(c).alias(c) for c in ("returns", "refund", "refunds")]
@@ -151,6 +170,10 @@ MEASURES = {
     "avg_refund": lambda: ratio("refund", "refunds", places=2),
 }
 _OF_RETURNS = {"total_returns", "return_rate", "total_refund", "avg_refund"}
+_WITHOUT_LINES = {
+    "total_orders", "completed_orders", "total_customers", "total_returns", "return_rate",
+    "total_refund", "avg_refund",
+}
 _OF_CUSTOMERS = {"total_customers", "avg_customer_lifetime_value"}
 
 
@@ -159,7 +182,9 @@ def measures(
 ) -> DataFrame:
     """The named measures per group, under the slicers."""
     by = list(by)
-    df = base_sums(star, by, spec)
+    if set(names) == {"total_customers"} and not by and spec is None:
+        return star.customers.agg(F.count_distinct("customer_id").alias("total_customers"))
+    df = base_sums(star, by, spec, with_lines=not set(names) <= _WITHOUT_LINES)
     if _OF_RETURNS & set(names):
         returned = return_sums(star, by, spec)
         if by:
