@@ -67,6 +67,28 @@ class DriverStar(Star):
         )
         return lines.withColumn("line_total", line_total(F.lit(1), "extended", "discount_pct"))
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Cents straight from the DOUBLE columns, which hold exact cents: no decimals here."""
+        bp = "CAST(floor(l_discount * 10000 + 0.5) AS BIGINT)"
+        extended = "CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT)"
+        return self.table("lineitem").selectExpr(
+            "CAST(l_linenumber AS BIGINT) AS item_id", "l_orderkey AS order_id",
+            "l_partkey AS product_id", "CAST(l_quantity AS INT) AS quantity",
+            f"CAST(l_discount AS {SHARE}) AS discount_pct",
+            f"({extended} * (10000 - {bp}) + 5000) DIV 10000 AS amount",
+            "CAST(floor(l_extendedprice / l_quantity * 100 + 0.5) AS BIGINT) AS price",
+            "l_returnflag", "l_linestatus", "CAST(l_shipdate AS DATE) AS ship_date",
+        )
+
+    @cached_property
+    def refunds(self) -> DataFrame:
+        return self.lines.where("l_returnflag = 'R'").selectExpr(
+            "order_id * 10 + item_id AS return_id", "order_id", "product_id",
+            "ship_date AS return_date", "l_linestatus AS reason", "amount AS refund",
+            "l_returnflag AS status",
+        )
+
     @cached_property
     def order_items(self) -> DataFrame:
         return self._lines.select(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 
 from tillwise.catalog.cleaning_queries import doubles
 from tillwise.catalog.driver import DriverStar
-from tillwise.functions import round_half
+from tillwise.functions import dollars, round_half
 from tillwise.operators.star import SliceSpec
 from tillwise.plans import cohort, dashboards as P, eda as E, measures as M, segments as S
 
@@ -74,11 +74,13 @@ def timed(name: str) -> Build:
 
 def cumulative(star: DriverStar) -> DataFrame:
     shares = S.cumulative_share(S.product_revenue(star))
-    return doubles(shares).withColumn("cumulative_share", round_half("cumulative_share", 9))
+    return shares.withColumn("revenue", dollars("revenue")).withColumn("cumulative_share", round_half("cumulative_share", 9))
 
 
 def abc(star: DriverStar) -> DataFrame:
-    return doubles(S.product_abc(star).select("product_id", "revenue", "abc_class"))
+    return S.product_abc(star).select(
+        "product_id", dollars("revenue").alias("revenue"), "abc_class"
+    )
 
 
 REPORTS: dict[str, Build] = {
@@ -91,7 +93,7 @@ REPORTS: dict[str, Build] = {
     "e07_channel_revenue": E.channel_revenue,
     "e07_category_share": E.category_share,
     "e08_top_states": E.top_states,
-    "e09_rfm_base": lambda s: doubles(S.rfm_base(s)),
+    "e09_rfm_base": lambda s: S.rfm_base(s).withColumn("monetary", dollars("monetary")),
     "e10_rfm_segments": S.rfm,
     "e10_rfm_segments_parity": lambda s: S.rfm(s, parity=True),
     "e11_cohort_retention": cohort.cohort_retention,

@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F
 from tillwise.schema import MONEY
 
 __all__ = [
-    "bucketize", "clip_fill", "day_name", "digits_only", "line_total", "money", "month_index",
+    "bucketize", "cents", "clip_fill", "day_name", "digits_only", "dollars", "line_total", "money", "month_index",
     "month_start", "null_outside", "parse_date", "parse_money", "ratio", "repair_email",
     "round_half", "standardise", "title_case", "trim_upper", "try_int", "week_number",
     "weekday_label", "year_month", "year_text",
@@ -27,6 +27,16 @@ def money(c: Column | str) -> Column:
     return _col(c).cast(MONEY)
 
 
+def cents(c: Column | str) -> Column:
+    """Money as whole cents, BIGINT: sums of it are exact, order-free and stay in codegen."""
+    return (_col(c) * 100).cast("bigint")
+
+
+def dollars(c: Column | str) -> Column:
+    """Cents back to a DOUBLE amount, for results."""
+    return _col(c).cast("double") / 100.0
+
+
 def round_half(c: Column | str, places: int = 2) -> Column:
     """Round a DOUBLE half away from zero, on the scaled binary value."""
     factor = float(10 ** places)

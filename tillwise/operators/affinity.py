@@ -26,7 +26,7 @@ def _folded_lines(star: Star) -> tuple[DataFrame, DataFrame]:
         F.col("p_name").eqNullSafe(F.col("product_name"))
         & F.col("p_category").eqNullSafe(F.col("category")),
     ).select("product_id", "name_id")
-    folded = star.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
+    folded = star.lines.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     return folded.join(ids, "product_id"), names
 
 
@@ -88,7 +88,7 @@ def top_pairs(star: Star, n: int = 30, large_order: int = LARGE_ORDER) -> DataFr
     """
     lines, names = _folded_lines(star)
     large = (
-        star.order_items.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
+        star.lines.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
         .groupBy("order_id").agg(F.count("*").alias("k")).where(F.col("k") > large_order)
         .select("order_id", F.ceil(F.col("k") / large_order).cast("int").alias("chunks"))
     )

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
+from tillwise.functions import cents
 from tillwise.schema import MONEY, Params
 
 
@@ -34,6 +35,24 @@ class Star:
         """Orders with their own ``state``; a source may override this to join it lazily."""
         return self.orders
 
+    @property
+    def lines(self) -> DataFrame:
+        """Order lines with money in cents: ``amount`` (line total) and ``price``."""
+        return self.order_items.select(
+            "item_id", "order_id", "product_id", "quantity", "discount_pct",
+            cents("line_total").alias("amount"), cents("unit_price").alias("price"),
+        )
+
+    @property
+    def costs(self) -> DataFrame:
+        """Products with their unit cost in cents, as ``cost``."""
+        return self.products.withColumn("cost", cents("unit_cost")).drop("unit_cost")
+
+    @property
+    def refunds(self) -> DataFrame:
+        """Returns with the refund in cents, as ``refund``."""
+        return self.returns.withColumn("refund", cents("refund_amount")).drop("refund_amount")
+
 
 def revenue_orders(star: Star, *cols: str, geo: bool = False) -> DataFrame:
     """Orders that count as revenue, reduced to the columns a query needs."""
@@ -43,36 +62,35 @@ def revenue_orders(star: Star, *cols: str, geo: bool = False) -> DataFrame:
     )
 
 
-def order_totals(items: DataFrame) -> DataFrame:
+def order_totals(lines: DataFrame) -> DataFrame:
     """Lines added up per order: order_id is unique afterwards."""
-    return items.groupBy("order_id").agg(
-        F.sum("line_total").alias("revenue"),
+    return lines.groupBy("order_id").agg(
+        F.sum("amount").alias("revenue"),
         F.sum("quantity").alias("units"),
-        F.count("line_total").alias("lines"),
+        F.count("amount").alias("lines"),
     )
 
 
 def costed_lines(star: Star, *product_cols: str, how: str = "inner") -> DataFrame:
     """Order lines with ``line_cost``, ``line_profit`` and the wanted product columns."""
-    products = star.products.select("product_id", "unit_cost", *product_cols)
-    return with_profit(star.order_items.join(products, "product_id", how))
+    products = star.costs.select("product_id", "cost", *product_cols)
+    return with_profit(star.lines.join(products, "product_id", how))
 
 
 def with_profit(lines: DataFrame) -> DataFrame:
     """Cost is quantity x unit cost; without a unit cost a line has no profit figure."""
-    cost = (F.col("quantity") * F.col("unit_cost")).cast(MONEY)
-    return lines.withColumn("line_cost", cost).withColumn(
-        "line_profit", F.col("line_total") - F.col("line_cost")
+    return lines.withColumn("line_cost", F.col("quantity") * F.col("cost")).withColumn(
+        "line_profit", F.col("amount") - F.col("line_cost")
     )
 
 
 def costed_order_totals(star: Star) -> DataFrame:
     """Per order, over lines with a known product: revenue, profit, discounts, line counts."""
     return costed_lines(star).groupBy("order_id").agg(
-        F.sum("line_total").alias("revenue"),
+        F.sum("amount").alias("revenue"),
         F.sum("line_profit").alias("profit"),
         F.sum("discount_pct").alias("discounts"),
-        F.count("line_total").alias("lines"),
+        F.count("amount").alias("lines"),
         F.count("discount_pct").alias("discount_lines"),
     )
 
@@ -80,13 +98,13 @@ def costed_order_totals(star: Star) -> DataFrame:
 def order_revenue(star: Star, *order_cols: str, geo: bool = False) -> DataFrame:
     """Revenue orders with their totals, one row per order (the order key is unique)."""
     return revenue_orders(star, *order_cols, geo=geo).join(
-        order_totals(star.order_items), "order_id"
+        order_totals(star.lines), "order_id"
     )
 
 
 def revenue_lines(star: Star, *order_cols: str) -> DataFrame:
     """Lines of revenue orders: one shuffle on order_id, later per-order steps reuse it."""
-    return star.order_items.join(revenue_orders(star, *order_cols), "order_id")
+    return star.lines.join(revenue_orders(star, *order_cols), "order_id")
 
 
 def build_fact(star: Star, how: str = "left") -> DataFrame:

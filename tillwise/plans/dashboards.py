@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tillwise.functions import month_start, ratio, round_half, year_month
+from tillwise.functions import dollars, month_start, ratio, round_half, year_month
 from tillwise.operators.shaping import pivot_values
 from tillwise.operators.star import Star, order_revenue, revenue_fact, revenue_orders
 from tillwise.operators.windows import rolling_rows, top_n
@@ -13,10 +13,6 @@ from tillwise.plans.queries import category_metrics, daily_revenue, q11
 from tillwise.plans.segments import rfm_base, rfm_distributions, segment_summary
 
 
-def _double(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def dashboard_fact(star: Star) -> DataFrame:
     """Lines of revenue orders with product cost and gross profit."""
     orders = revenue_orders(
@@ -32,13 +28,14 @@ def monthly_change(star: Star) -> DataFrame:
     """Monthly revenue, orders, three-row mean and change in percent."""
     before = F.lag("revenue").over(Window.orderBy("month"))
     mean = ratio(
-        rolling_rows("revenue", 3, "month", F.sum), rolling_rows("revenue", 3, "month", F.count),
+        dollars(rolling_rows("revenue", 3, "month", F.sum)),
+        rolling_rows("revenue", 3, "month", F.count),
         places=2,
     )
     return monthly_orders(star).select(
-        year_month("month").alias("order_month"), _double("revenue").alias("revenue"), "orders",
+        year_month("month").alias("order_month"), dollars("revenue").alias("revenue"), "orders",
         mean.alias("rev_3m"),
-        ratio(F.col("revenue") - before, before, 100.0, 4).alias("mom_pct"),
+        ratio(dollars(F.col("revenue") - before), dollars(before), 100.0, 4).alias("mom_pct"),
     ).orderBy("order_month")
 
 
@@ -57,12 +54,12 @@ def page_kpis(star: Star) -> DataFrame:
     customers = star.customers.agg(F.count_distinct("customer_id")).scalar()
     returns = star.returns.agg(F.count("*")).scalar()
     return totals.withColumns({"p": profit, "o": orders, "c": customers, "rt": returns}).select(
-        _double("revenue").alias("total_revenue"), _double("p").alias("total_profit"),
-        ratio("p", "revenue", places=6).alias("margin"), F.col("o").alias("total_orders"),
+        dollars("revenue").alias("total_revenue"), dollars("p").alias("total_profit"),
+        ratio(dollars("p"), dollars("revenue"), places=6).alias("margin"), F.col("o").alias("total_orders"),
         F.col("c").alias("total_customers"),
-        ratio("revenue", "o", places=2).alias("avg_order_value"),
+        ratio(dollars("revenue"), "o", places=2).alias("avg_order_value"),
         ratio("rt", "o", places=6).alias("return_rate"),
-        ratio(F.col("y2") - F.col("y1"), "y1", places=6).alias("yoy_growth"),
+        ratio(dollars(F.col("y2") - F.col("y1")), dollars("y1"), places=6).alias("yoy_growth"),
     )
 
 
@@ -72,9 +69,9 @@ def trailing_revenue(star: Star) -> DataFrame:
     return (
         monthly_orders(star).withColumn("age", latest)
         .agg(
-            _double(F.sum(F.when(F.col("age") <= 3, F.col("revenue")))).alias("rolling_3m"),
-            _double(F.sum(F.when(F.col("age") <= 12, F.col("revenue")))).alias("rolling_12m"),
-            _double(
+            dollars(F.sum(F.when(F.col("age") <= 3, F.col("revenue")))).alias("rolling_3m"),
+            dollars(F.sum(F.when(F.col("age") <= 12, F.col("revenue")))).alias("rolling_12m"),
+            dollars(
                 F.sum(F.when(F.year("month") == star.params.latest_year, F.col("revenue")))
             ).alias("ytd"),
         )
@@ -84,11 +81,11 @@ def trailing_revenue(star: Star) -> DataFrame:
 def daily_trend(star: Star, rows: int = 30) -> DataFrame:
     """P5: daily revenue with the mean of the last 30 days that had revenue."""
     mean = ratio(
-        rolling_rows("daily_revenue", rows, "order_date", F.sum),
+        dollars(rolling_rows("daily_revenue", rows, "order_date", F.sum)),
         rolling_rows("daily_revenue", rows, "order_date", F.count), places=2,
     )
     return daily_revenue(star).select(
-        "order_date", _double("daily_revenue").alias("revenue"), mean.alias("rolling_mean")
+        "order_date", dollars("daily_revenue").alias("revenue"), mean.alias("rolling_mean")
     ).orderBy("order_date")
 
 
@@ -97,7 +94,7 @@ def aov_by_channel(star: Star) -> DataFrame:
     per_year = (
         order_revenue(star, "channel", "order_date").where("order_date IS NOT NULL")
         .groupBy("channel", F.year("order_date").alias("year"))
-        .agg(ratio(F.sum("revenue"), F.count("*"), places=2).alias("aov"))
+        .agg(ratio(dollars(F.sum("revenue")), F.count("*"), places=2).alias("aov"))
     )
     return pivot_values(
         per_year, ["channel"], "year", star.params.years, F.first("aov"), 0.0
@@ -123,7 +120,7 @@ def customer_kpis(star: Star) -> DataFrame:
         .withColumns({"total_customers": everyone, "active_customers": active})
         .select(
             "total_customers", "active_customers", "churned_customers",
-            ratio("s", "n", places=2).alias("avg_customer_value"),
+            ratio(dollars("s"), "n", places=2).alias("avg_customer_value"),
         )
     )
 
@@ -153,14 +150,14 @@ def returns_kpis(star: Star) -> DataFrame:
     """Units over all lines, returns, refunds and the mean refund."""
     units = star.order_items.agg(F.sum("quantity")).scalar()
     return (
-        star.returns.agg(
-            F.count("*").alias("total_returns"), F.sum("refund_amount").alias("s"),
-            F.count("refund_amount").alias("n"),
+        star.refunds.agg(
+            F.count("*").alias("total_returns"), F.sum("refund").alias("s"),
+            F.count("refund").alias("n"),
         )
         .withColumn("units_sold", units)
         .select(
-            "units_sold", "total_returns", _double("s").alias("total_refunds"),
-            ratio("s", "n", places=2).alias("avg_refund"),
+            "units_sold", "total_returns", dollars("s").alias("total_refunds"),
+            ratio(dollars("s"), "n", places=2).alias("avg_refund"),
         )
     )
 
@@ -170,7 +167,7 @@ def top_products_by_id(star: Star, n: int = 15) -> DataFrame:
     products = star.products.select("product_id", "product_name", "category")
     top = top_n(_per_product(star).join(products, "product_id"), n, "revenue", ["product_id"])
     return top.select(
-        "product_id", "product_name", "category", _double("revenue").alias("revenue"), "units"
+        "product_id", "product_name", "category", dollars("revenue").alias("revenue"), "units"
     ).orderBy(F.desc("revenue"), "product_id")
 
 
@@ -198,11 +195,11 @@ def return_rate_against_average(star: Star) -> DataFrame:
 def revenue_by(star: Star, dimension: str) -> DataFrame:
     """Revenue by category, year or channel, on the inner-join fact."""
     if dimension == "category":
-        base = _per_category(star).select("category", _double("revenue").alias("revenue"))
+        base = _per_category(star).select("category", dollars("revenue").alias("revenue"))
     else:
         key = F.year("order_date") if dimension == "year" else F.col(dimension)
         base = (
             order_revenue(star, "order_date", "channel").where(key.isNotNull())
-            .groupBy(key.alias(dimension)).agg(_double(F.sum("revenue")).alias("revenue"))
+            .groupBy(key.alias(dimension)).agg(dollars(F.sum("revenue")).alias("revenue"))
         )
     return base.orderBy(dimension)

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwise.functions import month_start, ratio, round_half, year_month
+from tillwise.functions import dollars, month_start, ratio, round_half, year_month
 from tillwise.operators.shaping import box_stats
 from tillwise.operators.star import (
     Star, build_fact, order_revenue, revenue_fact, revenue_lines, revenue_orders,
@@ -17,10 +17,6 @@ from tillwise.plans.segments import segment_summary
 from tillwise.schema import WEEKDAYS
 
 
-def _double(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def master_fact(star: Star) -> DataFrame:
     """Every order line with its order, customer and product attributes."""
     return build_fact(star)
@@ -42,11 +38,12 @@ def monthly_orders(star: Star) -> DataFrame:
 def monthly_trend(star: Star) -> DataFrame:
     """Monthly revenue and orders with the mean of the last three rows."""
     mean = ratio(
-        rolling_rows("revenue", 3, "month", F.sum), rolling_rows("revenue", 3, "month", F.count),
+        dollars(rolling_rows("revenue", 3, "month", F.sum)),
+        rolling_rows("revenue", 3, "month", F.count),
         places=2,
     )
     return monthly_orders(star).select(
-        year_month("month").alias("order_month"), _double("revenue").alias("revenue"), "orders",
+        year_month("month").alias("order_month"), dollars("revenue").alias("revenue"), "orders",
         mean.alias("revenue_3m_avg"),
     ).orderBy("order_month")
 
@@ -56,7 +53,7 @@ def annual_revenue(star: Star) -> DataFrame:
     return (
         order_revenue(star, "order_date").where("order_date IS NOT NULL")
         .groupBy(F.year("order_date").alias("order_year"))
-        .agg(_double(F.sum("revenue")).alias("revenue")).orderBy("order_year")
+        .agg(dollars(F.sum("revenue")).alias("revenue")).orderBy("order_year")
     )
 
 
@@ -74,22 +71,21 @@ def weekday_orders(star: Star) -> DataFrame:
 def _per_product(star: Star, *order_cols: str) -> DataFrame:
     """Revenue lines added up per product before the product's attributes join."""
     return revenue_lines(star, *order_cols).groupBy("product_id", *order_cols).agg(
-        F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"),
-        F.sum(F.when(F.col("line_total").isNotNull(), F.col("quantity"))).alias("priced_units"),
+        F.sum("amount").alias("revenue"), F.sum("quantity").alias("units"),
+        F.sum(F.when(F.col("amount").isNotNull(), F.col("quantity"))).alias("priced_units"),
     )
 
 
 def _per_category(star: Star) -> DataFrame:
-    products = star.products.select(
-        "product_id", "category",
-        F.coalesce("unit_cost", F.lit(0).cast("decimal(18,2)")).alias("unit_cost"),
+    products = star.costs.select(
+        "product_id", "category", F.coalesce("cost", F.lit(0)).alias("cost")
     )
     return (
         _per_product(star).join(products, "product_id").where("category IS NOT NULL")
         .groupBy("category")
         .agg(
             F.sum("revenue").alias("revenue"),
-            F.sum(F.col("revenue") - F.col("priced_units") * F.col("unit_cost")).alias("profit"),
+            F.sum(F.col("revenue") - F.col("priced_units") * F.col("cost")).alias("profit"),
         )
     )
 
@@ -99,8 +95,8 @@ def category_margin(star: Star) -> DataFrame:
     from pyspark.sql import Window
 
     return _per_category(star).select(
-        "category", _double("revenue").alias("revenue"), _double("profit").alias("profit"),
-        ratio("profit", "revenue", 100.0, 1).alias("margin_pct"),
+        "category", dollars("revenue").alias("revenue"), dollars("profit").alias("profit"),
+        ratio(dollars("profit"), dollars("revenue"), 100.0, 1).alias("margin_pct"),
     ).withColumn(
         "avg_margin_pct", round_half(F.avg("margin_pct").over(Window.partitionBy()), 4)
     ).orderBy("revenue")
@@ -110,7 +106,7 @@ def channel_revenue(star: Star) -> DataFrame:
     """Revenue by channel."""
     return (
         order_revenue(star, "channel").where("channel IS NOT NULL").groupBy("channel")
-        .agg(_double(F.sum("revenue")).alias("revenue"))
+        .agg(dollars(F.sum("revenue")).alias("revenue"))
         .orderBy(F.desc("revenue"), "channel")
     )
 
@@ -118,14 +114,14 @@ def channel_revenue(star: Star) -> DataFrame:
 def category_share(star: Star) -> DataFrame:
     """Category revenue and its share in percent."""
     return _per_category(star).select(
-        "category", _double("revenue").alias("revenue"),
+        "category", dollars("revenue").alias("revenue"),
         round_half(share_of_total("revenue") * 100, 1).alias("share_pct"),
     ).orderBy(F.desc("revenue"), "category")
 
 
 def top_states(star: Star, n: int = 10) -> DataFrame:
     """States with the most revenue."""
-    states = state_revenue(star).select("state", _double("r").alias("revenue"))
+    states = state_revenue(star).select("state", dollars("r").alias("revenue"))
     return top_n(states, n, "revenue", ["state"])
 
 
@@ -147,7 +143,7 @@ def return_rate_by_category(star: Star, fan_out: bool = True) -> DataFrame:
     """
     returns = star.returns.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
     if fan_out:
-        lines = star.order_items.groupBy("order_id", "product_id").agg(
+        lines = star.lines.groupBy("order_id", "product_id").agg(
             F.count("*").alias("lines")
         )
         returns = returns.join(lines, ["order_id", "product_id"], "left").withColumn(
@@ -198,7 +194,7 @@ def top_products(star: Star, n: int = 20) -> DataFrame:
     named = (
         _per_product(star).join(star.products.select("product_id", "product_name"), "product_id")
         .where("product_name IS NOT NULL")
-        .groupBy("product_name").agg(_double(F.sum("revenue")).alias("revenue"))
+        .groupBy("product_name").agg(dollars(F.sum("revenue")).alias("revenue"))
     )
     return top_n(named, n, "revenue", ["product_name"])
 
@@ -242,10 +238,10 @@ def headline(star: Star) -> DataFrame:
             "s": segment.scalar(),
         })
         .select(
-            _double("revenue").alias("total_revenue"), _double("p.profit").alias("total_profit"),
-            ratio("p.profit", "revenue", 100.0, 4).alias("margin_pct"),
+            dollars("revenue").alias("total_revenue"), dollars("p.profit").alias("total_profit"),
+            ratio(dollars("p.profit"), dollars("revenue"), 100.0, 4).alias("margin_pct"),
             F.col("o.n").alias("total_orders"), F.col("c.n").alias("total_customers"),
-            ratio("revenue", "o.n", places=2).alias("avg_order_value"),
+            ratio(dollars("revenue"), "o.n", places=2).alias("avg_order_value"),
             ratio("r.n", "o.n", 100.0, 4).alias("return_rate_pct"),
             F.col("p.top_category").alias("top_category"), F.col("ch.name").alias("top_channel"),
             F.col("s.segment").alias("best_segment"),

@@ -12,23 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import (
-    day_name, month_start, ratio, round_half, week_number, year_month,
+    day_name, dollars, month_start, ratio, round_half, week_number, year_month,
 )
 from tillwise.operators.star import SliceSpec, Star, apply_slice, with_profit
 from tillwise.operators.windows import share_of_total, top_n
 from tillwise.plans.eda import return_rate_by_category
 from tillwise.plans.queries import churn, state_revenue
 from tillwise.plans.segments import product_abc, rfm
-from tillwise.schema import MONEY
 
 PRODUCT_ATTRIBUTES = ("product_id", "product_name", "category", "sub_category", "brand", "abc_class")
 CUSTOMER_ATTRIBUTES = ("loyalty_tier", "segment")
 
 
-def _double(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def _sliced_columns(spec: SliceSpec | None) -> set[str]:
     from tillwise.operators.star import SLICER_COLUMNS
 
@@ -55,18 +50,18 @@ def _orders_with(star: Star, wanted: set[str]) -> DataFrame:
 
 
 def _product_columns(star: Star, wanted: set[str]) -> DataFrame:
-    products = product_abc(star) if "abc_class" in wanted else star.products
+    products = product_abc(star) if "abc_class" in wanted else star.costs
     extra = [c for c in PRODUCT_ATTRIBUTES if c in wanted and c != "product_id"]
-    return products.select("product_id", "unit_cost", *extra)
+    return products.select("product_id", "cost", *extra)
 
 
 _SUMS = ("revenue", "cost", "units", "discount")
 
 
 def _line_sums() -> list[Column]:
-    given = (F.col("quantity") * F.col("unit_price")).cast(MONEY) * F.col("discount_pct")
+    given = (F.col("quantity") * F.col("price")).cast("decimal(18,0)") * F.col("discount_pct")
     return [
-        F.sum("line_total").alias("revenue"), F.sum("line_cost").alias("cost"),
+        F.sum("amount").alias("revenue"), F.sum("line_cost").alias("cost"),
         F.sum("quantity").alias("units"), F.sum(given).alias("discount"),
     ]
 
@@ -85,7 +80,7 @@ def base_sums(
     if not with_lines and not by_product:
         return _order_counts(star, by, wanted, spec)
     lines = with_profit(
-        star.order_items.join(_product_columns(star, wanted), "product_id", "left")
+        star.lines.join(_product_columns(star, wanted), "product_id", "left")
     )
     orders = _orders_with(star, wanted)
     completed = F.col("status").isin(*star.params.revenue_statuses)
@@ -129,13 +124,13 @@ def return_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = Non
     """Returns and refunds per group, by attributes of the returned order or product."""
     by = list(by)
     wanted = set(by) | _sliced_columns(spec)
-    returned = star.returns.groupBy("order_id", "product_id").agg(
-        F.count("*").alias("returns"), F.sum("refund_amount").alias("refund"),
-        F.count("refund_amount").alias("refunds"),
+    returned = star.refunds.groupBy("order_id", "product_id").agg(
+        F.count("*").alias("returns"), F.sum("refund").alias("refund"),
+        F.count("refund").alias("refunds"),
     )
     if wanted & set(PRODUCT_ATTRIBUTES):
         returned = returned.join(
-            _product_columns(star, wanted).drop("unit_cost"), "product_id", "left"
+            _product_columns(star, wanted).drop("cost"), "product_id", "left"
         )
     dated = spec is not None and bool(spec.years or spec.date_from or spec.date_to)
     if dated or wanted - set(PRODUCT_ATTRIBUTES):
@@ -147,27 +142,30 @@ def return_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = Non
 
 # name -> expression over the columns of base_sums / return_sums / customer count
 MEASURES = {
-    "total_revenue": lambda: _double("revenue"),
-    "total_cost": lambda: _double("cost"),
-    "gross_profit": lambda: _double(F.col("revenue") - F.coalesce("cost", F.lit(0))),
+    "total_revenue": lambda: dollars("revenue"),
+    "total_cost": lambda: dollars("cost"),
+    "gross_profit": lambda: dollars(F.col("revenue") - F.coalesce("cost", F.lit(0))),
     "profit_margin": lambda: round_half(
-        ratio(F.col("revenue") - F.coalesce("cost", F.lit(0)), "revenue", default=0.0), 4),
-    "total_discount": lambda: round_half("discount", 2),
-    "average_order_value": lambda: ratio("revenue", "orders", places=2, default=0.0),
-    "revenue_per_customer": lambda: ratio("revenue", "customers", places=2, default=0.0),
-    "revenue_per_unit": lambda: ratio("revenue", "units", places=4, default=0.0),
+        ratio(
+            dollars(F.col("revenue") - F.coalesce("cost", F.lit(0))), dollars("revenue"),
+            default=0.0,
+        ), 4),
+    "total_discount": lambda: round_half(dollars("discount"), 2),
+    "average_order_value": lambda: ratio(dollars("revenue"), "orders", places=2, default=0.0),
+    "revenue_per_customer": lambda: ratio(dollars("revenue"), "customers", places=2, default=0.0),
+    "revenue_per_unit": lambda: ratio(dollars("revenue"), "units", places=4, default=0.0),
     "total_orders": lambda: F.col("orders"),
     "units_sold": lambda: F.col("units"),
     "completed_orders": lambda: F.col("completed"),
     "avg_items_per_order": lambda: ratio("units", "line_orders", places=4, default=0.0),
     "total_customers": lambda: F.col("all_customers"),
     "avg_customer_lifetime_value": lambda: ratio(
-        "revenue", "all_customers", places=2, default=0.0),
+        dollars("revenue"), "all_customers", places=2, default=0.0),
     "total_returns": lambda: F.coalesce("returns", F.lit(0)),
     "return_rate": lambda: ratio(
         F.coalesce("returns", F.lit(0)), "completed", places=4, default=0.0),
-    "total_refund": lambda: _double("refund"),
-    "avg_refund": lambda: ratio("refund", "refunds", places=2),
+    "total_refund": lambda: dollars("refund"),
+    "avg_refund": lambda: ratio(dollars("refund"), "refunds", places=2),
 }
 _OF_RETURNS = {"total_returns", "return_rate", "total_refund", "avg_refund"}
 _WITHOUT_LINES = {
@@ -268,19 +266,19 @@ def monthly_series(star: Star, spec: SliceSpec | None = None) -> DataFrame:
             "p3": trailing("profit", 3), "r12": trailing("revenue", 12),
         })
         .select(
-            F.col("ym").alias("month"), _double("revenue").alias("revenue"),
-            _double("prev").alias("revenue_prev_month"),
-            _double(change("prev")).alias("mom_change"),
-            ratio(change("prev"), "prev", places=6).alias("mom_growth"),
-            _double("sply").alias("revenue_sply"),
-            ratio(change("sply"), "sply", places=6).alias("yoy_growth"),
-            _double("ytd").alias("revenue_ytd"), _double("r3").alias("rolling_3m_revenue"),
-            _double("r12").alias("rolling_12m_revenue"),
-            ratio("p3", "r3", places=6, default=0.0).alias("rolling_3m_margin"),
+            F.col("ym").alias("month"), dollars("revenue").alias("revenue"),
+            dollars("prev").alias("revenue_prev_month"),
+            dollars(change("prev")).alias("mom_change"),
+            ratio(dollars(change("prev")), dollars("prev"), places=6).alias("mom_growth"),
+            dollars("sply").alias("revenue_sply"),
+            ratio(dollars(change("sply")), dollars("sply"), places=6).alias("yoy_growth"),
+            dollars("ytd").alias("revenue_ytd"), dollars("r3").alias("rolling_3m_revenue"),
+            dollars("r12").alias("rolling_12m_revenue"),
+            ratio(dollars("p3"), dollars("r3"), places=6, default=0.0).alias("rolling_3m_margin"),
             round_half(
-                _double(F.coalesce("revenue", F.lit(0))) - _double("r12") / 12.0
+                dollars(F.coalesce("revenue", F.lit(0))) - dollars("r12") / 12.0
             ).alias("revenue_vs_12m_avg"),
-            round_half(F.coalesce(_double("revenue"), F.lit(0.0)) / target, 6)
+            round_half(F.coalesce(dollars("revenue"), F.lit(0.0)) / target, 6)
             .alias("target_achievement"),
         )
     )
@@ -345,7 +343,7 @@ def what_if(star: Star, by_month: bool = False, low: int = -20, high: int = 20)
     base = base_sums(star, ["month"] if by_month else [])
     keys = ["month"] if by_month else []
     steps = base.select(
-        *keys, _double("revenue").alias("revenue"),
+        *keys, dollars("revenue").alias("revenue"),
         F.explode(F.sequence(F.lit(low), F.lit(high))).alias("adjustment_pct"),
     )
     adjusted = F.col("revenue") * (F.lit(1.0) + F.col("adjustment_pct") / 100.0)
@@ -366,12 +364,12 @@ def segment_revenue_share(star: Star) -> DataFrame:
     """Share of each RFM segment in revenue of every status."""
     per_customer = (
         star.orders.select("order_id", "customer_id")
-        .join(star.order_items.groupBy("order_id").agg(F.sum("line_total").alias("r")), "order_id")
+        .join(star.lines.groupBy("order_id").agg(F.sum("amount").alias("r")), "order_id")
         .groupBy("customer_id").agg(F.sum("r").alias("r"))
     )
     return (
         per_customer.join(rfm(star).select("customer_id", "segment"), "customer_id", "left")
-        .groupBy("segment").agg(_double(F.sum("r")).alias("total_revenue"))
+        .groupBy("segment").agg(dollars(F.sum("r")).alias("total_revenue"))
         .withColumn("revenue_share", round_half(share_of_total("total_revenue"), 6))
         .orderBy("segment")
     )
@@ -379,12 +377,12 @@ def segment_revenue_share(star: Star) -> DataFrame:
 
 def product_sales(star: Star, *cols: str) -> DataFrame:
     """Per product over every status: revenue, units, cost and the wanted attributes."""
-    sold = star.order_items.groupBy("product_id").agg(
-        F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units")
+    sold = star.lines.groupBy("product_id").agg(
+        F.sum("amount").alias("revenue"), F.sum("quantity").alias("units")
     )
     return sold.join(
-        star.products.select("product_id", "unit_cost", *cols), "product_id"
-    ).withColumn("cost", F.col("units") * F.col("unit_cost"))
+        star.costs.select("product_id", "cost", *cols), "product_id"
+    ).withColumn("cost", F.col("units") * F.col("cost"))
 
 
 def product_detail(star: Star, category: str, n: int = 10) -> DataFrame:
@@ -397,8 +395,8 @@ def product_detail(star: Star, category: str, n: int = 10) -> DataFrame:
         top_n(sales, n, "revenue", ["product_id"]).join(rates, "category", "left")
         .select(
             "category", "product_id", "product_name", "brand",
-            _double("revenue").alias("revenue"), "units",
-            ratio(F.col("revenue") - F.col("cost"), "revenue", 100.0, 2, 0.0)
+            dollars("revenue").alias("revenue"), "units",
+            ratio(dollars(F.col("revenue") - F.col("cost")), dollars("revenue"), 100.0, 2, 0.0)
             .alias("margin_pct"),
             F.col("return_rate").alias("category_return_rate"),
         )
@@ -409,22 +407,22 @@ def product_detail(star: Star, category: str, n: int = 10) -> DataFrame:
 def state_tooltip(star: Star) -> DataFrame:
     """Revenue, orders, customers and order value by state."""
     return state_revenue(star).select(
-        "state", _double("r").alias("total_revenue"), "total_orders",
+        "state", dollars("r").alias("total_revenue"), "total_orders",
         F.col("unique_customers").alias("customers"),
-        ratio("r", "total_orders", places=2).alias("avg_order_value"),
+        ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
     ).orderBy("state")
 
 
 def churn_risk(star: Star) -> DataFrame:
     """Customers past the shorter churn limit, and the mean refund per return."""
-    refund = star.returns.agg(
-        F.struct(F.sum("refund_amount").alias("s"), F.count("*").alias("n"))
+    refund = star.refunds.agg(
+        F.struct(F.sum("refund").alias("s"), F.count("*").alias("n"))
     ).scalar()
     return (
         churn(star).where(F.col("days_since_last_order") > star.params.churn_days[1])
         .agg(F.count("*").alias("churn_risk_customers"))
         .withColumn("r", refund)
-        .select("churn_risk_customers", ratio("r.s", "r.n", places=2).alias("avg_refund"))
+        .select("churn_risk_customers", ratio(dollars("r.s"), "r.n", places=2).alias("avg_refund"))
     )
 
 
@@ -433,7 +431,7 @@ def product_table(star: Star, n: int = 20) -> DataFrame:
     classes = product_abc(star).select("product_id", "abc_class")
     top = top_n(product_sales(star, "product_name"), n, "revenue", ["product_id"])
     return top.join(classes, "product_id").select(
-        "product_id", "product_name", _double("revenue").alias("revenue"), "units",
-        ratio(F.col("revenue") - F.col("cost"), "revenue", 100.0, 2, 0.0).alias("margin_pct"),
+        "product_id", "product_name", dollars("revenue").alias("revenue"), "units",
+        ratio(dollars(F.col("revenue") - F.col("cost")), dollars("revenue"), 100.0, 2, 0.0).alias("margin_pct"),
         "abc_class",
     ).orderBy(F.desc("revenue"), "product_id")

@@ -3,7 +3,7 @@
 Shape shared by most of them: lines are added up per order, joined to the revenue orders on
 order_id, and grouped from there. An order is one row from then on, so orders are counted, not
 counted distinct; customers are counted by grouping once more by customer, which combines on
-the map side. Money is added in exact decimals and leaves as DOUBLE.
+the map side. Money is added in whole cents, which is exact, and leaves as DOUBLE.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import (
-    bucketize, month_index, month_start, ratio, weekday_label, year_month, year_text,
+    bucketize, dollars, month_index, month_start, ratio, weekday_label, year_month, year_text,
 )
 from tillwise.operators.star import (
     Star, costed_lines, costed_order_totals, order_revenue, order_totals, revenue_lines,
@@ -27,10 +27,6 @@ from tillwise.schema import (
 )
 
 
-def _double(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("double")
-
-
 def full_name(first: str = "first_name", last: str = "last_name") -> Column:
     """NULL when either part is NULL."""
     return F.concat(F.col(first), F.lit(" "), F.col(last))
@@ -59,11 +55,11 @@ def category_orders(star: Star, *sums: Column) -> DataFrame:
     turns the distinct count into a count.
     """
     lines = revenue_lines(star).join(
-        star.products.select("product_id", "category", "unit_cost"), "product_id"
+        star.costs.select("product_id", "category", "cost"), "product_id"
     )
     return (
         with_profit(lines).groupBy("order_id", "category")
-        .agg(F.sum("line_total").alias("revenue"), F.sum("line_profit").alias("profit"))
+        .agg(F.sum("amount").alias("revenue"), F.sum("line_profit").alias("profit"))
         .groupBy("category")
         .agg(F.count("*").alias("total_orders"), *sums)
     )
@@ -83,10 +79,10 @@ def q01(star: Star) -> DataFrame:
         )
         .select(
             "year", "status", "total_orders",
-            _double("r").alias("gross_revenue"),
-            _double("p").alias("gross_profit"),
-            ratio("r", "n", places=2).alias("avg_line_value"),
-            ratio("r", "total_orders", places=2).alias("avg_order_value"),
+            dollars("r").alias("gross_revenue"),
+            dollars("p").alias("gross_profit"),
+            ratio(dollars("r"), "n", places=2).alias("avg_line_value"),
+            ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
         )
         .orderBy("year", F.desc("gross_revenue"), "status")
     )
@@ -94,13 +90,10 @@ def q01(star: Star) -> DataFrame:
 
 def q02(star: Star) -> DataFrame:
     """Month-over-month growth; the previous row is the previous month that has revenue."""
-    grown = growth(
-        monthly_revenue(star), "revenue", "month", "prev_month_revenue", "mom_change",
-        "mom_growth_pct",
-    )
-    return grown.withColumns({
-        c: _double(c) for c in ("revenue", "prev_month_revenue")
-    }).orderBy("month")
+    monthly = monthly_revenue(star).withColumn("revenue", dollars("revenue"))
+    return growth(
+        monthly, "revenue", "month", "prev_month_revenue", "mom_change", "mom_growth_pct"
+    ).orderBy("month")
 
 
 def category_year_revenue(star: Star) -> DataFrame:
@@ -108,11 +101,11 @@ def category_year_revenue(star: Star) -> DataFrame:
     per_product = (
         revenue_lines(star, "order_date").where("order_date IS NOT NULL")
         .groupBy("product_id", year_text("order_date").alias("year"))
-        .agg(F.sum("line_total").alias("revenue"))
+        .agg(F.sum("amount").alias("revenue"))
     )
     return (
         per_product.join(star.products.select("product_id", "category"), "product_id")
-        .groupBy("category", "year").agg(_double(F.sum("revenue")).alias("revenue"))
+        .groupBy("category", "year").agg(dollars(F.sum("revenue")).alias("revenue"))
     )
 
 
@@ -127,10 +120,10 @@ def q03(star: Star) -> DataFrame:
 def q04(star: Star) -> DataFrame:
     """Running total and three-month mean of monthly revenue."""
     return monthly_revenue(star).select(
-        "month", _double("revenue").alias("revenue"),
-        _double(running_total("revenue", "month")).alias("cumulative_revenue"),
+        "month", dollars("revenue").alias("revenue"),
+        dollars(running_total("revenue", "month")).alias("cumulative_revenue"),
         ratio(
-            rolling_rows("revenue", 3, "month", F.sum),
+            dollars(rolling_rows("revenue", 3, "month", F.sum)),
             rolling_rows("revenue", 3, "month", F.count), places=2,
         ).alias("rolling_3m_avg"),
     ).orderBy("month")
@@ -139,8 +132,8 @@ def q04(star: Star) -> DataFrame:
 def rolling_revenue(star: Star, days: int) -> DataFrame:
     total = rolling_days("daily_revenue", days, "order_date")
     return daily_revenue(star).select(
-        "order_date", _double("daily_revenue").alias("daily_revenue"),
-        _double(total).alias(f"rolling_{days}d_revenue"),
+        "order_date", dollars("daily_revenue").alias("daily_revenue"),
+        dollars(total).alias(f"rolling_{days}d_revenue"),
         rolling_days("order_date", days, "order_date", F.count).alias("days_in_window"),
     ).orderBy("order_date")
 
@@ -159,8 +152,8 @@ def category_metrics(star: Star) -> DataFrame:
     return category_orders(
         star, F.sum("revenue").alias("r"), F.sum("profit").alias("p")
     ).select(
-        "category", _double("r").alias("revenue"), _double("p").alias("gross_profit"),
-        ratio("p", "r", 100.0, 2).alias("margin_pct"), "total_orders",
+        "category", dollars("r").alias("revenue"), dollars("p").alias("gross_profit"),
+        ratio(dollars("p"), dollars("r"), 100.0, 2).alias("margin_pct"), "total_orders",
     )
 
 
@@ -181,10 +174,10 @@ def q08(star: Star, n: int = 5) -> DataFrame:
     return (
         revenue_lines(star).join(products, "product_id")
         .groupBy("order_id", *named)
-        .agg(F.sum("line_total").alias("revenue"), F.sum("quantity").alias("units"))
+        .agg(F.sum("amount").alias("revenue"), F.sum("quantity").alias("units"))
         .groupBy(*named)
         .agg(
-            _double(F.sum("revenue")).alias("revenue"), F.sum("units").alias("units_sold"),
+            dollars(F.sum("revenue")).alias("revenue"), F.sum("units").alias("units_sold"),
             F.count("*").alias("order_count"),
         )
         .withColumn("rank_in_category", rank_by("revenue", "dense_rank", "category"))
@@ -226,8 +219,8 @@ def q09(star: Star) -> DataFrame:
         customer_revenue(star).join(_named_customers(star), "customer_id")
         .select(
             "customer_id", "customer_name", "loyalty_tier", "state", "total_orders",
-            _double("revenue").alias("lifetime_value"),
-            ratio("revenue", "lines", places=2).alias("avg_order_value"),
+            dollars("revenue").alias("lifetime_value"),
+            ratio(dollars("revenue"), "lines", places=2).alias("avg_order_value"),
             "first_order_date", "last_order_date",
             F.date_diff("last_order_date", "first_order_date").alias("customer_tenure_days"),
         )
@@ -275,7 +268,7 @@ def customer_periods(star: Star, period: Column) -> DataFrame:
     )
     sold = F.col("counts") & F.col("lines").isNotNull()
     return (
-        orders.join(order_totals(star.order_items), "order_id", "left")
+        orders.join(order_totals(star.lines), "order_id", "left")
         .groupBy("customer_id", "period")
         .agg(
             F.count(F.when(sold, 1)).alias("orders"),
@@ -296,7 +289,7 @@ def q11(star: Star) -> DataFrame:
         .groupBy("month", "customer_type")
         .agg(
             F.sum("orders").alias("orders"), F.count("*").alias("customers"),
-            _double(F.sum("revenue")).alias("revenue"),
+            dollars(F.sum("revenue")).alias("revenue"),
         )
         .orderBy("month", "customer_type")
     )
@@ -321,10 +314,10 @@ def q12(star: Star) -> DataFrame:
         )
         .select(
             "channel", "total_orders", "unique_customers",
-            _double("r").alias("total_revenue"),
-            ratio("r", "total_orders", places=2).alias("avg_order_value"),
-            _double("p").alias("gross_profit"),
-            ratio("p", "r", 100.0, 2).alias("margin_pct"),
+            dollars("r").alias("total_revenue"),
+            ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
+            dollars("p").alias("gross_profit"),
+            ratio(dollars("p"), dollars("r"), 100.0, 2).alias("margin_pct"),
             ratio("d", "n", 100.0, 2).alias("avg_discount_pct"),
         )
         .orderBy(F.desc("total_revenue"), "channel")
@@ -336,7 +329,7 @@ def channel_year_aov(star: Star) -> DataFrame:
         order_revenue(star, "channel", "order_date").where("order_date IS NOT NULL")
         .groupBy("channel", year_text("order_date").alias("year"))
         .agg(F.sum("revenue").alias("r"), F.count("*").alias("n"))
-        .select("channel", "year", ratio("r", "n", places=2).alias("aov"))
+        .select("channel", "year", ratio(dollars("r"), "n", places=2).alias("aov"))
     )
 
 
@@ -356,10 +349,10 @@ def q13(star: Star) -> DataFrame:
 def q14(star: Star) -> DataFrame:
     """Return rate by category and reason, against the category's revenue orders."""
     returned = (
-        star.returns.groupBy("product_id", "reason")
+        star.refunds.groupBy("product_id", "reason")
         .agg(
-            F.count("return_id").alias("n"), F.sum("refund_amount").alias("refund"),
-            F.count("refund_amount").alias("refunds"),
+            F.count("return_id").alias("n"), F.sum("refund").alias("refund"),
+            F.count("refund").alias("refunds"),
         )
         .join(star.products.select("product_id", "category"), "product_id")
         .groupBy("category", "reason")
@@ -371,8 +364,8 @@ def q14(star: Star) -> DataFrame:
     return (
         returned.join(category_orders(star), "category")
         .select(
-            "category", "reason", "return_count", _double("refund").alias("total_refund"),
-            ratio("refund", "refunds", places=2).alias("avg_refund"), "total_orders",
+            "category", "reason", "return_count", dollars("refund").alias("total_refund"),
+            ratio(dollars("refund"), "refunds", places=2).alias("avg_refund"), "total_orders",
             ratio("return_count", "total_orders", 100.0, 2).alias("return_rate_pct"),
         )
         .orderBy(F.desc("return_count"), "category", "reason")
@@ -406,7 +399,7 @@ def q16(star: Star, n: int = 20) -> DataFrame:
     found = customer_revenue(star).join(_named_customers(star), "customer_id")
     return top_n(found, n, "revenue", ["customer_id"], "rank").select(
         "rank", "customer_id", "customer_name", "loyalty_tier", "state", "total_orders",
-        _double("revenue").alias("lifetime_value"),
+        dollars("revenue").alias("lifetime_value"),
         F.col("first_order_date").alias("first_order"),
         F.col("last_order_date").alias("last_order"),
     ).orderBy("rank")
@@ -421,14 +414,14 @@ def q17(star: Star) -> DataFrame:
         lines.groupBy(band.alias("discount_bucket"))
         .agg(
             F.count("*").alias("line_items"), F.sum("quantity").alias("units_sold"),
-            F.sum("line_total").alias("r"), F.sum("line_profit").alias("p"),
-            F.count("line_total").alias("n"), F.min("discount_pct").alias("smallest"),
+            F.sum("amount").alias("r"), F.sum("line_profit").alias("p"),
+            F.count("amount").alias("n"), F.min("discount_pct").alias("smallest"),
         )
         .select(
-            "discount_bucket", "line_items", "units_sold", _double("r").alias("revenue"),
-            _double("p").alias("gross_profit"),
-            ratio("p", "r", 100.0, 2).alias("margin_pct"),
-            ratio("r", "n", places=2).alias("avg_line_value"), "smallest",
+            "discount_bucket", "line_items", "units_sold", dollars("r").alias("revenue"),
+            dollars("p").alias("gross_profit"),
+            ratio(dollars("p"), dollars("r"), 100.0, 2).alias("margin_pct"),
+            ratio(dollars("r"), "n", places=2).alias("avg_line_value"), "smallest",
         )
         .orderBy("smallest").drop("smallest")
     )
@@ -445,7 +438,7 @@ def q18(star: Star) -> DataFrame:
             year_month("period").alias("order_month"), "month_index",
         )
         .agg(
-            _double(F.sum("revenue")).alias("cohort_revenue"),
+            dollars(F.sum("revenue")).alias("cohort_revenue"),
             F.count("*").alias("active_customers"),
         )
         .orderBy("cohort_month", "month_index")
@@ -459,8 +452,8 @@ def q19(star: Star) -> DataFrame:
         .groupBy(weekday_label("order_date", WEEKDAY_LABELS).alias("day_of_week"))
         .agg(F.count("*").alias("total_orders"), F.sum("revenue").alias("r"))
         .select(
-            "day_of_week", "total_orders", _double("r").alias("total_revenue"),
-            ratio("r", "total_orders", places=2).alias("avg_order_value"),
+            "day_of_week", "total_orders", dollars("r").alias("total_revenue"),
+            ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
         )
         .orderBy("day_of_week")
     )
@@ -486,9 +479,9 @@ def q21(star: Star) -> DataFrame:
             F.sum("revenue").alias("r"),
         )
         .select(
-            "loyalty_tier", "customers", "total_orders", _double("r").alias("total_revenue"),
-            ratio("r", "customers", places=2).alias("revenue_per_customer"),
-            ratio("r", "total_orders", places=2).alias("avg_order_value"),
+            "loyalty_tier", "customers", "total_orders", dollars("r").alias("total_revenue"),
+            ratio(dollars("r"), "customers", places=2).alias("revenue_per_customer"),
+            ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
         )
         .orderBy(F.desc("revenue_per_customer"), "loyalty_tier")
     )
@@ -511,8 +504,8 @@ def state_revenue(star: Star) -> DataFrame:
 def q22(star: Star) -> DataFrame:
     """Revenue by state of the order, ranked."""
     return state_revenue(star).select(
-        "state", "total_orders", "unique_customers", _double("r").alias("total_revenue"),
-        ratio("r", "unique_customers", places=2).alias("revenue_per_customer"),
-        ratio("r", "total_orders", places=2).alias("avg_order_value"),
+        "state", "total_orders", "unique_customers", dollars("r").alias("total_revenue"),
+        ratio(dollars("r"), "unique_customers", places=2).alias("revenue_per_customer"),
+        ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
         rank_by("r").alias("revenue_rank"),
     ).orderBy("revenue_rank", "state")

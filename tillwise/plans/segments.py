@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tillwise.functions import ratio, round_half
+from tillwise.functions import dollars, ratio, round_half
 from tillwise.operators.quantiles import exact_quantiles, quantile_scores, running_share_by_value
 from tillwise.operators.shaping import histogram
 from tillwise.operators.star import Star, order_revenue
@@ -14,7 +14,7 @@ RFM_COLUMNS = ("recency", "frequency", "monetary")
 
 
 def rfm_base(star: Star) -> DataFrame:
-    """Per customer id on revenue orders: last date, distinct orders, spend, days since."""
+    """Per customer id on revenue orders: last date, orders, spend in cents, days since."""
     per_customer = (
         order_revenue(star, "customer_id", "order_date").where("customer_id IS NOT NULL")
         .groupBy("customer_id")
@@ -42,8 +42,8 @@ def segment_label(r: Column, f: Column, m: Column) -> Column:
     )
 
 
-def rfm(star: Star, parity: bool = False) -> DataFrame:
-    """Quintile scores and segment per customer.
+def scored_customers(star: Star, parity: bool = False) -> DataFrame:
+    """Quintile scores and segment per customer, spend in cents.
 
     A customer without a dated order scores lowest on recency. With ``parity`` a column that
     holds a NULL, or whose quintile edges repeat, scores 3 for everyone.
@@ -54,26 +54,28 @@ def rfm(star: Star, parity: bool = False) -> DataFrame:
     )
     r, f, m = (F.col(f"{c}_score") for c in RFM_COLUMNS)
     return scored.select(
-        "customer_id", "last_order_date", "frequency",
-        F.col("monetary").cast("double").alias("monetary"), "recency",
+        "customer_id", "last_order_date", "frequency", "monetary", "recency",
         r.alias("R_score"), f.alias("F_score"), m.alias("M_score"),
         F.concat(*[s.cast("string") for s in (r, f, m)]).alias("RFM_score"),
         segment_label(r, f, m).alias("segment"),
     )
 
 
+def rfm(star: Star, parity: bool = False) -> DataFrame:
+    """The segment table: scores and segment per customer."""
+    return scored_customers(star, parity).withColumn("monetary", dollars("monetary"))
+
+
 def segment_summary(star: Star, parity: bool = False) -> DataFrame:
     """Customers, mean and total spend per segment."""
     return (
-        rfm(star, parity)
+        scored_customers(star, parity)
         .groupBy("segment")
-        .agg(
-            F.count("*").alias("customers"),
-            F.sum(F.col("monetary").cast("decimal(28,2)")).alias("spend"),
-        )
+        .agg(F.count("*").alias("customers"), F.sum("monetary").alias("spend"))
         .select(
-            "segment", "customers", ratio("spend", "customers", places=2).alias("avg_revenue"),
-            F.col("spend").cast("double").alias("total_revenue"),
+            "segment", "customers",
+            ratio(dollars("spend"), "customers", places=2).alias("avg_revenue"),
+            dollars("spend").alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "segment")
     )
@@ -81,7 +83,7 @@ def segment_summary(star: Star, parity: bool = False) -> DataFrame:
 
 def rfm_distributions(star: Star, bins: int = 40) -> DataFrame:
     """Histogram of each measure with its median: (metric, bin, lower, upper, n, median)."""
-    base = rfm_base(star)
+    base = rfm_base(star).withColumn("monetary", dollars("monetary"))
     parts = None
     for metric in RFM_COLUMNS:
         median = exact_quantiles(base, metric, [0.5]).select(F.element_at("q", 1)).scalar()
@@ -94,10 +96,10 @@ def rfm_distributions(star: Star, bins: int = 40) -> DataFrame:
 
 
 def product_revenue(star: Star) -> DataFrame:
-    """All products with their revenue over every status; unsold ones with 0."""
-    sold = star.order_items.groupBy("product_id").agg(F.sum("line_total").alias("r"))
-    return star.products.join(sold, "product_id", "left").withColumn(
-        "revenue", F.coalesce(F.col("r"), F.lit(0).cast("decimal(28,2)"))
+    """All products with their revenue (cents) over every status; unsold ones with 0."""
+    sold = star.lines.groupBy("product_id").agg(F.sum("amount").alias("r"))
+    return star.costs.join(sold, "product_id", "left").withColumn(
+        "revenue", F.coalesce("r", F.lit(0).cast("bigint"))
     ).drop("r")
 
 
