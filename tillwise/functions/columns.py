@@ -10,10 +10,11 @@ from pyspark.sql import Column, functions as F
 from tillwise.schema import MONEY
 
 __all__ = [
-    "bucketize", "cents", "clip_fill", "day_name", "digits_only", "dollars", "line_total", "money", "month_index",
+    "bucketize", "cents", "clip_fill", "day_name", "digits_only", "dollars",
+    "label_at", "line_total", "money", "month_index",
     "month_start", "null_outside", "parse_date", "parse_money", "ratio", "repair_email",
     "round_half", "standardise", "title_case", "trim_upper", "try_int", "week_number",
-    "weekday_label", "year_month", "year_text",
+    "year_month",
 ]
 
 
@@ -149,19 +150,15 @@ def year_month(c: Column | str) -> Column:
     return F.date_format(_col(c), "yyyy-MM")
 
 
-def year_text(c: Column | str) -> Column:
-    return F.date_format(_col(c), "yyyy")
-
-
 def month_index(later: Column | str, earlier: Column | str) -> Column:
     """Whole calendar months between two dates."""
     later, earlier = _col(later), _col(earlier)
     return (F.year(later) - F.year(earlier)) * 12 + F.month(later) - F.month(earlier)
 
 
-def weekday_label(c: Column | str, labels: Sequence[str]) -> Column:
-    """``labels[0]`` for Monday … ``labels[6]`` for Sunday."""
-    return F.element_at(F.array(*[F.lit(x) for x in labels]), F.weekday(_col(c)) + 1)
+def label_at(c: Column | str, labels: Sequence[str]) -> Column:
+    """The label at a position counted from 0, as ``weekday`` does from Monday on."""
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), _col(c) + 1)
 
 
 def day_name(c: Column | str) -> Column:

@@ -102,9 +102,16 @@ def order_revenue(star: Star, *order_cols: str, geo: bool = False) -> DataFrame:
     )
 
 
-def revenue_lines(star: Star, *order_cols: str) -> DataFrame:
-    """Lines of revenue orders: one shuffle on order_id, later per-order steps reuse it."""
-    return star.lines.join(revenue_orders(star, *order_cols), "order_id")
+def revenue_lines(
+    star: Star, *order_cols: str, products: DataFrame | None = None
+) -> DataFrame:
+    """Lines of revenue orders, with product columns where wanted.
+
+    The product join comes first and the order join last, so that the result is spread by
+    order_id when either is shuffled, and a following step per order needs no exchange.
+    """
+    lines = star.lines if products is None else star.lines.join(products, "product_id")
+    return lines.join(revenue_orders(star, *order_cols), "order_id")
 
 
 def build_fact(star: Star, how: str = "left") -> DataFrame:

@@ -128,7 +128,7 @@ def top_states(star: Star, n: int = 10) -> DataFrame:
 def product_orders_by_category(star: Star) -> DataFrame:
     """(category, orders): orders that hold the category, on revenue lines."""
     return (
-        revenue_lines(star).join(star.products.select("product_id", "category"), "product_id")
+        revenue_lines(star, products=star.products.select("product_id", "category"))
         .where("category IS NOT NULL")
         .select("order_id", "category").distinct()
         .groupBy("category").agg(F.count("*").alias("orders"))
@@ -173,18 +173,18 @@ def monthly_return_rate(star: Star) -> DataFrame:
     """Returns by the month of their order, against that month's revenue orders."""
     orders = (
         revenue_orders(star, "order_date").where("order_date IS NOT NULL")
-        .groupBy(year_month("order_date").alias("order_month"))
+        .groupBy(month_start("order_date").alias("m"))
         .agg(F.count("*").alias("orders"))
     )
     per_order = star.returns.groupBy("order_id").agg(F.count("return_id").alias("n"))
     returns = (
         per_order.join(star.orders.select("order_id", "order_date"), "order_id")
         .where("order_date IS NOT NULL")
-        .groupBy(year_month("order_date").alias("order_month")).agg(F.sum("n").alias("returns"))
+        .groupBy(month_start("order_date").alias("m")).agg(F.sum("n").alias("returns"))
     )
     return (
-        orders.join(returns, "order_month")
-        .select("order_month", ratio("returns", "orders", 100.0, 4).alias("return_rate"))
+        orders.join(returns, "m")
+        .select(year_month("m").alias("order_month"), ratio("returns", "orders", 100.0, 4).alias("return_rate"))
         .orderBy("order_month")
     )
 

@@ -39,7 +39,7 @@ def _orders_with(star: Star, wanted: set[str]) -> DataFrame:
     if "state" in wanted:
         cols.append("state")
     orders = orders.select(
-        *cols, F.year("order_date").alias("year"), year_month("order_date").alias("month")
+        *cols, F.year("order_date").alias("year"), month_start("order_date").alias("month")
     )
     if "loyalty_tier" in wanted:
         tiers = star.customers.select("customer_id", "loyalty_tier")
@@ -49,6 +49,11 @@ def _orders_with(star: Star, wanted: set[str]) -> DataFrame:
     return orders
 
 
+def _with_month_text(df: DataFrame) -> DataFrame:
+    """Groups are formed by the month's first day; the result shows it as 'yyyy-MM'."""
+    return df.withColumn("month", year_month("month")) if "month" in df.columns else df
+
+
 def _product_columns(star: Star, wanted: set[str]) -> DataFrame:
     products = product_abc(star) if "abc_class" in wanted else star.costs
     extra = [c for c in PRODUCT_ATTRIBUTES if c in wanted and c != "product_id"]
@@ -100,7 +105,9 @@ def base_sums(
         F.count(has_lines).alias("line_orders"),
     )
     sums = [F.sum(c).alias(c) for c in (*_SUMS, "orders", "completed", "line_orders")]
-    return per_customer.groupBy(*by).agg(*sums, F.count("customer_id").alias("customers"))
+    return _with_month_text(
+        per_customer.groupBy(*by).agg(*sums, F.count("customer_id").alias("customers"))
+    )
 
 
 def _order_counts(
@@ -108,7 +115,7 @@ def _order_counts(
 ) -> DataFrame:
     """orders, completed and customers per group, without reading a line."""
     completed = F.col("status").isin(*star.params.revenue_statuses)
-    return (
+    return _with_month_text(
         apply_slice(_orders_with(star, wanted), spec)
         .groupBy(*dict.fromkeys([*by, "customer_id"]))
         .agg(F.count("*").alias("orders"), F.count(F.when(completed, 1)).alias("completed"))
@@ -135,8 +142,9 @@ def return_sums(star: Star, by: Sequence[str] = (), spec: SliceSpec | None = Non
     dated = spec is not None and bool(spec.years or spec.date_from or spec.date_to)
     if dated or wanted - set(PRODUCT_ATTRIBUTES):
         returned = returned.join(_orders_with(star, wanted), "order_id")
-    return apply_slice(returned, spec).groupBy(*by).agg(
-        *[F.sum(c).alias(c) for c in ("returns", "refund", "refunds")]
+    return _with_month_text(
+        apply_slice(returned, spec).groupBy(*by)
+        .agg(*[F.sum(c).alias(c) for c in ("returns", "refund", "refunds")])
     )
 
 
@@ -326,8 +334,9 @@ def new_customers(star: Star) -> DataFrame:
         .agg(F.min("order_date").alias("first")).where("first IS NOT NULL")
     )
     return (
-        firsts.groupBy(year_month("first").alias("month"))
-        .agg(F.count("*").alias("new_customers")).orderBy("month")
+        firsts.groupBy(month_start("first").alias("m"))
+        .agg(F.count("*").alias("new_customers"))
+        .select(year_month("m").alias("month"), "new_customers").orderBy("month")
     )
 
 

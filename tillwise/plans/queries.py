@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import (
-    bucketize, dollars, month_index, month_start, ratio, weekday_label, year_month, year_text,
+    bucketize, dollars, label_at, month_index, month_start, ratio, year_month,
 )
 from tillwise.operators.star import (
     Star, costed_lines, costed_order_totals, order_revenue, order_totals, revenue_lines,
@@ -33,11 +33,15 @@ def full_name(first: str = "first_name", last: str = "last_name") -> Column:
 
 
 def monthly_revenue(star: Star) -> DataFrame:
-    """(month 'yyyy-MM', revenue) of revenue orders that have a date."""
+    """(month 'yyyy-MM', revenue) of revenue orders that have a date.
+
+    Grouped by the date of the month's first day; text is made of the few groups only.
+    """
     return (
         order_revenue(star, "order_date").where("order_date IS NOT NULL")
-        .groupBy(year_month("order_date").alias("month"))
+        .groupBy(month_start("order_date").alias("m"))
         .agg(F.sum("revenue").alias("revenue"))
+        .select(year_month("m").alias("month"), "revenue")
     )
 
 
@@ -51,12 +55,10 @@ def daily_revenue(star: Star) -> DataFrame:
 def category_orders(star: Star, *sums: Column) -> DataFrame:
     """Per category: total_orders and the given sums over revenue lines.
 
-    Lines meet their order first; the step per (order, category) reuses that partitioning and
+    The step per (order, category) keeps the partitioning by order that the join left, and
     turns the distinct count into a count.
     """
-    lines = revenue_lines(star).join(
-        star.costs.select("product_id", "category", "cost"), "product_id"
-    )
+    lines = revenue_lines(star, products=star.costs.select("product_id", "category", "cost"))
     return (
         with_profit(lines).groupBy("order_id", "category")
         .agg(F.sum("amount").alias("revenue"), F.sum("line_profit").alias("profit"))
@@ -68,7 +70,7 @@ def category_orders(star: Star, *sums: Column) -> DataFrame:
 def q01(star: Star) -> DataFrame:
     """Revenue by year and order status (every status)."""
     orders = star.orders.where("order_date IS NOT NULL").select(
-        "order_id", "status", year_text("order_date").alias("year")
+        "order_id", "status", F.year("order_date").alias("year")
     )
     return (
         orders.join(costed_order_totals(star), "order_id")
@@ -78,7 +80,7 @@ def q01(star: Star) -> DataFrame:
             F.sum("profit").alias("p"), F.sum("lines").alias("n"),
         )
         .select(
-            "year", "status", "total_orders",
+            F.col("year").cast("string").alias("year"), "status", "total_orders",
             dollars("r").alias("gross_revenue"),
             dollars("p").alias("gross_profit"),
             ratio(dollars("r"), "n", places=2).alias("avg_line_value"),
@@ -100,12 +102,13 @@ def category_year_revenue(star: Star) -> DataFrame:
     """(category, year, revenue): added up per product before the category is looked up."""
     per_product = (
         revenue_lines(star, "order_date").where("order_date IS NOT NULL")
-        .groupBy("product_id", year_text("order_date").alias("year"))
+        .groupBy("product_id", F.year("order_date").alias("year"))
         .agg(F.sum("amount").alias("revenue"))
     )
     return (
         per_product.join(star.products.select("product_id", "category"), "product_id")
         .groupBy("category", "year").agg(dollars(F.sum("revenue")).alias("revenue"))
+        .withColumn("year", F.col("year").cast("string"))
     )
 
 
@@ -172,7 +175,7 @@ def q08(star: Star, n: int = 5) -> DataFrame:
     named = ["category", "product_name", "brand"]
     products = star.products.select("product_id", *named)
     return (
-        revenue_lines(star).join(products, "product_id")
+        revenue_lines(star, products=products)
         .groupBy("order_id", *named)
         .agg(F.sum("amount").alias("revenue"), F.sum("quantity").alias("units"))
         .groupBy(*named)
@@ -284,13 +287,14 @@ def q11(star: Star) -> DataFrame:
     kind = F.when(F.col("period") == F.col("first_period"), "New").otherwise("Returning")
     return (
         customer_periods(star, F.col("order_date"))
-        .groupBy("customer_id", year_month("period").alias("month"), kind.alias("customer_type"))
+        .groupBy("customer_id", month_start("period").alias("m"), kind.alias("customer_type"))
         .agg(F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue"))
-        .groupBy("month", "customer_type")
+        .groupBy("m", "customer_type")
         .agg(
             F.sum("orders").alias("orders"), F.count("*").alias("customers"),
             dollars(F.sum("revenue")).alias("revenue"),
         )
+        .select(year_month("m").alias("month"), "customer_type", "orders", "customers", "revenue")
         .orderBy("month", "customer_type")
     )
 
@@ -327,9 +331,9 @@ def q12(star: Star) -> DataFrame:
 def channel_year_aov(star: Star) -> DataFrame:
     return (
         order_revenue(star, "channel", "order_date").where("order_date IS NOT NULL")
-        .groupBy("channel", year_text("order_date").alias("year"))
+        .groupBy("channel", F.year("order_date").alias("year"))
         .agg(F.sum("revenue").alias("r"), F.count("*").alias("n"))
-        .select("channel", "year", ratio(dollars("r"), "n", places=2).alias("aov"))
+        .select("channel", F.col("year").cast("string").alias("year"), ratio(dollars("r"), "n", places=2).alias("aov"))
     )
 
 
@@ -433,13 +437,12 @@ def q18(star: Star) -> DataFrame:
     return (
         months.withColumn("month_index", month_index("period", "first_period"))
         .where(F.col("month_index").between(0, star.params.cohort_months))
-        .groupBy(
+        .groupBy("first_period", "period", "month_index")
+        .agg(F.sum("revenue").alias("r"), F.count("*").alias("active_customers"))
+        .select(
             year_month("first_period").alias("cohort_month"),
             year_month("period").alias("order_month"), "month_index",
-        )
-        .agg(
-            dollars(F.sum("revenue")).alias("cohort_revenue"),
-            F.count("*").alias("active_customers"),
+            dollars("r").alias("cohort_revenue"), "active_customers",
         )
         .orderBy("cohort_month", "month_index")
     )
@@ -449,10 +452,10 @@ def q19(star: Star) -> DataFrame:
     """Revenue by weekday, Monday first."""
     return (
         order_revenue(star, "order_date").where("order_date IS NOT NULL")
-        .groupBy(weekday_label("order_date", WEEKDAY_LABELS).alias("day_of_week"))
+        .groupBy(F.weekday("order_date").alias("day"))
         .agg(F.count("*").alias("total_orders"), F.sum("revenue").alias("r"))
         .select(
-            "day_of_week", "total_orders", dollars("r").alias("total_revenue"),
+            label_at("day", WEEKDAY_LABELS).alias("day_of_week"), "total_orders", dollars("r").alias("total_revenue"),
             ratio(dollars("r"), "total_orders", places=2).alias("avg_order_value"),
         )
         .orderBy("day_of_week")
