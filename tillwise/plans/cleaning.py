@@ -22,7 +22,7 @@ from tillwise.operators.quality import (
     without_marks,
 )
 from tillwise.schema import (
-    CUSTOMER_COUNTRIES, ISO_DATE, LOYALTY_TIERS, MONEY, ORDER_COUNTRIES, SHARE, TIER_SPELLINGS,
+    CLEAN_COLUMNS, CUSTOMER_COUNTRIES, ISO_DATE, LOYALTY_TIERS, MONEY, ORDER_COUNTRIES, SHARE, TIER_SPELLINGS,
 )
 
 DUPLICATES = MARK + "exact_duplicates"
@@ -190,35 +190,42 @@ def stage_returns(
     return _mark_orphans(df, products, orders)
 
 
+def _finish(df: DataFrame, table: str) -> DataFrame:
+    """The declared columns in their declared order."""
+    return without_marks(df).select(*CLEAN_COLUMNS[table])
+
+
 def _without_orphans(df: DataFrame) -> DataFrame:
     kept = (F.col(MARK + "product_orphans") == 0) & (F.col(MARK + "order_orphans") == 0)
     return df.where(kept)
 
 
 def clean_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    return without_marks(stage_customers(raw, rules))
+    return _finish(stage_customers(raw, rules), "customers")
 
 
 def clean_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    return without_marks(stage_products(raw, rules))
+    return _finish(stage_products(raw, rules), "products")
 
 
 def clean_orders(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    return without_marks(stage_orders(raw, rules))
+    return _finish(stage_orders(raw, rules), "orders")
 
 
 def clean_order_items(
     raw: DataFrame, products: DataFrame, orders: DataFrame,
     rules: CleaningRules = CleaningRules(),
 ) -> DataFrame:
-    return without_marks(_without_orphans(stage_order_items(raw, products, orders, rules)))
+    staged = stage_order_items(raw, products, orders, rules)
+    return _finish(_without_orphans(staged), "order_items")
 
 
 def clean_returns(
     raw: DataFrame, products: DataFrame, orders: DataFrame,
     rules: CleaningRules = CleaningRules(),
 ) -> DataFrame:
-    return without_marks(_without_orphans(stage_returns(raw, products, orders, rules)))
+    staged = stage_returns(raw, products, orders, rules)
+    return _finish(_without_orphans(staged), "returns")
 
 
 def clean_all(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from dataclasses import dataclass, field
 
 MONEY = "decimal(18,2)"
@@ -28,6 +29,11 @@ CLEAN_SCHEMAS = {
         reason STRING, refund_amount {MONEY}, status STRING""",
 }
 
+CLEAN_COLUMNS = {
+    table: [column.split()[0] for column in re.split(r",\s+", ddl)]
+    for table, ddl in CLEAN_SCHEMAS.items()
+}
+
 # Raw files are read as text; the cleaning rules give every column its type.
 RAW_COLUMNS = {
     "customers": [
