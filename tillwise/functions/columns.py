@@ -69,8 +69,9 @@ def clip_fill(c: Column | str, lo: float, hi: float, fill: float) -> Column:
 
 
 def try_int(c: Column | str, kind: str = "bigint") -> Column:
-    """Integer from text, NULL where it is none; ``12.0`` counts as 12."""
-    return _col(c).try_cast("decimal(38,6)").try_cast(kind)
+    """Integer from text, NULL where it is none; ``12.0`` counts as 12, on a slower path."""
+    c = _col(c)
+    return F.coalesce(c.try_cast(kind), c.try_cast("decimal(38,6)").try_cast(kind))
 
 
 def parse_money(c: Column | str) -> Column:

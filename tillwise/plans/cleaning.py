@@ -128,15 +128,15 @@ def _mark_orphans(
 ) -> DataFrame:
     """Count lines without a product, and of the others those without an order.
 
-    Both parents are unique on their key, so the left joins keep every row once. The wanted
-    product columns come along under ``_product_<name>``.
+    Products are unique on their key and order keys are made so, hence the left joins keep
+    every row once. The wanted product columns come along under ``_product_<name>``.
     """
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
     known_products = products.select(
         "product_id", zero.alias("_no_product"),
         *[F.col(c).alias(f"_product_{c}") for c in product_cols],
     )
-    known_orders = orders.select("order_id", zero.alias("_no_order"))
+    known_orders = orders.select("order_id").distinct().withColumn("_no_order", zero)
     marked = df.join(known_products, "product_id", "left").join(known_orders, "order_id", "left")
     no_product = F.coalesce("_no_product", one)
     return marked.withColumns({
@@ -228,19 +228,24 @@ def clean_returns(
     return _finish(_without_orphans(staged), "returns")
 
 
+def order_keys(raw: DataFrame) -> DataFrame:
+    """Keys of the clean orders. Cleaning drops no order, so the raw keys do."""
+    return raw.select(try_int("order_id").alias("order_id")).distinct()
+
+
 def clean_all(
     raw: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules()
 ) -> dict[str, DataFrame]:
-    """The five clean tables. Write products and orders out and read them back before a large
-    run, so that items and returns do not clean them a second time."""
+    """The five clean tables, lazily. Items and returns need clean products, a dimension, and
+    no more of the orders than their keys."""
     products = clean_products(raw["products"], rules)
-    orders = clean_orders(raw["orders"], rules)
+    keys = order_keys(raw["orders"])
     return {
         "customers": clean_customers(raw["customers"], rules),
         "products": products,
-        "orders": orders,
-        "order_items": clean_order_items(raw["order_items"], products, orders, rules),
-        "returns": clean_returns(raw["returns"], products, orders, rules),
+        "orders": clean_orders(raw["orders"], rules),
+        "order_items": clean_order_items(raw["order_items"], products, keys, rules),
+        "returns": clean_returns(raw["returns"], products, keys, rules),
     }
 
 
@@ -249,13 +254,13 @@ def quality_log(
 ) -> DataFrame:
     """(table_name, rule, affected): one aggregation per staged table."""
     products = clean_products(raw["products"], rules)
-    orders = clean_orders(raw["orders"], rules)
+    keys = order_keys(raw["orders"])
     return quality_report({
         "customers": stage_customers(raw["customers"], rules),
         "products": stage_products(raw["products"], rules),
         "orders": stage_orders(raw["orders"], rules),
-        "order_items": stage_order_items(raw["order_items"], products, orders, rules),
-        "returns": stage_returns(raw["returns"], products, orders, rules),
+        "order_items": stage_order_items(raw["order_items"], products, keys, rules),
+        "returns": stage_returns(raw["returns"], products, keys, rules),
     })
 
 
