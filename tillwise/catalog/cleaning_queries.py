@@ -17,6 +17,7 @@ from tillwise.plans import cleaning
 from tillwise.schema import (
     CUSTOMER_COUNTRIES, KNOWN_DATES, LOYALTY_TIERS, MONEY, ISO_DATE, SHARE, TIER_SPELLINGS,
 )
+from tillwise.session import cut_lineage
 from tillwise.sources.files import row_counts
 
 
@@ -300,10 +301,29 @@ def d29(star: DriverStar) -> DataFrame:
     return cleaning.quality_log(_raw(star))
 
 
-def d30(table: str):
-    def build(star: DriverStar) -> DataFrame:
-        return doubles(cleaning.clean_all(_raw(star))[table])
-    return build
+def d30_customers(star: DriverStar) -> DataFrame:
+    return cleaning.clean_customers(raw_frame(star, "customers"))
+
+
+def d30_products(star: DriverStar) -> DataFrame:
+    return doubles(cleaning.clean_products(raw_frame(star, "products")))
+
+
+def d30_orders(star: DriverStar) -> DataFrame:
+    return doubles(cleaning.clean_orders(raw_frame(star, "orders")))
+
+
+def _parents(star: DriverStar) -> tuple[DataFrame, DataFrame]:
+    products = cut_lineage(cleaning.clean_products(raw_frame(star, "products")))
+    return products, cleaning.order_keys(raw_frame(star, "orders"))
+
+
+def d30_order_items(star: DriverStar) -> DataFrame:
+    return doubles(cleaning.clean_order_items(raw_frame(star, "order_items"), *_parents(star)))
+
+
+def d30_returns(star: DriverStar) -> DataFrame:
+    return doubles(cleaning.clean_returns(raw_frame(star, "returns"), *_parents(star)))
 
 
 def d30_integrity(star: DriverStar) -> DataFrame:
@@ -354,10 +374,10 @@ CLEANING = {
     "d27_line_total": d27,
     "d28_dense_id": d28,
     "d29_quality_report": d29,
-    "d30_clean_customers": d30("customers"),
-    "d30_clean_products": d30("products"),
-    "d30_clean_orders": d30("orders"),
-    "d30_clean_order_items": d30("order_items"),
-    "d30_clean_returns": d30("returns"),
+    "d30_clean_customers": d30_customers,
+    "d30_clean_products": d30_products,
+    "d30_clean_orders": d30_orders,
+    "d30_clean_order_items": d30_order_items,
+    "d30_clean_returns": d30_returns,
     "d30_integrity": d30_integrity,
 }

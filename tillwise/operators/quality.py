@@ -9,10 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import money
 from tillwise.operators.quantiles import exact_quantiles
+from tillwise.session import cut_lineage
 
 MARK = "_dq_"
 
@@ -219,19 +220,18 @@ def dense_id(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
 
     Range partitions are numbered inside themselves and shifted by the size of the partitions
     before them. The partition number is written out first, so both uses see the same one.
+    Rows that tie in ``order_by`` go by a hash of the whole row, so a heavy tie is spread, too.
     """
-    from pyspark.sql import Window
-
-    from tillwise.session import cut_lineage
-
+    tie = F.xxhash64(*df.columns).alias("_tie")
     parts = cut_lineage(
-        df.repartitionByRange(*order_by).withColumn("_part", F.spark_partition_id())
+        df.select("*", tie).repartitionByRange(*order_by, "_tie")
+        .withColumn("_part", F.spark_partition_id())
     )
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.groupBy("_part").agg(F.count("*").alias("_size")).select(
         "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("_part").orderBy(*order_by)
+    inside = Window.partitionBy("_part").orderBy(*order_by, "_tie")
     return (
         parts.withColumn("_row", F.row_number().over(inside))
         .join(offsets, "_part")

@@ -24,6 +24,7 @@ from tillwise.operators.quality import (
 from tillwise.schema import (
     CLEAN_COLUMNS, CUSTOMER_COUNTRIES, ISO_DATE, LOYALTY_TIERS, MONEY, ORDER_COUNTRIES, SHARE, TIER_SPELLINGS,
 )
+from tillwise.session import cut_lineage
 
 DUPLICATES = MARK + "exact_duplicates"
 
@@ -236,9 +237,12 @@ def order_keys(raw: DataFrame) -> DataFrame:
 def clean_all(
     raw: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules()
 ) -> dict[str, DataFrame]:
-    """The five clean tables, lazily. Items and returns need clean products, a dimension, and
-    no more of the orders than their keys."""
-    products = clean_products(raw["products"], rules)
+    """The five clean tables.
+
+    Items and returns need the clean products, a dimension that is cleaned once and kept in
+    the checkpoint folder, and no more of the orders than their keys. All else stays lazy.
+    """
+    products = cut_lineage(clean_products(raw["products"], rules))
     keys = order_keys(raw["orders"])
     return {
         "customers": clean_customers(raw["customers"], rules),
@@ -253,11 +257,12 @@ def quality_log(
     raw: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules()
 ) -> DataFrame:
     """(table_name, rule, affected): one aggregation per staged table."""
-    products = clean_products(raw["products"], rules)
+    staged_products = cut_lineage(stage_products(raw["products"], rules))
+    products = _finish(staged_products, "products")
     keys = order_keys(raw["orders"])
     return quality_report({
         "customers": stage_customers(raw["customers"], rules),
-        "products": stage_products(raw["products"], rules),
+        "products": staged_products,
         "orders": stage_orders(raw["orders"], rules),
         "order_items": stage_order_items(raw["order_items"], products, keys, rules),
         "returns": stage_returns(raw["returns"], products, keys, rules),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions import dollars, month_start, ratio, round_half, year_month
 from tillwise.operators.shaping import pivot_values
 from tillwise.operators.star import Star, order_revenue, revenue_fact, revenue_orders
-from tillwise.operators.windows import rolling_rows, top_n
+from tillwise.operators.windows import rank_by, rolling_rows, top_n
 from tillwise.plans.eda import _per_category, _per_product, monthly_orders, return_rate_by_category
 from tillwise.plans.queries import category_metrics, daily_revenue, q11
 from tillwise.plans.segments import rfm_base, rfm_distributions, segment_summary
@@ -173,8 +173,6 @@ def top_products_by_id(star: Star, n: int = 15) -> DataFrame:
 
 def margin_against_average(star: Star) -> DataFrame:
     """Category margin with its rank, and whether it reaches the mean of the margins."""
-    from tillwise.operators.windows import rank_by
-
     mean = F.avg("margin_pct").over(Window.partitionBy())
     return category_metrics(star).select(
         "category", "margin_pct", rank_by("margin_pct").alias("margin_rank"),

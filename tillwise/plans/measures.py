@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tillwise.functions import (
     day_name, dollars, month_start, ratio, round_half, week_number, year_month,
 )
-from tillwise.operators.star import SliceSpec, Star, apply_slice, with_profit
+from tillwise.operators.star import (
+    SLICER_COLUMNS, SliceSpec, Star, apply_slice, with_profit,
+)
 from tillwise.operators.windows import share_of_total, top_n
 from tillwise.plans.eda import return_rate_by_category
 from tillwise.plans.queries import churn, state_revenue
@@ -25,8 +27,6 @@ CUSTOMER_ATTRIBUTES = ("loyalty_tier", "segment")
 
 
 def _sliced_columns(spec: SliceSpec | None) -> set[str]:
-    from tillwise.operators.star import SLICER_COLUMNS
-
     if spec is None:
         return set()
     return {col for slicer, col in SLICER_COLUMNS.items() if getattr(spec, slicer) is not None}

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` once in the shared folder; survives the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` once to the shared folder and go on from there.
+
+    A parquet table, so that it survives the loss of executors and later steps read only the
+    columns that they need. (``checkpoint`` would run the plan a second time.)
+    """
+    folder = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
