@@ -50,10 +50,14 @@ def audit(df: DataFrame, table: str) -> DataFrame:
 
 
 def drop_exact_duplicates(df: DataFrame, mark: str | None = None) -> DataFrame:
-    """Keep one of every set of equal rows; ``mark`` keeps the number of dropped copies."""
+    """Keep one of every set of equal rows; ``mark`` keeps the number of dropped copies.
+
+    The condition on ``mark`` always holds. It keeps the count in every branch of a plan, so
+    that branches which do not show it still share one shuffle of the rows with those that do.
+    """
     if mark is None:
         return df.dropDuplicates()
-    return df.groupBy(*df.columns).agg((F.count("*") - 1).alias(mark))
+    return df.groupBy(*df.columns).agg((F.count("*") - 1).alias(mark)).where(F.col(mark) >= 0)
 
 
 def dedup_by_key(
@@ -155,10 +159,8 @@ def zscore_flag(
     ).scalar()
     mu, sigma = F.col("_z.mu"), F.col("_z.sigma")
     score = F.abs(value - mu) / F.nullif(sigma, F.lit(0.0))
-    return (
-        df.withColumn("_z", stats)
-        .withColumn(name, F.coalesce(score > threshold, F.lit(False)))
-        .drop("_z")
+    return df.withColumn("_z", stats).select(
+        *df.columns, F.coalesce(score > threshold, F.lit(False)).alias(name)
     )
 
 
@@ -178,12 +180,9 @@ def cap_outliers(
     )
     out = out.withColumn("_upper", upper)
     over = F.coalesce(F.col(col).cast("double") > F.col("_upper"), F.lit(False)) | F.col("_far")
-    out = out.withColumn("_over", over).withColumn(
-        col, F.when(F.col("_over"), money(F.col("_upper"))).otherwise(F.col(col))
-    )
-    if mark:
-        out = out.withColumn(mark, F.col("_over").cast("bigint"))
-    return out.drop("_far", "_upper", "_over")
+    capped = F.when(over, money(F.col("_upper"))).otherwise(F.col(col))
+    marks = [over.cast("bigint").alias(mark)] if mark else []
+    return out.select(*[capped.alias(c) if c == col else c for c in df.columns], *marks)
 
 
 def impute_group_median(df: DataFrame, col: str, by: str) -> DataFrame:
