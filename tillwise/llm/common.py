@@ -1,4 +1,4 @@
-"""Shared by the operators: tables in the shared folder, and sums over rows in a global order."""
+"""Shared by the operators: tables in the shared folder, ids in Python workers, hashes."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import uuid
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Words are runs of characters other than these six.
@@ -37,30 +37,22 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def running_sum(df: DataFrame, order: str, value: Column, name: str) -> DataFrame:
-    """Adds the sum of ``value`` over all rows that come before in the order of ``order``.
+def rows_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id is in ``ids`` (one column), and all rows without a doc_id, which can't be told apart."""
+    kept = ids.toDF("_kept_id").unionByName(docs.sparkSession.sql("SELECT CAST(NULL AS BIGINT) AS _kept_id")).distinct()
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
 
-    The rows are dealt into ranges of ``order`` and written with the number of their range; the sums
-    of the ranges (one row for each) give each range its offset, and a window adds up inside it. No
-    task sees more than one range. Rows with equal ``order`` stay together, in any order.
-    """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = written(
-        df.repartitionByRange(parts, order)
-        .withColumn("_range", F.spark_partition_id()).withColumn("_value", value)
-    )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = (
-        dealt.groupBy("_range").agg(F.sum("_value").alias("_sum"))
-        .withColumn("_offset", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
-        .select("_range", "_offset")
-    )
-    inside = Window.partitionBy("_range").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        dealt.join(F.broadcast(ranges), "_range")  # one row for each shuffle partition
-        .withColumn(name, F.col("_offset") + F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .drop("_range", "_value", "_offset")
-    )
+
+# pandas has no null in integer columns, so Python workers see this number instead of a null id.
+NO_ID = -(1 << 63)
+
+
+def hide_null(name: str = "doc_id") -> Column:
+    return F.coalesce(F.col(name).cast("long"), F.lit(NO_ID)).alias(name)
+
+
+def show_null(name: str = "doc_id") -> Column:
+    return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

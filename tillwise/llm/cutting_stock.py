@@ -32,7 +32,7 @@ def _dearest(prices: np.ndarray, weights: np.ndarray, capacity: int) -> tuple[fl
     return float(value[capacity]), pattern
 
 
-def solve(weights: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 1e-3,
+def solve(weights: np.ndarray, demand: np.ndarray, capacity: int, gap: float = 2e-3,
           rounds: int = 5_000) -> tuple[np.ndarray, np.ndarray]:
     """Patterns (one a row) and how often the linear program uses each.
 

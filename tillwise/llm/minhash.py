@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import fold_ascii, mix64, written
+from tillwise.llm.common import fold_ascii, hide_null, mix64, rows_of, show_null, written
 
 WORDS = 5
 LEAST, OF = 75, 100  # similarity in hundredths
@@ -120,9 +120,8 @@ def _sketches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 digest = np.frombuffer(hashlib.blake2b(items.tobytes(), digest_size=16).digest(), dtype="<i8")
                 rows.append((doc_id, len(items), digest[0], digest[1], band_keys(sketch(items)).view(np.int64)))
             else:
-                rows.append((doc_id, 0, None, None, None))
-        frame = pd.DataFrame(rows, columns=["doc_id", "n", "d1", "d2", "bands"])
-        yield frame.astype({"doc_id": "Int64", "d1": "Int64", "d2": "Int64"})
+                rows.append((doc_id, 0, 0, 0, None))
+        yield pd.DataFrame(rows, columns=["doc_id", "n", "d1", "d2", "bands"])
 
 
 def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,9 +188,9 @@ def near_groups(docs: DataFrame) -> DataFrame:
     shingles and are linked with nothing. Rows with a null doc_id take no part: component_id is null and kept is true.
     Rows that repeat a doc_id count as documents with that id. An empty table gives an empty result.
     """
-    rows = written(docs.select("doc_id", "text").mapInPandas(
+    rows = written(docs.select(hide_null(), "text").mapInPandas(
         _sketches, "doc_id long, n long, d1 long, d2 long, bands array<long>"
-    ))
+    ).withColumn("doc_id", show_null()))
     whole = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = whole.groupBy("d1", "d2").agg(F.min("doc_id").alias("node"))
     nodes = (
@@ -272,6 +271,5 @@ def near_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each component; all columns as they were."""
-    kept = near_groups(docs.select("doc_id", "text")).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """``docs`` with one document of each component; all columns as they were. Rows without an id stay."""
+    return rows_of(docs, near_groups(docs.select("doc_id", "text")).where("kept").select("doc_id"))

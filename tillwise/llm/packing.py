@@ -10,12 +10,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import written
+from tillwise.llm.common import hide_null, show_null, written
 from tillwise.llm.cutting_stock import plan
 from tillwise.llm.tokens import END_ID, tokens_of, vocabulary_path
 
 CAPACITY = 4096
-UNIT = 8  # lengths are rounded up to this for the patterns, so that there are 512 classes at most
+UNIT = 16  # lengths are rounded up to this for the patterns, so that there are 256 classes at most
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -30,8 +30,7 @@ def _cutter(path: str, end_id: int, capacity: int):
                 for start in range(0, len(ids), capacity):
                     piece = ids[start:start + capacity]
                     out.append((doc_id, start, len(piece), zlib.crc32(piece), len(ids)))
-            frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
-            yield frame.astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return run
 
@@ -93,7 +92,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, uni
     sequence_id is unique, not gapless: full pieces come after the patterns' sequences with gaps.
     """
     pieces = written(
-        docs.select("doc_id", "text").mapInPandas(_cutter(path or vocabulary_path(), end_id, capacity), PIECE)
+        docs.select(hide_null(), "text").mapInPandas(_cutter(path or vocabulary_path(), end_id, capacity), PIECE)
         .withColumn("_row", F.monotonically_increasing_id())
         .withColumn("_class", F.when(F.col("length") < capacity, F.ceil(F.col("length") / unit).cast("int")))
     )
@@ -103,8 +102,10 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, uni
     demand = np.array([counts[int(c)] for c in classes], dtype=np.int64)
     places = _Places(classes, plan(classes, demand, capacity // unit))
 
+    columns = [c.split()[0] for c in PIECE.split(", ")]
+    shown = [show_null(), *columns[1:]]
     full = pieces.where("_class IS NULL").select(
-        *[c.split()[0] for c in PIECE.split(", ")],
+        *shown,
         (F.col("_row") + places.sequences).alias("sequence_id"), F.lit(0).cast("long").alias("offset"),
     )
     if not counts:
@@ -117,7 +118,6 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, uni
         .select("_class", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
     inside = Window.partitionBy("_class", "_bucket").orderBy("_row")
-    columns = [c.split()[0] for c in PIECE.split(", ")]
     ranked = (
         dealt.withColumn("_at", F.row_number().over(inside) - 1).join(offsets, ["_class", "_bucket"])
         .select(*columns, "_class", (F.col("_before") + F.col("_at")).alias("_rank"))
@@ -125,5 +125,5 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, uni
     placed = ranked.mapInPandas(_placer(places, columns), f"{PIECE}, sequence_id long, _slot long")
     earlier = Window.partitionBy("sequence_id").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select(
-        *columns, "sequence_id", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset")
+        *shown, "sequence_id", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset")
     ).unionByName(full)

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm import exact_dedup, minhash, mixing, packing, token_counts, token_files
+from tillwise.llm import (
+    exact_dedup,
+    langid,
+    minhash,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    token_counts,
+    token_files,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +57,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents"))
 
 
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, folder, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -55,12 +70,24 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_files(table(spark, folder, "documents"))
 
 
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken", "copies"
     )
 
 
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return langid.identify(table(spark, folder, "documents"))
+
+
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.neighbours(table(spark, folder, "embeddings"))
+
+
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
@@ -68,9 +95,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1,
     "op2_minhash": op2,
+    "op3_quality": op3,
     "op4_token_counts": op4,
     "op5_token_files": op5,
+    "op6_toxicity": op6,
     "op7_mixing": op7,
+    "op8_language": op8,
+    "op9_neighbours": op9,
     "op10_packing": op10,
 }
 

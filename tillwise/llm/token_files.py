@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm import rans
-from tillwise.llm.common import shared_folder
+from tillwise.llm.common import hide_null, shared_folder, show_null
 from tillwise.llm.tokens import END_ID, tokens_of, vocabulary_path
 
 # A segment is closed at the end of the document that reaches this number of ids.
@@ -34,10 +34,9 @@ def _writer(path: str, end_id: int):
         ids, lengths, doc_ids, held, number = [], [], [], 0, 0
 
         def segment() -> pd.DataFrame:
-            known = pd.array(doc_ids, dtype="Int64")
-            index = known.to_numpy(dtype="<i8", na_value=0).tobytes() + np.asarray(known.isna()).tobytes()
             row = rans.encode(np.concatenate(ids)) | {
-                "part": part, "segment": number, "doc_ids": zlib.compress(index, 1),
+                "part": part, "segment": number,
+                "doc_ids": zlib.compress(np.array(doc_ids, dtype="<i8").tobytes(), 1),
                 "lengths": zlib.compress(np.array(lengths, dtype="<i8").tobytes(), 1),
             }
             return pd.DataFrame([row])[[c.split()[0] for c in SEGMENT.split(", ")]]
@@ -68,7 +67,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str | None = None, end_id:
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        docs.select("doc_id", "text").repartitionByRange(parts, "doc_id")
+        docs.select(hide_null(), "text").repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id", "text")
         .mapInPandas(_writer(path or vocabulary_path(), end_id), SEGMENT)
         .write.option("compression", "none").parquet(folder)  # the words are coded already
@@ -80,12 +79,10 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in batch.itertuples(index=False):
             ids = rans.decode(row.n_blocks, row.steps, row.table, row.directory, row.words)
             lengths = np.frombuffer(zlib.decompress(row.lengths), dtype="<i8")
-            index, n = zlib.decompress(row.doc_ids), len(lengths)
             edges = np.concatenate([[0], np.cumsum(lengths)])
             yield pd.DataFrame({
                 "part": row.part, "segment": row.segment,
-                "doc_id": pd.Series(pd.array(np.frombuffer(index[:8 * n], "<i8"), dtype="Int64"))
-                .mask(np.frombuffer(index[8 * n:], dtype=bool)),
+                "doc_id": np.frombuffer(zlib.decompress(row.doc_ids), dtype="<i8"),
                 "inside": edges[:-1], "n_tokens": lengths,
                 "ids_crc32": [zlib.crc32(ids[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)],
             })
@@ -106,7 +103,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("_part_start") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("_start"),
     )
     return files.mapInPandas(_read, DOCUMENT).join(starts, ["part", "segment"]).select(
-        "doc_id", (F.col("_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
+        show_null(), (F.col("_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"
     )
 
 
