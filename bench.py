@@ -1,7 +1,7 @@
 """Times the headline queries; prints one JSON line.
 
 Each query runs once unmeasured (plan and JIT warm-up), then is measured over BENCH_RUNS
-runs (default 1), of which the best counts. The whole result goes to the no-op sink, so
+runs (default 3), of which the best counts. The whole result goes to the no-op sink, so
 nothing is pruned away.
 """
 
@@ -30,13 +30,15 @@ HEADLINE = [
     "e10_rfm_segments", "e11_cohort_retention", "e15_return_rate_by_category",
     "d01_audit", "d29_quality_report", "d30_clean_order_items",
     "m24_active_customers", "m31_abc_class", "m21_rolling_3m_margin",
+    "d30_integrity", "e14_rfm_distributions", "e20_headline", "e21_summary_report",
+    "f09_sliced_by_products", "m37_product_detail",
 ]
 
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "1"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("tillwise-bench")
         .config("spark.ui.enabled", "false")

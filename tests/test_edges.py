@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tillwise.operators.affinity import top_pairs
 from tillwise.operators.star import SliceSpec, Star
 from tillwise.plans import cohort, eda, measures, queries as Q, segments
+from tillwise.plans.dashboards import aov_by_channel
 from tillwise.schema import CLEAN_SCHEMAS, Params
 
 D = dt.date
@@ -262,13 +263,30 @@ def brute_pairs(s, n):
     return list(zip(top.product_name_x, top.product_name_y, top.t))
 
 
-@pytest.mark.parametrize("large", [1000, 20, 4])
-def test_pairs_of_a_heavy_order_equal_brute_force(spark, large):
+@pytest.mark.parametrize("chunk", [1000, 20, 4])
+def test_pairs_of_a_heavy_order_equal_brute_force(spark, chunk):
     s = heavy(spark)
-    got = [(r[0], r[1], r[4]) for r in rows(top_pairs(s, 12, large_order=large))]
+    got = [(r[0], r[1], r[4]) for r in rows(top_pairs(s, 12, chunk=chunk))]
     assert got == brute_pairs(s, 12)
 
 
+def test_pairs_of_an_order_with_3000_products(spark):
+    items = [line(1, p, 10, item=p) for p in range(3000)] + [line(2, p, 10, item=p) for p in (7, 9, 11)]
+    s = star(spark, customers=[(1, "A", "B", "Gold", "CA")], products=[product(p, f"n{p}", "c") for p in range(3000)],
+             orders=[order(1, 1, D(2024, 1, 1)), order(2, 1, D(2024, 1, 2))], order_items=items)
+    got = [(r[0], r[1], r[4]) for r in rows(top_pairs(s, 5))]
+    assert got == [("n7", "n9", 2), ("n7", "n11", 2), ("n9", "n11", 2), ("n0", "n1", 1), ("n0", "n2", 1)]
+
+
+def test_order_value_holds_every_year(spark):
+    items = [line(k, 1, 10, item=k) for k in (1, 2, 3)]
+    days = [D(1987, 5, 1), D(2024, 1, 1), D(2031, 1, 1)]
+    orders = [order(k + 1, 1, day) for k, day in enumerate(days)]
+    s = star(spark, customers=[(1, "A", "B", "Gold", "CA")], products=[product(1, "n", "c")], orders=orders, order_items=items)
+    found = aov_by_channel(s).collect()
+    assert [r["year"] for r in found] == [1987, 2024, 2031] and all(r["aov"] > 0 for r in found)
+
+
 def test_heavy_keys_keep_results_whole(spark):
     s = heavy(spark)
     items, orders = s.order_items.toPandas(), s.orders.toPandas()

@@ -4,7 +4,9 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from tillwise.operators.quantiles import exact_quantiles, quantile_scores, running_share_by_value
+from tillwise.operators.quantiles import (
+    exact_quantiles, quantile_scores, range_buckets, running_share_by_value,
+)
 from tillwise.operators.shaping import box_stats, histogram
 
 PROBS = [0.0, 0.2, 0.25, 0.5, 0.75, 0.8, 1.0]
@@ -25,10 +27,12 @@ def test_quantiles_equal_pandas(spark, n):
     assert np.allclose(row["q"], pdf.x.quantile(PROBS))
 
 
-def test_quantiles_by_group_with_coarse_sketch(spark):
-    """A sketch far too coarse for the data still leads to exact values or an error."""
+@pytest.mark.parametrize(("parts", "rounds"), [(1, 0), (2, 1), (3, 3), (4096, 2)])
+def test_quantiles_by_group_with_any_parts(spark, parts, rounds):
+    """Parts far too coarse for the data still lead to exact values."""
     pdf = frame(3000)
-    got = exact_quantiles(spark.createDataFrame(pdf), "x", [0.25, 0.5], ["g"], accuracy=50)
+    pdf.loc[::500, "x"] *= 1e6
+    got = exact_quantiles(spark.createDataFrame(pdf), "x", [0.25, 0.5], ["g"], parts, rounds)
     for row in got.collect():
         assert np.allclose(row["q"], pdf[pdf.g == row["g"]].x.quantile([0.25, 0.5]))
 
@@ -83,3 +87,12 @@ def test_box_whiskers_stay_inside_fences(spark):
     assert (got["a"]["whisker_low"], got["a"]["whisker_high"], got["a"]["outliers"]) == (1, 5, 1)
     assert (got["b"]["whisker_low"], got["b"]["whisker_high"], got["b"]["outliers"]) == (2, 2, 0)
     assert got["a"]["median"] == 3.5
+
+
+def test_range_buckets_rise_with_the_value_and_are_even(spark):
+    pdf = frame(4000)
+    pdf.loc[0, "x"] = 1e9
+    got = range_buckets(spark.createDataFrame(pdf), "x", "b", 64).toPandas().sort_values("x")
+    assert got.b.is_monotonic_increasing
+    others = got[got.x != 7.5]
+    assert others.groupby("b").size().max() <= 4000 / 10

@@ -17,7 +17,6 @@ from tillwise.plans import cleaning
 from tillwise.schema import (
     CUSTOMER_COUNTRIES, KNOWN_DATES, LOYALTY_TIERS, MONEY, ISO_DATE, SHARE, TIER_SPELLINGS,
 )
-from tillwise.session import cut_lineage
 from tillwise.sources.files import row_counts
 
 
@@ -314,7 +313,7 @@ def d30_orders(star: DriverStar) -> DataFrame:
 
 
 def _parents(star: DriverStar) -> tuple[DataFrame, DataFrame]:
-    products = cut_lineage(cleaning.clean_products(raw_frame(star, "products")))
+    products = cleaning.clean_products(raw_frame(star, "products"))
     return products, cleaning.order_keys(raw_frame(star, "orders"))
 
 

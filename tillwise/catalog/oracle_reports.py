@@ -136,13 +136,12 @@ FROM ln LEFT JOIN od USING (order_id) LEFT JOIN cu USING (customer_id) LEFT JOIN
 PROFIT = dbl("line_total - quantity * unit_cost")
 
 
-def _pivot_years() -> str:
-    cols = ", ".join(
-        f'COALESCE(MAX(aov) FILTER (WHERE y = {y}), 0.0) AS "{y}"' for y in range(1995, 2002)
-    )
+def _channel_years() -> str:
     return over("f", body=f"""
-, a AS (SELECT channel, year(order_date) AS y, {r2(div(REV, N_ORDERS))} AS aov FROM f GROUP BY ALL)
-SELECT channel, {cols} FROM a GROUP BY channel""")
+, a AS (SELECT channel, CAST(year(order_date) AS INT) AS year, {r2(div(REV, N_ORDERS))} AS aov FROM f GROUP BY ALL)
+SELECT c.channel, y.year, COALESCE(a.aov, 0.0) AS aov
+FROM (SELECT DISTINCT channel FROM a) c CROSS JOIN (SELECT DISTINCT year FROM a) y
+LEFT JOIN a ON a.channel = c.channel AND a.year = y.year""")
 
 
 def eda_oracles() -> dict[str, str]:
@@ -257,7 +256,7 @@ SELECT {dbl('SUM(rev) FILTER (WHERE i > (SELECT MAX(i) - 3 FROM numbered))')} AS
 , n AS (SELECT *, ROW_NUMBER() OVER (ORDER BY order_date) AS i FROM daily)
 SELECT x.order_date, {dbl('x.rev')} AS revenue, {r2(div('SUM(y.rev)', 'COUNT(*)'))} AS rolling_mean
 FROM n x JOIN n y ON y.i BETWEEN x.i - 29 AND x.i GROUP BY x.order_date, x.rev""")
-    q["p06_aov_by_channel"] = _pivot_years()
+    q["p06_aov_by_channel"] = _channel_years()
     q["p07_customer_kpis"] = over("f", "cu", extra=RFM, body=f"""
 SELECT (SELECT COUNT(*) FROM cu) AS total_customers,
        (SELECT {N_CUSTOMERS} FROM f WHERE order_date >= DATE '2001-05-01') AS active_customers,

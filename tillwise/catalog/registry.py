@@ -12,6 +12,7 @@ from tillwise.catalog.oracle import named_queries
 from tillwise.catalog.oracle_cleaning import cleaning_oracles
 from tillwise.catalog.oracle_reports import report_oracles
 from tillwise.catalog.report_queries import REPORTS
+from tillwise.operators.star import Star
 from tillwise.plans import queries as Q
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,14 @@ NAMED = {
 }
 
 
+def run_query(star: Star, name: str) -> DataFrame:
+    """A named query over any star of clean tables; an unknown name or a failing plan raises."""
+    found = [build for key, build in NAMED.items() if name in (key, key.split("_")[0])]
+    if len(found) != 1:
+        raise KeyError(f"no query named {name!r}")
+    return found[0](star)
+
+
 def all_queries() -> dict[str, Query]:
     return {key: on_star(build) for key, build in (NAMED | REPORTS | CLEANING).items()}
 

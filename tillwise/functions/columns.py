@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
@@ -171,7 +170,3 @@ def week_number(c: Column | str) -> Column:
     c = _col(c)
     lead = F.dayofweek(F.trunc(c, "year")) - 1
     return (F.floor((F.dayofyear(c) - 1 + lead) / 7) + 1).cast("int")
-
-
-def any_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillwise.operators.star import Star
 from tillwise.operators.windows import top_n
 
-LARGE_ORDER = 1000  # distinct products; more are paired in chunks, and only where it matters
+CHUNK = 1000  # distinct products of one order that one task pairs with all of the order's
 
 
 def _folded_lines(star: Star) -> tuple[DataFrame, DataFrame]:
@@ -45,58 +45,23 @@ def _count_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     )
 
 
-def _large_order_pairs(
-    lines: DataFrame, large: DataFrame, small_pairs: DataFrame, n: int
-) -> DataFrame:
-    """Pairs from the large orders, for names that can still reach the n-th place.
-
-    The small orders alone give a bar for that place. With S(x) the sum over large orders of
-    the squared number of lines named x, those orders add at most sqrt(S(x) * S(y)) to a pair,
-    so a name whose best count so far plus that bound with the strongest partner stays under
-    the bar cannot show up in the result. What is left of an order is cut into chunks, each
-    meeting the whole order in a task of its own.
-    """
-    held = lines.join(large, "order_id")
-    strength = (
-        held.groupBy("order_id", "name_id").agg(F.sum("n").alias("w"))
-        .groupBy("name_id").agg(F.sum(F.col("w").cast("double") * F.col("w")).alias("s"))
-    )
-    nth = top_n(small_pairs, n, "times", ["a", "b"]).agg(
-        F.when(F.count("*") == n, F.min("times")).otherwise(F.lit(0)).cast("double")
-    ).scalar()
-    best = (
-        small_pairs.select(F.explode(F.array("a", "b")).alias("name_id"), "times")
-        .groupBy("name_id").agg(F.max("times").alias("best"))
-    )
-    strongest = strength.agg(F.max("s")).scalar()
-    # A hair of slack keeps a name whose bound meets the bar up to rounding.
-    reach = F.coalesce("best", F.lit(0)) + F.sqrt(F.col("s") * strongest) * 1.000001
-    able = strength.join(best, "name_id", "left").where(reach >= nth).select("name_id")
-    kept = held.join(able, "name_id", "left_semi")
-    chunk = F.pmod(F.xxhash64("product_id"), F.col("chunks")).cast("int")
-    return _count_pairs(
-        kept.withColumn("chunk", chunk),
-        kept.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))),
-        ["order_id", "chunk"],
-    )
-
-
-def top_pairs(star: Star, n: int = 30, large_order: int = LARGE_ORDER) -> DataFrame:
+def top_pairs(star: Star, n: int = 30, chunk: int = CHUNK) -> DataFrame:
     """The n pairs most often bought together; copies in one order multiply.
 
-    Ties go by the lowest product ids of the two names.
+    The products of each order are cut into ceil(products / chunk) parts by a hash, and each part
+    meets the whole order under a key of its own; most orders have one part. Pairs are counted
+    map-side before they move. Ties go by the lowest product ids of the two names.
     """
     lines, names = _folded_lines(star)
-    large = (
-        star.lines.groupBy("order_id", "product_id").agg(F.count("*").alias("n"))
-        .groupBy("order_id").agg(F.count("*").alias("k")).where(F.col("k") > large_order)
-        .select("order_id", F.ceil(F.col("k") / large_order).cast("int").alias("chunks"))
+    sizes = lines.groupBy("order_id").agg(
+        F.ceil(F.count("*") / chunk).cast("int").alias("parts")
     )
-    small = lines.join(large, "order_id", "left_anti")
-    small_pairs = _count_pairs(small, small, ["order_id"])
-    pairs = (
-        small_pairs.unionByName(_large_order_pairs(lines, large, small_pairs, n))
-        .groupBy("a", "b").agg(F.sum("times").alias("times"))
+    parted = lines.join(sizes, "order_id")
+    own_part = F.pmod(F.xxhash64("product_id"), F.col("parts")).cast("int")
+    pairs = _count_pairs(
+        parted.withColumn("part", own_part),
+        parted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))),
+        ["order_id", "part"],
     )
     a = names.select(
         F.col("name_id").alias("a"), F.col("product_name").alias("product_a"),

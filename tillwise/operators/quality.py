@@ -12,8 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import money
-from tillwise.operators.quantiles import exact_quantiles
-from tillwise.session import cut_lineage
+from tillwise.operators.quantiles import exact_quantiles, range_buckets
 
 MARK = "_dq_"
 
@@ -186,13 +185,16 @@ def cap_outliers(
 
 
 def impute_group_median(df: DataFrame, col: str, by: str) -> DataFrame:
-    """NULL becomes the median of its group; a group without values stays NULL."""
-    medians = exact_quantiles(df.where(F.col(by).isNotNull()), col, [0.5], [by]).select(
-        by, F.element_at("q", 1).alias("_median")
-    )
-    return df.join(medians, by, "left").withColumn(col, F.coalesce(col, "_median")).select(
-        *df.columns
-    )
+    """NULL becomes the median of its group; a group without values stays NULL.
+
+    The medians travel as one map, so the rows of a heavy group stay where they are.
+    """
+    medians = exact_quantiles(df.where(F.col(by).isNotNull()), col, [0.5], [by]).agg(
+        F.map_from_entries(F.collect_list(F.struct(by, F.element_at("q", 1))))
+    ).scalar()
+    return df.withColumn("_medians", medians).withColumn(
+        col, F.coalesce(col, F.col("_medians")[F.col(by)])
+    ).select(*df.columns)
 
 
 def impute_from_lookup(
@@ -217,23 +219,20 @@ def add_date_parts(df: DataFrame, col: str = "order_date") -> DataFrame:
 def dense_id(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Renumber rows 1..n in ``order_by`` order, without one window over the whole table.
 
-    Range partitions are numbered inside themselves and shifted by the size of the partitions
-    before them. The partition number is written out first, so both uses see the same one.
-    Rows that tie in ``order_by`` go by a hash of the whole row, so a heavy tie is spread, too.
+    The first column, a number, deals the rows into ranges; rows are numbered inside their range
+    and shifted by the size of the ranges before it, in one lazy plan. Rows that tie in
+    ``order_by`` go by a hash of the whole row.
     """
-    tie = F.xxhash64(*df.columns).alias("_tie")
-    parts = cut_lineage(
-        df.select("*", tie).repartitionByRange(*order_by, "_tie")
-        .withColumn("_part", F.spark_partition_id())
-    )
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.groupBy("_part").agg(F.count("*").alias("_size")).select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
+    tie = F.xxhash64(*df.columns)
+    parts = range_buckets(df.withColumn("_tie", tie), order_by[0], "_bucket")
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.groupBy("_bucket").agg(F.count("*").alias("_size")).select(
+        "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("_part").orderBy(*order_by, "_tie")
+    inside = Window.partitionBy("_bucket").orderBy(*order_by, "_tie")
     return (
         parts.withColumn("_row", F.row_number().over(inside))
-        .join(offsets, "_part")
+        .join(offsets, "_bucket")
         .withColumn(name, F.col("_row") + F.col("_before"))
         .select(*dict.fromkeys([*df.columns, name]))
     )

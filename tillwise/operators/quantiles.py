@@ -1,100 +1,104 @@
 """Exact quantiles and value-ordered running sums without gathering a column in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one aggregation buffer.
-Here a bounded sketch brackets each wanted rank, then one further pass counts everything
-outside the brackets as whole gaps and keeps single values only inside them. The counts are
-exact, so the result is, too; only the amount kept depends on the sketch.
+The built-in ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here
+rows are counted by equal parts of the value range, the part that holds a wanted rank is found from
+the counts, and is cut again between its own least and greatest value. Counts combine on the map
+side, and no window sees more rows than there are parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SKETCH_ACCURACY = 10000
+PARTS = 4096
+ROUNDS = 2
 
 
-def _bracket_probs(probs: Sequence[float], accuracy: int) -> list[float]:
-    margin = 2.0 / accuracy
-    cuts: list[float] = []
+def _part(value: Column, low: Column, high: Column, parts: Column | int) -> Column:
+    """Number of the equal part of [low, high] that the value is in; 0 in a range of one value."""
+    width = F.nullif(high - low, F.lit(0.0))
+    place = F.floor((value - low) / width * parts)
+    return F.coalesce(F.greatest(F.least(place, F.lit(parts) - 1), F.lit(0)), F.lit(0))
+
+
+def _as_map(frame: DataFrame) -> Column:
+    """group -> state as one value; there is one row for each group."""
+    return frame.agg(F.map_from_entries(F.collect_list(F.struct("g", "state")))).scalar()
+
+
+def _held(values: DataFrame, state: Column, key: Column | None) -> DataFrame:
+    """Rows inside the brackets of their group, counted by part (or, without key, by value)."""
+    rows = (
+        values.withColumn("_all", state).withColumn("s", F.col("_all")[F.col("g")])
+        .select("g", "v", F.col("s.n").alias("n"), F.explode(
+            F.filter("s.brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))
+        ).alias("b"))
+        .withColumn("key", F.col("v") if key is None else key)
+    )
+    counted = rows.groupBy("g", "n", "b", "key").agg(
+        F.count("*").alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")
+    )
+    earlier = Window.partitionBy("g", "n", "b").orderBy("key").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    return counted.withColumn(
+        "before", F.col("b.before") + F.coalesce(F.sum("cnt").over(earlier), F.lit(0))
+    )
+
+
+def _ranks(probs: Sequence[float]) -> list[Column]:
+    """0-based ranks on both sides of each quantile's position."""
+    out = []
     for p in probs:
-        cuts += [max(p - margin, 0.0), min(p + margin, 1.0)]
-    return cuts
+        low = F.floor((F.col("n") - 1) * F.lit(p))
+        out += [low, F.least(low + 1, F.col("n") - 1)]
+    return out
+
+
+def _at(rank: Column, value: Column) -> Column:
+    here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
+    return F.max(F.when(here, value))
 
 
 def exact_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-    accuracy: int = SKETCH_ACCURACY,
+    parts: int = PARTS, rounds: int = ROUNDS,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group: (*by, n, q array<double>).
 
     Equal to pandas ``quantile`` and ANSI ``percentile_cont``. NULLs do not count; a group of
-    NULLs only has no row.
+    NULLs only has no row. What a round finds about the groups travels to the rows as one map,
+    so groups should be few (categories, metrics); rows of a heavy group are never joined.
     """
     by = list(by)
     probs = [float(p) for p in probs]
-    values = df.select(*by, F.col(col).cast("double").alias("v")).where("v IS NOT NULL")
-    sketch_of = F.percentile_approx(
-        "v", _bracket_probs(probs, accuracy), accuracy
-    )
-    if by:
-        sketch = values.groupBy(*by).agg(sketch_of.alias("cuts"))
-        # NULL is a group of its own here, so the join must match it.
-        keyed = sketch.select(*[F.col(b).alias(f"{b}_of_sketch") for b in by], "cuts")
-        same = reduce(
-            lambda a, b: a & b, [values[b].eqNullSafe(keyed[f"{b}_of_sketch"]) for b in by]
-        )
-        banded = values.join(keyed, same).select(*by, "v", "cuts")
-    else:
-        banded = values.withColumn("cuts", values.agg(sketch_of).scalar())
-
-    lows = [F.element_at("cuts", 2 * i + 1) for i in range(len(probs))]
-    highs = [F.element_at("cuts", 2 * i + 2) for i in range(len(probs))]
-    v = F.col("v")
-    inside = reduce(lambda a, b: a | b, [v.between(lo, hi) for lo, hi in zip(lows, highs)])
-    gap = reduce(lambda a, b: a + b, [(v > hi).cast("int") for hi in highs])
-    runs = (
-        banded.select(*by, "v", gap.alias("gap"), F.when(inside, v).alias("single"))
-        .groupBy(*by, "gap", "single")
-        .agg(
-            F.count("*").alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")
-        )
-    )
-    everything = Window.partitionBy(*by)
-    ordered = everything.orderBy("vmin")
-    ranked = runs.select(
-        *by, "cnt", "vmin", "vmax",
-        F.sum("cnt").over(everything).alias("n"),
-        (F.sum("cnt").over(ordered.rowsBetween(Window.unboundedPreceding, 0))).alias("upto"),
-    ).withColumn("before", F.col("upto") - F.col("cnt"))
-
-    def value_at(rank: Column) -> Column:
-        """Value at a 0-based rank; NULL in the runs that do not hold the rank."""
-        here = (F.col("before") <= rank) & (rank < F.col("upto"))
-        value = (
-            F.when(F.col("vmin") == F.col("vmax"), F.col("vmin"))
-            .when(rank == F.col("before"), F.col("vmin"))
-            .when(rank == F.col("upto") - 1, F.col("vmax"))
-            .otherwise(F.raise_error(F.lit("quantile bracket missed its rank")).cast("double"))
-        )
-        return F.max(F.when(here, value))
-
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    values = df.select(group.alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL")
+    state = values.groupBy("g").agg(
+        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
+    ).select("g", F.struct(
+        "n", F.array(F.struct("lo", "hi", F.lit(0).cast("bigint").alias("before"))).alias("brackets")
+    ).alias("state"))
+    key = _part(F.col("v"), F.col("b.lo"), F.col("b.hi"), parts)
+    for _ in range(rounds):
+        bracket = F.struct(F.col("vmin").alias("lo"), F.col("vmax").alias("hi"), "before")
+        held = _held(values, _as_map(state), key)
+        picks = [_at(rank, bracket).alias(f"r{i}") for i, rank in enumerate(_ranks(probs))]
+        state = held.groupBy("g", "n").agg(*picks).select("g", F.struct(
+            "n", F.array_distinct(F.array(*[f"r{i}" for i in range(len(picks))])).alias("brackets")
+        ).alias("state"))
+    single = _held(values, _as_map(state), None)
+    picks = [_at(rank, F.col("vmin")).alias(f"r{i}") for i, rank in enumerate(_ranks(probs))]
+    found = single.groupBy("g", "n").agg(*picks)
     quantiles = []
-    picks = []
     for i, p in enumerate(probs):
         position = (F.col("n") - 1) * F.lit(p)
-        rank = F.floor(position)
-        last = F.col("n") - 1
-        picks += [
-            value_at(rank).alias(f"lo{i}"),
-            value_at(F.least(rank + 1, last)).alias(f"hi{i}"),
-        ]
-        part = (F.col("n") - 1) * F.lit(p) - F.floor((F.col("n") - 1) * F.lit(p))
-        quantiles.append(F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * part)
-    found = ranked.groupBy(*by, "n").agg(*picks)
-    return found.select(*by, "n", F.array(*quantiles).alias("q"))
+        low, high = F.col(f"r{2 * i}"), F.col(f"r{2 * i + 1}")
+        quantiles.append(low + (high - low) * (position - F.floor(position)))
+    keys = [F.col(f"g.{b}").alias(b) for b in by]
+    return found.select(*keys, "n", F.array(*quantiles).alias("q"))
 
 
 def quantile_scores(
@@ -141,26 +145,46 @@ def quantile_scores(
     return scored.drop("_edges", "_rows")
 
 
+def range_buckets(df: DataFrame, col: str, name: str, buckets: int = 1024) -> DataFrame:
+    """Add a number that rises with the value of a numeric column, in about equal shares of rows.
+
+    The value range is cut into equal parts, and each part into as many pieces as its share of
+    the rows asks for. One array of ``buckets`` entries carries that to the rows. NULL comes first.
+    """
+    v = F.col(col).cast("double")
+    flat = F.asinh(v)  # rises with the value, and a few far values don't take up the whole range
+    span = df.agg(F.struct(F.min(flat).alias("lo"), F.max(flat).alias("hi"))).scalar()
+    placed = df.withColumn("_span", span).withColumn(
+        "_part", _part(flat, F.col("_span.lo"), F.col("_span.hi"), buckets).cast("int")
+    )
+    counted = placed.where(v.isNotNull()).groupBy("_part").agg(
+        F.count("*").alias("cnt"), F.min(v).alias("lo"), F.max(v).alias("hi")
+    )
+    parts = counted.agg(F.struct(
+        F.sum("cnt").alias("n"), F.map_from_entries(F.collect_list(F.struct("_part", F.struct("cnt", "lo", "hi")))).alias("m")
+    )).scalar()
+    listed = df.sparkSession.range(1).select(parts.alias("p")).select(F.struct(
+        F.col("p.n").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.col("p.m")[i]).alias("m")
+    )).scalar()
+    own = F.col("_list.m")[F.col("_part")]
+    pieces = F.ceil(own["cnt"] * F.lit(float(buckets)) / F.col("_list.n"))
+    piece = _part(v, own["lo"], own["hi"], pieces)
+    number = F.when(v.isNull(), F.lit(-1)).otherwise(F.col("_part").cast("bigint") * (buckets + 1) + piece)
+    return placed.withColumn("_list", listed).withColumn(name, number).drop("_span", "_part", "_list")
+
+
 def running_share_by_value(
-    df: DataFrame, value: str, buckets: int = 1000
+    df: DataFrame, value: str, buckets: int = 1024
 ) -> DataFrame:
     """Per distinct value, largest first: (value, rows, upto = sum of all values >= it, total).
 
-    Equal values count together (RANGE semantics). Values are spread over buckets of about
-    equal size; only the bucket sums, never the rows, are put in one order.
+    Equal values count together (RANGE semantics). Values are spread over ranges of about
+    equal size; only the sums of the ranges, never the rows, are put in one order.
     """
     distinct = df.where(F.col(value).isNotNull()).groupBy(value).agg(
         F.count("*").alias("rows"), F.sum(value).alias("value_sum")
     )
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = distinct.agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, SKETCH_ACCURACY)
-    ).scalar()
-    # The place that the value takes among the sorted cuts is its bucket.
-    number = F.col(value).cast("double")
-    bucketed = distinct.withColumn(
-        "bucket", F.array_position(F.sort_array(F.array_append(cuts, number)), number)
-    )
+    bucketed = range_buckets(distinct, value, "bucket", buckets)
     totals = bucketed.groupBy("bucket").agg(F.sum("value_sum").alias("bucket_sum"))
     above = Window.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()

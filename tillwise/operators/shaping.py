@@ -60,14 +60,16 @@ def box_stats(df: DataFrame, value: str, by: str, k: float = 1.5) -> DataFrame:
         F.element_at("q", 3).alias("q3"),
     )
     reach = (F.col("q3") - F.col("q1")) * k
-    fenced = quartiles.withColumn("lower_fence", F.col("q1") - reach).withColumn(
-        "upper_fence", F.col("q3") + reach
-    )
+    fences = quartiles.agg(F.map_from_entries(F.collect_list(F.struct(
+        F.struct(by).alias("g"),
+        F.struct("q1", "median", "q3", (F.col("q1") - reach).alias("lower"), (F.col("q3") + reach).alias("upper")),
+    )))).scalar()
     v = F.col(value).cast("double")
-    inside = v.between(F.col("lower_fence"), F.col("upper_fence"))
+    inside = v.between(F.col("f.lower"), F.col("f.upper"))
     return (
-        df.join(fenced, by)
-        .groupBy(by, "q1", "median", "q3")
+        df.withColumn("_fences", fences).withColumn("f", F.col("_fences")[F.struct(by)])
+        .where(F.col(by).isNotNull() & F.col("f").isNotNull())
+        .groupBy(by, "f.q1", "f.median", "f.q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),
             F.max(F.when(inside, v)).alias("whisker_high"),

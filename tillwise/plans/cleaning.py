@@ -24,7 +24,6 @@ from tillwise.operators.quality import (
 from tillwise.schema import (
     CLEAN_COLUMNS, CUSTOMER_COUNTRIES, ISO_DATE, LOYALTY_TIERS, MONEY, ORDER_COUNTRIES, SHARE, TIER_SPELLINGS,
 )
-from tillwise.session import cut_lineage
 
 DUPLICATES = MARK + "exact_duplicates"
 
@@ -239,10 +238,10 @@ def clean_all(
 ) -> dict[str, DataFrame]:
     """The five clean tables.
 
-    Items and returns need the clean products, a dimension that is cleaned once and kept in
-    the checkpoint folder, and no more of the orders than their keys. All else stays lazy.
+    Items and returns need the clean products, a dimension, and no more of the orders than their
+    keys. All stays lazy.
     """
-    products = cut_lineage(clean_products(raw["products"], rules))
+    products = clean_products(raw["products"], rules)
     keys = order_keys(raw["orders"])
     return {
         "customers": clean_customers(raw["customers"], rules),
@@ -257,7 +256,7 @@ def quality_log(
     raw: Mapping[str, DataFrame], rules: CleaningRules = CleaningRules()
 ) -> DataFrame:
     """(table_name, rule, affected): one aggregation per staged table."""
-    staged_products = cut_lineage(stage_products(raw["products"], rules))
+    staged_products = stage_products(raw["products"], rules)
     products = _finish(staged_products, "products")
     keys = order_keys(raw["orders"])
     return quality_report({

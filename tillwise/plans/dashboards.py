@@ -90,15 +90,21 @@ def daily_trend(star: Star, rows: int = 30) -> DataFrame:
 
 
 def aov_by_channel(star: Star) -> DataFrame:
-    """Order value by channel, one column per year, 0 where nothing was sold."""
+    """Order value by channel and year, 0 where a channel sold nothing in a year of the data."""
     per_year = (
         order_revenue(star, "channel", "order_date").where("order_date IS NOT NULL")
         .groupBy("channel", F.year("order_date").alias("year"))
         .agg(ratio(dollars(F.sum("revenue")), F.count("*"), places=2).alias("aov"))
     )
-    return pivot_values(
-        per_year, ["channel"], "year", star.params.years, F.first("aov"), 0.0
-    ).orderBy("channel")
+    # A few dozen years at most, so they travel as one array.
+    years = per_year.agg(F.sort_array(F.collect_set("year"))).scalar()
+    own = F.map_from_entries(F.collect_list(F.struct("year", "aov")))
+    return (
+        per_year.groupBy("channel").agg(own.alias("own"))
+        .withColumn("years", years).select("channel", "own", F.explode("years").alias("year"))
+        .select("channel", "year", F.coalesce(F.col("own")[F.col("year")], F.lit(0.0)).alias("aov"))
+        .orderBy("channel", "year")
+    )
 
 
 def customer_kpis(star: Star) -> DataFrame:

@@ -109,4 +109,3 @@ class Params:
     active_since: dt.date = dt.date(2024, 10, 1)
     latest_year: int = 2024
     growth_years: tuple[int, int] = (2022, 2023)
-    years: tuple[int, ...] = field(default=(2022, 2023, 2024))

@@ -1,11 +1,8 @@
-"""Session settings that the plans count on, and the shared checkpoint folder."""
+"""Session settings that the plans count on."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings only: they can be set on a session that already runs.
 RUNTIME_SETTINGS = {
@@ -23,30 +20,3 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a scratch folder only where none is named."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is None:
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set: name a folder all nodes share")
-        named = tempfile.mkdtemp(prefix="tillwise-checkpoint-")
-    context.setCheckpointDir(named)
-    return named
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and go on from there.
-
-    A parquet table, so that it survives the loss of executors and later steps read only the
-    columns that they need. (``checkpoint`` would run the plan a second time.)
-    """
-    folder = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{folder}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

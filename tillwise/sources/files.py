@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tillwise.schema import CLEAN_SCHEMAS, raw_schema
 
@@ -65,6 +65,16 @@ def load_table(
     return df
 
 
+def append_table(
+    df: DataFrame, path: str, table: str, fmt: str = "parquet", drop_cols: Sequence[str] = ()
+) -> None:
+    """Append a clean table's rows, in the declared column order and types, to what is there."""
+    kept = df.drop(*drop_cols)
+    schema = T.StructType.fromDDL(CLEAN_SCHEMAS[table])
+    typed = kept.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name in kept.columns])
+    write_table(typed, path, fmt, mode="append")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count)."""
     counts = [
