@@ -54,76 +54,80 @@ def _with_month_text(df: DataFrame) -> DataFrame:
     return df.withColumn("month", year_month("month")) if "month" in df.columns else df
 
 
-def _product_columns(star: Star, wanted: set[str]) -> DataFrame:
+def _product_columns(star: Star, wanted: set[str], cost: bool = True) -> DataFrame:
     products = product_abc(star) if "abc_class" in wanted else star.costs
     extra = [c for c in PRODUCT_ATTRIBUTES if c in wanted and c != "product_id"]
-    return products.select("product_id", "cost", *extra)
+    return products.select("product_id", *(["cost"] if cost else []), *extra)
 
 
 _SUMS = ("revenue", "cost", "units", "discount")
+_COUNTS = ("orders", "completed", "line_orders", "customers")
 
 
-def _line_sums() -> list[Column]:
+def _line_sums(need: set[str]) -> dict[str, Column]:
     given = (F.col("quantity") * F.col("price")).cast("decimal(18,0)") * F.col("discount_pct")
-    return [
-        F.sum("amount").alias("revenue"), F.sum("line_cost").alias("cost"),
-        F.sum("quantity").alias("units"), F.sum(given).alias("discount"),
-    ]
+    sums = {
+        "revenue": lambda: F.sum("amount"), "cost": lambda: F.sum("line_cost"),
+        "units": lambda: F.sum("quantity"), "discount": lambda: F.sum(given),
+    }
+    return {name: sums[name]().alias(name) for name in _SUMS if name in need}
 
 
 def base_sums(
-    star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None, with_lines: bool = True
+    star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None,
+    need: Sequence[str] = (*_SUMS, *_COUNTS),
 ) -> DataFrame:
-    """Additive parts of the measures per group.
+    """Additive parts of the measures per group: those of ``need``.
 
-    Columns: revenue, cost, units, discount, orders, completed, line_orders, customers. Without
-    lines, and with no product attribute asked for, only the order counts.
+    Out of revenue, cost, units, discount, orders, completed, line_orders, customers. Lines are
+    read only for what is made of them or for product attributes, products only for the cost and
+    those attributes, and customers form groups only where they are counted.
     """
-    by = list(by)
+    by, need = list(by), set(need)
     wanted = set(by) | _sliced_columns(spec)
     by_product = bool(wanted & set(PRODUCT_ATTRIBUTES))
-    if not with_lines and not by_product:
-        return _order_counts(star, by, wanted, spec)
-    lines = with_profit(
-        star.lines.join(_product_columns(star, wanted), "product_id", "left")
-    )
+    sums = _line_sums(need)
     orders = _orders_with(star, wanted)
-    completed = F.col("status").isin(*star.params.revenue_statuses)
-    if by_product:
-        joined = apply_slice(lines.join(orders, "order_id"), spec)
-        per_order = joined.groupBy(
-            *dict.fromkeys(["order_id", "customer_id", "status", *by])
-        ).agg(*_line_sums())
-        has_lines = F.lit(1)
+    if not (sums or by_product or "line_orders" in need):
+        per_order = apply_slice(orders, spec)
+        has_lines = F.lit(None)
     else:
-        totals = lines.groupBy("order_id").agg(*_line_sums(), F.count("*").alias("n"))
-        per_order = apply_slice(orders, spec).join(totals, "order_id", "left")
-        has_lines = F.when(F.col("n").isNotNull(), 1)
+        lines = star.lines
+        if by_product:
+            lines = lines.join(_product_columns(star, wanted, "cost" in need), "product_id", "left")
+        elif "cost" in need:
+            lines = lines.join(_product_columns(star, wanted), "product_id", "left")
+        if "cost" in need:
+            lines = with_profit(lines)
+        if by_product:
+            joined = apply_slice(lines.join(orders, "order_id"), spec)
+            if not need & set(_COUNTS):  # nothing is counted by order
+                return _with_month_text(joined.groupBy(*by).agg(*sums.values()))
+            per_order = joined.groupBy(
+                *dict.fromkeys(["order_id", "customer_id", "status", *by])
+            ).agg(*[*sums.values(), F.count("*").alias("n")])
+            has_lines = F.lit(1)
+        else:
+            totals = lines.groupBy("order_id").agg(*[*sums.values(), F.count("*").alias("n")])
+            per_order = apply_slice(orders, spec).join(totals, "order_id", "left")
+            has_lines = F.when(F.col("n").isNotNull(), 1)
+    completed = F.col("status").isin(*star.params.revenue_statuses)
+    counts = {
+        "orders": F.count("*"), "completed": F.count(F.when(completed, 1)),
+        "line_orders": F.count(has_lines),
+    }
+    parts = [F.sum(c).alias(c) for c in sums] + [
+        c.alias(name) for name, c in counts.items() if name in need
+    ]
+    if "customers" not in need:
+        # Groups are those of all orders, so that one is formed even where nothing is added up.
+        return _with_month_text(per_order.groupBy(*by).agg(*parts))
     per_customer = per_order.groupBy(*dict.fromkeys([*by, "customer_id"])).agg(
-        *[F.sum(c).alias(c) for c in _SUMS],
-        F.count("*").alias("orders"), F.count(F.when(completed, 1)).alias("completed"),
-        F.count(has_lines).alias("line_orders"),
+        *(parts or [F.count("*").alias("_any")])
     )
-    sums = [F.sum(c).alias(c) for c in (*_SUMS, "orders", "completed", "line_orders")]
+    added = [F.sum(c).alias(c) for c in (*sums, *[n for n in counts if n in need])]
     return _with_month_text(
-        per_customer.groupBy(*by).agg(*sums, F.count("customer_id").alias("customers"))
-    )
-
-
-def _order_counts(
-    star: Star, by: list[str], wanted: set[str], spec: SliceSpec | None
-) -> DataFrame:
-    """orders, completed and customers per group, without reading a line."""
-    completed = F.col("status").isin(*star.params.revenue_statuses)
-    return _with_month_text(
-        apply_slice(_orders_with(star, wanted), spec)
-        .groupBy(*dict.fromkeys([*by, "customer_id"]))
-        .agg(F.count("*").alias("orders"), F.count(F.when(completed, 1)).alias("completed"))
-        .groupBy(*by)
-        .agg(
-            F.sum("orders").alias("orders"), F.sum("completed").alias("completed"),
-            F.count("customer_id").alias("customers"),
-        )
+        per_customer.groupBy(*by).agg(*added, F.count("customer_id").alias("customers"))
     )
 
 
@@ -173,14 +177,21 @@ MEASURES = {
     "return_rate": lambda: ratio(
         F.coalesce("returns", F.lit(0)), "completed", places=4, default=0.0),
     "total_refund": lambda: dollars("refund"),
-    "avg_refund": lambda: ratio(dollars("refund"), "refunds", places=2),
+    "avg_refund": lambda: ratio(dollars("refund"), "returns", places=2),
 }
 _OF_RETURNS = {"total_returns", "return_rate", "total_refund", "avg_refund"}
-_WITHOUT_LINES = {
-    "total_orders", "completed_orders", "total_customers", "total_returns", "return_rate",
-    "total_refund", "avg_refund",
-}
 _OF_CUSTOMERS = {"total_customers", "avg_customer_lifetime_value"}
+# name -> the parts of base_sums that it is made of
+_NEEDS = {
+    "total_revenue": ("revenue",), "total_cost": ("cost",), "gross_profit": ("revenue", "cost"),
+    "profit_margin": ("revenue", "cost"), "total_discount": ("discount",),
+    "average_order_value": ("revenue", "orders"), "revenue_per_customer": ("revenue", "customers"),
+    "revenue_per_unit": ("revenue", "units"), "total_orders": ("orders",), "units_sold": ("units",),
+    "completed_orders": ("completed",), "avg_items_per_order": ("units", "line_orders"),
+    "total_customers": ("orders",), "avg_customer_lifetime_value": ("revenue",),
+    "total_returns": ("orders",), "return_rate": ("completed",), "total_refund": ("orders",),
+    "avg_refund": ("orders",),
+}
 
 
 def measures(
@@ -190,7 +201,7 @@ def measures(
     by = list(by)
     if set(names) == {"total_customers"} and not by and spec is None:
         return star.customers.agg(F.count_distinct("customer_id").alias("total_customers"))
-    df = base_sums(star, by, spec, with_lines=not set(names) <= _WITHOUT_LINES)
+    df = base_sums(star, by, spec, {part for name in names for part in _NEEDS[name]})
     if _OF_RETURNS & set(names):
         returned = return_sums(star, by, spec)
         if by:
@@ -245,15 +256,17 @@ def month_spine(star: Star) -> DataFrame:
     )
 
 
-def monthly_series(star: Star, spec: SliceSpec | None = None) -> DataFrame:
+def monthly_series(star: Star, spec: SliceSpec | None = None, profit: bool = True) -> DataFrame:
     """M13-M22 and M35 per calendar month; months without revenue stay in the series.
 
     Shifts go by calendar month, unlike the row-based growth query. The series is as long as
-    the calendar, so its window runs in one small task.
+    the calendar, so its window runs in one small task. Without ``profit`` there is no margin
+    in it, and no product is read.
     """
-    per_month = base_sums(star, ["month"], spec).select(
-        F.col("month").alias("ym"), "revenue",
-        (F.col("revenue") - F.coalesce("cost", F.lit(0))).alias("profit"),
+    per_month = base_sums(star, ["month"], spec, ("revenue", "cost") if profit else ("revenue",))
+    cost = F.coalesce("cost", F.lit(0)) if profit else F.lit(0)
+    per_month = per_month.select(
+        F.col("month").alias("ym"), "revenue", (F.col("revenue") - cost).alias("profit"),
     )
     spine = month_spine(star).select("m", year_month("m").alias("ym"))
     w = Window.orderBy("m")
@@ -266,7 +279,7 @@ def monthly_series(star: Star, spec: SliceSpec | None = None) -> DataFrame:
         return F.coalesce("revenue", F.lit(0)) - F.coalesce(previous, F.lit(0))
 
     target = F.lit(float(star.params.monthly_target))
-    return (
+    series = (
         spine.join(per_month, "ym", "left")
         .withColumns({
             "prev": F.lag("revenue").over(w), "sply": F.lag("revenue", 12).over(w),
@@ -290,11 +303,13 @@ def monthly_series(star: Star, spec: SliceSpec | None = None) -> DataFrame:
             .alias("target_achievement"),
         )
     )
+    return series if profit else series.drop("rolling_3m_margin")
 
 
 def time_measure(star: Star, name: str, spec: SliceSpec | None = None) -> DataFrame:
     """One column of the monthly series."""
-    return monthly_series(star, spec).select("month", name).orderBy("month")
+    margin = name == "rolling_3m_margin"
+    return monthly_series(star, spec, margin).select("month", name).orderBy("month")
 
 
 def active_customers(star: Star) -> DataFrame:
@@ -349,7 +364,7 @@ def retention_rate(star: Star) -> DataFrame:
 
 def what_if(star: Star, by_month: bool = False, low: int = -20, high: int = 20) -> DataFrame:
     """Revenue under a price adjustment of -20 … 20 %, in total or by month."""
-    base = base_sums(star, ["month"] if by_month else [])
+    base = base_sums(star, ["month"] if by_month else [], need=("revenue",))
     keys = ["month"] if by_month else []
     steps = base.select(
         *keys, dollars("revenue").alias("revenue"),
