@@ -14,7 +14,9 @@ import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000  # chunks
+STEM_ENTRIES = 800_000
+TOGETHER = 64  # words in one call of the library
 _TAIL = b".,!?:;%&#*$|)(\"-"
 
 
@@ -24,6 +26,21 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def split_chunk(chunk: bytes) -> tuple[bytes, ...]:
+    """A chunk in one or two parts, whose ids together are those of the chunk.
+
+    Upper case is folded and trailing marks are parted where that can't change the ids: letters and marks never
+    share a pre-token, and the vocabulary has lower case only.
+    """
+    if b"<|" in chunk:  # may hold a special token, which is matched as it stands
+        return (chunk,)
+    low = chunk.lower()
+    stem = low.rstrip(_TAIL)
+    if not stem or stem == low or not _ends_in_letter(stem):
+        return (low,)
+    return stem, low[len(stem):]
+
+
 class ChunkTokens:
     """ids(text): uint32 ids of a text. Memory is bounded: a full dictionary starts afresh."""
 
@@ -39,36 +56,43 @@ class ChunkTokens:
         self.entries = entries
         self.chunks: dict[bytes, bytes] = {}
         self.stems: dict[bytes, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a pre-token
+        self.last[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def _library_ids(self, chunk: bytes) -> bytes:
-        found = self.library.encode(chunk.decode("utf-8"), add_special_tokens=False).ids
+    def _library_ids(self, part: bytes) -> bytes:
+        found = self.library.encode(part.decode("utf-8"), add_special_tokens=False).ids
         return np.array(found, dtype="<u4").tobytes()
 
-    def _stem_ids(self, stem: bytes) -> bytes:
-        ids = self.stems.get(stem)
-        if ids is None:
-            if len(self.stems) >= self.entries:
-                self.stems.clear()
-            ids = self.stems[stem] = self._library_ids(stem)
-        return ids
-
-    def _chunk_ids(self, chunk: bytes) -> bytes:
-        """A miss: upper case and trailing marks are taken off where that can't change the ids."""
-        if b"<|" in chunk:  # may hold a special token, which is matched as it stands
-            return self._library_ids(chunk)
-        low = chunk.lower()
-        stem = low.rstrip(_TAIL)
-        if not stem or stem == low or not _ends_in_letter(stem):
-            return self._stem_ids(low)
-        return self._stem_ids(stem) + self._stem_ids(low[len(stem):])
+    def _learn_stems(self, stems: list[bytes]) -> None:
+        """Asks the library. Words of plain letters are one pre-token each and go together, as their last ids tell the ends."""
+        known = self.stems
+        if len(known) + len(stems) > STEM_ENTRIES:
+            known.clear()
+        words = [(s, w) for s in stems for w in (s.decode("utf-8"),) if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w]
+        for k in range(0, len(words), TOGETHER):
+            some = words[k:k + TOGETHER]
+            text = " ".join([w for _, w in some])
+            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) == len(some):
+                data, start = ids.tobytes(), 0
+                for (stem, _), end in zip(some, (ends * 4).tolist(), strict=True):
+                    known[stem] = data[start:end]
+                    start = end
+        for stem in stems:
+            if stem not in known:
+                known[stem] = self._library_ids(stem)
 
     def learn(self, chunks: Iterable[bytes]) -> None:
-        known = self.chunks
-        missing = [c for c in chunks if c not in known]
-        if len(known) + len(missing) > self.entries:
+        known, stems = self.chunks, self.stems
+        split = [(c, split_chunk(c)) for c in chunks if c not in known]
+        if len(known) + len(split) > self.entries:
             known.clear()
-        for chunk in missing:
-            known[chunk] = self._chunk_ids(chunk)
+        self._learn_stems(list({part for _, parts in split for part in parts if part not in stems}))
+        for chunk, parts in split:
+            found = [stems.get(part) for part in parts]
+            known[chunk] = b"".join(self._library_ids(p) if f is None else f for p, f in zip(parts, found, strict=True))
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -80,19 +104,21 @@ class ChunkTokens:
             self.learn(set(chunks))
             try:
                 found = b"".join(map(self.chunks.__getitem__, chunks))
-            except KeyError:  # a text with more distinct chunks than there are places
-                found = b"".join(map(self._chunk_ids, chunks))
+            except KeyError:  # the dictionary was emptied, and knows only the chunks that were missing
+                self.learn(set(chunks))
+                found = b"".join(map(self.chunks.__getitem__, chunks))
         return np.frombuffer(found, dtype="<u4")
 
-    def count(self, chunk: bytes) -> int:
-        return len(self._chunk_ids(chunk)) // 4
+    def count(self, part: bytes) -> int:
+        return len(self._library_ids(part)) // 4
 
 
 def _ends_in_letter(stem: bytes) -> bool:
     last = stem[-1]
     if last < 0x80:
         return 97 <= last <= 122 or 48 <= last <= 57
-    return stem.decode("utf-8")[-1].isalpha()
+    char = stem.decode("utf-8")[-1]
+    return char < "\u0250" and char.isalpha() and char.lower() != "i\u0307"  # that one ends in a mark
 
 
 @lru_cache(maxsize=2)
