@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,7 +14,8 @@ from tillwise.functions import (
     round_half, standardise, title_case, trim_upper, try_int,
 )
 from tillwise.operators import integrity, quality
-from tillwise.plans import cleaning
+from tillwise.operators.star import Star
+from tillwise.plans import cleaning, measures, queries as Q
 from tillwise.schema import (
     CUSTOMER_COUNTRIES, KNOWN_DATES, LOYALTY_TIERS, MONEY, ISO_DATE, SHARE, TIER_SPELLINGS,
 )
@@ -325,6 +327,11 @@ def d30_returns(star: DriverStar) -> DataFrame:
     return doubles(cleaning.clean_returns(raw_frame(star, "returns"), *_parents(star)))
 
 
+def _on_clean_star(build: Callable[[Star], DataFrame]) -> Callable[[DriverStar], DataFrame]:
+    """A named query on a plain star of the cleaned tables, so that the library's own lines count."""
+    return lambda star: build(Star(**cleaning.clean_all(_raw(star)), params=star.params))
+
+
 def d30_integrity(star: DriverStar) -> DataFrame:
     return cleaning.integrity_report(cleaning.clean_all(_raw(star)))
 
@@ -371,6 +378,10 @@ CLEANING = {
     "d25_fk_report": d25,
     "d26_clip_discount": d26,
     "d27_line_total": d27,
+    "s05_q07_on_clean_star": _on_clean_star(Q.q07),
+    "s05_q12_on_clean_star": _on_clean_star(Q.q12),
+    "s05_m05_on_clean_star": _on_clean_star(
+        lambda star: measures.measures(star, ["total_discount"], ["channel"])),
     "d28_dense_id": d28,
     "d29_quality_report": d29,
     "d30_clean_customers": d30_customers,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillwise.catalog.dirty import raw_sql
-from tillwise.catalog.oracle import big, dbl, over, rk
+from tillwise.catalog.oracle import big, dbl, named_queries, over, r2, rk
 from tillwise.schema import RAW_COLUMNS
 
 SHORT = {
@@ -246,6 +246,17 @@ def _doubles(table: str, *money: str) -> str:
     return f"SELECT * REPLACE ({replaced}) FROM {table}"
 
 
+def _on_clean(key: str) -> str:
+    """SQL of a named query, with its flat rows taken from the cleaned tables."""
+    flat = """, f AS (
+  SELECT i.*, o.customer_id, o.order_date, o.channel, o.status, p.product_name, p.category, p.brand,
+         p.unit_cost, i.line_total - i.quantity * p.unit_cost AS profit
+  FROM clean_i i JOIN clean_o o USING (order_id) JOIN clean_p p USING (product_id)
+  WHERE o.status IN ('F', 'O'))"""
+    body = named_queries()[key].removeprefix(over("f", body="").rstrip())
+    return clean("poi", flat + body)
+
+
 def cleaning_oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     q["s06_row_counts"] = over("ln", "pr", "cu", "od", "rt", body="""
@@ -356,6 +367,13 @@ FROM (SELECT DISTINCT order_id, CAST(item_id AS BIGINT) AS item_id, product_id,
     q["d30_clean_order_items"] = clean(
         "poi", _doubles("clean_i", "unit_price", "discount_pct", "line_total"))
     q["d30_clean_returns"] = clean("por", _doubles("clean_r", "refund_amount"))
+    q["s05_q07_on_clean_star"] = _on_clean("q07_category_rank")
+    q["s05_q12_on_clean_star"] = _on_clean("q12_channel_performance")
+    q["s05_m05_on_clean_star"] = clean("poi", f"""
+, n AS (SELECT channel, {dbl('SUM(quantity * unit_price * discount_pct)')} AS total_discount
+  FROM clean_i JOIN clean_o USING (order_id) GROUP BY channel)
+SELECT channel, {r2('n.total_discount')} AS total_discount FROM (SELECT DISTINCT channel FROM clean_o)
+LEFT JOIN n USING (channel)""")
     q["d30_integrity"] = clean("cpoir", """
 SELECT 'orders' AS child, 'customers' AS parent, 'customer_id' AS key, COUNT(*) AS orphans FROM clean_o
 WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM clean_c)
