@@ -75,7 +75,7 @@ def test_toxicity(larger, edges, nothing):
 def test_hidden_words_are_restored(fitted):
     restorer = fitted.restorer
     for hidden, word in (("1d10t", "idiot"), ("m0r0n!", "moron"), ("l0s3r", "loser"), ("cl0wn,", "clown"), ("$tup1d", "stupid"),
-                         ("P4thetic", "pathetic"), ("looooser", "loser"), ("iidiiiot", "idiot")):
+                         ("P4thetic", "pathetic"), ("looooser", "loser"), ("iidiiiot", "idiot"), ("m*ron", "moron")):
         assert word in restorer.words(hidden), hidden
     assert "idiot" in restorer.text_words("you i d i o t you")
     assert "moron" in restorer.text_words("a m.o.r.o.n here") + restorer.text_words("m o r o n")

@@ -27,7 +27,7 @@ BEAM = 12
 # What a sign may stand for.
 SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
+    "*": "aeiou", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
 # Costs of the channel in nats: a sign for a letter, a letter too many, a gap inside a word, a sign that stays.
 SIGN, REPEAT, GAP, STAYS = 1.0, 0.7, 0.4, 3.0
