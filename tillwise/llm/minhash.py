@@ -17,6 +17,7 @@ LEAST, OF = 75, 100  # similarity in hundredths
 COORDINATES = 128  # a power of two
 BAND = 4  # coordinates in a band: a pair at 0.75 shares none of 32 bands with odds of 5e-6
 BANDS = COORDINATES // BAND
+BLOCK_SETS, BLOCK_ITEMS = 256, 300_000  # about so much on each side of a block pair in the last check
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -146,6 +147,43 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, by products of 0/1 matrices over the items both sides have."""
+    both = np.intersect1d(np.concatenate(left), np.concatenate(right))
+    out = np.zeros((len(left), len(right)), dtype=np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        items = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(both, items), len(both) - 1)
+        held = both[at] == items
+        return owner[held], at[held]
+
+    if len(both):
+        (o1, i1), (o2, i2) = places(left), places(right)
+        for start in range(0, len(both), 1 << 14):  # bounds the matrices
+            width = min(1 << 14, len(both) - start)
+            m1, m2 = np.zeros((len(left), width), np.float32), np.zeros((len(right), width), np.float32)
+            for o, i, m in ((o1, i1, m1), (o2, i2, m2)):
+                some = (i >= start) & (i < start + width)
+                m[o[some], i[some] - start] = 1
+            out += m1 @ m2.T
+    return out.astype(np.int64)
+
+
+def _cross_links(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Pairs of components with a link between the two sides of a block pair."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"a": [], "b": []}, dtype="int64")
+    sets = [[np.asarray(x, dtype=np.int64) for x in column] for column in (left["items_1"], right["items"])]
+    n1, n2 = (np.array([len(x) for x in side]) for side in sets)
+    both = _shared(*sets)
+    c1, c2 = left["component_1"].to_numpy(), right["component"].to_numpy()
+    linked = (OF * both >= LEAST * (n1[:, None] + n2[None] - both)) & (c1[:, None] != c2[None])
+    rows, columns = np.nonzero(linked)
+    return pd.DataFrame({"a": c1[rows], "b": c2[columns]}).drop_duplicates()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each node of a link can reach.
 
@@ -179,10 +217,11 @@ def near_groups(docs: DataFrame) -> DataFrame:
     3. In each bucket all nodes are checked against two hubs: the smallest id, and the node with the smallest share of items that no
        other candidate has (an original has few of its own, its edited copies have more). That is linear in the bucket.
        Checked links make components.
-    4. Pairs of one bucket that lie in different components are what is left. A pair can't be similar if it could not be
-       when all items that at least one other candidate has were common to both: this bound is exact and cuts
-       the pairs of edited copies of one original. What the bound leaves is checked on full sets, so no
-       link that banding finds is lost, and no cap is set anywhere.
+    4. Pairs of one bucket that lie in different components are what is left. A node can't have a link if less than 0.75 of its
+       items are in any other candidate, and takes no part. The others of a bucket that are not in the component of its central
+       node meet the whole bucket in blocks of bounded size; a block pair counts all its intersections on full sets by
+       matrix products and gives out only pairs of components with a link. No link that banding finds is lost,
+       no pairs are written out, and no cap is set anywhere.
 
     Returns one row for each row of ``docs``: doc_id, n_shingles, component_id, kept. Documents without words have no
     shingles and are linked with nothing. Rows with a null doc_id take no part: component_id is null and kept is true.
@@ -227,7 +266,6 @@ def near_groups(docs: DataFrame) -> DataFrame:
         .where("node <> _hub").distinct().join(facts, "_hub").where(possible("n", "common", "_n", "_common"))
         .select(F.col("_hub").alias("a"), F.col("node").alias("b"))
     )
-    stars = written(stars)
     first_links = written(_verified(stars, sets))
     first = components(first_links)
 
@@ -236,21 +274,33 @@ def near_groups(docs: DataFrame) -> DataFrame:
     main = hubs.select("key", "central").join(hub_label, "central", "left").select(
         "key", F.coalesce("_label", "central").alias("_main")
     )
-    split = written(labelled.join(main, "key"))
-    left = split.where("component <> _main").select(
-        "key", F.col("node").alias("a"), F.col("n").alias("n1"), F.col("common").alias("c1"), F.col("component").alias("l1")
-    )
-    right = split.select(
-        "key", F.col("node").alias("b"), F.col("n").alias("n2"), F.col("common").alias("c2"), F.col("component").alias("l2"), "_main"
-    )
-    rest = (
-        left.join(right, "key")
-        .where((F.col("l1") != F.col("l2")) & ((F.col("l2") == F.col("_main")) | (F.col("a") < F.col("b"))))
-        .where(possible("n1", "c1", "n2", "c2")).select("a", "b", "l1", "l2").distinct()
+    split = labelled.join(main, "key").withColumn("_other", F.col("component") != F.col("_main"))
+
+    def blocks(which: Column) -> Column:
+        rows, items = F.count(F.when(which, 1)), F.sum(F.when(which, F.col("n")).otherwise(0))
+        return F.greatest(F.ceil(rows / BLOCK_SETS), F.ceil(items / BLOCK_ITEMS)).cast("int")
+
+    sides = split.groupBy("key").agg(
+        blocks(F.col("_other")).alias("_lefts"), blocks(F.lit(True)).alias("_rights")
+    ).where("_lefts > 0")
+    rest = written(split.join(sides, "key").select("key", "node", "component", "_other", "_lefts", "_rights"))
+    dealt = rest.join(sets, "node")
+
+    def chunk(of: str) -> Column:
+        return F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+
+    def every(of: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+
+    left = dealt.where("_other").withColumn("l", chunk("_lefts")).withColumn("r", every("_rights"))
+    right = dealt.withColumn("r", chunk("_rights")).withColumn("l", every("_lefts"))
+    pair = ["key", "l", "r"]
+    columns = [*pair, "component", "items"]
+    left = left.select(*columns).toDF(*[f"{c}_1" for c in columns])  # names of their own, as both sides come from one table
+    more = (
+        left.groupBy(*[f"{c}_1" for c in pair]).cogroup(right.select(*columns).groupBy(*pair))
+        .applyInPandas(_cross_links, "a long, b long").distinct()
     )
-    tested = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    rest = written(rest.join(tested, ["a", "b"], "left_anti"))
-    more = _verified(rest, sets).join(rest, ["a", "b"]).select(F.col("l1").alias("a"), F.col("l2").alias("b")).distinct()
     second = components(more).select(F.col("node").alias("component"), F.col("component").alias("_joined"))
     joined = first.join(second, "component", "left").select(
         "node", F.coalesce("_joined", "component").alias("component")
