@@ -69,6 +69,7 @@ class Lattice:
         self.order = np.argsort(hashes)
         self.hashes = hashes[self.order]
         self.size = len(pieces)
+        self.lengths = np.array([len(p) for p in pieces])
 
     @staticmethod
     def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,12 +89,12 @@ class Lattice:
         shift = self.inverses[place] if place is not None else self.inverses[np.zeros(len(starts), dtype=np.int64)]
         return mix64((sums[ends] - sums[starts]) * shift + (ends - starts).astype(np.uint64))
 
-    def spans(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
-        """Lengths, offsets, and for each span length k: starts and pieces (-1: one unknown character)."""
+    def edges(self, words: list[str]) -> Edges:
+        """All spans of the words that are pieces; each single character has one (piece ``size`` where it is unknown)."""
         codes, lengths, offsets = self._codes(words)
         sums, place = self._sums(codes, offsets), self._place(offsets, len(codes))
-        left = np.repeat(offsets[1:], lengths) - np.arange(len(codes))
-        out = []
+        left = np.repeat(lengths, lengths) - place
+        found = []
         for k in range(1, self.longest + 1):
             starts = np.flatnonzero(left >= k)
             if not len(starts):
@@ -101,20 +102,32 @@ class Lattice:
             hashes = self._spans(codes, starts, starts + k, sums, place[starts])
             at = np.minimum(np.searchsorted(self.hashes, hashes), self.size - 1)
             known = self.hashes[at] == hashes
-            if k == 1:
-                out.append((k, starts, np.where(known, self.order[at], -1)))
-            else:
-                out.append((k, starts[known], self.order[at][known]))
-        return lengths, offsets, out
-
-
-def _grid(lengths: np.ndarray, offsets: np.ndarray, spans: list, longest: int) -> tuple[np.ndarray, int]:
-    """pieces[position, k - 1] with -2 for none."""
-    total = int(offsets[-1])
-    grid = np.full((total, longest), -2, dtype=np.int64)
-    for k, starts, pieces in spans:
-        grid[starts, k - 1] = pieces
-    return grid, total
+            pieces = np.where(known, self.order[at], self.size)
+            if k > 1:
+                starts, pieces = starts[known], pieces[known]
+            found.append((starts, np.full(len(starts), k), pieces))
+        start, length, piece = (np.concatenate(x) for x in zip(*found, strict=True))
+        owner = np.repeat(np.arange(len(words)), lengths)[start]
+        return Edges(lengths, offsets[:-1] + np.arange(len(words)), start + owner, start + length + owner, place[start], length, piece, owner)
+
+
+class Edges:
+    """Pieces between the places of words. A word of n characters has n + 1 places, and ``first`` is its first one."""
+
+    def __init__(self, lengths, first, tail, head, begin, length, piece, owner):
+        self.lengths, self.first, self.places = lengths, first, int(lengths.sum()) + len(lengths)
+        self.tail, self.head, self.begin, self.length, self.piece, self.owner = tail, head, begin, length, piece, owner
+
+    def steps(self, back: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Edges by the position that they lead to (back: from), in order: edges, first edge of each place, the places."""
+        position = self.begin if back else self.begin + self.length
+        place = self.tail if back else self.head
+        order = np.lexsort((place, -position if back else position))
+        cuts = np.flatnonzero(np.diff(position[order])) + 1
+        for some in np.split(order, cuts):
+            own = place[some]
+            first = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            yield some, first, own[first]
 
 
 class Model:
@@ -122,57 +135,37 @@ class Model:
 
     def __init__(self, lattice: Lattice, probabilities: np.ndarray):
         self.lattice = lattice
-        n = probabilities.shape[1]
-        scale = np.ones(len(probabilities))
-        self.table = np.vstack([probabilities * scale[:, None], np.zeros((1, n)), np.full((1, n), UNSEEN)])
-        # the last two rows: no piece (-2), one unknown character (-1)
-
-    def forward(self, words: list[str]) -> tuple[np.ndarray, ...]:
-        """Scaled sums over all segmentations up to each character of each word."""
-        lengths, offsets, spans = self.lattice.spans(words)
-        grid, total = _grid(lengths, offsets, spans, self.lattice.longest)
-        n = self.table.shape[1]
-        order = np.argsort(-lengths, kind="stable")
-        sums = np.zeros((total + len(words), n))  # one place more for each word: before the first character
-        base = offsets[:-1] + np.arange(len(words))
-        sums[base] = 1.0
-        longest = int(lengths.max(initial=0))
-        for j in range(1, longest + 1):
-            some = order[: np.searchsorted(-lengths[order], -j, side="right")]
-            value = np.zeros((len(some), n))
-            for k in range(1, min(j, self.lattice.longest) + 1):
-                pieces = grid[offsets[some] + j - k, k - 1]
-                value += sums[base[some] + j - k] * self.table[pieces] * _SCALE ** k
-            sums[base[some] + j] = value
-        return lengths, offsets, grid, base, order, sums
+        table = np.vstack([probabilities, np.full((1, probabilities.shape[1]), UNSEEN)])  # the last: an unknown character
+        self.table = table * _SCALE ** np.append(lattice.lengths, 1)[:, None]
+
+    def forward(self, edges: Edges) -> np.ndarray:
+        """Scaled sums over all segmentations up to each place."""
+        sums = np.zeros((edges.places, self.table.shape[1]))
+        sums[edges.first] = 1.0
+        for some, first, places in edges.steps(back=False):
+            sums[places] = np.add.reduceat(sums[edges.tail[some]] * self.table[edges.piece[some]], first, axis=0)
+        return sums
 
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
-        lengths, _, _, base, _, sums = self.forward(words)
-        return np.log(np.maximum(sums[base + lengths], 1e-300)) - lengths[:, None] * np.log(_SCALE)
+        edges = self.lattice.edges(words)
+        whole = self.forward(edges)[edges.first + edges.lengths]
+        return np.log(np.maximum(whole, 1e-300)) - edges.lengths[:, None] * np.log(_SCALE)
 
     def expected(self, words: list[str], language: int, times: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece in the words of one language."""
-        lengths, offsets, grid, base, order, sums = self.forward(words)
-        ahead = np.zeros(sums.shape[0])
-        ahead[base + lengths] = 1.0
-        counts = np.zeros(self.lattice.size + 2)
-        column = self.table[:, language]
-        whole = sums[base + lengths, language]
-        longest = int(lengths.max(initial=0))
-        for j in range(longest - 1, -1, -1):  # the sums from j to the end
-            some = order[: np.searchsorted(-lengths[order], -(j + 1), side="right")]
-            value = np.zeros(len(some))
-            for k in range(1, min(longest - j, self.lattice.longest) + 1):
-                fits = lengths[some] >= j + k
-                rows = some[fits]
-                pieces = grid[offsets[rows] + j, k - 1]
-                step = column[pieces] * _SCALE ** k * ahead[base[rows] + j + k]
-                value[fits] += step
-                use = sums[base[rows] + j, language] * step / np.maximum(whole[rows], 1e-300) * times[rows]
-                np.add.at(counts, pieces, use)
-            ahead[base[some] + j] = value
-        return counts[: self.lattice.size]
+        edges = self.lattice.edges(words)
+        column = Model.__new__(Model)
+        column.lattice, column.table = self.lattice, self.table[:, language:language + 1]
+        sums = column.forward(edges)[:, 0]
+        weight = column.table[edges.piece, 0]
+        ahead = np.zeros(edges.places)
+        ahead[edges.first + edges.lengths] = 1.0
+        for some, first, places in edges.steps(back=True):
+            ahead[places] = np.add.reduceat(weight[some] * ahead[edges.head[some]], first)
+        whole = np.maximum(sums[edges.first + edges.lengths], 1e-300)
+        use = sums[edges.tail] * weight * ahead[edges.head] / whole[edges.owner] * times[edges.owner]
+        return np.bincount(edges.piece, weights=use, minlength=self.lattice.size + 1)[: self.lattice.size]
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
