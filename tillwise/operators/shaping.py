@@ -19,32 +19,36 @@ def pivot_values(
 
 
 def histogram(df: DataFrame, col: str, bins: int, by: Sequence[str] = ()) -> DataFrame:
-    """Equal-width bins between min and max, the last one closed: (bin, lower, upper, n).
+    """Equal-width bins between min and max, the last one closed: (*by, bin, lower, upper, n).
 
-    Bins without a row are listed with n = 0; equal min and max spread half a unit each way.
+    Bins without a row are listed with n = 0; equal min and max spread half a unit each way. The
+    edges of all groups (few: metrics, categories) reach the rows as one map.
     """
-    values = df.select(F.col(col).cast("double").alias("v")).where("v IS NOT NULL")
-    edges = values.agg(F.min("v").alias("lo"), F.max("v").alias("hi")).select(
-        F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-        F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+    by = list(by)
+    group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
+    values = df.select(group.alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL")
+    flat = F.col("lo") == F.col("hi")
+    edges = values.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi")).select(
+        "g", F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
+        F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
     )
-    limits = edges.select(F.struct("lo", "hi")).scalar()
+    limits = edges.agg(
+        F.map_from_entries(F.collect_list(F.struct("g", F.struct("lo", "hi"))))
+    ).scalar()
     width = F.col("e.hi") - F.col("e.lo")
     counted = (
-        values.withColumn("e", limits)
-        .select(
-            F.least(
-                F.floor((F.col("v") - F.col("e.lo")) / width * bins), F.lit(bins - 1)
-            ).cast("int").alias("bin")
-        )
-        .groupBy("bin").agg(F.count("*").alias("n"))
+        values.withColumn("_limits", limits).withColumn("e", F.col("_limits")[F.col("g")])
+        .select("g", F.least(
+            F.floor((F.col("v") - F.col("e.lo")) / width * bins), F.lit(bins - 1)
+        ).cast("int").alias("bin"))
+        .groupBy("g", "bin").agg(F.count("*").alias("n"))
     )
     step = (F.col("hi") - F.col("lo")) / bins
-    spine = edges.where("lo IS NOT NULL").select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
+    spine = edges.select(
+        "g", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin")
     )
-    return spine.join(counted, "bin", "left").select(
-        "bin",
+    return spine.join(counted, ["g", "bin"], "left").select(
+        *[F.col(f"g.{c}").alias(c) for c in by], "bin",
         (F.col("lo") + F.col("bin") * step).alias("lower"),
         (F.col("lo") + (F.col("bin") + 1) * step).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),

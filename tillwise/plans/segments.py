@@ -82,17 +82,21 @@ def segment_summary(star: Star, parity: bool = False) -> DataFrame:
 
 
 def rfm_distributions(star: Star, bins: int = 40) -> DataFrame:
-    """Histogram of each measure with its median: (metric, bin, lower, upper, n, median)."""
+    """Histogram of each measure with its median: (metric, bin, lower, upper, n, median).
+
+    The measures are put under each other, so that one pass serves all of them at each step.
+    """
     base = rfm_base(star).withColumn("monetary", dollars("monetary"))
-    parts = None
-    for metric in RFM_COLUMNS:
-        median = exact_quantiles(base, metric, [0.5]).select(F.element_at("q", 1)).scalar()
-        part = histogram(base, metric, bins).select(
-            F.lit(metric).alias("metric"), "bin", round_half("lower", 4).alias("lower"),
-            round_half("upper", 4).alias("upper"), "n", round_half(median, 4).alias("median"),
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    melted = base.select(F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("v")) for m in RFM_COLUMNS
+    ])).alias("m")).select("m.metric", "m.v")
+    medians = exact_quantiles(melted, "v", [0.5], ["metric"]).agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", F.element_at("q", 1))))
+    ).scalar()
+    return histogram(melted, "v", bins, ["metric"]).withColumn("_medians", medians).select(
+        "metric", "bin", round_half("lower", 4).alias("lower"), round_half("upper", 4).alias("upper"),
+        "n", round_half(F.col("_medians")[F.col("metric")], 4).alias("median"),
+    )
 
 
 def product_revenue(star: Star) -> DataFrame:
