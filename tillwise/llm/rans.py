@@ -24,7 +24,12 @@ _MASK = np.uint64((1 << PRECISION) - 1)
 
 def frequencies(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Symbols that occur, and frequencies of at least 1 that add up to 2**PRECISION."""
-    symbols, counts = np.unique(ids, return_counts=True)
+    if int(ids.max()) < 1 << 22:
+        counts = np.bincount(ids)
+        symbols = np.flatnonzero(counts)
+        counts = counts[symbols]
+    else:
+        symbols, counts = np.unique(ids, return_counts=True)
     room = (1 << PRECISION) - len(symbols)
     if room < 0:
         raise ValueError("more distinct ids than the precision has places")
@@ -42,7 +47,13 @@ def encode(ids: np.ndarray) -> dict[str, bytes | int]:
     steps = -(-n // (blocks * LANES))
     padded = np.full(blocks * steps * LANES, ids[0], dtype=np.uint32)
     padded[:n] = ids
-    at = np.searchsorted(symbols, padded).reshape(blocks, steps, LANES)
+    if int(symbols[-1]) < 1 << 22:
+        place_of = np.zeros(int(symbols[-1]) + 1, dtype=np.int32)
+        place_of[symbols] = np.arange(len(symbols), dtype=np.int32)
+        at = place_of[padded]
+    else:
+        at = np.searchsorted(symbols, padded)
+    at = at.reshape(blocks, steps, LANES)
     x = np.full((blocks, LANES), _LOW, dtype=np.uint64)
     words = np.empty((blocks, steps, LANES), dtype=np.uint32)
     given = np.empty((blocks, steps, LANES), dtype=bool)
