@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import SPACES, written
+from tillwise.llm.common import SPACES, rows_of, written
 
 PREFIX_CHARS = 256
 # The keys that still have company after the prefix stage, as a bitmap of hashed keys. Its size is
@@ -49,11 +49,9 @@ def exact_groups(docs: DataFrame) -> DataFrame:
             F.xxhash64(F.substring("_t", 1, PREFIX_CHARS)).alias("_prefix"),
         )
     )
-    lengths = keys.groupBy("_len").agg(F.count("*").alias("_n")).where("_n > 1").select("_len")
-    prefixes = (
-        keys.join(lengths, "_len").groupBy("_len", "_prefix").agg(F.count("*").alias("_n"))
-        .where("_n > 1").select(_slot(F.col("_len"), F.col("_prefix")).alias("_slot"))
-    )
+    counted = keys.groupBy("_len", "_prefix").agg(F.count("*").alias("_n"))
+    lengths = counted.groupBy("_len").agg(F.sum("_n").alias("_same")).where("_same > 1").select("_len")
+    prefixes = counted.join(lengths, "_len").where("_n > 1").select(_slot(F.col("_len"), F.col("_prefix")).alias("_slot"))
     bitmap = (
         prefixes.groupBy(F.bitmap_bucket_number("_slot").alias("_map"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
@@ -83,8 +81,5 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose text an earlier id has; all columns as they were."""
-    kept = exact_groups(docs.select("doc_id", "text")).where("kept").select(
-        F.col("doc_id").alias("_kept_id")
-    ).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """``docs`` without the rows whose text an earlier id has; all columns as they were. Rows without an id stay."""
+    return rows_of(docs, exact_groups(docs.select("doc_id", "text")).where("kept").select("doc_id"))
