@@ -11,7 +11,7 @@ WEIGHTS = (5.0, 2.0, 1.0)  # of the sources in code point order, null last, repe
 SHARE = 1.5  # of all words
 MOST_COPIES = 2.0
 SEED = 20_240_117
-BUCKETS = 1 << 16
+SIDE = 512  # ranges of the rank value, each cut into as many again
 
 
 def word_count(text: Column) -> Column:
@@ -53,14 +53,31 @@ def targets(sizes: DataFrame) -> DataFrame:
     )
 
 
+def _first_over(rows: DataFrame) -> DataFrame:
+    """For each source the first _at whose running sum of sizes, from _start on, is over _rest: _source, _cut, _start.
+
+    The windows run over one row for each _at of a source, SIDE at most.
+    """
+    up_to = Window.partitionBy("source").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = (
+        rows.groupBy("source", "_at").agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"), F.first("_start").alias("_start"))
+        .withColumn("_end", F.col("_start") + F.sum("_sum").over(up_to))
+    )
+    return (
+        sums.where(F.col("_end") > F.col("_rest")).groupBy("source")
+        .agg(F.min_by(F.struct("_at", (F.col("_end") - F.col("_sum")).alias("start")), "_at").alias("_first"))
+        .select(F.col("source").alias("_source"), F.col("_first._at").alias("_cut"), F.col("_first.start").alias("_start"))
+    )
+
+
 def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     """How many copies of each document the mix takes.
 
     Each document gets the whole number of copies that its source's ratio (target over size) holds. For the rest, documents of a
     source are ranked by their random odds u / (1 - u) divided by their inclusion odds p / (1 - p), where u is a hash of seed and
     doc_id and p the ratio's fraction, and are taken in this order as long as that brings the words nearer to the target.
-    The place of the cut comes from sums over BUCKETS ranges of the rank value, so
-    that only the documents of the one range with the cut in it are ordered; the cut lies where u is near p and the ranges are
+    The place of the cut comes from sums over SIDE ranges of the rank value, then over SIDE parts of the range with the cut, so
+    that only the documents of one part are ordered; the cut lies where u is near p and the ranges are
     finest. A source with a third of all rows only means bigger sums.
 
     Returns one row for each row of ``docs``: doc_id, source, size, source_size, target, copies, taken.
@@ -79,19 +96,15 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
         .withColumn("_rest", F.col("_fraction") * F.col("source_size"))
         .withColumn("_u", u)
         .withColumn("_rank", F.when(p > 0, (F.col("_u") / (1 - F.col("_u"))) / (p / (1 - p))))
-        .withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * BUCKETS))
-    )
-    up_to = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = (  # at most BUCKETS rows for each source
-        ranked.where("_bucket IS NOT NULL AND size > 0").groupBy("source", "_bucket")
-        .agg(F.sum("size").alias("_sum"), F.first("_rest").alias("_rest"))
-        .withColumn("_end", F.sum("_sum").over(up_to))
-    )
-    cuts = (
-        sums.where(F.col("_end") > F.col("_rest")).groupBy("source")
-        .agg(F.min_by(F.struct("_bucket", (F.col("_end") - F.col("_sum")).alias("start")), "_bucket").alias("_cut"))
-        .select(F.col("source").alias("_source"), F.col("_cut._bucket").alias("_cut"), F.col("_cut.start").alias("_start"))
+        .withColumn("_bucket", F.floor(F.col("_rank") / (1 + F.col("_rank")) * SIDE * SIDE))
     )
+    counted = ranked.where("_bucket IS NOT NULL AND size > 0")
+    side = F.floor(F.col("_bucket") / SIDE)
+    coarse = _first_over(counted.withColumn("_at", side).withColumn("_start", F.lit(0).cast("long")))
+    inside = counted.withColumn("_at", side).join(
+        coarse, counted["source"].eqNullSafe(coarse["_source"]) & (F.col("_at") == F.col("_cut"))
+    ).select("source", "size", "_rest", "_start", F.col("_bucket").alias("_at"))
+    cuts = _first_over(inside)
     placed = ranked.join(cuts, ranked["source"].eqNullSafe(cuts["_source"]), "left").drop("_source")
     at_cut = (F.col("_bucket") == F.col("_cut")) & (F.col("size") > 0)
     before = (
