@@ -20,7 +20,7 @@ SEGMENT = 64  # a longer run of letters is scored in segments of so many
 UNSEEN = 1e-7  # probability of a character that no piece holds
 PSEUDO = 0.1  # added to each expected count
 HELD_WORDS = 200_000
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 800_000
 UNKNOWN = "und"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -259,10 +259,14 @@ def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray,
             flat = sorted({w for ws in split for w in ws})
             scores = np.vstack([model.score(flat[k:k + 5000]) for k in range(0, len(flat), 5000)]) if flat else np.zeros((0, n))
             at = dict(zip(flat, range(len(flat)), strict=True))
-            for k, (chunk, ws) in enumerate(zip(new, split, strict=True), start):
-                number[chunk] = k
-                letters[k] = bool(ws)
-                rows[k] = scores[[at[w] for w in ws]].sum(axis=0) if ws else 0.0
+            number.update(zip(new, range(start, start + len(new)), strict=True))
+            sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+            places = np.fromiter((at[w] for ws in split for w in ws), dtype=np.int64, count=int(sizes.sum()))
+            own = slice(start, start + len(new))
+            rows[own], letters[own] = 0.0, sizes > 0
+            if len(places):  # sums over the words of each chunk that has any
+                some = np.flatnonzero(sizes)
+                rows[start + some] = np.add.reduceat(scores[places], (np.cumsum(sizes) - sizes)[some], axis=0)
 
         def predicted(values: list) -> tuple[list[str], list[float]]:
             texts = [t.lower().split() if isinstance(t, str) else [] for t in values]
