@@ -9,10 +9,9 @@ from itertools import count
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tillwise.llm.common import written
-from tillwise.llm.tokens import ChunkTokens, vocabulary_path
+from tillwise.llm.common import hide_null, show_null
+from tillwise.llm.tokens import ChunkTokens, split_chunk, vocabulary_path
 
 # A block of documents holds about so many bytes of text and at most so many documents. Long texts
 # make a block of their own.
@@ -21,7 +20,11 @@ BLOCK_DOCS = 1 << 14
 # Partial sums are sent on when so many are held.
 HELD_SUMS = 1 << 22
 
-POSTINGS = "block string, word binary, docs binary, freqs binary, ids binary, sizes binary"
+POSTINGS = "block long, word binary, postings binary"
+# The ids and sizes of a block travel as a row whose word begins with a space, which no pre-token holds.
+_HEAD = b" "
+# A posting: the document's place in its block, and how often it has the word. Above 255 times it is repeated.
+_POSTING = np.dtype([("doc", "<u2"), ("times", "u1")])
 
 
 def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes]]]:
@@ -42,51 +45,67 @@ def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list, list[bytes]
         yield ids, texts
 
 
-def _shrink(values: np.ndarray) -> bytes:
-    """Counts as bytes where they fit, else as 32 or 64 bits; the reader tells by the length."""
-    top = int(values.max(initial=0))
-    return values.astype(np.uint8 if top < 256 else "<u4" if top < 1 << 32 else "<u8").tobytes()
+def _postings(word: np.ndarray, doc: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words and postings in the order of words, each (word, document) once for each 255 times."""
+    order = np.argsort(word * BLOCK_DOCS + doc, kind="stable")
+    word, doc, times = word[order], doc[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (doc[1:] != doc[:-1])]))
+    word, doc, times = word[first], doc[first], np.add.reduceat(times, first)
+    copies = -(-times // 255)
+    place = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+    out = np.empty(len(place), dtype=_POSTING)
+    out["doc"] = np.repeat(doc, copies)
+    out["times"] = np.minimum(np.repeat(times, copies) - 255 * place, 255)
+    return np.repeat(word, copies), out
 
 
-def _grow(data: bytes, n: int) -> np.ndarray:
-    width = len(data) // n
-    return np.frombuffer(data, dtype=f"<u{width}").astype(np.int64)
+def _words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The distinct pre-tokens of each block."""
+    for _, texts in _blocks(batches):
+        chunks: set[bytes] = set()
+        for text in texts:
+            chunks.update(text.split())
+        words = list({part for chunk in chunks for part in split_chunk(chunk)})
+        for k in range(0, len(words), 50_000):
+            yield pd.DataFrame({"word": words[k:k + 50_000]})
 
 
 def _invert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """For each block one row of ids and sizes, and for each distinct word the documents with it."""
-    import uuid
+    """For each block one row of ids and sizes, and for each distinct pre-token the documents with it."""
+    from pyspark import TaskContext
 
-    for ids, texts in _blocks(batches):
-        block = uuid.uuid4().hex
-        known = pd.array(ids, dtype="Int64")
+    first = TaskContext.get().partitionId() << 32
+    for block, (ids, texts) in enumerate(_blocks(batches), first):
+        head = np.array([ids, [len(t) for t in texts]], dtype="<i8")
         yield pd.DataFrame({
-            "block": [block], "word": [None], "docs": [None], "freqs": [None],
-            "ids": [known.to_numpy(dtype=np.int64, na_value=0).tobytes() + np.asarray(known.isna()).tobytes()],
-            "sizes": [np.array([len(t) for t in texts], dtype=np.int64).tobytes()],
+            "block": [block], "word": [_HEAD + block.to_bytes(8, "big")], "postings": [head.tobytes()],
         })
         number: dict[bytes, int] = defaultdict(count().__next__)
-        pairs = []
+        found = []
         for at, text in enumerate(texts):
-            words = text.split()
-            if words:
-                of = np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words))
+            chunks = text.split()
+            if chunks:
+                of = np.fromiter(map(number.__getitem__, chunks), dtype=np.int64, count=len(chunks))
                 kinds, times = np.unique(of, return_counts=True)
-                pairs.append((kinds, np.full(len(kinds), at, dtype=np.int64), times))
-        if not pairs:
+                found.append((kinds, np.full(len(kinds), at, dtype=np.int64), times))
+        if not found:
             continue
-        kinds, docs, times = (np.concatenate(x) for x in zip(*pairs, strict=True))
-        order = np.argsort(kinds, kind="stable")
-        kinds, docs, times = kinds[order], docs[order].astype("<u2"), times[order]
-        edges = np.searchsorted(kinds, np.arange(len(number) + 1))
-        words = list(number)
-        for start in range(0, len(words), 50_000):
-            some = range(start, min(start + 50_000, len(words)))
+        chunk, doc, times = (np.concatenate(x) for x in zip(*found, strict=True))
+        words: dict[bytes, int] = defaultdict(count().__next__)
+        parts = [split_chunk(c) for c in number]
+        head = np.array([words[p[0]] for p in parts])[chunk]
+        tail = np.array([words[p[1]] if len(p) > 1 else -1 for p in parts])[chunk]
+        both = tail >= 0
+        word, postings = _postings(
+            np.concatenate([head, tail[both]]), np.concatenate([doc, doc[both]]), np.concatenate([times, times[both]])
+        )
+        edges = (np.searchsorted(word, np.arange(len(words) + 1)) * _POSTING.itemsize).tolist()
+        data, names = postings.tobytes(), list(words)
+        for k in range(0, len(names), 20_000):
+            some = names[k:k + 20_000]
             yield pd.DataFrame({
-                "block": block, "word": [words[k] for k in some],
-                "docs": [docs[edges[k]:edges[k + 1]].tobytes() for k in some],
-                "freqs": [_shrink(times[edges[k]:edges[k + 1]]) for k in some],
-                "ids": None, "sizes": None,
+                "block": block, "word": some,
+                "postings": [data[edges[j]:edges[j + 1]] for j in range(k, k + len(some))],
             })
 
 
@@ -102,72 +121,69 @@ def _counter(path: str):
 
 
 def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums pieces times frequency for each block and document, as far as this task sees them."""
-    sums: dict[str, np.ndarray] = {}
+    """Sums pieces times frequency for each block and document, as far as this task sees them; heads pass through."""
+    sums: dict[int, np.ndarray] = {}
 
     def sent() -> pd.DataFrame:
         out = pd.DataFrame({
-            "block": list(sums), "tokens": [np.trim_zeros(s, "b").astype("<i8").tobytes() for s in sums.values()],
+            "block": list(sums), "head": None, "tokens": [np.trim_zeros(s, "b").astype("<i8").tobytes() for s in sums.values()],
         })
         sums.clear()
         return out
 
     for batch in batches:
-        for block, docs, freqs, pieces in batch[["block", "docs", "freqs", "pieces"]].itertuples(index=False):
-            at = np.frombuffer(docs, dtype="<u2")
+        heads = batch["pieces"].isna()
+        if heads.any():
+            yield batch.loc[heads, ["block", "postings"]].rename(columns={"postings": "head"}).assign(tokens=None)
+            batch = batch[~heads]
+        if not len(batch):
+            continue
+        batch = batch.sort_values("block", kind="stable")
+        blocks, starts = np.unique(batch["block"].to_numpy(), return_index=True)
+        data, pieces = batch["postings"].tolist(), batch["pieces"].to_numpy(dtype=np.int64)
+        for block, start, end in zip(blocks.tolist(), starts, [*starts[1:], len(batch)], strict=True):
+            own = np.frombuffer(b"".join(data[start:end]), dtype=_POSTING)
+            sizes = np.fromiter(map(len, data[start:end]), dtype=np.int64, count=end - start) // _POSTING.itemsize
+            tokens = np.repeat(pieces[start:end], sizes) * own["times"]
             held = sums.get(block)
             if held is None:
                 if len(sums) * BLOCK_DOCS >= HELD_SUMS:
                     yield sent()
                 held = sums[block] = np.zeros(BLOCK_DOCS, dtype=np.int64)
-            held[at] += _grow(freqs, len(at)) * pieces  # a document is named once for each word
+            np.add.at(held, own["doc"].astype(np.int64), tokens)
     if sums:
         yield sent()
 
 
 def _unpack(block: pd.DataFrame) -> pd.DataFrame:
     """One block: adds its partial sums and gives each document its row."""
-    head = block[block["ids"].notna()].iloc[0]
-    sizes = np.frombuffer(head["sizes"], dtype=np.int64)
-    n = len(sizes)
-    total = np.zeros(n, dtype=np.int64)
+    ids, sizes = np.frombuffer(block["head"].dropna().iloc[0], dtype="<i8").reshape(2, -1)
+    total = np.zeros(len(ids), dtype=np.int64)
     for data in block["tokens"].dropna():
         part = np.frombuffer(data, dtype="<i8")
         total[:len(part)] += part
-    ids = np.frombuffer(head["ids"][: 8 * n], dtype=np.int64)
-    gone = np.frombuffer(head["ids"][8 * n:], dtype=bool)
-    return pd.DataFrame({
-        "doc_id": pd.Series(pd.array(ids, dtype="Int64")).mask(gone),
-        "n_bytes": sizes, "n_tokens": total,
-    })
+    return pd.DataFrame({"doc_id": ids, "n_bytes": sizes, "n_tokens": total})
 
 
 def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Bytes and tokens of each text, as the tokenizers library counts them.
 
-    Blocks of documents (a few MB of text) are turned into postings: for each distinct word of the
-    block the documents that hold it, and how often. The distinct words of all blocks are cut
-    into pieces once each; that table is joined to the postings (a frequent word has one row for
+    Blocks of documents (a few MB of text) are turned into postings: for each distinct pre-token of the
+    block the documents that hold it, and how often. The distinct pre-tokens of all blocks are cut
+    into pieces once each; that table is joined to the postings (a frequent one has one row for
     each block, and a skew join may split it), and pieces times frequency are added up for each block
-    inside the tasks before they go back to it. No ids are kept anywhere.
+    inside the tasks before they go back to it. The texts are read twice; no ids are kept anywhere.
 
     Returns one row for each row of ``docs``: doc_id, n_bytes, n_tokens. Null and empty texts
     have 0 of both; a null or repeated doc_id is returned as it is; an empty table gives an empty result. Special
     strings inside a text count as the library counts them by default.
     """
     path = path or vocabulary_path()
-    postings = written(docs.select("doc_id", "text").mapInPandas(_invert, POSTINGS))
-    words = postings.where("word IS NOT NULL")
-    pieces = words.select("word").distinct().mapInPandas(_counter(path), "word binary, pieces long")
-    sums = (
-        words.select("block", "word", "docs", "freqs").join(pieces, "word")
-        .mapInPandas(_add_up, "block string, tokens binary")
-        .select("block", "tokens", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("sizes"))
-    )
-    heads = postings.where("word IS NULL").select(
-        "block", F.lit(None).cast("binary").alias("tokens"), "ids", "sizes"
-    )
+    told = docs.select(hide_null(), "text")
+    pieces = told.mapInPandas(_words, "word binary").distinct().mapInPandas(_counter(path), "word binary, pieces long")
     return (
-        sums.unionByName(heads).groupBy("block")
-        .applyInPandas(_unpack, "doc_id long, n_bytes long, n_tokens long")
+        told.mapInPandas(_invert, POSTINGS).join(pieces, "word", "left").select("block", "postings", "pieces")
+        .mapInPandas(_add_up, "block long, head binary, tokens binary")
+        .groupBy("block").applyInPandas(_unpack, "doc_id long, n_bytes long, n_tokens long")
+        .select(show_null(), "n_bytes", "n_tokens")
     )
