@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tests.llm.conftest import SF
+from tests.llm.conftest import SF, frame
 from tests.llm.test_dedup import brute_exact, brute_near
 from tests.llm.test_tokens import check_packing
-from tillwise.llm import mixing
+from tillwise.llm import langid, mixing
 from tillwise.llm.tokens import vocabulary_path
 
 NAMES = ["language", "exact_dedup", "near_dedup", "mixing", "packing"]
@@ -59,6 +59,18 @@ def test_edges_and_empty_tables_go_through(llm, edges, nothing, tmp_path):
     assert staged(llm, nothing, tmp_path / "nothing")[-1].count() == 0
 
 
+def test_corpus_without_learned_languages_goes_through(llm, tmp_path):
+    """No lang at all, or only on rows that are held out: only texts without a letter go."""
+    words = ["one two three", "Été déjà vu", "漢字 かな", "4 5 !!", None, "six seven eight nine"]
+    ids = llm.range(100).where(langid.held_out(F.col("id"))).limit(len(words)).collect()
+    for name, lang in (("null", None), ("held", "en")):
+        docs = frame(llm, [(r["id"], text, lang, "a") for r, text in zip(ids, words, strict=True)])
+        assert langid.learn(docs.where(~langid.held_out(F.col("doc_id"))))[1] == []
+        out = staged(llm, docs, tmp_path / name)
+        want = [(r["id"], text) for r, text in zip(ids, words, strict=True) if any(c.isalpha() for c in text or "")]
+        assert sorted(rows(out[1])) == want and out[-1].count() > 0
+
+
 def test_entry_without_the_operators(tmp_path):
     """The entry point imports, and keeps its other queries, where the folders are missing."""
     code = (

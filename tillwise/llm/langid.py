@@ -237,7 +237,7 @@ def learn(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> tup
 
 
 def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray, over):
-    """A task that gives ``over`` its batches and a function from texts to languages and scores."""
+    """A task that gives ``over`` its batches and a function from texts to languages, scores and whether they have a letter."""
 
     def run(batches: Iterator) -> Iterator:
         model = Model(Lattice(pieces), probabilities)
@@ -268,10 +268,10 @@ def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray,
                 some = np.flatnonzero(sizes)
                 rows[start + some] = np.add.reduceat(scores[places], (np.cumsum(sizes) - sizes)[some], axis=0)
 
-        def predicted(values: list) -> tuple[list[str], list[float]]:
+        def predicted(values: list) -> tuple[list[str], list[float], list[bool]]:
             texts = [t.lower().split() if isinstance(t, str) else [] for t in values]
             some: set[str] = set()
-            langs, scores = [], []
+            langs, scores, lettered = [], [], []
             begin = 0
             for end, chunks in enumerate(texts, 1):  # scored in groups whose chunks fit the cache
                 some.update(chunks)
@@ -279,7 +279,8 @@ def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray,
                     learned(some)
                     for own in texts[begin:end]:
                         at = np.fromiter(map(number.__getitem__, own), dtype=np.int64, count=len(own))
-                        if not n or not letters[at].any():
+                        lettered.append(bool(letters[at].any()))
+                        if not n or not lettered[-1]:
                             langs.append(UNKNOWN)
                             scores.append(0.0)
                             continue
@@ -288,7 +289,7 @@ def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray,
                         langs.append(languages[best])
                         scores.append(float(1 / np.exp(total - total[best]).sum()))
                     begin, some = end, set()
-            return langs, scores
+            return langs, scores, lettered
 
         yield from over(batches, predicted)
 
@@ -299,7 +300,7 @@ def predict(docs: DataFrame, learned: tuple[list[str], list[str], np.ndarray]) -
     """doc_id, lang_pred, score: the language with the highest likelihood and its share of all likelihoods."""
     def over(batches, predicted):
         for batch in batches:
-            langs, scores = predicted(batch["text"].tolist())
+            langs, scores, _ = predicted(batch["text"].tolist())
             yield pd.DataFrame({"doc_id": batch["doc_id"], "lang_pred": langs, "score": scores})
 
     return docs.select(hide_null(), "text").mapInPandas(
@@ -327,12 +328,15 @@ def identify(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` without texts that have no language; all columns as they were."""
+    """``docs`` without null texts and texts without a letter; all columns as they were.
+
+    Nothing else goes: where no language was learned, every text with a letter stays.
+    """
     learned = learn(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))), path)
 
     def over(batches, predicted):
         for batch in batches:
-            langs, _ = predicted(batch.column("text").to_pylist())
-            yield batch.filter(pa.array([lang != UNKNOWN for lang in langs]))
+            *_, lettered = predicted(batch.column("text").to_pylist())
+            yield batch.filter(pa.array(lettered, pa.bool_()))
 
     return docs.mapInArrow(_predict(*learned, over), docs.schema)
