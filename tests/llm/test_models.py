@@ -86,6 +86,25 @@ def test_hidden_words_are_restored(fitted):
     assert fitted.score(None) == fitted.score("") < 0.5
 
 
+def test_every_ambiguous_chunk_is_decoded(fitted):
+    """A letter doubled once, signs without a letter or at an edge, and gaps of any white space or marks."""
+    restorer = fitted.restorer
+    for hidden, word in (("mooron", "moron"), ("iidiot", "idiot"), ("!diot", "idiot"), ("(lown", "clown")):
+        assert word in restorer.words(hidden), hidden
+    decoded = []
+    plain = restorer.decode
+    restorer.decode = lambda token, spaced=False: decoded.append(token) or plain(token, spaced)
+    try:
+        for chunk in ("10$3", "$$", "hello", "one"):
+            restorer.words(chunk)
+    finally:
+        restorer.decode = plain
+    assert decoded == ["10$3", "$$", "hello"]
+    assert "hello" in restorer.words("Hello,")  # letters stay a reading of their own
+    for text in ("you i  d  i  o  t you", "i\td\ti\to\tt", "an (i d i o t) here", "i. d. i. o. t.", "i - d - i - o - t", '"i\nd i  o t"'):
+        assert "idiot" in restorer.text_words(text), text
+
+
 def test_decoding_is_the_best_path(fitted):
     """A wide beam is an exhaustive search on a short token."""
     restorer, model = fitted.restorer, fitted.restorer.model

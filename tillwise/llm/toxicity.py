@@ -34,9 +34,14 @@ SIGN, REPEAT, GAP, STAYS = 1.0, 0.7, 0.4, 3.0
 
 _ORDERS = (4, 3, 2, 1)
 _SLOT_BITS = {4: 20, 3: 18, 2: 16, 1: 8}
-_SPACED = re.compile(r"(?<!\S)(?:[^\s.,;:_*-][ .,_*-]){2,}[^\s.,;:_*-](?=[.,;:!?]*(?:\s|$))")
+# A gap is a run of white space or marks; a spaced-out run may stand between brackets or quotes.
+_MARKS = r"\s.,;:_*\-~/\\\[\]{})<>\"'`=#%&^"
+_SPACED = re.compile(rf"(?<!\S)[(\[{{<\"'`.,;:_*\-~]*((?:[^{_MARKS}][{_MARKS}]++){{2,}}[^{_MARKS}])(?=[.,;:!?)\]}}>\"'`_*~-]*(?:\s|$))")
+_GAPS = re.compile(rf"[{_MARKS}]+")
+LONGEST_HELD = 64  # characters of a spaced-out run whose words are held
 _STRIP = ".,;:?!\"'()[]{}<>|%&#*$-_~"
-_RUN = re.compile(r"([^\W\d_])\1\1")
+_STRIP_NO_SIGNS = "".join(c for c in _STRIP if c not in SIGNS)
+_DOUBLED = re.compile(r"([^\W\d_])\1")
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -138,13 +143,14 @@ class CharModel:
 class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
+        self.runs: dict[str, list[str]] = {}
 
     def _options(self, token: str, k: int, spaced: bool) -> list[tuple[str, float]]:
         """What character k may have been, and the cost: letters, a repeat or gap that goes, a sign that ends a word."""
         char = token[k]
         if char.isalpha():
             out = [(char, 0.0)]
-        elif spaced and char in " .,_*-":
+        elif spaced and char == " ":
             return [("", GAP), (" ", 0.0)]
         else:
             out = [(" ", STAYS)] + [(c, SIGN) for c in SIGNS.get(char, "")]
@@ -174,22 +180,36 @@ class Restorer:
         return min(ends)[1].decode("utf-8", "replace").strip()
 
     def words(self, chunk: str) -> list[str]:
-        """Words that a chunk between white space stands for. A chunk of letters stands for itself: its lattice has one path."""
+        """Words that a chunk between white space may stand for.
+
+        Every reading with more than one path is decoded: any sign, with or without a letter, and any letter twice
+        running. Letters alone are also a reading as they are. Signs at the edges may be punctuation or letters, so the chunk is
+        read without and with them.
+        """
         low = chunk.lower()
-        core = low.strip(_STRIP)
-        signs = any(c in SIGNS for c in core) and any(c.isalpha() for c in core)
-        edge = low.strip(_STRIP.replace("$", ""))
-        if 0 < len(edge) - len(core) <= 2 < len(edge):  # one or two signs at the edge may be letters, as in $cum
-            core, signs = edge, True
-        if signs or _RUN.search(core):
-            return _letters(self.decode(core))
-        return _letters(core)
+        core, edge = low.strip(_STRIP), low.strip(_STRIP_NO_SIGNS)
+        out: list[str] = []
+        for reading in dict.fromkeys((core, edge)):
+            signs = any(c in SIGNS for c in reading)
+            if not signs:
+                out += _letters(reading)
+            if signs or _DOUBLED.search(reading):
+                out += _letters(self.decode(reading))
+        return list(dict.fromkeys(out))
 
     def text_words(self, text: str) -> list[str]:
         """Words of spaced-out runs of single characters in a text."""
         out = []
         for match in _SPACED.finditer(text):
-            out += _letters(self.decode(match[0].lower(), spaced=True))
+            run = _GAPS.sub(" ", match[1].lower())
+            found = self.runs.get(run)
+            if found is None:
+                found = _letters(self.decode(run, spaced=True))
+                if len(run) <= LONGEST_HELD:
+                    if len(self.runs) > CACHE_CHUNKS:
+                        self.runs.clear()
+                    self.runs[run] = found
+            out += found
         return out
 
 
