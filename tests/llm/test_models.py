@@ -122,6 +122,33 @@ def test_decoding_is_the_best_path(fitted):
         assert restorer.decode(token) == best[1].decode().strip()
 
 
+def test_no_state_is_lost(llm):
+    """Where the best path starts among many dearer ones, all states count."""
+    def exhaustive(token):
+        best = {b"   ": (0.0, b"")}
+        for k in range(len(token)):
+            after = {}
+            for state, (cost, text) in best.items():
+                for emitted, extra in restorer._options(token, k, False):
+                    own, last, out = cost + extra, state, text
+                    for byte in emitted.encode():
+                        if byte == 32 and last[-1] == 32:
+                            continue
+                        own += model.cost(last, byte)
+                        last, out = last[1:] + bytes([byte]), out + bytes([byte])
+                    if last not in after or (own, out) < after[last]:
+                        after[last] = (own, out)
+            best = after
+        return min((cost + (0 if last[-1] == 32 else model.cost(last, 32)), text) for last, (cost, text) in best.items())[1].decode().strip()
+
+    words = "oaoz uiuq eaei iouo aeeu ueoa oioe " * 3 + "iueaz " * 6
+    model = toxicity.CharModel.learn(frame(llm, [(1, words, "en", "a")]))
+    restorer = toxicity.Restorer(model)
+    tokens = ["".join(t) for n in (3, 4, 5) for t in itertools.product("*1z", repeat=n)] + ["*" * 40, "*1" * 20]
+    assert [t for t in tokens if restorer.decode(t) != exhaustive(t)] == []
+    assert restorer.decode("i" * 30_000)  # long chunks take linear time
+
+
 def test_language(larger, edges, nothing):
     docs, _ = larger
     found = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()

@@ -22,7 +22,7 @@ LEAST_DOCUMENTS = 4  # toxic documents that must have a feature
 LEAST_EVIDENCE = 1.5
 THRESHOLD = 0.5
 CACHE_CHUNKS = 300_000
-BEAM = 12
+FEW = 12  # states; with more at any character, a first pass over that many gives a bound for the exact one
 
 # What a sign may stand for.
 SIGNS = {
@@ -159,25 +159,56 @@ class Restorer:
         return out
 
     def decode(self, token: str, spaced: bool = False) -> str:
-        """The most likely hidden text (Viterbi over the last three bytes, BEAM states wide)."""
-        states: dict[bytes, tuple[float, bytes]] = {b"   ": (0.0, b"")}
-        for k in range(len(token)):
-            after: dict[bytes, tuple[float, bytes]] = {}
-            for context, (cost, text) in states.items():
-                for emitted, extra in self._options(token, k, spaced):
-                    own, state, out = cost + extra, context, text
-                    for byte in emitted.encode():
+        """The most likely hidden text (exact Viterbi over the last three bytes).
+
+        A path whose cost and least rest is over the cost of some whole path can't be the best one and is left; that
+        whole path comes from a pass over the FEW cheapest states, made only where there are more of them.
+        """
+        options = [[(e.encode(), c) for e, c in self._options(token, k, spaced)] for k in range(len(token))]
+        ends = self._paths(options)
+        if ends is None:
+            bound = min(cost for cost, _ in self._paths(options, few=True)) + 1e-6
+            rest = np.cumsum([0.0] + [min(c for _, c in own) for own in reversed(options)])[::-1]
+            ends = self._paths(options, most=(bound - rest[1:]).tolist())
+        best = min(cost for cost, _ in ends)
+        return min(self._text(last) for cost, last in ends if cost == best).decode("utf-8", "replace").strip()
+
+    def _paths(self, options: list, few: bool = False, most: list[float] | None = None) -> list[tuple[float, tuple | None]] | None:
+        """Cost and last piece of the best path to each end state.
+
+        None where there are more than FEW states and neither ``few`` nor ``most`` (the highest cost after each character) is given.
+        """
+        model = self.model
+        states: dict[bytes, tuple[float, tuple | None]] = {b"   ": (0.0, None)}
+        for k, own_options in enumerate(options):
+            after: dict[bytes, tuple[float, tuple | None]] = {}
+            limit = most[k] if most else math.inf
+            for context, (cost, last) in states.items():
+                for emitted, extra in own_options:
+                    own, state, piece = cost + extra, context, last
+                    for byte in emitted:
                         if byte == 32 and state[-1] == 32:
                             continue
-                        own += self.model.cost(state, byte)
-                        state, out = state[1:] + bytes([byte]), out + bytes([byte])
-                    if state not in after or own < after[state][0]:
-                        after[state] = (own, out)
-            states = dict(sorted(after.items(), key=lambda s: s[1][0])[:BEAM]) if len(after) > BEAM else after
-        ends = [
-            (cost + (0.0 if state[-1] == 32 else self.model.cost(state, 32)), text) for state, (cost, text) in states.items()
+                        own += model.cost(state, byte)
+                        state, piece = state[1:] + bytes([byte]), (piece, byte)
+                    if own <= limit and (state not in after or own < after[state][0]):
+                        after[state] = (own, piece)
+            if len(after) > FEW and not most:
+                if not few:
+                    return None
+                after = dict(sorted(after.items(), key=lambda s: s[1][0])[:FEW])
+            states = after
+        return [
+            (cost + (0.0 if state[-1] == 32 else model.cost(state, 32)), last) for state, (cost, last) in states.items()
         ]
-        return min(ends)[1].decode("utf-8", "replace").strip()
+
+    @staticmethod
+    def _text(last: tuple | None) -> bytes:
+        out = bytearray()
+        while last is not None:
+            last, byte = last
+            out.append(byte)
+        return bytes(reversed(out))
 
     def words(self, chunk: str) -> list[str]:
         """Words that a chunk between white space may stand for.
