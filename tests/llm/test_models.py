@@ -1,4 +1,5 @@
 import itertools
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -122,6 +123,21 @@ def test_decoding_is_the_best_path(fitted):
         assert restorer.decode(token) == best[1].decode().strip()
 
 
+def test_grams_are_counted_exactly(llm):
+    """Many distinct grams; none shares its count with another."""
+    r = np.random.default_rng(3)
+    texts = ["".join(map(chr, r.integers(0x100, 0x3000, 30_000))) + " end" for _ in range(4)] + [None, "", "a"]
+    docs = frame(llm, [(k, t, "en", "a") for k, t in enumerate(texts)]).repartition(4, "doc_id")
+    model = toxicity.CharModel.learn(docs)
+    want = Counter()
+    for part in docs.rdd.glom().collect():
+        data = toxicity._normal(b" ".join(r["text"].encode() for r in part if r["text"] is not None)).tobytes()
+        want.update(data[k:k + n] for n in (1, 2, 3, 4) for k in range(len(data) - n + 1) if any(x["text"] is not None for x in part))
+    assert len(want) > 100_000
+    assert [g for g, n in want.items() if model._count(g) != n] == []
+    assert model._count(b"zzzz") == model._count(b"q z") == 0
+
+
 def test_no_state_is_lost(llm):
     """Where the best path starts among many dearer ones, all states count."""
     def exhaustive(token):

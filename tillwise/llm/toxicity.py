@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import hide_null, mix64, remainder, show_null
+from tillwise.llm.common import hide_null, remainder, show_null
 from tillwise.llm.sampling import labelled_sample
 
 SAMPLE = 6000  # labelled documents of each class, at most, used for fitting
@@ -32,8 +32,8 @@ SIGNS = {
 # Costs of the channel in nats: a sign for a letter, a letter too many, a gap inside a word, a sign that stays.
 SIGN, REPEAT, GAP, STAYS = 1.0, 0.7, 0.4, 3.0
 
-_ORDERS = (4, 3, 2, 1)
-_SLOT_BITS = {4: 20, 3: 18, 2: 16, 1: 8}
+_ORDER = 4
+PIECE = 1 << 20  # grams that are counted, sent or packed at once
 # A gap is a run of white space or marks; a spaced-out run may stand between brackets or quotes.
 _MARKS = r"\s.,;:_*\-~/\\\[\]{})<>\"'`=#%&^"
 _SPACED = re.compile(rf"(?<!\S)[(\[{{<\"'`.,;:_*\-~]*((?:[^{_MARKS}][{_MARKS}]++){{2,}}[^{_MARKS}])(?=[.,;:!?)\]}}>\"'`_*~-]*(?:\s|$))")
@@ -47,7 +47,7 @@ _LETTER[97:123] = True
 _LETTER[128:] = True
 
 
-# ---- the character model: counts of byte n-grams over all texts, hashed into tables of fixed size
+# ---- the character model: exact counts of byte n-grams over all texts
 
 def _normal(data: bytes) -> np.ndarray:
     """Lower-case letters and bytes over 127 as they are, runs of anything else as one space."""
@@ -58,70 +58,105 @@ def _normal(data: bytes) -> np.ndarray:
     return out[keep]
 
 
-def _slots(grams: np.ndarray, order: int) -> np.ndarray:
-    if order <= 2:
-        return grams.astype(np.int64)
-    return (mix64(grams + np.uint64(order << 40)) >> np.uint64(64 - _SLOT_BITS[order])).astype(np.int64)
-
-
-def _grams(chars: np.ndarray, order: int) -> np.ndarray:
-    out = np.zeros(max(len(chars) - order + 1, 0), dtype=np.uint64)
-    for k in range(order):
-        out = (out << np.uint64(8)) | chars[k:len(chars) - order + 1 + k].astype(np.uint64)
+def _grams(chars: np.ndarray) -> np.ndarray:
+    """The four bytes from each place on, as one number; three zeros follow the text, so that shorter grams are their beginnings."""
+    padded = np.concatenate([chars, np.zeros(_ORDER - 1, dtype=np.uint8)]).astype(np.uint32)
+    out = padded[:len(chars)]
+    for k in range(1, _ORDER):
+        out = (out << np.uint32(8)) | padded[k:len(chars) + k]
     return out
 
 
-def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    tables = {o: np.zeros(1 << _SLOT_BITS[o], dtype=np.int64) for o in _ORDERS}
+def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, and the sums of their counts."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
-    def add(held: list[bytes]) -> None:
-        chars = _normal(b" ".join(held))
-        for k in range(0, len(chars), 1 << 20):
-            for order, counts in tables.items():
-                slots = _slots(_grams(chars[k:k + (1 << 20) + order - 1], order), order)
-                counts += np.bincount(slots, minlength=len(counts))
 
+def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Grams with their number, added up as far as four PIECEs go."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size, texts = 0, 0
+
+    def add(own: list[bytes]) -> None:
+        nonlocal size
+        grams = _grams(_normal(b" ".join(own)))
+        for k in range(0, len(grams), PIECE):
+            held.append(np.unique(grams[k:k + PIECE], return_counts=True))
+            size += len(held[-1][0])
+
+    def sent() -> Iterator[pd.DataFrame]:
+        nonlocal size
+        keys, counts = _added(*map(np.concatenate, zip(*held, strict=True)))
+        held.clear()
+        size = 0
+        for k in range(0, len(keys), PIECE):
+            yield pd.DataFrame({"gram": keys[k:k + PIECE].astype(np.int64), "n": counts[k:k + PIECE]})
+
+    some: list[bytes] = []
     for batch in batches:
-        held, size = [], 0
         for text in batch["text"]:
             if isinstance(text, str):
-                held.append(text.encode("utf-8", "surrogatepass"))
-                size += len(held[-1])
-                if size > 1 << 20:
-                    add(held)
-                    held, size = [], 0
-        if held:
-            add(held)
-    for order, counts in tables.items():
-        used = np.flatnonzero(counts)
-        yield pd.DataFrame({"gram": order, "slot": used, "n": counts[used]})
+                some.append(text.encode("utf-8", "surrogatepass"))
+                texts += len(some[-1])
+                if texts > PIECE:
+                    add(some)
+                    some, texts = [], 0
+                    if size > 4 * PIECE:
+                        yield from sent()
+    if some:
+        add(some)
+    if held:
+        yield from sent()
+
+
+def _packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Grams and numbers as bytes, twelve for each gram."""
+    held: list[pd.DataFrame] = []
+
+    def sent() -> pd.DataFrame:
+        rows = pd.concat(held)
+        held.clear()
+        return pd.DataFrame({"grams": [rows["gram"].to_numpy(dtype="<u4").tobytes()], "ns": [rows["n"].to_numpy(dtype="<i8").tobytes()]})
+
+    for batch in batches:
+        held.append(batch)
+        if len(held) * len(held[0]) >= PIECE:
+            yield sent()
+    if held:
+        yield sent()
 
 
 class CharModel:
     """Probability of the next byte after the last three, mixed from all shorter contexts."""
 
-    def __init__(self, counts: dict[int, np.ndarray]):
-        self.counts = counts
-        self.total = max(float(counts[1].sum()), 1.0)
+    def __init__(self, grams: np.ndarray, numbers: np.ndarray):
+        self.grams, self.numbers = grams, numbers  # of four bytes, in order
+        self.tables = {_ORDER: (grams, numbers)}
+        for order in range(_ORDER - 1, 0, -1):
+            keys, counts = self.tables[order + 1]
+            keys, counts = _added(keys >> np.uint32(8), counts)
+            self.tables[order] = keys, counts
+        self.total = max(float(numbers.sum()), 1.0)
         self.known: dict[bytes, float] = {}
 
     @classmethod
     def learn(cls, docs: DataFrame) -> CharModel:
-        """Counts over all texts. At most 1.4 million counts go to the driver, however many texts there are."""
+        """Counts over all texts, none left out or run together. Each distinct gram of four bytes goes to the driver, in twelve bytes."""
         rows = (
-            docs.select("text").mapInPandas(_count_grams, "gram int, slot int, n long")
-            .groupBy("gram", "slot").agg(F.sum("n").alias("n")).toPandas()
+            docs.select("text").mapInPandas(_count_grams, "gram long, n long")
+            .groupBy("gram").agg(F.sum("n").alias("n")).mapInPandas(_packed, "grams binary, ns binary").collect()
         )
-        counts = {}
-        for order in _ORDERS:
-            own = rows[rows["gram"] == order]
-            counts[order] = np.zeros(1 << _SLOT_BITS[order], dtype=np.float32)
-            counts[order][own["slot"].to_numpy(dtype=np.int64)] = own["n"].to_numpy(dtype=np.float32)
-        return cls(counts)
+        grams = np.frombuffer(b"".join(r["grams"] for r in rows), dtype="<u4")
+        return cls(*_added(grams, np.frombuffer(b"".join(r["ns"] for r in rows), dtype="<i8")))
 
     def _count(self, gram: bytes) -> float:
-        value = np.array([int.from_bytes(gram, "big")], dtype=np.uint64)
-        return float(self.counts[len(gram)][_slots(value, len(gram))[0]])
+        keys, counts = self.tables[len(gram)]
+        key = np.uint32(int.from_bytes(gram, "big"))
+        at = keys.searchsorted(key)
+        return float(counts[at]) if at < len(keys) and keys[at] == key else 0.0
 
     def cost(self, context: bytes, byte: int) -> float:
         """Negative log probability of ``byte`` after ``context`` (three bytes)."""
@@ -375,9 +410,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer | No
     return Scorer(model, evidence, _logistic(x[order], y[order]))
 
 
-def _scorer(counts: dict[int, np.ndarray], evidence: dict[str, float], weights: np.ndarray):
+def _scorer(grams: np.ndarray, numbers: np.ndarray, evidence: dict[str, float], weights: np.ndarray):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(CharModel(counts), evidence, weights)
+        scorer = Scorer(CharModel(grams, numbers), evidence, weights)
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [scorer.score(t) for t in batch["text"]]})
 
@@ -396,7 +431,8 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
     if fitted is None:
         scored = told.select("doc_id", F.lit(0.0).alias("score"))
     else:
-        run = _scorer(fitted.restorer.model.counts, fitted.evidence, fitted.weights)
+        model = fitted.restorer.model
+        run = _scorer(model.grams, model.numbers, fitted.evidence, fitted.weights)
         scored = told.mapInPandas(run, "doc_id long, score double")
     return scored.withColumn("doc_id", show_null()).select(
         "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
