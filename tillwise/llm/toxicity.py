@@ -41,7 +41,8 @@ _GAPS = re.compile(rf"[{_MARKS}]+")
 LONGEST_HELD = 64  # characters of a spaced-out run whose words are held
 _STRIP = ".,;:?!\"'()[]{}<>|%&#*$-_~"
 _STRIP_NO_SIGNS = "".join(c for c in _STRIP if c not in SIGNS)
-_DOUBLED = re.compile(r"([^\W\d_])\1")
+_SIGN = re.compile(f"[{re.escape(''.join(SIGNS))}]")
+_AMBIGUOUS = re.compile(rf"{_SIGN.pattern}|(?<=([^\W\d_]))\1")  # one match for each such place
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[97:123] = True
 _LETTER[128:] = True
@@ -140,7 +141,7 @@ class CharModel:
             keys, counts = _added(keys >> np.uint32(8), counts)
             self.tables[order] = keys, counts
         self.total = max(float(numbers.sum()), 1.0)
-        self.known: dict[bytes, float] = {}
+        self.known: dict[int, float] = {}
 
     @classmethod
     def learn(cls, docs: DataFrame) -> CharModel:
@@ -160,16 +161,20 @@ class CharModel:
 
     def cost(self, context: bytes, byte: int) -> float:
         """Negative log probability of ``byte`` after ``context`` (three bytes)."""
-        gram = context + bytes([byte])
+        gram = int.from_bytes(context, "big") << 8 | byte
         found = self.known.get(gram)
-        if found is None:
-            p = (self._count(gram[-1:]) + 0.1) / (self.total + 25.6)
-            for order in (2, 3, 4):
-                seen, before = self._count(gram[-order:]), self._count(gram[-order:-1])
-                p = (min(seen, before) + 4 * p) / (before + 4)
-            if len(self.known) > 500_000:
-                self.known.clear()
-            found = self.known[gram] = -math.log(p)
+        return self.learned(gram) if found is None else found
+
+    def learned(self, number: int) -> float:
+        """Cost of the last of a gram's four bytes, which is held in ``known``."""
+        gram = number.to_bytes(_ORDER, "big")
+        p = (self._count(gram[-1:]) + 0.1) / (self.total + 25.6)
+        for order in (2, 3, 4):
+            seen, before = self._count(gram[-order:]), self._count(gram[-order:-1])
+            p = (min(seen, before) + 4 * p) / (before + 4)
+        if len(self.known) > 500_000:
+            self.known.clear()
+        found = self.known[number] = -math.log(p)
         return found
 
 
@@ -179,6 +184,7 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
         self.runs: dict[str, list[str]] = {}
+        self.encoded: dict[tuple[str, bool, bool], list[tuple[bytes, float]]] = {}
 
     def _options(self, token: str, k: int, spaced: bool) -> list[tuple[str, float]]:
         """What character k may have been, and the cost: letters, a repeat or gap that goes, a sign that ends a word."""
@@ -199,33 +205,61 @@ class Restorer:
         A path whose cost and least rest is over the cost of some whole path can't be the best one and is left; that
         whole path comes from a pass over the FEW cheapest states, made only where there are more of them.
         """
-        options = [[(e.encode(), c) for e, c in self._options(token, k, spaced)] for k in range(len(token))]
-        ends = self._paths(options)
+        begin, end = (0, len(token)) if spaced else self._window(token)
+        options = []
+        held, before = self.encoded, token[begin - 1] if begin else ""
+        for k in range(begin, end):
+            char = token[k]
+            key = char, char == before, spaced
+            own = held.get(key)
+            if own is None:
+                own = held[key] = [(e.encode(), c) for e, c in self._options(token, k, spaced)]
+            options.append(own)
+            before = char
+        start = int.from_bytes(("   " + token[max(begin - 3, 0):begin]).encode()[-3:], "big")
+        ends = self._paths(options, start)
         if ends is None:
-            bound = min(cost for cost, _ in self._paths(options, few=True)) + 1e-6
+            bound = min(cost for cost, _ in self._paths(options, start, few=True)) + 1e-6
             rest = np.cumsum([0.0] + [min(c for _, c in own) for own in reversed(options)])[::-1]
-            ends = self._paths(options, most=(bound - rest[1:]).tolist())
+            ends = self._paths(options, start, most=(bound - rest[1:]).tolist())
         best = min(cost for cost, _ in ends)
-        return min(self._text(last) for cost, last in ends if cost == best).decode("utf-8", "replace").strip()
+        text = min(self._text(last) for cost, last in ends if cost == best).decode("utf-8", "replace")
+        return (token[:begin] + text + token[end:]).strip()
 
-    def _paths(self, options: list, few: bool = False, most: list[float] | None = None) -> list[tuple[float, tuple | None]] | None:
+    @staticmethod
+    def _window(token: str) -> tuple[int, int]:
+        """Outside of these characters all paths are the same: letters before the first choice, and letters that come three bytes after the last."""
+        places = [match.start() for match in _AMBIGUOUS.finditer(token)]
+        begin, end = 0, len(token)
+        if places and token[:places[0]].isalpha():
+            begin = places[0]
+        if places and token[places[-1] + 1:].isalpha():
+            end, size = places[-1] + 1, 0
+            while end < len(token) and size < 3:
+                size += len(token[end].encode())
+                end += 1
+        return begin, end
+
+    def _paths(self, options: list, start: int, few: bool = False, most: list[float] | None = None) -> list[tuple[float, tuple | None]] | None:
         """Cost and last piece of the best path to each end state.
 
         None where there are more than FEW states and neither ``few`` nor ``most`` (the highest cost after each character) is given.
         """
-        model = self.model
-        states: dict[bytes, tuple[float, tuple | None]] = {b"   ": (0.0, None)}
+        known, learned = self.model.known, self.model.learned
+        states: dict[int, tuple[float, tuple | None]] = {start: (0.0, None)}  # three bytes each
         for k, own_options in enumerate(options):
-            after: dict[bytes, tuple[float, tuple | None]] = {}
+            after: dict[int, tuple[float, tuple | None]] = {}
             limit = most[k] if most else math.inf
             for context, (cost, last) in states.items():
                 for emitted, extra in own_options:
                     own, state, piece = cost + extra, context, last
                     for byte in emitted:
-                        if byte == 32 and state[-1] == 32:
+                        if byte == 32 and state & 255 == 32:
                             continue
-                        own += model.cost(state, byte)
-                        state, piece = state[1:] + bytes([byte]), (piece, byte)
+                        gram = state << 8 | byte
+                        more = known.get(gram)
+                        own += learned(gram) if more is None else more
+                        state, piece = gram & 0xFFFFFF, (piece, byte)
                     if own <= limit and (state not in after or own < after[state][0]):
                         after[state] = (own, piece)
             if len(after) > FEW and not most:
@@ -233,8 +267,10 @@ class Restorer:
                     return None
                 after = dict(sorted(after.items(), key=lambda s: s[1][0])[:FEW])
             states = after
+        cost_of = self.model.cost
         return [
-            (cost + (0.0 if state[-1] == 32 else model.cost(state, 32)), last) for state, (cost, last) in states.items()
+            (cost + (0.0 if state & 255 == 32 else cost_of(state.to_bytes(3, "big"), 32)), last)
+            for state, (cost, last) in states.items()
         ]
 
     @staticmethod
@@ -253,13 +289,13 @@ class Restorer:
         read without and with them.
         """
         low = chunk.lower()
-        core, edge = low.strip(_STRIP), low.strip(_STRIP_NO_SIGNS)
+        if not _AMBIGUOUS.search(low):
+            return _letters(low)
         out: list[str] = []
-        for reading in dict.fromkeys((core, edge)):
-            signs = any(c in SIGNS for c in reading)
-            if not signs:
+        for reading in dict.fromkeys((low.strip(_STRIP), low.strip(_STRIP_NO_SIGNS))):
+            if not _SIGN.search(reading):
                 out += _letters(reading)
-            if signs or _DOUBLED.search(reading):
+            if _AMBIGUOUS.search(reading):
                 out += _letters(self.decode(reading))
         return list(dict.fromkeys(out))
 
