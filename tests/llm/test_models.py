@@ -61,6 +61,19 @@ def test_passages_hold_the_whole_text():
     assert quality.encode(None).shape == (1, quality.FEATURES)
 
 
+def test_known_words_of_a_very_long_text():
+    """All words before a passage count as known, however many they are."""
+    words = [f"{k:x}" for k in range(1_100_000)]
+    found = quality.encode(" ".join(words + words[-20_000:]))[:, -3]
+    assert found[-1] == 1 and found[:100].max() == 0
+    text = "a b c a b d " * 300
+    seen = set()
+    for part, share in zip(quality.passages(text), quality.encode(text)[:, -3], strict=True):
+        own = set(part.split())
+        assert share == pytest.approx(len(own & seen) / len(own))
+        seen |= own
+
+
 @pytest.fixture(scope="module")
 def fitted(larger):
     return toxicity.fit(*larger)

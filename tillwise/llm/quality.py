@@ -60,18 +60,18 @@ def encode(text: str | None) -> np.ndarray:
     pairs = owner[1:][same] * (_KINDS * _KINDS) + kind[:-1][same] * _KINDS + kind[1:][same]
     counted = np.bincount(pairs, minlength=n * _KINDS * _KINDS).reshape(n, -1)
     out[:, : _KINDS * _KINDS] = np.sqrt(counted / np.maximum(lengths[:, None] - 1, 1))
-    seen: set[int] = set()
-    for k, part in enumerate(parts):
-        words = word_hashes(part.lower())
-        if len(words):
-            kinds = np.unique(words)
-            known = seen.intersection(kinds.tolist()) if len(seen) else ()
+    words = [word_hashes(part.lower()) for part in parts]
+    kinds = [np.unique(own) for own in words]
+    owner = np.repeat(np.arange(n), list(map(len, kinds)))
+    _, first = np.unique(np.concatenate(kinds), return_index=True)  # where each word of the text comes first
+    new = np.bincount(owner[first], minlength=n)
+    for k, (part, own) in enumerate(zip(parts, words, strict=True)):
+        if len(own):
+            size = len(kinds[k])
             out[k, -5:] = (
-                len(kinds) / len(words), (words[1:] == words[:-1]).mean() if len(words) > 1 else 0,
-                len(known) / len(kinds), min(len(words) / 100, 2.0), min(len(part) / len(words) / 10, 3.0),
+                size / len(own), (own[1:] == own[:-1]).mean() if len(own) > 1 else 0,
+                (size - new[k]) / size, min(len(own) / 100, 2.0), min(len(part) / len(own) / 10, 3.0),
             )
-            if len(seen) < 1 << 20:  # bounds memory on endless texts
-                seen.update(kinds.tolist())
     return out
 
 
