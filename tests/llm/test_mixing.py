@@ -67,6 +67,19 @@ def test_mixed_rows(llm, edges, documents):
     assert mixing.mixed(edges).columns == edges.columns
 
 
+def test_copies_go_to_their_row(llm):
+    """Rows with null or repeated ids in several sources get the copies that the mix decided, and sources meet their targets."""
+    rows = [(None if k % 3 else k // 9, f"row {k} " + "w " * (k % 5), "en", "abc"[k % 7 % 3]) for k in range(300)]
+    docs = frame(llm, rows)
+    decided = mixing.mix(docs).collect()
+    goals = {r["source"]: r["target"] for r in decided}
+    largest = max(r["size"] for r in decided)
+    out = mixing.mixed(docs).collect()
+    for source, goal in goals.items():
+        taken = sum(len(r["text"].split()) for r in out if r["source"] == source)
+        assert abs(taken - goal) <= largest / 2 + 1e-6, source
+
+
 def test_no_words(llm):
     docs = frame(llm, [(1, None, "en", "a"), (2, " ", "en", None)])
     assert {(r["doc_id"], r["taken"], r["target"]) for r in mixing.mix(docs).collect()} == {(1, 0, 0.0), (2, 0, 0.0)}

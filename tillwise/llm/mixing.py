@@ -84,7 +84,12 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     Null texts have no words and are never counted; a null source is a source of its own, the last one; equal rank values go by
     doc_id (null last); a repeated doc_id gets the same u in each row; an empty table gives an empty result.
     """
-    sized = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    return _decided(written(sized), [], seed).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+
+
+def _decided(sized: DataFrame, key: list[str], seed: int) -> DataFrame:
+    """The decisions of ``mix`` for written rows with their sizes; ``key`` are columns that tell rows with equal ids apart."""
     goals = targets(sized).select(F.col("source").alias("_source"), "source_size", "target")
     u = (F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1))).bitwiseAND(F.lit((1 << 52) - 1)) + 0.5) / float(1 << 52)
     p = F.col("_fraction")
@@ -108,7 +113,7 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     placed = ranked.join(cuts, ranked["source"].eqNullSafe(cuts["_source"]), "left").drop("_source")
     at_cut = (F.col("_bucket") == F.col("_cut")) & (F.col("size") > 0)
     before = (
-        Window.partitionBy("source").orderBy("_rank", F.col("doc_id").asc_nulls_last())
+        Window.partitionBy("source").orderBy("_rank", F.col("doc_id").asc_nulls_last(), *key)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     total = F.col("_start") + F.coalesce(F.sum("size").over(before), F.lit(0))
@@ -120,16 +125,20 @@ def mix(docs: DataFrame, seed: int = SEED) -> DataFrame:
     )
     copies = F.col("_whole") + F.col("_extra")
     return clear.unionByName(edge).select(
-        "doc_id", "source", "size", "source_size", "target",
+        *key, "doc_id", "source", "size", "source_size", "target",
         copies.alias("copies"), (copies * F.col("size")).alias("taken"),
     )
 
 
 def mixed(docs: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix itself: ``docs`` with each row as often as it is taken, all columns as they were."""
-    copies = mix(docs, seed).where("copies > 0").groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    copies = copies.withColumnRenamed("doc_id", "_copied_id")
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["_copied_id"]))
+    """The mix itself: ``docs`` with each row as often as it is taken, all columns as they were.
+
+    Rows are written with a key of their own, so that copies go to the row they were decided for, also where ids are null or repeated.
+    """
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
+    sized = written(rows.select("_row", "doc_id", "source", word_count(F.col("text")).alias("size")))
+    copies = _decided(sized, ["_row"], seed).where("copies > 0").select("_row", F.col("copies").alias("_copies"))
+    joined = rows.join(copies, "_row")
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(
-        *[docs[c] for c in docs.columns]
+        *[rows[c] for c in docs.columns]
     )
