@@ -323,7 +323,14 @@ def _letters(text: str) -> list[str]:
 
 
 def _features(word: str) -> list[str]:
-    return [f"={word}"] + [f"^{word[:k]}" for k in (4, 5, 6) if len(word) > k]
+    out = ["=" + word]
+    if len(word) > 4:
+        out.append("^" + word[:4])
+        if len(word) > 5:
+            out.append("^" + word[:5])
+            if len(word) > 6:
+                out.append("^" + word[:6])
+    return out
 
 
 # ---- evidence of words, and a document's score
@@ -367,8 +374,13 @@ class Scorer:
         self.chunks: dict[str, float] = {}
 
     def _words(self, words: list[str]) -> float:
-        get = self.evidence.get
-        return max((get(f, 0.0) for w in words for f in _features(w)), default=0.0)
+        get, best = self.evidence.get, None
+        for word in words:
+            for feature in _features(word):
+                value = get(feature, 0.0)
+                if best is None or value > best:
+                    best = value
+        return 0.0 if best is None else best
 
     def document(self, text: str | None) -> np.ndarray:
         """Features: bias, three strongest words, number of words with evidence, its share."""
