@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillwise.llm import (
     exact_dedup,
+    importance,
     langid,
     minhash,
     mixing,
@@ -92,6 +93,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1,
     "op2_minhash": op2,
@@ -103,6 +110,7 @@ QUERIES: dict[str, Query] = {
     "op8_language": op8,
     "op9_neighbours": op9,
     "op10_packing": op10,
+    "op13_importance": op13,
 }
 
 ORACLES: dict[str, str] = {
@@ -144,6 +152,50 @@ ORACLES: dict[str, str] = {
         FROM documents d LEFT JOIN n USING (doc_id)
         JOIN (SELECT x, min(y) AS c FROM reach GROUP BY x) r ON r.x = d.doc_id
     """,
+    # CRC-32 by half bytes over the hexadecimal text; its table follows from the reversed polynomial EDB88320.
+    "op13_importance": r"""
+        WITH half AS (
+            SELECT list(list_reduce([i, 0, 0, 0, 0], lambda c, ignored: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)
+                        ORDER BY i) AS t
+            FROM (SELECT unnest(range(16))::BIGINT AS i)
+        ), texts AS (
+            SELECT 's' AS side, doc_id, text FROM documents UNION ALL SELECT 't', item_id, text FROM benchmark
+        ), words AS (
+            SELECT side, doc_id, unnest(regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+            FROM texts
+        ), bytes AS (
+            SELECT w, hex(encode(w)) AS h FROM (SELECT DISTINCT w FROM words)
+        ), hashed AS (
+            SELECT w, xor(list_reduce(
+                list_prepend(4294967295::BIGINT, list_transform(range(length(h)), lambda i:
+                    (strpos('0123456789ABCDEF', h[(i // 2) * 2 + 2 - i % 2]) - 1)::BIGINT)),
+                lambda c, b: xor(c // 16, t[xor(c % 16, b) + 1])), 4294967295) % 10000 AS bucket
+            FROM bytes, half
+        ), counted AS (
+            SELECT bucket, count(*) FILTER (side = 's') AS s, count(*) FILTER (side = 't') AS t
+            FROM words JOIN hashed USING (w) GROUP BY bucket
+        ), gains AS (
+            SELECT bucket, floor(1000.0::DOUBLE * ln(
+                (t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)
+            ))::BIGINT AS gain
+            FROM counted
+        ), weights AS (
+            SELECT doc_id, count(*) AS n, sum(gain)::BIGINT AS weight
+            FROM words JOIN hashed USING (w) JOIN gains USING (bucket) WHERE side = 's' GROUP BY doc_id
+        ), scored AS (
+            SELECT d.doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000.0::DOUBLE * ln(-ln(
+                       (('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE
+                   )))::BIGINT AS score
+            FROM documents d LEFT JOIN weights USING (doc_id)
+        ), ranked AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM scored WHERE n_features >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank
+        FROM scored LEFT JOIN ranked USING (doc_id)
+    """,
 }
 
 
