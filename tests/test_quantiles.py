@@ -4,6 +4,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from tillwise.operators import quantiles
 from tillwise.operators.quantiles import (
     exact_quantiles, quantile_scores, range_buckets, running_share_by_value,
 )
@@ -27,16 +28,45 @@ def test_quantiles_equal_pandas(spark, n):
     assert np.allclose(row["q"], pdf.x.quantile(PROBS))
 
 
-@pytest.mark.parametrize(("parts", "rounds"), [(1, 0), (2, 1), (3, 3), (4096, 2)])
-def test_quantiles_by_group_with_any_parts(spark, parts, rounds):
-    """Parts far too coarse for the data still lead to exact values."""
+@pytest.mark.parametrize("many", [False, True])
+@pytest.mark.parametrize(("k", "spread"), [(8, -0.01), (8, 0.0), (16, 0.1), (4096, 8.0)])
+def test_quantiles_by_group_with_any_sketch(spark, monkeypatch, k, spread, many):
+    """Sketches far too coarse, whose brackets miss the wanted ranks, still lead to exact values."""
+    monkeypatch.setattr(quantiles, "SMALL", 0)
     pdf = frame(3000)
     pdf.loc[::500, "x"] *= 1e6
-    got = exact_quantiles(spark.createDataFrame(pdf), "x", [0.25, 0.5], ["g"], parts, rounds)
-    for row in got.collect():
+    got = exact_quantiles(spark.createDataFrame(pdf), "x", [0.25, 0.5], ["g"], k, spread, many).collect()
+    assert len(got) == pdf.g.nunique()
+    for row in got:
         assert np.allclose(row["q"], pdf[pdf.g == row["g"]].x.quantile([0.25, 0.5]))
 
 
+def test_values_over_600_decades(spark):
+    """Brackets follow the ranks, so that a wide spread of values leaves few of them to be counted one by one."""
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({"x": 10.0 ** rng.uniform(-300, 300, 60_000) * rng.choice([-1, 1], 60_000)})
+    df = spark.createDataFrame(pdf).withColumn("g", F.struct(F.lit(0).alias("all"))).withColumnRenamed("x", "v")
+    row = exact_quantiles(df, "v", PROBS).collect()[0]
+    assert np.allclose(row["q"], pdf.x.quantile(PROBS), rtol=1e-12)
+    counted = quantiles._counted(df, quantiles._brackets(df, [0.25, 0.5, 0.75], quantiles.SKETCH, quantiles.SPREAD), [0.25, 0.5, 0.75], False)
+    assert counted.count() < 0.06 * len(pdf)
+    assert counted.agg(F.sum("cnt")).first()[0] == len(pdf)
+
+
+def test_the_widening_pass_is_dropped_without_misses(spark):
+    """At run time the input is read twice: once for the sketches, once for the counts."""
+    df = spark.read.schema("l_orderkey BIGINT, l_extendedprice DOUBLE").parquet("/root/testdata/sf0.001/lineitem.parquet")
+    out = exact_quantiles(df, "l_extendedprice", [0.25, 0.5, 0.75])
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") + final.count("Scan parquet") <= 2
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (float("inf"),)], "x DOUBLE")
+    assert exact_quantiles(df, "x", [0.5]).collect()[0]["q"] == [3.0]
+
+
 def test_null_values_and_null_groups(spark):
     df = spark.createDataFrame(
         [("a", 1.0), ("a", None), ("a", 3.0), (None, 5.0), ("b", None)], "g STRING, x DOUBLE")

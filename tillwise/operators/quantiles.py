@@ -1,19 +1,22 @@
 """Exact quantiles and value-ordered running sums without gathering a column in one task.
 
-The built-in ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here
-rows are counted by equal parts of the value range, the part that holds a wanted rank is found from
-the counts, and is cut again between its own least and greatest value. Counts combine on the map
-side, and no window sees more rows than there are parts.
+The built-in ``percentile`` keeps every distinct value of a group in one aggregation buffer. Here the
+input is evaluated twice, whatever the number of probabilities: sketches bracket the wanted ranks, and one
+counting pass counts single values inside the brackets and everything else by the gap it lies in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-PARTS = 4096
-ROUNDS = 2
+SKETCH = 4096  # k of the KLL sketches
+MERGERS = 256  # tasks that merge a group's sketches before one task does
+SPREAD = 8.0  # a bracket reaches so many times the sketch's rank error to each side
+SMALL = 2048  # rows; smaller groups are counted value by value, as ranks are coarser than the error there
 
 
 def _part(value: Column, low: Column, high: Column, parts: Column | int) -> Column:
@@ -23,80 +26,107 @@ def _part(value: Column, low: Column, high: Column, parts: Column | int) -> Colu
     return F.coalesce(F.greatest(F.least(place, F.lit(parts) - 1), F.lit(0)), F.lit(0))
 
 
-def _as_map(frame: DataFrame) -> Column:
-    """group -> state as one value; there is one row for each group."""
-    return frame.agg(F.map_from_entries(F.collect_list(F.struct("g", "state")))).scalar()
+def _rank_error(k: int) -> float:
+    """Share of the rows by which a rank of a KLL sketch is off, at 99 % (the sketch's published fit)."""
+    return 2.296 / k ** 0.9723
 
 
-def _held(values: DataFrame, state: Column, key: Column | None) -> DataFrame:
-    """Rows inside the brackets of their group, counted by part (or, without key, by value)."""
-    rows = (
-        values.withColumn("_all", state).withColumn("s", F.col("_all")[F.col("g")])
-        .select("g", "v", F.col("s.n").alias("n"), F.explode(
-            F.filter("s.brackets", lambda b: F.col("v").between(b["lo"], b["hi"]))
-        ).alias("b"))
-        .withColumn("key", F.col("v") if key is None else key)
-    )
-    counted = rows.groupBy("g", "n", "b", "key").agg(
-        F.count("*").alias("cnt"), F.min("v").alias("vmin"), F.max("v").alias("vmax")
-    )
-    earlier = Window.partitionBy("g", "n", "b").orderBy("key").rowsBetween(
-        Window.unboundedPreceding, -1
+def _rank(n: Column, p: float) -> Column:
+    """0-based rank just below the quantile's position."""
+    return F.floor((n - 1) * F.lit(p))
+
+
+def _brackets(values: DataFrame, probs: Sequence[float], k: int, spread: float) -> DataFrame:
+    """(g, n, lows, highs): for each probability a range of values that holds both its ranks, but for rare misses.
+
+    Each task sketches its own rows; MERGERS tasks merge these sketches for each group, then one merges theirs.
+    """
+    some = values.groupBy("g", (F.spark_partition_id() % MERGERS).alias("merger")).agg(
+        F.kll_sketch_agg_double("v", k).alias("sketch"), F.count("*").alias("n"),
+        F.min("v").alias("least"), F.max("v").alias("most"),
     )
-    return counted.withColumn(
-        "before", F.col("b.before") + F.coalesce(F.sum("cnt").over(earlier), F.lit(0))
+    merged = some.groupBy("g").agg(
+        F.kll_merge_agg_double("sketch", k).alias("sketch"), F.sum("n").alias("n"),
+        F.min("least").alias("least"), F.max("most").alias("most"),
     )
+    margin = spread * _rank_error(k)
+    small, lows, highs = F.col("n") < SMALL, [], []
+    for p in probs:  # a sketch takes constant ranks only
+        low, high = max(0.0, p - margin), min(1.0, p + margin)
+        at = [F.kll_sketch_get_quantile_double("sketch", F.lit(r)) for r in (low, high)]
+        lows.append(F.when(small | F.lit(low <= 0), F.col("least")).otherwise(at[0]))
+        highs.append(F.when(small | F.lit(high >= 1), F.col("most")).otherwise(at[1]))
+    return merged.select("g", "n", F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
 
 
-def _ranks(probs: Sequence[float]) -> list[Column]:
-    """0-based ranks on both sides of each quantile's position."""
-    out = []
-    for p in probs:
-        low = F.floor((F.col("n") - 1) * F.lit(p))
-        out += [low, F.least(low + 1, F.col("n") - 1)]
-    return out
+def _counted(values: DataFrame, brackets: DataFrame, probs: Sequence[float], many: bool) -> DataFrame:
+    """(g, n, gap, v, cnt, least, most, before): rows by single value inside a bracket, by gap elsewhere (v is null).
+
+    ``before`` is the number of the group's rows below. The window sees what lies in the brackets, a few thousandths of
+    a group's distinct values, and one row a gap.
+    """
+    state = F.struct("n", "lows", "highs")
+    if many:
+        by_group = brackets.select(F.col("g").alias("_g"), state.alias("s"))
+        rows = values.join(by_group, F.col("g") == F.col("_g")).drop("_g")
+    else:
+        every = brackets.agg(F.map_from_entries(F.collect_list(F.struct("g", state.alias("s"))))).scalar()
+        rows = values.withColumn("_all", every).withColumn("s", F.col("_all")[F.col("g")])
+    v, places = F.col("v"), range(len(probs))
+    inside = reduce(or_, [v.between(F.col("s.lows")[i], F.col("s.highs")[i]) for i in places])
+    gap = sum((
+        (v >= F.col("s.lows")[i]).cast("int") + (v > F.col("s.highs")[i]).cast("int") for i in places
+    ), F.lit(0))
+    counted = rows.select("g", F.col("s.n").alias("n"), gap.alias("gap"), F.when(inside, v).alias("single"), "v").groupBy(
+        "g", "n", "gap", "single"
+    ).agg(F.count("*").alias("cnt"), F.min("v").alias("least"), F.max("v").alias("most"))
+    earlier = Window.partitionBy("g").orderBy("least").rowsBetween(Window.unboundedPreceding, -1)
+    return counted.withColumnRenamed("single", "v").withColumn(
+        "before", F.coalesce(F.sum("cnt").over(earlier), F.lit(0))
+    )
 
 
-def _at(rank: Column, value: Column) -> Column:
-    here = (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
-    return F.max(F.when(here, value))
+def _holds(rank: Column) -> Column:
+    return (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
 
 
 def exact_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
-    parts: int = PARTS, rounds: int = ROUNDS,
+    k: int = SKETCH, spread: float = SPREAD, many: bool = False,
 ) -> DataFrame:
     """Linear-interpolation quantiles per group: (*by, n, q array<double>).
 
-    Equal to pandas ``quantile`` and ANSI ``percentile_cont``. NULLs do not count; a group of
-    NULLs only has no row. What a round finds about the groups travels to the rows as one map,
-    so groups should be few (categories, metrics); rows of a heavy group are never joined.
+    Equal to pandas ``quantile`` and ANSI ``percentile_cont``. NULLs and NaNs do not count; a group without
+    values has no row. The brackets reach the rows as one map, so that rows of a heavy group are never
+    joined; with ``many`` groups they are joined by group instead. A rank that a bracket misses lies in
+    a gap; the bracket is then widened to that gap, whose values are counted in a further pass. Without
+    misses its side of the join is empty, and the adaptive planner drops the pass.
     """
     by = list(by)
     probs = [float(p) for p in probs]
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
-    values = df.select(group.alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL")
-    state = values.groupBy("g").agg(
-        F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    ).select("g", F.struct(
-        "n", F.array(F.struct("lo", "hi", F.lit(0).cast("bigint").alias("before"))).alias("brackets")
-    ).alias("state"))
-    key = _part(F.col("v"), F.col("b.lo"), F.col("b.hi"), parts)
-    for _ in range(rounds):
-        bracket = F.struct(F.col("vmin").alias("lo"), F.col("vmax").alias("hi"), "before")
-        held = _held(values, _as_map(state), key)
-        picks = [_at(rank, bracket).alias(f"r{i}") for i, rank in enumerate(_ranks(probs))]
-        state = held.groupBy("g", "n").agg(*picks).select("g", F.struct(
-            "n", F.array_distinct(F.array(*[f"r{i}" for i in range(len(picks))])).alias("brackets")
-        ).alias("state"))
-    single = _held(values, _as_map(state), None)
-    picks = [_at(rank, F.col("vmin")).alias(f"r{i}") for i, rank in enumerate(_ranks(probs))]
-    found = single.groupBy("g", "n").agg(*picks)
+    values = df.select(group.alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    counted = _counted(values, _brackets(values, probs, k, spread), probs, many)
+    ranks = [r for p in probs for r in (_rank(F.col("n"), p), F.least(_rank(F.col("n"), p) + 1, F.col("n") - 1))]
+    missed = counted.where(F.col("v").isNull() & reduce(or_, map(_holds, ranks))).select(
+        F.col("g").alias("_g"), "n", "gap", "least", "most", "before"
+    )
+    # At most two rows for each probability of a group, and none but by rare chance.
+    wide = values.join(F.broadcast(missed), (F.col("g") == F.col("_g")) & F.col("v").between(F.col("least"), F.col("most")))
+    inside = Window.partitionBy("g", "gap").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    again = wide.groupBy("g", "n", "gap", "before", "v").agg(F.count("*").alias("cnt")).withColumn(
+        "before", F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
+    )
+    single = ("g", "n", "v", "cnt", "before")
+    found = counted.where("v IS NOT NULL").select(*single).unionByName(again.select(*single)).groupBy("g", "n").agg(
+        *[F.max(F.when(_holds(r), F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)]
+    )
     quantiles = []
     for i, p in enumerate(probs):
         position = (F.col("n") - 1) * F.lit(p)
         low, high = F.col(f"r{2 * i}"), F.col(f"r{2 * i + 1}")
-        quantiles.append(low + (high - low) * (position - F.floor(position)))
+        share = position - F.floor(position)
+        quantiles.append(F.when(share > 0, low + (high - low) * share).otherwise(low))
     keys = [F.col(f"g.{b}").alias(b) for b in by]
     return found.select(*keys, "n", F.array(*quantiles).alias("q"))
 
