@@ -8,8 +8,6 @@ counting pass counts single values inside the brackets and everything else by th
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -31,9 +29,20 @@ def _rank_error(k: int) -> float:
     return 2.296 / k ** 0.9723
 
 
-def _rank(n: Column, p: float) -> Column:
+# SQL text below, not column objects: each of these would take a dozen calls to the JVM for every probability.
+
+def _rank(p: float) -> str:
     """0-based rank just below the quantile's position."""
-    return F.floor((n - 1) * F.lit(p))
+    return f"floor((n - 1) * {p!r}D)"
+
+
+def _ranks(probs: Sequence[float]) -> list[str]:
+    """Ranks on both sides of each quantile's position."""
+    return [r for p in probs for r in (_rank(p), f"least({_rank(p)} + 1, n - 1)")]
+
+
+def _holds(rank: str) -> str:
+    return f"(before <= {rank} AND {rank} < before + cnt)"
 
 
 def _brackets(values: DataFrame, probs: Sequence[float], k: int, spread: float) -> DataFrame:
@@ -50,13 +59,16 @@ def _brackets(values: DataFrame, probs: Sequence[float], k: int, spread: float)
         F.min("least").alias("least"), F.max("most").alias("most"),
     )
     margin = spread * _rank_error(k)
-    small, lows, highs = F.col("n") < SMALL, [], []
-    for p in probs:  # a sketch takes constant ranks only
-        low, high = max(0.0, p - margin), min(1.0, p + margin)
-        at = [F.kll_sketch_get_quantile_double("sketch", F.lit(r)) for r in (low, high)]
-        lows.append(F.when(small | F.lit(low <= 0), F.col("least")).otherwise(at[0]))
-        highs.append(F.when(small | F.lit(high >= 1), F.col("most")).otherwise(at[1]))
-    return merged.select("g", "n", F.array(*lows).alias("lows"), F.array(*highs).alias("highs"))
+
+    def at(rank: float, end: str) -> str:  # a sketch takes constant ranks only
+        if not 0 < rank < 1:
+            return end
+        return f"CASE WHEN n < {SMALL} THEN {end} ELSE kll_sketch_get_quantile_double(sketch, {rank!r}D) END"
+
+    return merged.selectExpr(
+        "g", "n", f"array({', '.join(at(p - margin, 'least') for p in probs)}) AS lows",
+        f"array({', '.join(at(p + margin, 'most') for p in probs)}) AS highs",
+    )
 
 
 def _counted(values: DataFrame, brackets: DataFrame, probs: Sequence[float], many: bool) -> DataFrame:
@@ -65,31 +77,23 @@ def _counted(values: DataFrame, brackets: DataFrame, probs: Sequence[float], man
     ``before`` is the number of the group's rows below. The window sees what lies in the brackets, a few thousandths of
     a group's distinct values, and one row a gap.
     """
-    state = F.struct("n", "lows", "highs")
     if many:
-        by_group = brackets.select(F.col("g").alias("_g"), state.alias("s"))
-        rows = values.join(by_group, F.col("g") == F.col("_g")).drop("_g")
+        rows = values.join(brackets.selectExpr("g AS _g", "struct(n, lows, highs) AS s"), F.col("g") == F.col("_g")).drop("_g")
     else:
-        every = brackets.agg(F.map_from_entries(F.collect_list(F.struct("g", state.alias("s"))))).scalar()
-        rows = values.withColumn("_all", every).withColumn("s", F.col("_all")[F.col("g")])
-    v, places = F.col("v"), range(len(probs))
-    inside = reduce(or_, [v.between(F.col("s.lows")[i], F.col("s.highs")[i]) for i in places])
-    gap = sum((
-        (v >= F.col("s.lows")[i]).cast("int") + (v > F.col("s.highs")[i]).cast("int") for i in places
-    ), F.lit(0))
-    counted = rows.select("g", F.col("s.n").alias("n"), gap.alias("gap"), F.when(inside, v).alias("single"), "v").groupBy(
+        every = brackets.agg(F.map_from_entries(F.collect_list(F.struct("g", F.struct("n", "lows", "highs"))))).scalar()
+        rows = values.select("g", "v", every.alias("_all")).selectExpr("g", "v", "_all[g] AS s")
+    places = range(len(probs))
+    inside = " OR ".join(f"v BETWEEN s.lows[{i}] AND s.highs[{i}]" for i in places)
+    gap = " + ".join(f"int(v >= s.lows[{i}]) + int(v > s.highs[{i}])" for i in places)
+    counted = rows.selectExpr("g", "s.n AS n", f"{gap} AS gap", f"CASE WHEN {inside} THEN v END AS single", "v").groupBy(
         "g", "n", "gap", "single"
     ).agg(F.count("*").alias("cnt"), F.min("v").alias("least"), F.max("v").alias("most"))
-    earlier = Window.partitionBy("g").orderBy("least").rowsBetween(Window.unboundedPreceding, -1)
-    return counted.withColumnRenamed("single", "v").withColumn(
-        "before", F.coalesce(F.sum("cnt").over(earlier), F.lit(0))
+    return counted.selectExpr(
+        "g", "n", "gap", "single AS v", "cnt", "least", "most",
+        "coalesce(sum(cnt) OVER (PARTITION BY g ORDER BY least ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
     )
 
 
-def _holds(rank: Column) -> Column:
-    return (F.col("before") <= rank) & (rank < F.col("before") + F.col("cnt"))
-
-
 def exact_quantiles(
     df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
     k: int = SKETCH, spread: float = SPREAD, many: bool = False,
@@ -107,28 +111,27 @@ def exact_quantiles(
     group = F.struct(*by) if by else F.struct(F.lit(0).alias("all"))
     values = df.select(group.alias("g"), F.col(col).cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
     counted = _counted(values, _brackets(values, probs, k, spread), probs, many)
-    ranks = [r for p in probs for r in (_rank(F.col("n"), p), F.least(_rank(F.col("n"), p) + 1, F.col("n") - 1))]
-    missed = counted.where(F.col("v").isNull() & reduce(or_, map(_holds, ranks))).select(
-        F.col("g").alias("_g"), "n", "gap", "least", "most", "before"
+    ranks = _ranks(probs)
+    missed = counted.where(f"v IS NULL AND ({' OR '.join(map(_holds, ranks))})").selectExpr(
+        "g AS _g", "n", "gap", "least", "most", "before"
     )
     # At most two rows for each probability of a group, and none but by rare chance.
-    wide = values.join(F.broadcast(missed), (F.col("g") == F.col("_g")) & F.col("v").between(F.col("least"), F.col("most")))
-    inside = Window.partitionBy("g", "gap").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    again = wide.groupBy("g", "n", "gap", "before", "v").agg(F.count("*").alias("cnt")).withColumn(
-        "before", F.col("before") + F.coalesce(F.sum("cnt").over(inside), F.lit(0))
+    wide = values.join(F.broadcast(missed), F.expr("g = _g AND v BETWEEN least AND most"))
+    again = wide.groupBy("g", "n", "gap", "before", "v").agg(F.count("*").alias("cnt")).selectExpr(
+        "g", "n", "v", "cnt",
+        "before + coalesce(sum(cnt) OVER (PARTITION BY g, gap ORDER BY v ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before",
     )
-    single = ("g", "n", "v", "cnt", "before")
-    found = counted.where("v IS NOT NULL").select(*single).unionByName(again.select(*single)).groupBy("g", "n").agg(
-        *[F.max(F.when(_holds(r), F.col("v"))).alias(f"r{i}") for i, r in enumerate(ranks)]
+    found = counted.where("v IS NOT NULL").select("g", "n", "v", "cnt", "before").unionByName(again).groupBy("g", "n").agg(
+        *[F.expr(f"max(CASE WHEN {_holds(r)} THEN v END) AS r{i}") for i, r in enumerate(ranks)]
+    )
+
+    def between(i: int, p: float) -> str:
+        share = f"((n - 1) * {p!r}D - {_rank(p)})"
+        return f"CASE WHEN {share} > 0 THEN r{2 * i} + (r{2 * i + 1} - r{2 * i}) * {share} ELSE r{2 * i} END"
+
+    return found.selectExpr(
+        *[f"g.`{b}` AS `{b}`" for b in by], "n", f"array({', '.join(between(i, p) for i, p in enumerate(probs))}) AS q"
     )
-    quantiles = []
-    for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(p)
-        low, high = F.col(f"r{2 * i}"), F.col(f"r{2 * i + 1}")
-        share = position - F.floor(position)
-        quantiles.append(F.when(share > 0, low + (high - low) * share).otherwise(low))
-    keys = [F.col(f"g.{b}").alias(b) for b in by]
-    return found.select(*keys, "n", F.array(*quantiles).alias("q"))
 
 
 def quantile_scores(
@@ -140,39 +143,26 @@ def quantile_scores(
     edges below the value, so equal values score alike; NULL scores 1. With ``strict`` set,
     a column that holds a NULL or has repeated edges scores that constant throughout.
     """
-    names = list(columns)
-    melted = df.select(
-        F.explode(
-            F.array(*[
-                F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("v"))
-                for c in names
-            ])
-        ).alias("m")
-    ).select("m.metric", "m.v")
+    structs = ", ".join(f"struct('{c}' AS metric, double(`{c}`) AS v)" for c in columns)
+    melted = df.select(F.expr(f"explode(array({structs})) AS m")).select("m.metric", "m.v")
     found = exact_quantiles(melted, "v", [i / q for i in range(q + 1)], ["metric"])
     # One row per column, so the collected map is as small as ``columns``.
     edges = found.agg(
         F.map_from_entries(F.collect_list(F.struct("metric", F.struct("n", "q"))))
     ).scalar()
-    scored = df.withColumn("_edges", edges)
+    extra = [edges.alias("_edges")]
     if strict is not None:
-        scored = scored.withColumn("_rows", df.agg(F.count("*")).scalar())
+        extra.append(df.agg(F.count("*")).scalar().alias("_rows"))
+    scores = []
     for name, low_is_best in columns.items():
-        cuts = F.col("_edges")[name]["q"]
-        value = F.col(name).cast("double")
-        below = sum(
-            (value > F.element_at(cuts, i + 1)).cast("int") for i in range(1, q)
-        )
-        score = F.when(value.isNull(), F.lit(1)).otherwise(
-            F.lit(q) - below if low_is_best else below + 1
-        )
+        cuts = f"_edges['{name}'].q"
+        below = " + ".join(f"int(double(`{name}`) > {cuts}[{i}])" for i in range(1, q))
+        score = f"CASE WHEN `{name}` IS NULL THEN 1 ELSE {f'{q} - ({below})' if low_is_best else f'{below} + 1'} END"
         if strict is not None:
-            complete = (F.col("_edges")[name]["n"] == F.col("_rows")) & (
-                F.size(F.array_distinct(cuts)) == q + 1
-            )
-            score = F.when(complete, score).otherwise(F.lit(strict))
-        scored = scored.withColumn(f"{name}_score", score.cast("int"))
-    return scored.drop("_edges", "_rows")
+            complete = f"_edges['{name}'].n = _rows AND size(array_distinct({cuts})) = {q + 1}"
+            score = f"CASE WHEN {complete} THEN {score} ELSE {strict} END"
+        scores.append(f"int({score}) AS `{name}_score`")
+    return df.select("*", *extra).selectExpr(*[f"`{c}`" for c in df.columns], *scores)
 
 
 def range_buckets(df: DataFrame, col: str, name: str, buckets: int = 1024) -> DataFrame:
