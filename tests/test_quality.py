@@ -22,6 +22,39 @@ def test_exact_duplicates_keep_their_count(spark):
     assert quality.drop_exact_duplicates(df).count() == 2
 
 
+def test_rows_that_share_a_hash_both_stay(spark):
+    """All rows collide here, and still only equal ones fold."""
+    df = spark.createDataFrame([(1, None)] * 3 + [(2, "x"), (None, "x"), (2, "x"), (4, "y")], "a INT, b STRING")
+
+    def one_hash(_):
+        return F.lit(7).cast("bigint")
+
+    got = rows(quality.drop_exact_duplicates(df, "_dq_copies", row_hash=one_hash), "a", "b")
+    assert got == [(None, "x", 0), (1, None, 2), (2, "x", 1), (4, "y", 0)]
+    assert got == rows(quality.drop_exact_duplicates(df, "_dq_copies", by_hash=False), "a", "b")
+    assert got == rows(quality.drop_exact_duplicates(df, "_dq_copies"), "a", "b")
+    profile = quality.audit(df, "t", one_hash).collect()
+    assert sorted(profile) == sorted(quality.audit(df, "t").collect()) and profile[0]["duplicate_rows"] == 3
+
+
+def test_unique_rows_are_not_grouped_by_their_columns(spark):
+    """The plan's shuffles carry hashes; whole rows are compared behind a semi join on repeated hashes."""
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", "lang")
+    plan = quality.drop_exact_duplicates(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan and "Aggregate [_hash" in plan
+    got = quality.drop_exact_duplicates(df)
+    assert got.count() == df.distinct().count()
+
+
+def test_dense_numbers_with_a_hot_first_key(spark):
+    """90 % of the rows under one first key, with ties and NULLs."""
+    df = spark.range(5_000).selectExpr("IF(id % 10 = 0, NULL, 3) AS a", "id * 7919 % 1009 AS b", "id % 3 AS c")
+    got = quality.dense_id(df, ["a", "b"], "n").orderBy("n").collect()
+    assert [r["n"] for r in got] == list(range(1, 5_001))
+    keys = [(r["a"] is not None, r["a"] or 0, r["b"], r["c"]) for r in got]
+    assert keys == sorted(keys)
+
+
 def test_key_dedup_is_the_row_number_rule(spark):
     data = [(5, "m", "e"), (3, "z", "e"), (9, "q", None), (8, "q", None), (1, "k", "f")]
     df = spark.createDataFrame(data, "id INT, other STRING, key STRING")

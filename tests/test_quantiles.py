@@ -126,3 +126,26 @@ def test_range_buckets_rise_with_the_value_and_are_even(spark):
     assert got.b.is_monotonic_increasing
     others = got[got.x != 7.5]
     assert others.groupby("b").size().max() <= 4000 / 10
+
+
+def test_no_range_is_over_twice_the_mean(spark):
+    """Log-normal values with dense clusters that fill a thousandth of the spread, and NULLs."""
+    rng = np.random.default_rng(11)
+    n = 40_000
+    clusters = 50 + rng.integers(0, 4, n) * 1000 + rng.random(n) * 1e-3
+    pdf = pd.DataFrame({"x": np.where(rng.random(n) < 0.7, clusters, rng.lognormal(3, 2, n))})
+    df = spark.createDataFrame(pdf).unionAll(spark.sql("SELECT CAST(NULL AS DOUBLE) AS x"))
+    got = range_buckets(df, "x", "b", 64).toPandas()
+    assert got[got.x.isna()].b.tolist() == [0]
+    got = got[got.x.notna()].sort_values("x")
+    assert got.b.is_monotonic_increasing and got.b.nunique() == 64
+    assert got.groupby("b").size().max() <= 2 * n / 64
+
+
+def test_ranges_split_a_hot_first_key(spark):
+    df = spark.range(20_000).selectExpr("IF(id % 10 = 0, id, 5) AS a", "id * 7919 % 20011 AS b")
+    got = range_buckets(df, ["a", "b"], "r", 32).toPandas().sort_values(["a", "b"])
+    assert got.r.is_monotonic_increasing
+    assert got.groupby("r").size().max() <= 2 * 20_000 / 32
+    empty = range_buckets(df.where("a < 0"), ["a", "b"], "r", 32)
+    assert empty.collect() == [] and range_buckets(df, "a", "r", 1).select("r").distinct().collect() == [(0,)]

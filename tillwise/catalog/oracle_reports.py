@@ -350,6 +350,15 @@ SELECT month, COUNT(DISTINCT customer_id) AS active_customers
 FROM a LEFT JOIN (SELECT * FROM od WHERE counts) o
   ON order_date <= anchor AND order_date > anchor - 90
 GROUP BY 1""")
+    q["m24_active_customers_by_day"] = over("od", body="""
+SELECT d.date, COUNT(DISTINCT customer_id) AS active_customers
+FROM (SELECT CAST(unnest(generate_series(MIN(order_date), MAX(order_date), INTERVAL 1 DAY)) AS DATE) AS date FROM od) d
+LEFT JOIN (SELECT * FROM od WHERE counts) o ON order_date <= d.date AND order_date > d.date - 90
+GROUP BY 1""")
+    q["a02_customers_by_period"] = over("od", body=" UNION ALL ".join(f"""
+SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', order_date) AS DATE) AS start, {channel} AS channel,
+       COUNT(DISTINCT customer_id) AS customers FROM od WHERE counts GROUP BY ALL"""
+        for grain in ("month", "quarter", "year") for channel in ("channel", "CAST(NULL AS VARCHAR)")))
     q["m25_new_customers"] = over("od", body=f"""
 SELECT {MONTH} AS month, COUNT(*) AS new_customers
 FROM (SELECT customer_id, MIN(order_date) AS order_date FROM od GROUP BY 1) GROUP BY 1""")

@@ -84,6 +84,7 @@ def abc(star: DriverStar) -> DataFrame:
 
 
 REPORTS: dict[str, Build] = {
+    "a02_customers_by_period": M.customers_by_period,
     "e01_master_fact": lambda s: doubles(E.master_fact(s)),
     "e02_revenue_fact": lambda s: doubles(E.revenue_rows(s)),
     "e03_monthly_trend": E.monthly_trend,
@@ -132,6 +133,7 @@ REPORTS: dict[str, Build] = {
     **{f"{k}_{name}": grouped(name, by) for k, (name, by) in GROUPED_MEASURES.items()},
     **{f"{k}_{name}": timed(name) for k, name in TIME_MEASURES.items()},
     "m24_active_customers": M.active_customers,
+    "m24_active_customers_by_day": lambda s: M.active_customers(s, grain="day"),
     "m25_new_customers": M.new_customers,
     "m27_retention_rate": M.retention_rate,
     "m31_abc_class": abc,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tillwise.operators.star import Star
 from tillwise.operators.windows import top_n
 
+SEEDS = 256  # names whose pairs are counted first
 CHUNK = 1000  # distinct products of one order that one task pairs with all of the order's
 
 
@@ -45,24 +46,56 @@ def _count_pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
     )
 
 
-def top_pairs(star: Star, n: int = 30, chunk: int = CHUNK) -> DataFrame:
-    """The n pairs most often bought together; copies in one order multiply.
+def _by_chunks(lines: DataFrame, chunk: int) -> DataFrame:
+    """Pairs of the given lines: (a, b, times).
 
-    The products of each order are cut into ceil(products / chunk) parts by a hash, and each part
-    meets the whole order under a key of its own; most orders have one part. Pairs are counted
-    map-side before they move. Ties go by the lowest product ids of the two names.
+    The products of each order are cut into ceil(products / chunk) parts by a hash, and each part meets the whole order under
+    a key of its own; most orders have one part. Pairs are counted map-side before they move.
     """
-    lines, names = _folded_lines(star)
     sizes = lines.groupBy("order_id").agg(
         F.ceil(F.count("*") / chunk).cast("int").alias("parts")
     )
     parted = lines.join(sizes, "order_id")
     own_part = F.pmod(F.xxhash64("product_id"), F.col("parts")).cast("int")
-    pairs = _count_pairs(
+    return _count_pairs(
         parted.withColumn("part", own_part),
         parted.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))),
         ["order_id", "part"],
     )
+
+
+def name_bounds(lines: DataFrame) -> DataFrame:
+    """(name_id, bound): no pair with the name can be bought together more often than this.
+
+    In an order a pair counts copies of one name times copies of the other, and the other has at most as many as
+    the order's most frequent product name.
+    """
+    per_order = lines.groupBy("order_id", "name_id").agg(F.sum("n").alias("copies"))
+    most = per_order.groupBy("order_id").agg(F.max("copies").alias("most"))
+    return per_order.join(most, "order_id").groupBy("name_id").agg(F.sum(F.col("copies") * F.col("most")).alias("bound"))
+
+
+def candidate_lines(lines: DataFrame, n: int, chunk: int, seeds: int) -> DataFrame:
+    """Lines whose names can be in one of the ``n`` top pairs.
+
+    The ``seeds`` names of the greatest bounds are paired first. Their n-th count is a floor that the n-th count of all pairs
+    reaches too, so names with a bound under it are in none of the top pairs. With fewer than n pairs among the seeds nothing is left out.
+    """
+    bounds = name_bounds(lines)
+    strongest = bounds.orderBy(F.desc("bound"), "name_id").limit(seeds).select("name_id")
+    counts = _by_chunks(lines.join(strongest, "name_id", "left_semi"), chunk).orderBy(F.desc("times")).limit(n)
+    floor = counts.agg(F.when(F.count("*") >= n, F.min("times")).otherwise(0)).scalar()
+    return lines.join(bounds.where(F.col("bound") >= floor).select("name_id"), "name_id", "left_semi")
+
+
+def top_pairs(star: Star, n: int = 30, chunk: int = CHUNK, seeds: int = SEEDS) -> DataFrame:
+    """The n pairs most often bought together; copies in one order multiply.
+
+    Exact: pairs are formed among names whose bound reaches the n-th count of the strongest names' pairs, the same rule
+    for all orders. Ties go by the lowest product ids of the two names.
+    """
+    lines, names = _folded_lines(star)
+    pairs = _by_chunks(candidate_lines(lines, n, chunk, seeds), chunk)
     a = names.select(
         F.col("name_id").alias("a"), F.col("product_name").alias("product_a"),
         F.col("category").alias("category_a"),

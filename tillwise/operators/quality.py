@@ -6,7 +6,7 @@ adds those up in the one pass that writes the table, instead of one count per ru
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -15,25 +15,35 @@ from tillwise.functions import money
 from tillwise.operators.quantiles import exact_quantiles, range_buckets
 
 MARK = "_dq_"
+RowHash = Callable[[DataFrame], Column]
 
 
-def audit(df: DataFrame, table: str) -> DataFrame:
+def row_hash(df: DataFrame) -> Column:
+    """64 bits over all columns; NULL leaves the hash as it is, so the columns that are NULL are hashed too."""
+    names = [F.col(f"`{c}`") for c in df.columns]
+    return F.xxhash64(*names, *[c.isNull() for c in names])
+
+
+def _repeated(df: DataFrame, row_hash: RowHash) -> tuple[DataFrame, DataFrame]:
+    """``df`` with its ``_hash``, and the hashes that more than one row has."""
+    hashed = df.withColumn("_hash", row_hash(df))
+    return hashed, hashed.groupBy("_hash").agg(F.count("*").alias("_n")).where("_n > 1").select("_hash")
+
+
+def audit(df: DataFrame, table: str, row_hash: RowHash = row_hash) -> DataFrame:
     """Profile: one row per column with rows, nulls, null share and full-row duplicates.
 
-    Equal rows are folded into one with their number first, which combines on the map side
-    and gives the duplicates; everything else is added up from the folded rows.
+    Rows and nulls are added up where the rows are. For the duplicates only hashes are grouped; rows whose hash
+    repeats, and no others, are then compared whole.
     """
     names = df.columns
-    folded = df.groupBy(*names).agg(F.count("*").alias("_n"))
-    nulls = [
-        F.sum(F.when(F.col(c).isNull(), F.col("_n")).otherwise(0)).alias(f"_null_{i}")
-        for i, c in enumerate(names)
-    ]
-    totals = folded.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("row_count"),
-        (F.coalesce(F.sum("_n"), F.lit(0)) - F.count("*")).alias("duplicate_rows"),
-        *nulls,
+    nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"_null_{i}") for i, c in enumerate(names)]
+    hashed, repeated = _repeated(df, row_hash)
+    copies = (
+        hashed.join(repeated, "_hash", "left_semi").groupBy("_hash", *[f"`{c}`" for c in names]).agg((F.count("*") - 1).alias("_n"))
+        .agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
     )
+    totals = df.agg(F.count("*").alias("row_count"), *nulls).withColumn("duplicate_rows", copies)
     per_column = F.explode(
         F.array(*[
             F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{i}").alias("null_count"))
@@ -41,21 +51,32 @@ def audit(df: DataFrame, table: str) -> DataFrame:
         ])
     )
     return totals.select("row_count", "duplicate_rows", per_column.alias("p")).select(
-        F.lit(table).alias("table_name"), "p.column_name", "row_count",
-        F.coalesce("p.null_count", F.lit(0)).alias("null_count"),
+        F.lit(table).alias("table_name"), "p.column_name", "row_count", "p.null_count",
         (F.col("p.null_count") * 100.0 / F.nullif("row_count", F.lit(0))).alias("null_pct"),
         "duplicate_rows",
     )
 
 
-def drop_exact_duplicates(df: DataFrame, mark: str | None = None) -> DataFrame:
+def drop_exact_duplicates(
+    df: DataFrame, mark: str | None = None, by_hash: bool = True, row_hash: RowHash = row_hash
+) -> DataFrame:
     """Keep one of every set of equal rows; ``mark`` keeps the number of dropped copies.
 
-    The condition on ``mark`` always holds. It keeps the count in every branch of a plan, so
-    that branches which do not show it still share one shuffle of the rows with those that do.
+    Rows are grouped by a 64-bit hash alone, and a row whose hash no other row has stays where it is. The others are
+    compared whole, so rows that merely share a hash both stay. Without ``by_hash`` all rows are grouped by all of their
+    columns in one pass over the input: for narrow rows that cost more to read three times than to move once.
     """
+    if by_hash:
+        hashed, repeated = _repeated(df, row_hash)
+        names = [F.col(f"`{c}`") for c in df.columns]
+        single = hashed.join(repeated, "_hash", "left_anti").select(*names, F.lit(0).cast("bigint").alias("_copies"))
+        folded = hashed.join(repeated, "_hash", "left_semi").groupBy("_hash", *names).agg((F.count("*") - 1).alias("_copies"))
+        out = single.unionByName(folded.drop("_hash"))
+        return out.drop("_copies") if mark is None else out.withColumnRenamed("_copies", mark)
     if mark is None:
         return df.dropDuplicates()
+    # The condition always holds. It keeps the count in every branch of a plan, so that branches
+    # which do not show it still share one shuffle of the rows with those that do.
     return df.groupBy(*df.columns).agg((F.count("*") - 1).alias(mark)).where(F.col(mark) >= 0)
 
 
@@ -219,17 +240,18 @@ def add_date_parts(df: DataFrame, col: str = "order_date") -> DataFrame:
 def dense_id(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """Renumber rows 1..n in ``order_by`` order, without one window over the whole table.
 
-    The first column, a number, deals the rows into ranges; rows are numbered inside their range
-    and shifted by the size of the ranges before it, in one lazy plan. Rows that tie in
-    ``order_by`` go by a hash of the whole row.
+    Splitters over the whole order deal the rows into ranges, so that a first key with most of the rows is split by the next
+    ones; rows are numbered inside their range and shifted by the size of the ranges before it, in one lazy plan. Rows that
+    tie in ``order_by`` go by the remaining columns, so only equal rows are interchangeable.
     """
-    tie = F.xxhash64(*df.columns)
-    parts = range_buckets(df.withColumn("_tie", tie), order_by[0], "_bucket")
+    rest = [f.name for f in df.schema.fields if f.name not in order_by and f.dataType.typeName() not in ("map", "variant")]
+    order = [*order_by, *rest]
+    parts = range_buckets(df, order, "_bucket")
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.groupBy("_bucket").agg(F.count("*").alias("_size")).select(
         "_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before")
     )
-    inside = Window.partitionBy("_bucket").orderBy(*order_by, "_tie")
+    inside = Window.partitionBy("_bucket").orderBy(*order)
     return (
         parts.withColumn("_row", F.row_number().over(inside))
         .join(offsets, "_bucket")

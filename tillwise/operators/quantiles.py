@@ -9,21 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 SKETCH = 4096  # k of the KLL sketches
 MERGERS = 256  # tasks that merge a group's sketches before one task does
 SPREAD = 8.0  # a bracket reaches so many times the sketch's rank error to each side
+PER_BUCKET = 64  # sampled keys for each range of ``range_buckets``
 SMALL = 2048  # rows; smaller groups are counted value by value, as ranks are coarser than the error there
 
 
-def _part(value: Column, low: Column, high: Column, parts: Column | int) -> Column:
-    """Number of the equal part of [low, high] that the value is in; 0 in a range of one value."""
-    width = F.nullif(high - low, F.lit(0.0))
-    place = F.floor((value - low) / width * parts)
-    return F.coalesce(F.greatest(F.least(place, F.lit(parts) - 1), F.lit(0)), F.lit(0))
-
-
 def _rank_error(k: int) -> float:
     """Share of the rows by which a rank of a KLL sketch is off, at 99 % (the sketch's published fit)."""
     return 2.296 / k ** 0.9723
@@ -165,32 +159,31 @@ def quantile_scores(
     return df.select("*", *extra).selectExpr(*[f"`{c}`" for c in df.columns], *scores)
 
 
-def range_buckets(df: DataFrame, col: str, name: str, buckets: int = 1024) -> DataFrame:
-    """Add a number that rises with the value of a numeric column, in about equal shares of rows.
+def range_buckets(df: DataFrame, by: str | Sequence[str], name: str, buckets: int = 1024) -> DataFrame:
+    """Add a number 0..buckets-1 that rises with the order of the columns ``by``, in about equal shares of their distinct values.
 
-    The value range is cut into equal parts, and each part into as many pieces as its share of
-    the rows asks for. One array of ``buckets`` entries carries that to the rows. NULL comes first.
+    Splitters come from a sample of the whole keys, so a value that heads most rows is split by the columns behind it. The sample
+    is drawn by a hash of the key, about PER_BUCKET keys a bucket: the same on every evaluation, and one copy of a key that many rows
+    hold. Each row finds its place among the splitters by halving. NULL comes first.
     """
-    v = F.col(col).cast("double")
-    flat = F.asinh(v)  # rises with the value, and a few far values don't take up the whole range
-    span = df.agg(F.struct(F.min(flat).alias("lo"), F.max(flat).alias("hi"))).scalar()
-    placed = df.withColumn("_span", span).withColumn(
-        "_part", _part(flat, F.col("_span.lo"), F.col("_span.hi"), buckets).cast("int")
-    )
-    counted = placed.where(v.isNotNull()).groupBy("_part").agg(
-        F.count("*").alias("cnt"), F.min(v).alias("lo"), F.max(v).alias("hi")
+    by = [by] if isinstance(by, str) else list(by)
+    key = f"struct({', '.join(f'`{c}`' for c in by)})"
+    lot = f"xxhash64({', '.join(f'`{c}`' for c in by)})"
+    kinds = df.agg(F.expr(f"approx_count_distinct({lot}, 0.02)")).scalar()
+    keys = (
+        df.select(F.expr(f"{key} AS k"), F.expr(f"shiftrightunsigned({lot}, 1) / {float(1 << 63)!r}D AS lot"), kinds.alias("kinds"))
+        .where(f"lot * kinds < {PER_BUCKET * buckets}").groupBy("k").agg(F.count("*").alias("_rows"))
     )
-    parts = counted.agg(F.struct(
-        F.sum("cnt").alias("n"), F.map_from_entries(F.collect_list(F.struct("_part", F.struct("cnt", "lo", "hi")))).alias("m")
+    splitters = keys.agg(F.sort_array(F.collect_list("k")).alias("ks")).select(F.expr(
+        f"transform(sequence(1, {buckets} - 1), i -> get(ks, int(i * size(ks) div {buckets})))" if buckets > 1 else "slice(ks, 1, 0)"
     )).scalar()
-    listed = df.sparkSession.range(1).select(parts.alias("p")).select(F.struct(
-        F.col("p.n").alias("n"), F.transform(F.sequence(F.lit(0), F.lit(buckets - 1)), lambda i: F.col("p.m")[i]).alias("m")
-    )).scalar()
-    own = F.col("_list.m")[F.col("_part")]
-    pieces = F.ceil(own["cnt"] * F.lit(float(buckets)) / F.col("_list.n"))
-    piece = _part(v, own["lo"], own["hi"], pieces)
-    number = F.when(v.isNull(), F.lit(-1)).otherwise(F.col("_part").cast("bigint") * (buckets + 1) + piece)
-    return placed.withColumn("_list", listed).withColumn(name, number).drop("_span", "_part", "_list")
+    steps = ", ".join(str(1 << k) for k in range(max(buckets - 1, 1).bit_length() - 1, -1, -1))
+    # Number of splitters at or below the key; an empty sample's splitters are null.
+    place = (
+        f"aggregate(array({steps}), 0, (at, step) -> "
+        f"if(at + step <= size(_splitters) AND get(_splitters, at + step - 1) <= {key}, at + step, at))"
+    )
+    return df.withColumn("_splitters", splitters).withColumn(name, F.expr(place)).drop("_splitters")
 
 
 def running_share_by_value(

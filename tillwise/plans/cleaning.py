@@ -47,7 +47,7 @@ def _mark(condition: Column) -> Column:
 
 
 def stage_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    df = drop_exact_duplicates(raw, DUPLICATES)
+    df = drop_exact_duplicates(raw, DUPLICATES, by_hash=False)
     df = df.withColumns({
         "customer_id": try_int("customer_id"),
         "first_name": title_case("first_name", rules.letter_runs),
@@ -76,7 +76,7 @@ def stage_customers(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> D
 
 
 def stage_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    df = drop_exact_duplicates(raw, DUPLICATES)
+    df = drop_exact_duplicates(raw, DUPLICATES, by_hash=False)
     df = df.withColumns({
         "product_id": try_int("product_id"),
         "product_name": title_case("product_name", rules.letter_runs),
@@ -99,7 +99,7 @@ def stage_products(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> Da
 
 
 def stage_orders(raw: DataFrame, rules: CleaningRules = CleaningRules()) -> DataFrame:
-    df = drop_exact_duplicates(raw, DUPLICATES)
+    df = drop_exact_duplicates(raw, DUPLICATES, by_hash=False)
     dates = ("order_date", "ship_date", "delivery_date")
     df = df.withColumns({
         "order_id": try_int("order_id"),
@@ -152,7 +152,7 @@ def stage_order_items(
     rules: CleaningRules = CleaningRules(),
 ) -> DataFrame:
     """Staged lines still hold the orphans, counted; ``clean_order_items`` drops them."""
-    df = drop_exact_duplicates(raw, DUPLICATES)
+    df = drop_exact_duplicates(raw, DUPLICATES, by_hash=False)
     df = df.withColumns({
         "item_id": try_int("item_id"),
         "order_id": try_int("order_id"),
@@ -176,7 +176,7 @@ def stage_returns(
     raw: DataFrame, products: DataFrame, orders: DataFrame,
     rules: CleaningRules = CleaningRules(),
 ) -> DataFrame:
-    df = drop_exact_duplicates(raw, DUPLICATES)
+    df = drop_exact_duplicates(raw, DUPLICATES, by_hash=False)
     df = df.withColumns({
         "return_id": try_int("return_id"),
         "order_id": try_int("order_id"),

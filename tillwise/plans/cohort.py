@@ -2,31 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tillwise.functions import month_index, month_start, ratio, round_half, year_month
-from tillwise.operators.shaping import pivot_values
 from tillwise.operators.star import Star, order_revenue
 
 
-def cohort_sizes(star: Star, months: int) -> DataFrame:
-    """(cohort_month, month_index, customers) for indexes 0..months.
+WORDS = 8  # of 64 months each, from the first order month on
 
-    Orders fold into customer months before the window, which bounds the rows per customer.
+
+def month_masks(star: Star) -> DataFrame:
+    """(customer_id, first, mask): month numbers since the first order month; the mask's bits are the months with a revenue order.
+
+    One aggregation by customer, whose bits combine on the map side. A calendar over WORDS * 64 months fails loudly.
     """
+    number = month_index(month_start("order_date"), F.col("_origin"))
+    origin = star.orders.agg(month_start(F.min("order_date"))).scalar()
     seen = (
-        order_revenue(star, "customer_id", "order_date")
-        .where("customer_id IS NOT NULL AND order_date IS NOT NULL")
-        .select("customer_id", month_start("order_date").alias("month"))
-        .distinct()
+        order_revenue(star, "customer_id", "order_date").where("customer_id IS NOT NULL AND order_date IS NOT NULL")
+        .select("customer_id", "order_date", origin.alias("_origin")).select("customer_id", "_origin", number.cast("int").alias("m"))
     )
-    first = F.min("month").over(Window.partitionBy("customer_id"))
-    return (
-        seen.withColumn("cohort", first)
-        .groupBy("cohort", month_index("month", "cohort").alias("month_index"))
-        .agg(F.count("*").alias("customers"))
-        .where(F.col("month_index") <= months)
-        .select(year_month("cohort").alias("cohort_month"), "month_index", "customers")
+    too_far = F.raise_error(F.lit(f"the calendar is longer than {WORDS * 64} months")).cast("bigint")
+    bit = F.when(F.col("m") < WORDS * 64, F.expr("shiftleft(1L, m % 64)")).otherwise(too_far)
+    masks = [F.coalesce(F.bit_or(F.when(F.expr(f"m div 64 = {w}") | (F.col("m") >= WORDS * 64), bit)), F.lit(0).cast("bigint")) for w in range(WORDS)]
+    return seen.groupBy("customer_id").agg(
+        F.min("m").alias("first"), F.array(*masks).alias("mask"), F.max("_origin").alias("origin")
+    )
+
+
+def _active(i: int) -> str:
+    """1 where the bit of month ``first + i`` is set, else 0."""
+    return f"coalesce(getbit(get(mask, int((first + {i}) div 64)), int((first + {i}) % 64)), 0)"
+
+
+def cohort_counts(star: Star, months: int) -> DataFrame:
+    """(cohort, `0`, `1`, … ): customers by month of their first revenue order, and how many are active i months later."""
+    per_cohort = month_masks(star).groupBy("first", "origin").agg(
+        *[F.sum(F.expr(_active(i)).cast("bigint")).alias(str(i)) for i in range(months + 1)]
+    )
+    return per_cohort.select(
+        F.add_months("origin", F.col("first")).alias("cohort"), *[f"`{i}`" for i in range(months + 1)]
     )
 
 
@@ -36,15 +51,12 @@ def cohort_retention(
     """Wide matrix: share of each cohort active in month 0..months, in percent to 0.1."""
     months = star.params.cohort_months if months is None else months
     min_size = star.params.cohort_min_size if min_size is None else min_size
-    indexes = list(range(months + 1))
-    wide = pivot_values(
-        cohort_sizes(star, months), ["cohort_month"], "month_index", indexes, F.sum("customers")
-    )
     shares = [
-        (ratio(F.col(f"`{i}`"), F.col("`0`"), places=3) * 100).alias(str(i)) for i in indexes
+        (ratio(F.col(f"`{i}`"), F.col("`0`"), places=3) * 100).alias(str(i)) for i in range(months + 1)
     ]
-    return wide.where(F.col("`0`") >= min_size).select("cohort_month", *shares).orderBy(
-        "cohort_month"
+    return (
+        cohort_counts(star, months).where(F.col("`0`") >= min_size)
+        .select(year_month("cohort").alias("cohort_month"), *shares).orderBy("cohort_month")
     )
 
 

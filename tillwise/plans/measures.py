@@ -8,14 +8,16 @@ attributes, orders are those with such a line.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tillwise.functions import (
     day_name, dollars, month_start, ratio, round_half, week_number, year_month,
 )
+from tillwise.operators.distinct import cell_counts, distinct_rollup, merge_cells
 from tillwise.operators.star import (
-    SLICER_COLUMNS, SliceSpec, Star, apply_slice, with_profit,
+    SLICER_COLUMNS, SliceSpec, Star, apply_slice, revenue_orders, with_profit,
 )
 from tillwise.operators.windows import share_of_total, top_n
 from tillwise.plans.eda import return_rate_by_category
@@ -312,34 +314,59 @@ def time_measure(star: Star, name: str, spec: SliceSpec | None = None) -> DataFr
     return monthly_series(star, spec, margin).select("month", name).orderBy("month")
 
 
-def active_customers(star: Star) -> DataFrame:
-    """Customers with a revenue order in the 90 days up to each month's last date.
+def active_customers(star: Star, grain: str = "month") -> DataFrame:
+    """Customers with a revenue order in the 90 days up to each month's last date, or up to each day.
 
-    An order belongs to at most a handful of months' trailing periods; it is repeated for
-    those, which makes the range condition a plain grouping.
+    A sweep: an order keeps its customer active from its day until the customer's next order or for 90 days, whichever ends first, so
+    that the spans of a customer never overlap. Each span is one +1 on its first day and one -1 behind its last; these
+    events add up by day, and their running sum over the calendar is the number of active customers.
     """
+    if grain not in ("day", "month"):
+        raise ValueError("grain is 'day' or 'month'")
     days = star.params.active_days
-    last = star.orders.agg(F.max("order_date")).scalar()
-    dated = (
+    following = F.lead("order_date").over(Window.partitionBy("customer_id").orderBy("order_date"))
+    spans = (
         star.orders.where(F.col("status").isin(*star.params.revenue_statuses))
         .where("customer_id IS NOT NULL AND order_date IS NOT NULL")
-        .select("customer_id", "order_date").withColumn("last", last)
+        .select("customer_id", "order_date").withColumn("next", following)
+        .select("order_date", F.least("next", F.date_add("order_date", days)).alias("end"))
     )
-    reach = F.least(month_start(F.date_add("order_date", days - 1)), month_start("last"))
-    months = F.explode(F.sequence(month_start("order_date"), reach, F.expr("interval 1 month")))
-    seen = (
-        dated.select("customer_id", "order_date", "last", months.alias("m"))
-        .where(F.date_diff(F.least(F.last_day("m"), F.col("last")), "order_date") < days)
-        .select("m", "customer_id").distinct()
-        .groupBy("m").agg(F.count("*").alias("active"))
+    events = spans.select(F.explode(F.array(
+        F.struct(F.col("order_date").alias("date"), F.lit(1).alias("change")), F.struct(F.col("end").alias("date"), F.lit(-1).alias("change")),
+    )).alias("e")).groupBy("e.date").agg(F.sum("e.change").alias("change"))
+    calendar = (
+        star.orders.agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi")).where("lo IS NOT NULL")
+        .select(F.explode(F.sequence("lo", "hi")).alias("date"), "hi")
     )
-    return (
-        month_spine(star).join(seen, "m", "left")
-        .select(
-            year_month("m").alias("month"),
-            F.coalesce("active", F.lit(0)).alias("active_customers"),
-        ).orderBy("month")
+    running = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)  # as long as the calendar
+    per_day = calendar.join(events, "date", "left").select(
+        "date", "hi", F.sum(F.coalesce("change", F.lit(0))).over(running).alias("active_customers")
+    )
+    if grain == "day":
+        return per_day.select("date", "active_customers").orderBy("date")
+    return per_day.where(F.col("date") == F.least(F.last_day("date"), F.col("hi"))).select(
+        year_month("date").alias("month"), "active_customers"
+    ).orderBy("month")
+
+
+def customers_by_period(star: Star) -> DataFrame:
+    """Customers of revenue orders by month, quarter and year, for each channel and in all.
+
+    One rollup by (month, channel) holds a bitmap for each cell; coarser periods and all channels are merged from finer
+    ones, and no customer is looked at again.
+    """
+    seen = revenue_orders(star, "customer_id", "order_date", "channel").where("order_date IS NOT NULL").withColumn(
+        "month", month_start("order_date")
     )
+    months = distinct_rollup(seen, ["month", "channel"], "customer_id")
+    quarters = merge_cells(months.withColumn("quarter", F.trunc("month", "quarter")), ["quarter", "channel"])
+    years = merge_cells(quarters.withColumn("year", F.trunc("quarter", "year")), ["year", "channel"])
+    parts = []
+    for grain, cut in (("month", months), ("quarter", quarters), ("year", years)):
+        for of in (cell_counts(cut, [grain, "channel"], "customers"),
+                   cell_counts(merge_cells(cut, [grain]), [grain], "customers").withColumn("channel", F.lit(None).cast("string"))):
+            parts.append(of.select(F.lit(grain).alias("grain"), F.col(grain).alias("start"), "channel", "customers"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def new_customers(star: Star) -> DataFrame:
