@@ -7,7 +7,6 @@ worker asks the library once for each distinct chunk and keeps the answers in a
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -69,30 +68,43 @@ class ChunkTokens:
         known = self.stems
         if len(known) + len(stems) > STEM_ENTRIES:
             known.clear()
-        words = [(s, w) for s in stems for w in (s.decode("utf-8"),) if w.isalpha() and max(w) < "\u0250" and "\u0130" not in w]
-        for k in range(0, len(words), TOGETHER):
-            some = words[k:k + TOGETHER]
-            text = " ".join([w for _, w in some])
-            ids = np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+        plain, other = [], []
+        for stem in stems:
+            word = stem.decode("utf-8")
+            # ASCII letters are plain; of the rest, letters up to U+024F but U+0130, whose lower case has a mark.
+            if word.isalpha() and (word.isascii() or (max(word) < "\u0250" and "\u0130" not in word)):
+                plain.append((stem, word))
+            else:
+                other.append(stem)
+        for k in range(0, len(plain), TOGETHER):
+            some = plain[k:k + TOGETHER]
+            ids = np.array(self.library.encode_batch_fast([" ".join([w for _, w in some])], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) == len(some):
                 data, start = ids.tobytes(), 0
                 for (stem, _), end in zip(some, (ends * 4).tolist(), strict=True):
                     known[stem] = data[start:end]
                     start = end
-        for stem in stems:
-            if stem not in known:
-                known[stem] = self._library_ids(stem)
+            else:
+                other += [stem for stem, _ in some]
+        for stem in other:
+            known[stem] = self._library_ids(stem)
 
-    def learn(self, chunks: Iterable[bytes]) -> None:
+    def learn(self, chunks: set[bytes]) -> None:
         known, stems = self.chunks, self.stems
-        split = [(c, split_chunk(c)) for c in chunks if c not in known]
-        if len(known) + len(split) > self.entries:
+        new = chunks.difference(known)
+        if len(known) + len(new) > self.entries:
             known.clear()
-        self._learn_stems(list({part for _, parts in split for part in parts if part not in stems}))
+            new = chunks
+        split = [(chunk, split_chunk(chunk)) for chunk in new]
+        missing = {part for _, parts in split for part in parts}.difference(stems)
+        if missing:
+            self._learn_stems(list(missing))
         for chunk, parts in split:
-            found = [stems.get(part) for part in parts]
-            known[chunk] = b"".join(self._library_ids(p) if f is None else f for p, f in zip(parts, found, strict=True))
+            try:
+                known[chunk] = stems[parts[0]] if len(parts) == 1 else stems[parts[0]] + stems[parts[1]]
+            except KeyError:  # the stems were emptied in between
+                known[chunk] = b"".join(map(self._library_ids, parts))
 
     def ids(self, text: str | None) -> np.ndarray:
         if not text:
@@ -101,12 +113,8 @@ class ChunkTokens:
         try:
             found = b"".join(map(self.chunks.__getitem__, chunks))
         except KeyError:
-            self.learn(set(chunks))
-            try:
-                found = b"".join(map(self.chunks.__getitem__, chunks))
-            except KeyError:  # the dictionary was emptied, and knows only the chunks that were missing
-                self.learn(set(chunks))
-                found = b"".join(map(self.chunks.__getitem__, chunks))
+            self.learn(set(chunks))  # afterwards all of them are known, also if the dictionary was emptied
+            found = b"".join(map(self.chunks.__getitem__, chunks))
         return np.frombuffer(found, dtype="<u4")
 
     def count(self, part: bytes) -> int:
