@@ -225,3 +225,25 @@ def test_forward_sums_all_segmentations():
 def test_long_runs_are_scored_in_segments():
     assert "".join(langid.words_of("x" * 200)).replace("▁", "") == "x" * 200
     assert max(map(len, langid.words_of("x" * 200))) <= langid.SEGMENT + 1
+
+
+def test_readings_that_are_not_decoded_have_no_evidence():
+    """The scorer decodes only what can spell a feature; a chunk's evidence is the same as over all decoded words."""
+    import random
+
+    r = random.Random(5)
+    text = " ".join(r.choice(["moron", "idiot", "pass", "moment", "iris", "class", "zeal", "still", "boss"]) for _ in range(3000)).encode()
+    grams = toxicity._grams(toxicity._normal(text))
+    model = toxicity.CharModel(*toxicity._added(grams, np.ones(len(grams), dtype=np.int64)))
+    evidence = {"=moron": 3.0, "^idio": 2.0, "=bo": 1.7, "^claa": 2.5, "=zealot": 4.0}
+    scorer = toxicity.Scorer(model, evidence, np.zeros(toxicity.Scorer.SIZE))
+    alphabet = "moridtbclsaze0135!|$@*-é7."
+    chunks = ["moron", "m0r0n", "mooron!", "1d10t", "iidiots", "b0ss", "cla@s", "cl@a", "zeal0t", "z3al0tt", "bo-", "(bo)", "100", "b0", "0", "!!", "claass"]
+    chunks += ["".join(r.choice(alphabet) for _ in range(r.randint(1, 8))) for _ in range(3000)]
+    plain = toxicity.Restorer(model)
+    skipped = 0
+    for chunk in chunks:
+        want = max(0.0, scorer._words(plain.words(chunk)))
+        assert max(0.0, scorer._chunk(chunk)) == want, chunk
+        skipped += not scorer._can_matter(chunk.lower())
+    assert skipped > len(chunks) / 2

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +56,17 @@ def show_null(name: str = "doc_id") -> Column:
     return F.nullif(F.col(name), F.lit(NO_ID)).alias(name)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held_by_worker(key: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, once for each Python worker process and key; a worker that turns to another key drops the one before."""
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = make()
+    return _HELD[key]
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers (the finaliser of splitmix64)."""
     x = x.astype(np.uint64, copy=True)

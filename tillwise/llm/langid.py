@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import hide_null, mix64, remainder, show_null, written
+from tillwise.llm.common import held_by_worker, hide_null, mix64, remainder, show_null, written
 
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS = 2  # of expectation maximisation
@@ -236,62 +237,75 @@ def learn(docs: DataFrame, path: str | None = None, rounds: int = ROUNDS) -> tup
     return pieces, languages, probabilities
 
 
+class Scorer:
+    """Languages of texts. Each distinct chunk is scored once, in a dictionary that starts afresh at CACHE_CHUNKS."""
+
+    def __init__(self, pieces: list[str], languages: list[str], probabilities: np.ndarray):
+        self.model, self.languages = Model(Lattice(pieces), probabilities), languages
+        self.rows = np.zeros((1 << 12, len(languages)))
+        self.letters = np.zeros(1 << 12, dtype=bool)
+        self.number: dict[str, int] = {}
+
+    def _learn(self, chunks: set[str]) -> None:
+        number, n = self.number, len(self.languages)
+        new = chunks.difference(number)
+        if len(number) + len(new) > CACHE_CHUNKS:
+            number.clear()
+            new = chunks
+        if not new:
+            return
+        start = len(number)
+        while start + len(new) > len(self.rows):
+            self.rows = np.vstack([self.rows, np.zeros_like(self.rows)])
+            self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
+        split = [words_of(c) for c in new]
+        flat = sorted({w for ws in split for w in ws})
+        scores = np.vstack([self.model.score(flat[k:k + 5000]) for k in range(0, len(flat), 5000)]) if flat else np.zeros((0, n))
+        at = dict(zip(flat, range(len(flat)), strict=True))
+        number.update(zip(new, range(start, start + len(new)), strict=True))
+        sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        places = np.fromiter((at[w] for ws in split for w in ws), dtype=np.int64, count=int(sizes.sum()))
+        own = slice(start, start + len(new))
+        self.rows[own], self.letters[own] = 0.0, sizes > 0
+        if len(places):  # sums over the words of each chunk that has any
+            some = np.flatnonzero(sizes)
+            self.rows[start + some] = np.add.reduceat(scores[places], (np.cumsum(sizes) - sizes)[some], axis=0)
+
+    def predicted(self, values: list) -> tuple[list[str], list[float], list[bool]]:
+        """Language, score and whether there is a letter, of each text."""
+        texts = [t.lower().split() if isinstance(t, str) else [] for t in values]
+        some: set[str] = set()
+        langs, scores, lettered = [], [], []
+        begin = 0
+        for end, chunks in enumerate(texts, 1):  # scored in groups whose chunks fit the cache
+            some.update(chunks)
+            if end == len(texts) or len(some) > CACHE_CHUNKS // 4:
+                self._learn(some)
+                for own in texts[begin:end]:
+                    at = np.fromiter(map(self.number.__getitem__, own), dtype=np.int64, count=len(own))
+                    lettered.append(bool(self.letters[at].any()))
+                    if not self.languages or not lettered[-1]:
+                        langs.append(UNKNOWN)
+                        scores.append(0.0)
+                        continue
+                    total = self.rows[at].sum(axis=0)
+                    best = int(total.argmax())
+                    langs.append(self.languages[best])
+                    scores.append(float(1 / np.exp(total - total[best]).sum()))
+                begin, some = end, set()
+        return langs, scores, lettered
+
+
 def _predict(pieces: list[str], languages: list[str], probabilities: np.ndarray, over):
-    """A task that gives ``over`` its batches and a function from texts to languages, scores and whether they have a letter."""
+    """A task that gives ``over`` its batches and a function from texts to languages, scores and whether they have a letter.
+
+    Model, lattice and dictionary are made once for a worker process, not once a task.
+    """
+    key = f"language-{uuid.uuid4().hex}"
 
     def run(batches: Iterator) -> Iterator:
-        model = Model(Lattice(pieces), probabilities)
-        n = len(languages)
-        rows = np.zeros((1 << 12, n))
-        letters = np.zeros(1 << 12, dtype=bool)
-        number: dict[str, int] = {}
-
-        def learned(chunks: set[str]) -> None:
-            nonlocal rows, letters
-            new = [c for c in chunks if c not in number]
-            if len(number) + len(new) > CACHE_CHUNKS:
-                number.clear()
-                new = list(chunks)
-            start = len(number)
-            while start + len(new) > len(rows):
-                rows, letters = np.vstack([rows, np.zeros_like(rows)]), np.concatenate([letters, np.zeros_like(letters)])
-            split = [words_of(c) for c in new]
-            flat = sorted({w for ws in split for w in ws})
-            scores = np.vstack([model.score(flat[k:k + 5000]) for k in range(0, len(flat), 5000)]) if flat else np.zeros((0, n))
-            at = dict(zip(flat, range(len(flat)), strict=True))
-            number.update(zip(new, range(start, start + len(new)), strict=True))
-            sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-            places = np.fromiter((at[w] for ws in split for w in ws), dtype=np.int64, count=int(sizes.sum()))
-            own = slice(start, start + len(new))
-            rows[own], letters[own] = 0.0, sizes > 0
-            if len(places):  # sums over the words of each chunk that has any
-                some = np.flatnonzero(sizes)
-                rows[start + some] = np.add.reduceat(scores[places], (np.cumsum(sizes) - sizes)[some], axis=0)
-
-        def predicted(values: list) -> tuple[list[str], list[float], list[bool]]:
-            texts = [t.lower().split() if isinstance(t, str) else [] for t in values]
-            some: set[str] = set()
-            langs, scores, lettered = [], [], []
-            begin = 0
-            for end, chunks in enumerate(texts, 1):  # scored in groups whose chunks fit the cache
-                some.update(chunks)
-                if end == len(texts) or len(some) > CACHE_CHUNKS // 4:
-                    learned(some)
-                    for own in texts[begin:end]:
-                        at = np.fromiter(map(number.__getitem__, own), dtype=np.int64, count=len(own))
-                        lettered.append(bool(letters[at].any()))
-                        if not n or not lettered[-1]:
-                            langs.append(UNKNOWN)
-                            scores.append(0.0)
-                            continue
-                        total = rows[at].sum(axis=0)
-                        best = int(total.argmax())
-                        langs.append(languages[best])
-                        scores.append(float(1 / np.exp(total - total[best]).sum()))
-                    begin, some = end, set()
-            return langs, scores, lettered
-
-        yield from over(batches, predicted)
+        scorer = held_by_worker(key, lambda: Scorer(pieces, languages, probabilities))
+        yield from over(batches, scorer.predicted)
 
     return run
 

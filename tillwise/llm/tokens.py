@@ -14,7 +14,7 @@ import numpy as np
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 CACHE_ENTRIES = 600_000  # chunks
-STEM_ENTRIES = 800_000
+STEM_ENTRIES = 1_200_000
 TOGETHER = 64  # words in one call of the library
 _TAIL = b".,!?:;%&#*$|)(\"-"
 

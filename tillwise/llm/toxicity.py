@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillwise.llm.common import hide_null, remainder, show_null
+from tillwise.llm.common import held_by_worker, hide_null, remainder, show_null
 from tillwise.llm.sampling import labelled_sample
 
 SAMPLE = 6000  # labelled documents of each class, at most, used for fitting
@@ -21,7 +22,8 @@ MOST_FEATURES = 20_000
 LEAST_DOCUMENTS = 4  # toxic documents that must have a feature
 LEAST_EVIDENCE = 1.5
 THRESHOLD = 0.5
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 600_000  # chunks whose evidence a worker holds
+CACHE_READINGS = 300_000  # decoded readings, and words, that it holds
 FEW = 12  # states; with more at any character, a first pass over that many gives a bound for the exact one
 
 # What a sign may stand for.
@@ -184,6 +186,7 @@ class Restorer:
     def __init__(self, model: CharModel):
         self.model = model
         self.runs: dict[str, list[str]] = {}
+        self.readings: dict[str, list[str]] = {}
         self.encoded: dict[tuple[str, bool, bool], list[tuple[bytes, float]]] = {}
 
     def _options(self, token: str, k: int, spaced: bool) -> list[tuple[str, float]]:
@@ -293,12 +296,28 @@ class Restorer:
             return _letters(low)
         out: list[str] = []
         for reading in dict.fromkeys((low.strip(_STRIP), low.strip(_STRIP_NO_SIGNS))):
-            if not _SIGN.search(reading):
-                out += _letters(reading)
-            if _AMBIGUOUS.search(reading):
-                out += _letters(self.decode(reading))
+            out += self.of_reading(reading)
         return list(dict.fromkeys(out))
 
+    def of_reading(self, reading: str, wanted: Callable[[str], bool] | None = None) -> list[str]:
+        """Words of one reading as it is, where it has no sign, and decoded, where it has a choice and is ``wanted``."""
+        out = [] if _SIGN.search(reading) else _letters(reading)
+        if _AMBIGUOUS.search(reading):
+            found = self.readings.get(reading)  # chunks that differ in punctuation share it
+            if found is None:
+                if len(self.readings) > CACHE_READINGS:
+                    self.readings.clear()
+                found = _letters(self.decode(reading)) if wanted is None or wanted(reading) else []
+                self.readings[reading] = found
+            out += found
+        return out
+
+    @staticmethod
+    def options(char: str, repeated: bool) -> tuple[str, ...]:
+        """What a character of a chunk may stand for, without the costs."""
+        own = (char,) if char.isalpha() else (" ", *SIGNS.get(char, ""))
+        return (*own, "") if repeated else own
+
     def text_words(self, text: str) -> list[str]:
         """Words of spaced-out runs of single characters in a text."""
         out = []
@@ -308,7 +327,7 @@ class Restorer:
             if found is None:
                 found = _letters(self.decode(run, spaced=True))
                 if len(run) <= LONGEST_HELD:
-                    if len(self.runs) > CACHE_CHUNKS:
+                    if len(self.runs) > CACHE_READINGS:
                         self.runs.clear()
                     self.runs[run] = found
             out += found
@@ -372,14 +391,57 @@ class Scorer:
         self.evidence = evidence
         self.weights = weights
         self.chunks: dict[str, float] = {}
+        self.of_word: dict[str, float] = {}
+        self.beginnings = {f[1:k] for f in evidence for k in range(2, len(f) + 1)}
+
+    def _can_matter(self, reading: str) -> bool:
+        """Whether some path of the reading's lattice, likely or not, spells a feature with evidence.
+
+        Where none does, the best path has no evidence either, and need not be found. Only beginnings of features are followed.
+        """
+        evidence, beginnings, options = self.evidence, self.beginnings, self.restorer.options
+        open_words, starts, before = set(), True, ""
+        for char in reading:
+            after, ends = set(), False
+            for emitted in options(char, char == before):
+                if emitted == " ":
+                    ends = True
+                    if any("=" + word in evidence for word in open_words):
+                        return True
+                elif not emitted:
+                    after |= open_words
+                    ends |= starts
+                else:
+                    for word in ([*open_words, ""] if starts else open_words):
+                        word += emitted
+                        if word in beginnings:
+                            if "^" + word in evidence:
+                                return True
+                            after.add(word)
+            open_words, starts, before = after, ends, char
+        return any("=" + word in evidence for word in open_words)
+
+    def _chunk(self, chunk: str) -> float:
+        """Evidence of a chunk's words (``Restorer.words``); only readings that can have some are decoded."""
+        low = chunk.lower()
+        if not _AMBIGUOUS.search(low):
+            return self._words(_letters(low))
+        best = 0.0
+        for reading in dict.fromkeys((low.strip(_STRIP), low.strip(_STRIP_NO_SIGNS))):
+            best = max(best, self._words(self.restorer.of_reading(reading, self._can_matter)))
+        return best
 
     def _words(self, words: list[str]) -> float:
-        get, best = self.evidence.get, None
+        known, best = self.of_word, None
         for word in words:
-            for feature in _features(word):
-                value = get(feature, 0.0)
-                if best is None or value > best:
-                    best = value
+            value = known.get(word)
+            if value is None:
+                if len(known) > CACHE_READINGS:
+                    known.clear()
+                get = self.evidence.get
+                value = known[word] = max([get(feature, 0.0) for feature in _features(word)])
+            if best is None or value > best:
+                best = value
         return 0.0 if best is None else best
 
     def document(self, text: str | None) -> np.ndarray:
@@ -398,7 +460,7 @@ class Scorer:
                 known.clear()
                 new = set(parts)
             for chunk in new:
-                known[chunk] = self._words(self.restorer.words(chunk))
+                known[chunk] = self._chunk(chunk)
             found = np.fromiter(map(known.__getitem__, parts), dtype=float, count=len(parts))
         spaced = [self._words([w]) for w in self.restorer.text_words(text)]
         values = found[found > 0]
@@ -459,8 +521,10 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer | No
 
 
 def _scorer(grams: np.ndarray, numbers: np.ndarray, evidence: dict[str, float], weights: np.ndarray):
+    key = f"toxicity-{uuid.uuid4().hex}"
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = Scorer(CharModel(grams, numbers), evidence, weights)
+        scorer = held_by_worker(key, lambda: Scorer(CharModel(grams, numbers), evidence, weights))
         for batch in batches:
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [scorer.score(t) for t in batch["text"]]})
 
