@@ -8,6 +8,7 @@ import pytest
 
 from tests.llm.conftest import ROWS, frame, told
 from tillwise.llm import exact_dedup, minhash
+from tillwise.llm.queries import op1
 
 
 def brute_exact(rows):
@@ -31,6 +32,17 @@ def test_exact_edges(edges, nothing):
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 3, 5, 6, 7, 7, 8, 9, 10]
 
 
+def test_the_query_gives_one_row_a_row(llm, edges, tmp_path, monkeypatch):
+    """Null and repeated ids included; also where hardly any group is hot."""
+    edges.write.parquet(str(tmp_path / "documents.parquet"))
+    norm = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t, *_ in ROWS}
+    for parts in (1024, 2):
+        monkeypatch.setattr(exact_dedup, "HOT_PARTS", parts)
+        out = op1(llm, str(tmp_path)).collect()
+        assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in out), key=repr) == brute_exact(ROWS)
+        assert all(r["text_sha256"] == hashlib.sha256(norm[r["doc_id"]].encode()).hexdigest() for r in out if r["doc_id"] is not None)
+
+
 def test_exact_same_length_and_prefix(llm):
     base = "x" * 400
     rows = [(k, base + str(k % 7) * 3, "en", "s") for k in range(60)] + [(100 + k, f"only {k:03d}", "en", "s") for k in range(300)]

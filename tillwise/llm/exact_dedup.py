@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tillwise.llm.common import SPACES, rows_of, written
 
 PREFIX_CHARS = 256
-# The keys that still have company after the prefix stage, as a bitmap of hashed keys. Its size is
-# fixed: FILTER_MAPS maps of 4 KB. A wrong hit only costs a hash that was not needed.
-FILTER_MAPS = 32
+# The keys that still have company after the prefix stage, as a bitmap of hashed keys in maps of 4 KB, SLOTS slots for each key
+# and at most MOST_MAPS maps (16 MB), as they are broadcast. A wrong hit only costs a hash that was not needed.
 MAP_BITS = 4096 * 8
+SLOTS = 16
+MOST_MAPS = 4096
+HOT_PARTS = 1024  # a group with over one part in HOT_PARTS of the rows with company is hot: there are fewer than HOT_PARTS
 
 
 def normalised(text: Column) -> Column:
@@ -23,21 +25,21 @@ def text_sha256(text: Column) -> Column:
     return F.sha2(normalised(text).cast("binary"), 256)
 
 
-def _slot(*key: Column) -> Column:
-    return F.pmod(F.xxhash64(*key), F.lit(FILTER_MAPS * MAP_BITS))
+def _slot(maps: int, *key: Column) -> Column:
+    return F.pmod(F.xxhash64(*key), F.lit(maps * MAP_BITS))
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, digests: bool = False) -> DataFrame:
     """Finds documents whose normalised texts are equal.
 
     Three stages, each only for what the one before left in company: the length in bytes, the hash
     of the first 256 characters, and SHA-256 of the whole text. The first two come from one
     scan; the last reads the texts again and hashes only documents whose (length, prefix) key is set in a
-    bitmap of fixed size. Groups are minima and counts, combined before any shuffle, so that a group
-    with a third of all rows costs one row for each task; the way back to the rows is a join whose hot keys
-    Spark's skew join splits.
+    bitmap sized by the keys that are left (``digests`` asks for the hash of every text, from the same scan). Groups are
+    minima and counts, combined before any shuffle, so that a group with a third of all rows costs one row for each task. On the way
+    back to the rows, the few hot groups are broadcast, and no key of the join is hot.
 
-    Returns one row for each row of ``docs``: doc_id, keep_id, group_size, kept. A null text
+    Returns one row for each row of ``docs``: doc_id, keep_id, group_size, kept, and text_sha256 with ``digests``. A null text
     counts as empty; a text of white space only is one space, and so is not empty. A null doc_id
     is greater than all others. Rows that repeat a doc_id count one by one and get the same answer;
     a group with no other id has keep_id null. An empty table gives an empty result.
@@ -51,33 +53,37 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
     counted = keys.groupBy("_len", "_prefix").agg(F.count("*").alias("_n"))
     lengths = counted.groupBy("_len").agg(F.sum("_n").alias("_same")).where("_same > 1").select("_len")
-    prefixes = counted.join(lengths, "_len").where("_n > 1").select(_slot(F.col("_len"), F.col("_prefix")).alias("_slot"))
+    prefixes = written(counted.join(lengths, "_len").where("_n > 1").select("_len", "_prefix"))
+    maps = max(1, min(MOST_MAPS, -(-prefixes.count() * SLOTS // MAP_BITS)))
     bitmap = (
-        prefixes.groupBy(F.bitmap_bucket_number("_slot").alias("_map"))
+        prefixes.select(_slot(maps, F.col("_len"), F.col("_prefix")).alias("_slot")).groupBy(F.bitmap_bucket_number("_slot").alias("_map"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_slot")).alias("_bits"))
     )
-    slot = _slot(F.octet_length("_t").cast("long"), F.xxhash64(F.substring("_t", 1, PREFIX_CHARS)))
+    slot = _slot(maps, F.octet_length("_t").cast("long"), F.xxhash64(F.substring("_t", 1, PREFIX_CHARS)))
     place = F.bitmap_bit_position("_slot")
     byte = F.conv(F.hex(F.substring("_bits", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.coalesce(F.getbit(byte, (place % 8).cast("int")) == 1, F.lit(False))
+    full = F.sha2(F.col("_t").cast("binary"), 256)
     hashed = written(
         docs.select("doc_id", text.alias("_t")).withColumn("_slot", slot)
         .withColumn("_map", F.bitmap_bucket_number("_slot"))
-        .join(F.broadcast(bitmap), "_map", "left")  # FILTER_MAPS rows of 4 KB at most
+        .join(F.broadcast(bitmap), "_map", "left")  # MOST_MAPS rows of 4 KB at most
         .select(
-            "doc_id", F.octet_length("_t").cast("long").alias("_len"),
-            F.when(hit, F.sha2(F.col("_t").cast("binary"), 256)).alias("_full"),
+            "doc_id", F.octet_length("_t").cast("long").alias("_len"), hit.alias("_hit"), (full if digests else F.when(hit, full)).alias("_full"),
         )
     )
-    alone = hashed.where("_full IS NULL").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-    )
-    company = hashed.where("_full IS NOT NULL")
+    company = hashed.where("_hit")
     groups = company.groupBy("_len", "_full").agg(
         F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")
     )
-    together = company.join(groups, ["_len", "_full"]).select("doc_id", "keep_id", "group_size")
-    return alone.unionByName(together).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    bar = company.agg(F.count("*") / HOT_PARTS).scalar()
+    hot = F.broadcast(groups.where(F.col("group_size") > bar))
+    shown = ["doc_id", "keep_id", "group_size", *(["_full"] if digests else [])]
+    alone = hashed.where("NOT _hit").withColumn("keep_id", F.col("doc_id")).withColumn("group_size", F.lit(1).cast("long"))
+    together = company.join(hot, ["_len", "_full"])
+    rest = company.join(hot, ["_len", "_full"], "left_anti").join(groups, ["_len", "_full"])
+    every = alone.select(*shown).unionByName(together.select(*shown)).unionByName(rest.select(*shown))
+    return every.withColumnRenamed("_full", "text_sha256").withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id")))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -48,10 +48,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    digests = docs.select(F.col("doc_id").alias("_id"), exact_dedup.text_sha256(F.col("text")).alias("text_sha256"))
-    groups = exact_dedup.exact_groups(docs)
-    return groups.join(digests, groups["doc_id"].eqNullSafe(digests["_id"])).select(
+    return exact_dedup.exact_groups(table(spark, folder, "documents"), digests=True).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256"
     )
 
