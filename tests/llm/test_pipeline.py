@@ -47,6 +47,16 @@ def test_stages_follow_their_operators(stages, llm):
     assert used <= 1.05 * full + 1
 
 
+def test_language_stage_fills_null_languages(llm, documents):
+    """By the same predictions as the operator's; languages that are there stay."""
+    docs = documents.withColumn("lang", F.when(F.col("doc_id") % 3 > 0, F.col("lang")))
+    out = {r["doc_id"]: r["lang"] for r in langid.keep_known(docs).select("doc_id", "lang").collect()}
+    told = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    given = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
+    assert out and any(given[i] is None for i in out)
+    assert all(lang == (given[i] if given[i] is not None else told[i]) and lang != langid.UNKNOWN for i, lang in out.items())
+
+
 def test_run_is_the_stages(stages, llm):
     got = corpus_pipeline.run(llm, SF).select("doc_id", "start", "length", "ids_crc32").collect()
     want = stages[-1].select("doc_id", "start", "length", "ids_crc32").collect()

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -342,15 +343,19 @@ def identify(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def keep_known(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """``docs`` without null texts and texts without a letter; all columns as they were.
+    """``docs`` without null texts and texts without a letter, and with the predicted language where ``lang`` is null.
 
-    Nothing else goes: where no language was learned, every text with a letter stays.
+    Nothing else goes, and a language that is there stays as it is: where no language was learned, every text with a letter stays,
+    and null languages stay null. All other columns are as they were.
     """
     learned = learn(docs.select("doc_id", "text", "lang").where(~held_out(F.col("doc_id"))), path)
 
     def over(batches, predicted):
         for batch in batches:
-            *_, lettered = predicted(batch.column("text").to_pylist())
+            langs, _, lettered = predicted(batch.column("text").to_pylist())
+            at = batch.schema.get_field_index("lang")
+            told = pa.array([None if lang == UNKNOWN else lang for lang in langs], batch.schema.field(at).type)
+            batch = batch.set_column(at, batch.schema.field(at), pc.coalesce(batch.column(at), told))
             yield batch.filter(pa.array(lettered, pa.bool_()))
 
     return docs.mapInArrow(_predict(*learned, over), docs.schema)
