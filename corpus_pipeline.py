@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the docs of the
 next. All but the last return the columns of ``docs``:
 
-1. language: texts without a language (null, or without a letter) go; nothing else does.
+1. language: texts without a language (null, or without a letter) go, nothing else does; a null lang gets the predicted one.
 2. exact_dedup: of documents with equal normalised texts, the one with the smallest doc_id stays.
 3. near_dedup: one document of each component of near copies stays, the one with the smallest doc_id.
 4. mixing: each document comes as often as the mix takes it (not at all, once or twice).
