@@ -291,6 +291,23 @@ def d27(star: DriverStar) -> DataFrame:
     )
 
 
+def s03(star: DriverStar) -> DataFrame:
+    """Verdicts on a batch of orders, against the third of the orders that is stored.
+
+    Arithmetic on the key gives rows a changed channel, a second version, a copy, an unknown customer, none, or no key.
+    """
+    orders = star.orders
+    stored = orders.where("order_id % 3 = 0")
+    o = "order_id"
+    batch = orders.withColumn("v", F.expr(f"explode(CASE WHEN {o} % 5 = 0 THEN array(0, 0) WHEN {o} % 7 = 0 THEN array(0, 1) ELSE array(0) END)")).selectExpr(
+        f"CASE WHEN {o} % 17 <> 0 THEN {o} END AS order_id",
+        f"CASE WHEN {o} % 11 = 0 THEN customer_id + 10000000 WHEN {o} % 13 <> 0 THEN customer_id END AS customer_id",
+        "order_date", f"CASE WHEN {o} % 6 = 0 THEN 'changed' ELSE channel END AS channel",
+        "CASE WHEN v = 1 THEN 'Z' ELSE status END AS status",
+    )
+    return integrity.screen_rows(batch, stored, "order_id", {"customer_id": star.customers.select("customer_id")})
+
+
 def d28(star: DriverStar) -> DataFrame:
     """Dense numbers for the distinct lines."""
     keys = ["order_id", "item_id", "product_id", "quantity"]
@@ -383,6 +400,7 @@ CLEANING = {
     "s05_m05_on_clean_star": _on_clean_star(
         lambda star: measures.measures(star, ["total_discount"], ["channel"])),
     "d28_dense_id": d28,
+    "s03_keyed_append": s03,
     "d29_quality_report": d29,
     "d30_clean_customers": d30_customers,
     "d30_clean_products": d30_products,

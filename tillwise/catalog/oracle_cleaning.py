@@ -357,6 +357,29 @@ SELECT {dbl(DISCOUNT)} AS discount_pct, COUNT(*) AS lines FROM raw_i GROUP BY 1"
     q["d27_line_total"] = raw("order_items", body=f"""
 SELECT order_id, item_id, {dbl(f"ROUND(abs({number('quantity', 'INT')}) * {cents('unit_price')} * (1 - {DISCOUNT}), 2)")}
   AS line_total FROM raw_i""")
+    q["s03_keyed_append"] = over("od", "cu", body="""
+, o AS (SELECT order_id, customer_id, order_date, channel, status FROM od),
+batch AS (
+  SELECT CASE WHEN order_id % 17 <> 0 THEN order_id END AS order_id,
+         CASE WHEN order_id % 11 = 0 THEN customer_id + 10000000 WHEN order_id % 13 <> 0 THEN customer_id END AS customer_id,
+         order_date, CASE WHEN order_id % 6 = 0 THEN 'changed' ELSE channel END AS channel,
+         CASE WHEN v = 1 THEN 'Z' ELSE status END AS status
+  FROM o, (SELECT 0 AS v, 0 AS copy UNION ALL SELECT 1, 0 UNION ALL SELECT 0, 1)
+  WHERE (v = 0 AND copy = 0) OR (copy = 1 AND order_id % 5 = 0) OR (v = 1 AND order_id % 7 = 0 AND order_id % 5 <> 0)),
+folded AS (SELECT *, COUNT(*) AS copies FROM batch GROUP BY ALL),
+judged AS (
+  SELECT b.*, CASE
+      WHEN b.order_id IS NULL THEN 'no key'
+      WHEN b.customer_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM cu WHERE cu.customer_id = b.customer_id) THEN 'no parent: customer_id'
+      WHEN s.order_id IS NOT NULL AND s.customer_id IS NOT DISTINCT FROM b.customer_id AND s.order_date IS NOT DISTINCT FROM b.order_date
+           AND s.channel IS NOT DISTINCT FROM b.channel AND s.status IS NOT DISTINCT FROM b.status THEN 'known'
+      WHEN s.order_id IS NOT NULL THEN 'key taken' ELSE 'new' END AS verdict
+  FROM folded b LEFT JOIN (SELECT * FROM o WHERE order_id % 3 = 0) s ON s.order_id = b.order_id)
+SELECT order_id, customer_id, order_date, channel, status, copies,
+       CASE WHEN verdict = 'new' AND ROW_NUMBER() OVER (
+              PARTITION BY order_id, verdict ORDER BY customer_id NULLS FIRST, order_date NULLS FIRST, channel, status) > 1
+            THEN 'key repeated' ELSE verdict END AS verdict
+FROM judged""")
     q["d28_dense_id"] = over("ln", body="""
 SELECT *, ROW_NUMBER() OVER (ORDER BY order_id, item_id, product_id, quantity) AS line_id
 FROM (SELECT DISTINCT order_id, CAST(item_id AS BIGINT) AS item_id, product_id, quantity FROM ln)""")

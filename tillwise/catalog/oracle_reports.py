@@ -359,6 +359,52 @@ GROUP BY 1""")
 SELECT '{grain}' AS grain, CAST(date_trunc('{grain}', order_date) AS DATE) AS start, {channel} AS channel,
        COUNT(DISTINCT customer_id) AS customers FROM od WHERE counts GROUP BY ALL"""
         for grain in ("month", "quarter", "year") for channel in ("channel", "CAST(NULL AS VARCHAR)")))
+    # Orders and customers are those of the dates alone: a product filter does not reach them.
+    for by in ("category", "channel"):
+        orders = "o.channel = l.channel" if by == "channel" else "TRUE"
+        q[f"m06_model_filters_by_{by}"] = over("fa", "rt", body=f"""
+, o AS (SELECT * FROM od WHERE order_date BETWEEN DATE '1996-03-01' AND DATE '2000-09-30'),
+picked AS (SELECT * FROM pr WHERE category IN ('ECONOMY', 'PROMO', 'STANDARD')
+           AND brand IN ({', '.join(f"'Brand#{i}'" for i in range(1, 15))})),
+l AS (SELECT o.channel, p.category, ln.quantity, ln.line_total
+      FROM ln JOIN o USING (order_id) JOIN picked p USING (product_id)),
+back AS (SELECT o.channel, p.category FROM rt JOIN o USING (order_id) JOIN picked p USING (product_id)),
+groups AS (SELECT DISTINCT {by} AS g FROM l),
+sold AS (SELECT {by} AS g, SUM(line_total) AS rev, SUM(quantity) AS units FROM l GROUP BY 1),
+returned AS (SELECT {by} AS g, COUNT(*) AS returns FROM back GROUP BY 1),
+counted AS (
+  SELECT g, COUNT(DISTINCT order_id) AS orders, COUNT(DISTINCT customer_id) AS customers,
+         COUNT(DISTINCT CASE WHEN counts THEN order_id END) AS completed
+  FROM groups l JOIN o ON {orders.replace("l.channel", "l.g")} GROUP BY 1)
+SELECT g AS {by}, COALESCE({r2(div('rev', 'orders'))}, 0.0) AS average_order_value,
+       COALESCE({r2(div('rev', 'customers'))}, 0.0) AS revenue_per_customer, orders AS total_orders,
+       completed AS completed_orders, COALESCE({rk(div('COALESCE(returns, 0)', 'completed'), 4)}, 0.0) AS return_rate,
+       {big('units')} AS units_sold
+FROM sold JOIN counted USING (g) LEFT JOIN returned USING (g)""")
+    # A missing recency makes everyone score 3 on it; so do repeated edges of any column.
+    q["e10_parity_with_missing_dates"] = over("f", body=f"""
+, base AS (
+  SELECT customer_id, MAX(CASE WHEN customer_id % 50 <> 0 THEN order_date END) AS last_order_date,
+         {N_ORDERS} AS frequency, {REV} AS spend FROM f GROUP BY 1),
+aged AS (SELECT *, CAST({AS_OF} - last_order_date AS INT) AS recency FROM base),
+edges AS (
+  SELECT quantile_cont({dbl('recency')}, [0, 0.2, 0.4, 0.6, 0.8, 1]) AS re,
+         quantile_cont({dbl('frequency')}, [0, 0.2, 0.4, 0.6, 0.8, 1]) AS fe,
+         quantile_cont({dbl('spend')}, [0, 0.2, 0.4, 0.6, 0.8, 1]) AS me,
+         COUNT(*) = COUNT(recency) AS dated FROM aged),
+scored AS (
+  SELECT aged.*,
+    CAST(CASE WHEN dated AND len(list_distinct(re)) = 6 THEN 5 - len(list_filter(re[2:5], lambda e: recency > e)) ELSE 3 END AS INT) AS r,
+    CAST(CASE WHEN len(list_distinct(fe)) = 6 THEN 1 + len(list_filter(fe[2:5], lambda e: frequency > e)) ELSE 3 END AS INT) AS q,
+    CAST(CASE WHEN len(list_distinct(me)) = 6 THEN 1 + len(list_filter(me[2:5], lambda e: {dbl('spend')} > e)) ELSE 3 END AS INT) AS m
+  FROM aged, edges)
+SELECT customer_id, last_order_date, frequency, {dbl('spend')} AS monetary, recency, r AS R_score, q AS F_score, m AS M_score,
+       CAST(r * 100 + q * 10 + m AS VARCHAR) AS RFM_score,
+       CASE WHEN r >= 4 AND q >= 4 AND m >= 4 THEN 'Champions'
+            WHEN r >= 3 AND q >= 3 THEN CASE WHEN m >= 4 THEN 'Loyal Customers' ELSE 'Potential Loyalists' END
+            WHEN r >= 4 THEN 'New Customers' WHEN r <= 2 AND q >= 3 THEN 'At Risk' WHEN r = 1 AND q = 2 THEN 'Lost'
+            WHEN r + q + m >= 9 THEN 'Promising' ELSE 'Hibernating' END AS segment
+FROM scored""")
     q["m25_new_customers"] = over("od", body=f"""
 SELECT {MONTH} AS month, COUNT(*) AS new_customers
 FROM (SELECT customer_id, MIN(order_date) AS order_date FROM od GROUP BY 1) GROUP BY 1""")

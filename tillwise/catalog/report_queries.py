@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tillwise.catalog.cleaning_queries import doubles
 from tillwise.catalog.driver import DriverStar
@@ -27,6 +27,14 @@ PRODUCT_SLICE = SliceSpec(
     abc_classes=("A", "B"), segments=("Champions", "Loyal Customers", "At Risk"),
 )
 
+MODEL_SLICE = SliceSpec(
+    date_from=dt.date(1996, 3, 1), date_to=dt.date(2000, 9, 30),
+    categories=("ECONOMY", "PROMO", "STANDARD"), brands=tuple(f"Brand#{i}" for i in range(1, 15)),
+)
+MODEL_MEASURES = [
+    "average_order_value", "revenue_per_customer", "total_orders", "completed_orders", "return_rate", "units_sold",
+]
+
 # measure -> grouping it is registered with
 GROUPED_MEASURES = {
     "m01": ("total_revenue", ("status", "year")),
@@ -83,6 +91,14 @@ def abc(star: DriverStar) -> DataFrame:
     )
 
 
+def without_some_dates(star: DriverStar) -> DriverStar:
+    """The star with the order dates of every 50th customer missing."""
+    out = DriverStar(star.spark, star.folder, star.params)
+    kept = F.when(F.col("customer_id") % 50 != 0, F.col("order_date"))
+    out.__dict__["orders"] = star.orders.withColumn("order_date", kept)
+    return out
+
+
 REPORTS: dict[str, Build] = {
     "a02_customers_by_period": M.customers_by_period,
     "e01_master_fact": lambda s: doubles(E.master_fact(s)),
@@ -129,6 +145,9 @@ REPORTS: dict[str, Build] = {
     "p14_revenue_by_channel": lambda s: P.revenue_by(s, "channel"),
     "f09_sliced_by_orders": lambda s: M.measures(s, SLICED, ["month"], ORDER_SLICE),
     "f09_sliced_by_products": lambda s: M.measures(s, SLICED, ["channel"], PRODUCT_SLICE),
+    "m06_model_filters_by_category": lambda s: M.measures(s, MODEL_MEASURES, ["category"], MODEL_SLICE, model_filters=True),
+    "m06_model_filters_by_channel": lambda s: M.measures(s, MODEL_MEASURES, ["channel"], MODEL_SLICE, model_filters=True),
+    "e10_parity_with_missing_dates": lambda s: S.rfm(without_some_dates(s), parity=True),
     "w11_cumulative_share": cumulative,
     **{f"{k}_{name}": grouped(name, by) for k, (name, by) in GROUPED_MEASURES.items()},
     **{f"{k}_{name}": timed(name) for k, name in TIME_MEASURES.items()},

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -182,3 +182,46 @@ def apply_slice(df: DataFrame, spec: SliceSpec | None) -> DataFrame:
         if wanted is not None:
             df = df.where(F.col(column).isin(*wanted))
     return df
+
+
+# The report model's relationships, (many side, its column, one side, its column). A filter
+# goes from the one side to the many side only.
+RELATIONSHIPS = (
+    ("order_items", "order_id", "orders", "order_id"),
+    ("order_items", "product_id", "products", "product_id"),
+    ("orders", "customer_id", "customers", "customer_id"),
+    ("orders", "order_date", "dates", "date"),
+    ("returns", "order_id", "orders", "order_id"),
+    ("returns", "product_id", "products", "product_id"),
+    ("segments", "customer_id", "customers", "customer_id"),
+)
+
+# Table of each column that can be sliced or grouped by.
+TABLE_OF = {
+    "product_id": "products", "product_name": "products", "category": "products", "sub_category": "products",
+    "brand": "products", "abc_class": "products", "channel": "orders", "status": "orders", "state": "orders",
+    "loyalty_tier": "customers", "segment": "segments", "year": "dates", "month": "dates",
+}
+
+
+def reached_from(table: str) -> set[str]:
+    """Tables that a filter on ``table`` reaches along the relationships, itself included."""
+    found, todo = set(), [table]
+    while todo:
+        here = todo.pop()
+        if here not in found:
+            found.add(here)
+            todo += [many for many, _, one, _ in RELATIONSHIPS if one == here]
+    return found
+
+
+def reaches(column: str, fact: str) -> bool:
+    return fact in reached_from(TABLE_OF[column])
+
+
+def slice_reaching(spec: SliceSpec | None, fact: str) -> SliceSpec | None:
+    """The slicers of ``spec`` that reach ``fact``; dates reach all facts."""
+    if spec is None:
+        return None
+    lost = {slicer: None for slicer, column in SLICER_COLUMNS.items() if not reaches(column, fact)}
+    return replace(spec, **lost)

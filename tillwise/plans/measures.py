@@ -17,7 +17,7 @@ from tillwise.functions import (
 )
 from tillwise.operators.distinct import cell_counts, distinct_rollup, merge_cells
 from tillwise.operators.star import (
-    SLICER_COLUMNS, SliceSpec, Star, apply_slice, revenue_orders, with_profit,
+    SLICER_COLUMNS, SliceSpec, Star, apply_slice, reaches, revenue_orders, slice_reaching, with_profit,
 )
 from tillwise.operators.windows import share_of_total, top_n
 from tillwise.plans.eda import return_rate_by_category
@@ -77,13 +77,14 @@ def _line_sums(need: set[str]) -> dict[str, Column]:
 
 def base_sums(
     star: Star, by: Sequence[str] = (), spec: SliceSpec | None = None,
-    need: Sequence[str] = (*_SUMS, *_COUNTS),
+    need: Sequence[str] = (*_SUMS, *_COUNTS), blank: bool = False,
 ) -> DataFrame:
     """Additive parts of the measures per group: those of ``need``.
 
     Out of revenue, cost, units, discount, orders, completed, line_orders, customers. Lines are
     read only for what is made of them or for product attributes, products only for the cost and
-    those attributes, and customers form groups only where they are counted.
+    those attributes, and customers form groups only where they are counted. With ``blank`` orders without a
+    customer count as one customer more.
     """
     by, need = list(by), set(need)
     wanted = set(by) | _sliced_columns(spec)
@@ -129,7 +130,7 @@ def base_sums(
     )
     added = [F.sum(c).alias(c) for c in (*sums, *[n for n in counts if n in need])]
     return _with_month_text(
-        per_customer.groupBy(*by).agg(*added, F.count("customer_id").alias("customers"))
+        per_customer.groupBy(*by).agg(*added, F.count(F.lit(1) if blank else "customer_id").alias("customers"))
     )
 
 
@@ -196,14 +197,40 @@ _NEEDS = {
 }
 
 
+def _model_sums(star: Star, by: list[str], spec: SliceSpec | None, need: set[str]) -> DataFrame:
+    """``base_sums`` as the report model's filters give them.
+
+    Each table is filtered and grouped by what reaches it along the relationships: a product filter reaches order lines and
+    returns but no orders, so orders, completed orders and customers are then those of all products, the same for each group of a
+    column that does not reach them. Orders without a customer count as one customer, the blank one. Groups
+    are those of the order lines.
+    """
+    of_orders = need & {"orders", "completed", "customers"}
+    lines = base_sums(star, by, slice_reaching(spec, "order_items"), (need - of_orders) or {"revenue"})
+    if not of_orders:
+        return lines
+    own = [b for b in by if reaches(b, "orders")]
+    orders = base_sums(star, own, slice_reaching(spec, "orders"), of_orders, blank=True)
+    if not own:
+        row = orders.select(F.struct(*sorted(of_orders))).scalar()
+        return lines.drop(*of_orders).withColumn("_o", row).select("*", "_o.*").drop("_o")
+    keyed = orders.select(*[F.col(b).alias(f"_{b}") for b in own], *sorted(of_orders))
+    same = [lines[b].eqNullSafe(keyed[f"_{b}"]) for b in own]
+    return lines.drop(*of_orders).join(keyed, same, "left").drop(*[f"_{b}" for b in own])
+
+
 def measures(
-    star: Star, names: Sequence[str], by: Sequence[str] = (), spec: SliceSpec | None = None
+    star: Star, names: Sequence[str], by: Sequence[str] = (), spec: SliceSpec | None = None, model_filters: bool = False
 ) -> DataFrame:
-    """The named measures per group, under the slicers."""
+    """The named measures per group, under the slicers.
+
+    ``model_filters`` follows the report model's one-way relationships (``RELATIONSHIPS``); otherwise all figures are those of the same lines.
+    """
     by = list(by)
     if set(names) == {"total_customers"} and not by and spec is None:
         return star.customers.agg(F.count_distinct("customer_id").alias("total_customers"))
-    df = base_sums(star, by, spec, {part for name in names for part in _NEEDS[name]})
+    need = {part for name in names for part in _NEEDS[name]}
+    df = _model_sums(star, by, spec, need) if model_filters else base_sums(star, by, spec, need)
     if _OF_RETURNS & set(names):
         returned = return_sums(star, by, spec)
         if by:

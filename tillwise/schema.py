@@ -34,6 +34,15 @@ CLEAN_COLUMNS = {
     for table, ddl in CLEAN_SCHEMAS.items()
 }
 
+# Columns that name a row of another table, by its primary key.
+FOREIGN_KEYS = {
+    "customers": {},
+    "products": {},
+    "orders": {"customer_id": "customers"},
+    "order_items": {"order_id": "orders", "product_id": "products"},
+    "returns": {"order_id": "orders", "product_id": "products"},
+}
+
 # Raw files are read as text; the cleaning rules give every column its type.
 RAW_COLUMNS = {
     "customers": [

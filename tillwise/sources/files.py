@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tillwise.schema import CLEAN_SCHEMAS, raw_schema
+from tillwise.operators.integrity import screen_rows
+from tillwise.schema import CLEAN_SCHEMAS, FOREIGN_KEYS, raw_schema
 
 
 def read_raw(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -75,6 +77,35 @@ def append_table(
     write_table(typed, path, fmt, mode="append")
 
 
+def append_keyed(
+    spark: SparkSession, df: DataFrame, path: str, table: str, parents: Mapping[str, str]
+) -> DataFrame:
+    """Append the rows of ``df`` that keep the table's primary and foreign keys; returns all others but those already stored.
+
+    ``parents`` names the folder of each parent table. The batch is judged once, against what is stored, into a folder next to the
+    table (``<path>.staged``, which also holds the rejects with their verdicts); its new rows then go to the table in one job, which Spark
+    commits as a whole. After a break at any point the same call can be made again: rows that got in are known
+    then. So running it twice changes nothing.
+    """
+    schema = T.StructType.fromDDL(CLEAN_SCHEMAS[table])
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    try:
+        stored = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        stored = spark.createDataFrame([], schema)
+    keys = {
+        column: read_clean(spark, parents[parent], parent).select(column)
+        for column, parent in FOREIGN_KEYS[table].items()
+    }
+    staged = f"{path.rstrip('/')}.staged"
+    write_table(screen_rows(typed, stored, schema[0].name, keys), staged)
+    judged = spark.read.parquet(staged)
+    write_table(judged.where("verdict = 'new'").select(*schema.names), path, mode="append")
+    return judged.where("verdict NOT IN ('new', 'known')")
+
+
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     """One row per table: (table_name, row_count)."""
     counts = [
