@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from test_edges import CUSTOMERS, line, order, product, rows, star
 
 from tillwise.operators.star import SliceSpec, reached_from
-from tillwise.plans import measures
+from tillwise.plans import eda, measures
 from tillwise.schema import CLEAN_SCHEMAS
 from tillwise.sources.files import append_keyed, read_clean, write_table
 
@@ -46,6 +46,22 @@ def test_order_filters_reach_lines(spark):
     assert both == {("Web", "X"): (40.0, 4, 13.33), ("Web", "Y"): (20.0, 4, 6.67)}
 
 
+def test_lattice_holds_the_sums_of_each_grain(spark):
+    """A line of an unknown product, one without an order, and an order without a date or channel."""
+    s = star(
+        spark, products=[product(1, category="X"), product(2, category="Y"), product(3, category=None)],
+        orders=[order(1), order(2, channel="Store", day=dt.date(2023, 5, 1)), order(3, channel=None, day=None), order(4, status="Cancelled")],
+        order_items=[line(1, 1, 10), line(1, 2, 20), line(2, 1, 40), line(2, 9, 5), line(3, 2, 7), line(4, 1, 99), line(8, 1, 99), line(1, 3, 3)],
+    )
+    got = {}
+    for r in eda.sum_lattice(s).collect():
+        got.setdefault(r["grain"], {})[r[r["grain"]] if r["grain"] != "total" else None] = (r["revenue"] / 100, r["profit"] and r["profit"] / 100)
+    assert got["total"] == {None: (85.0, 85 - 5 - 5 * 4)}
+    assert got["category"] == {"X": (50.0, 42.0), "Y": (27.0, 19.0), None: (8.0, -1.0)}
+    assert {k: v[0] for k, v in got["channel"].items()} == {"Web": 33.0, "Store": 45.0, None: 7.0}
+    assert {k: v[0] for k, v in got["year"].items()} == {2024: 33.0, 2023: 45.0, None: 7.0}
+
+
 RETURNS = "return_id BIGINT, order_id BIGINT, product_id BIGINT, return_date DATE, reason STRING, refund_amount DECIMAL(18,2), status STRING, helper INT"
 
 

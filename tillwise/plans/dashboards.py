@@ -8,7 +8,7 @@ from tillwise.functions import dollars, month_start, ratio, round_half, year_mon
 from tillwise.operators.shaping import pivot_values
 from tillwise.operators.star import Star, order_revenue, revenue_fact, revenue_orders
 from tillwise.operators.windows import rank_by, rolling_rows, top_n
-from tillwise.plans.eda import _per_category, _per_product, monthly_orders, return_rate_by_category
+from tillwise.plans.eda import _of, _per_category, _per_product, monthly_orders, return_rate_by_category, sum_lattice
 from tillwise.plans.queries import category_metrics, daily_revenue, q11
 from tillwise.plans.segments import rfm_base, rfm_distributions, segment_summary
 
@@ -42,18 +42,16 @@ def monthly_change(star: Star) -> DataFrame:
 def page_kpis(star: Star) -> DataFrame:
     """Key figures with the growth between the two given years."""
     first, second = star.params.growth_years
-    year = F.year("order_date")
     # Undated lines count in the totals but in no year.
-    totals = order_revenue(star, "order_date").agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum(F.when(year == first, F.col("revenue"))).alias("y1"),
-        F.sum(F.when(year == second, F.col("revenue"))).alias("y2"),
+    totals = sum_lattice(star).agg(
+        F.max(_of("total", "revenue")).alias("revenue"), F.sum(_of("category", "profit", "category")).alias("p"),
+        F.max(F.when(F.col("year") == first, _of("year", "revenue"))).alias("y1"),
+        F.max(F.when(F.col("year") == second, _of("year", "revenue"))).alias("y2"),
     )
-    profit = _per_category(star).agg(F.sum("profit")).scalar()
     orders = revenue_orders(star).agg(F.count("*")).scalar()
     customers = star.customers.agg(F.count_distinct("customer_id")).scalar()
     returns = star.returns.agg(F.count("*")).scalar()
-    return totals.withColumns({"p": profit, "o": orders, "c": customers, "rt": returns}).select(
+    return totals.withColumns({"o": orders, "c": customers, "rt": returns}).select(
         dollars("revenue").alias("total_revenue"), dollars("p").alias("total_profit"),
         ratio(dollars("p"), dollars("revenue"), places=6).alias("margin"), F.col("o").alias("total_orders"),
         F.col("c").alias("total_customers"),

@@ -90,6 +90,34 @@ def _per_category(star: Star) -> DataFrame:
     )
 
 
+def sum_lattice(star: Star) -> DataFrame:
+    """Revenue and profit of revenue orders in all, by category, by channel and by year, from one pass over the lines.
+
+    (grain, category, channel, year, revenue, profit); grain is total, category, channel or year. Lines add up to cells of
+    (category, channel, year) first, and only these few are repeated for the grains. Lines of unknown products have no category,
+    and no profit.
+    """
+    products = star.costs.select("product_id", "category", F.coalesce("cost", F.lit(0)).alias("cost"))
+    priced = F.when(F.col("amount").isNotNull(), F.col("quantity"))
+    cells = (
+        star.lines.join(products, "product_id", "left")
+        .join(revenue_orders(star, "channel", "order_date"), "order_id")
+        .groupBy("category", "channel", F.year("order_date").alias("year"))
+        .agg(F.sum("amount").alias("revenue"), F.sum(F.col("amount") - priced * F.col("cost")).alias("profit"))
+    )
+    grains = cells.groupingSets([["category"], ["channel"], ["year"], []], "category", "channel", "year").agg(
+        F.grouping_id().alias("id"), F.sum("revenue").alias("revenue"), F.sum("profit").alias("profit"),
+    )
+    names = F.create_map(*[F.lit(x) for pair in ((3, "category"), (5, "channel"), (6, "year"), (7, "total")) for x in pair])
+    return grains.select(names[F.col("id").cast("int")].alias("grain"), "category", "channel", "year", "revenue", "profit")
+
+
+def _of(grain: str, value: str, known: str | None = None) -> Column:
+    """The value of a lattice row of the grain, whose own column is known."""
+    fits = F.col("grain") == grain
+    return F.when(fits if known is None else fits & F.col(known).isNotNull(), F.col(value))
+
+
 def category_margin(star: Star) -> DataFrame:
     """Revenue, profit and margin by category, with the mean of the margins."""
     return _per_category(star).select(
@@ -216,32 +244,29 @@ def _one(df: DataFrame, *cols: str) -> Column:
 
 def headline(star: Star) -> DataFrame:
     """One row of key figures with the strongest category, channel and segment."""
-    money = (
-        order_revenue(star).agg(F.sum("revenue").alias("revenue"))
-    )
-    profit = _per_category(star).agg(
-        F.sum("profit").alias("profit"), F.max_by("category", "revenue").alias("top_category")
+    sums = sum_lattice(star).agg(
+        F.max(_of("total", "revenue")).alias("revenue"), F.sum(_of("category", "profit", "category")).alias("profit"),
+        F.max_by("category", _of("category", "revenue", "category")).alias("top_category"),
+        F.max_by("channel", _of("channel", "revenue", "channel")).alias("top_channel"),
     )
     orders = revenue_orders(star).agg(F.count("*").alias("n"))
     customers = star.customers.agg(F.count_distinct("customer_id").alias("n"))
     returns = star.returns.agg(F.count("*").alias("n"))
-    channel = channel_revenue(star).agg(F.max_by("channel", "revenue").alias("name"))
     segment = segment_summary(star).agg(
         F.max_by(F.struct("segment", "customers", "total_revenue"), "total_revenue").alias("s")
     )
     return (
-        money.withColumns({
-            "p": _one(profit, "profit", "top_category"), "o": _one(orders, "n"),
-            "c": _one(customers, "n"), "r": _one(returns, "n"), "ch": _one(channel, "name"),
-            "s": segment.scalar(),
-        })
+        sums.select(
+            "*", _one(orders, "n").alias("o"), _one(customers, "n").alias("c"), _one(returns, "n").alias("r"),
+            segment.scalar().alias("s"),
+        )
         .select(
-            dollars("revenue").alias("total_revenue"), dollars("p.profit").alias("total_profit"),
-            ratio(dollars("p.profit"), dollars("revenue"), 100.0, 4).alias("margin_pct"),
+            dollars("revenue").alias("total_revenue"), dollars("profit").alias("total_profit"),
+            ratio(dollars("profit"), dollars("revenue"), 100.0, 4).alias("margin_pct"),
             F.col("o.n").alias("total_orders"), F.col("c.n").alias("total_customers"),
             ratio(dollars("revenue"), "o.n", places=2).alias("avg_order_value"),
             ratio("r.n", "o.n", 100.0, 4).alias("return_rate_pct"),
-            F.col("p.top_category").alias("top_category"), F.col("ch.name").alias("top_channel"),
+            "top_category", "top_channel",
             F.col("s.segment").alias("best_segment"),
             F.col("s.customers").alias("best_segment_customers"),
             F.col("s.total_revenue").alias("best_segment_revenue"),
