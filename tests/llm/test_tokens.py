@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -133,3 +134,31 @@ def test_cutting_stock_finds_the_optimum():
 
 def test_rows_hold_the_edges():
     assert len(ROWS) == 13
+
+
+def test_parts_grow_with_the_postings_not_with_blocks_times_tasks():
+    """The same words over more blocks send bytes in proportion; sums are right, also where parts are sparse or wide."""
+    def sent(n_blocks, per_block):
+        r = np.random.default_rng(n_blocks)
+        rows, want = [], {}
+        for block in range(n_blocks):
+            for _ in range(per_block):
+                own = np.zeros(r.integers(1, 4), dtype=token_counts._POSTING)
+                own["doc"], own["times"] = r.choice(token_counts.BLOCK_DOCS, len(own), replace=False), r.integers(1, 200, len(own))
+                pieces = int(r.integers(1, 3)) if block % 7 else 1 << 30
+                rows.append((block, own.tobytes(), pieces))
+                for doc, times in own.tolist():
+                    want[block, doc] = want.get((block, doc), 0) + times * pieces
+        batches = (pd.DataFrame(rows[k:k + 1000], columns=["block", "postings", "pieces"]) for k in range(0, len(rows), 1000))
+        out = pd.concat(list(token_counts._add_up(batches)))
+        got = {}
+        for block, part in out.groupby("block"):
+            head = pd.DataFrame({"block": [block], "head": [np.zeros((2, token_counts.BLOCK_DOCS), dtype="<i8").tobytes()], "places": None, "sums": None, "width": 0})
+            total = token_counts._unpack(pd.concat([head, part]))["n_tokens"].to_numpy()
+            got |= {(block, int(doc)): int(total[doc]) for doc in np.flatnonzero(total)}
+        assert got == want
+        return sum(len(x or b"") for c in ("places", "sums") for x in out[c])
+
+    few, many = sent(200, 5), sent(1000, 5)
+    assert many <= 2 * 5 * few
+    assert sent(3, 3000) <= 3 * 3000 * 3 * 8

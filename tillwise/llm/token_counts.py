@@ -17,8 +17,6 @@ from tillwise.llm.tokens import ChunkTokens, split_chunk, vocabulary_path
 # make a block of their own.
 BLOCK_BYTES = 16 << 20
 BLOCK_DOCS = 1 << 14
-# Partial sums are sent on when so many are held.
-HELD_SUMS = 1 << 22
 
 POSTINGS = "block long, word binary, postings binary"
 # The ids and sizes of a block travel as a row whose word begins with a space, which no pre-token holds.
@@ -120,48 +118,65 @@ def _counter(path: str):
     return run
 
 
-def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums pieces times frequency for each block and document, as far as this task sees them; heads pass through."""
-    sums: dict[int, np.ndarray] = {}
+PARTS = "block long, head binary, places binary, sums binary, width int"
 
-    def sent() -> pd.DataFrame:
-        out = pd.DataFrame({
-            "block": list(sums), "head": None, "tokens": [np.trim_zeros(s, "b").astype("<i8").tobytes() for s in sums.values()],
-        })
-        sums.clear()
-        return out
 
+def _part(block: int, sums: np.ndarray) -> pd.DataFrame:
+    """What a task knows of a block: the documents that it has sums for, and these sums, in as few bytes as hold them.
+
+    Where most documents have one, all are sent without their places.
+    """
+    places = np.flatnonzero(sums).astype("<u2")
+    width = next(w for w in (2, 4, 8) if w == 8 or int(sums.max()) < 1 << 8 * w)
+    dense = len(places) * (width + 2) >= (int(places[-1]) + 1) * width
+    kept = sums[:int(places[-1]) + 1] if dense else sums[places]
+    return pd.DataFrame({
+        "block": [block], "head": None, "places": [None if dense else places.tobytes()],
+        "sums": [kept.astype(f"<u{width}").tobytes()], "width": [width],
+    })
+
+
+def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums pieces times frequency by document, block after block; heads pass through.
+
+    Rows come in the order of blocks, so one block is held at a time and has one part from each task. A part is no bigger than
+    a few times the postings it was made of, however many blocks and tasks there are.
+    """
+    current, sums = None, np.zeros(BLOCK_DOCS, dtype=np.int64)
     for batch in batches:
         heads = batch["pieces"].isna()
         if heads.any():
-            yield batch.loc[heads, ["block", "postings"]].rename(columns={"postings": "head"}).assign(tokens=None)
+            yield batch.loc[heads, ["block", "postings"]].rename(columns={"postings": "head"}).assign(places=None, sums=None, width=0)
             batch = batch[~heads]
         if not len(batch):
             continue
-        batch = batch.sort_values("block", kind="stable")
-        blocks, starts = np.unique(batch["block"].to_numpy(), return_index=True)
+        number = batch["block"].to_numpy()
+        starts = np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])).tolist()
         data, pieces = batch["postings"].tolist(), batch["pieces"].to_numpy(dtype=np.int64)
-        for block, start, end in zip(blocks.tolist(), starts, [*starts[1:], len(batch)], strict=True):
+        for start, end in zip(starts, [*starts[1:], len(batch)], strict=True):
+            if number[start] != current:
+                if current is not None and sums.any():
+                    yield _part(current, sums)
+                current = int(number[start])
+                sums[:] = 0
             own = np.frombuffer(b"".join(data[start:end]), dtype=_POSTING)
             sizes = np.fromiter(map(len, data[start:end]), dtype=np.int64, count=end - start) // _POSTING.itemsize
-            tokens = np.repeat(pieces[start:end], sizes) * own["times"]
-            held = sums.get(block)
-            if held is None:
-                if len(sums) * BLOCK_DOCS >= HELD_SUMS:
-                    yield sent()
-                held = sums[block] = np.zeros(BLOCK_DOCS, dtype=np.int64)
-            np.add.at(held, own["doc"].astype(np.int64), tokens)
-    if sums:
-        yield sent()
+            np.add.at(sums, own["doc"].astype(np.int64), np.repeat(pieces[start:end], sizes) * own["times"])
+    if current is not None and sums.any():
+        yield _part(current, sums)
 
 
 def _unpack(block: pd.DataFrame) -> pd.DataFrame:
     """One block: adds its partial sums and gives each document its row."""
     ids, sizes = np.frombuffer(block["head"].dropna().iloc[0], dtype="<i8").reshape(2, -1)
     total = np.zeros(len(ids), dtype=np.int64)
-    for data in block["tokens"].dropna():
-        part = np.frombuffer(data, dtype="<i8")
-        total[:len(part)] += part
+    for places, sums, width in zip(block["places"], block["sums"], block["width"], strict=True):
+        if width:
+            part = np.frombuffer(sums, dtype=f"<u{width}").astype(np.int64)
+            if places is None:
+                total[:len(part)] += part
+            else:
+                total[np.frombuffer(places, dtype="<u2").astype(np.int64)] += part
     return pd.DataFrame({"doc_id": ids, "n_bytes": sizes, "n_tokens": total})
 
 
@@ -171,8 +186,8 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     Blocks of documents (a few MB of text) are turned into postings: for each distinct pre-token of the
     block the documents that hold it, and how often. The distinct pre-tokens of all blocks are cut
     into pieces once each; that table is joined to the postings (a frequent one has one row for
-    each block, and a skew join may split it), and pieces times frequency are added up for each block
-    inside the tasks before they go back to it. The texts are read twice; no ids are kept anywhere.
+    each block, and a skew join may split it); inside the tasks the joined rows are sorted by block, and pieces times frequency
+    are added up for each block and document before they go back to it. The texts are read twice; no ids are kept anywhere.
 
     Returns one row for each row of ``docs``: doc_id, n_bytes, n_tokens. Null and empty texts
     have 0 of both; a null or repeated doc_id is returned as it is; an empty table gives an empty result. Special
@@ -183,7 +198,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
     pieces = told.mapInPandas(_words, "word binary").distinct().mapInPandas(_counter(path), "word binary, pieces long")
     return (
         told.mapInPandas(_invert, POSTINGS).join(pieces, "word", "left").select("block", "postings", "pieces")
-        .mapInPandas(_add_up, "block long, head binary, tokens binary")
+        .sortWithinPartitions("block").mapInPandas(_add_up, PARTS)
         .groupBy("block").applyInPandas(_unpack, "doc_id long, n_bytes long, n_tokens long")
         .select(show_null(), "n_bytes", "n_tokens")
     )
