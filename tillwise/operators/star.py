@@ -9,6 +9,7 @@ the skew join splitting heavy keys.
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
@@ -54,6 +55,13 @@ class Star:
         return self.returns.withColumn("refund", cents("refund_amount")).drop("refund_amount")
 
 
+def with_tables(star: Star, **tables: DataFrame) -> Star:
+    """The same star with some tables replaced, for instance by a part of their rows."""
+    other = copy.copy(star)
+    other.__dict__.update(tables)
+    return other
+
+
 def revenue_orders(star: Star, *cols: str, geo: bool = False) -> DataFrame:
     """Orders that count as revenue, reduced to the columns a query needs."""
     orders = star.orders_geo if geo else star.orders

@@ -17,12 +17,12 @@ from tillwise.functions import (
 )
 from tillwise.operators.distinct import cell_counts, distinct_rollup, merge_cells
 from tillwise.operators.star import (
-    SLICER_COLUMNS, SliceSpec, Star, apply_slice, reaches, revenue_orders, slice_reaching, with_profit,
+    SLICER_COLUMNS, SliceSpec, Star, apply_slice, reaches, revenue_orders, slice_reaching, with_profit, with_tables,
 )
 from tillwise.operators.windows import share_of_total, top_n
 from tillwise.plans.eda import return_rate_by_category
 from tillwise.plans.queries import churn, state_revenue
-from tillwise.plans.segments import product_abc, rfm
+from tillwise.plans.segments import abc_classes, product_abc, rfm
 
 PRODUCT_ATTRIBUTES = ("product_id", "product_name", "category", "sub_category", "brand", "abc_class")
 CUSTOMER_ATTRIBUTES = ("loyalty_tier", "segment")
@@ -453,22 +453,21 @@ def segment_revenue_share(star: Star) -> DataFrame:
     )
 
 
-def product_sales(star: Star, *cols: str) -> DataFrame:
-    """Per product over every status: revenue, units, cost and the wanted attributes."""
-    sold = star.lines.groupBy("product_id").agg(
-        F.sum("amount").alias("revenue"), F.sum("quantity").alias("units")
-    )
-    return sold.join(
-        star.costs.select("product_id", "cost", *cols), "product_id"
-    ).withColumn("cost", F.col("units") * F.col("cost"))
+def _sales(lines: DataFrame) -> DataFrame:
+    return lines.groupBy("product_id").agg(F.sum("amount").alias("revenue"), F.sum("quantity").alias("units"))
 
 
 def product_detail(star: Star, category: str, n: int = 10) -> DataFrame:
-    """Top products of one category with margin, and the category's return rate."""
-    sales = product_sales(star, "product_name", "brand", "category").where(
-        F.col("category") == category
-    )
-    rates = return_rate_by_category(star).select("category", "return_rate")
+    """Top products of one category with margin, and the category's return rate.
+
+    Only lines of the category's products are added up.
+    """
+    own = with_tables(star, products=star.products.where(F.col("category") == category))
+    lines = own.lines.join(own.products.select("product_id"), "product_id", "left_semi")
+    sales = _sales(lines).join(
+        own.costs.select("product_id", "cost", "product_name", "brand", "category"), "product_id"
+    ).withColumn("cost", F.col("units") * F.col("cost"))
+    rates = return_rate_by_category(own).select("category", "return_rate")
     return (
         top_n(sales, n, "revenue", ["product_id"]).join(rates, "category", "left")
         .select(
@@ -505,10 +504,12 @@ def churn_risk(star: Star) -> DataFrame:
 
 
 def product_table(star: Star, n: int = 20) -> DataFrame:
-    """The strongest products with units, margin and value class."""
-    classes = product_abc(star).select("product_id", "abc_class")
-    top = top_n(product_sales(star, "product_name"), n, "revenue", ["product_id"])
-    return top.join(classes, "product_id").select(
+    """The strongest products with units, margin and value class; lines are added up once for sales and classes."""
+    sales = star.costs.select("product_id", "cost", "product_name").join(_sales(star.lines), "product_id", "left").withColumn(
+        "revenue", F.coalesce("revenue", F.lit(0).cast("bigint"))
+    )
+    classed = abc_classes(sales, star.params.abc_cuts).where("units IS NOT NULL").withColumn("cost", F.col("units") * F.col("cost"))
+    return top_n(classed, n, "revenue", ["product_id"]).select(
         "product_id", "product_name", dollars("revenue").alias("revenue"), "units",
         ratio(dollars(F.col("revenue") - F.col("cost")), dollars("revenue"), 100.0, 2, 0.0).alias("margin_pct"),
         "abc_class",
