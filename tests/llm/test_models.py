@@ -137,18 +137,21 @@ def test_decoding_is_the_best_path(fitted):
 
 
 def test_grams_are_counted_exactly(llm):
-    """Many distinct grams; none shares its count with another."""
+    """Many distinct grams; none shares its count with another, none spans two texts, and counts don't depend on the partitions."""
     r = np.random.default_rng(3)
-    texts = ["".join(map(chr, r.integers(0x100, 0x3000, 30_000))) + " end" for _ in range(4)] + [None, "", "a"]
-    docs = frame(llm, [(k, t, "en", "a") for k, t in enumerate(texts)]).repartition(4, "doc_id")
-    model = toxicity.CharModel.learn(docs)
+    texts = ["".join(map(chr, r.integers(0x100, 0x3000, 30_000))) + " end" for _ in range(4)] + [None, "", "a", "A\0b", "end", "start"]
+    docs = frame(llm, [(k, t, "en", "a") for k, t in enumerate(texts)])
     want = Counter()
-    for part in docs.rdd.glom().collect():
-        data = toxicity._normal(b" ".join(r["text"].encode() for r in part if r["text"] is not None)).tobytes()
-        want.update(data[k:k + n] for n in (1, 2, 3, 4) for k in range(len(data) - n + 1) if any(x["text"] is not None for x in part))
+    for text in texts:
+        if text is not None:
+            data = toxicity._normal(text.encode()).tobytes()
+            want.update(data[k:k + n] for n in (1, 2, 3, 4) for k in range(len(data) - n + 1))
     assert len(want) > 100_000
-    assert [g for g, n in want.items() if model._count(g) != n] == []
-    assert model._count(b"zzzz") == model._count(b"q z") == 0
+    models = [toxicity.CharModel.learn(docs.repartition(n, "doc_id")) for n in (2, 7)]
+    for model in models:
+        assert [g for g, n in want.items() if model._count(g) != n] == []
+        assert model._count(b"zzzz") == model._count(b"q z") == model._count(b"d st") == 0
+    assert all(np.array_equal(a, b) for a, b in zip(*((m.grams, m.numbers) for m in models), strict=True))
 
 
 def test_no_state_is_lost(llm):
@@ -222,9 +225,33 @@ def test_forward_sums_all_segmentations():
     assert sum(c * len(x) for c, x in zip(counts, pieces, strict=True)) == pytest.approx(9)
 
 
-def test_long_runs_are_scored_in_segments():
-    assert "".join(langid.words_of("x" * 200)).replace("▁", "") == "x" * 200
-    assert max(map(len, langid.words_of("x" * 200))) <= langid.SEGMENT + 1
+def test_long_runs_are_scored_whole():
+    """Segmentations over any place of a long run count; sums in logarithms are those of plain products."""
+    assert langid.words_of("x" * 200 + " y") == ["▁" + "x" * 200, "▁y"]
+    pieces = ["a", "ab", "b", "ba", "▁", "▁a", "bab"]
+    r = np.random.default_rng(0)
+    p = r.dirichlet(np.ones(len(pieces)), size=2).T
+    at = {piece: k for k, piece in enumerate(pieces)}
+
+    def log_sum(word, lang):
+        logs = [0.0]
+        for j in range(1, len(word) + 1):
+            ways = []
+            for k in range(1, min(3, j) + 1):
+                part = word[j - k:j]
+                if part in at or k == 1:
+                    ways.append(logs[j - k] + np.log(p[at[part], lang] if part in at else langid.UNSEEN))
+            logs.append(np.logaddexp.reduce(ways))
+        return logs[-1]
+
+    words = ["▁" + "".join(r.choice(list("abx"), n)) for n in (3, 63, 64, 65, 200, 3000, 5)]
+    model = langid.Model(langid.Lattice(pieces), p)
+    assert np.allclose(model.score(words), [[log_sum(w, 0), log_sum(w, 1)] for w in words])
+    single = langid.Model(langid.Lattice(pieces), p[:, :1])
+    counts = single.expected(["▁" + "ab" * 100], 0, np.array([3.0]))
+    assert sum(c * len(x) for c, x in zip(counts, pieces, strict=True)) == pytest.approx(603)
+    assert list(langid.batches_of(["a" * 60_000] * 3 + ["b" * 300_000, "c"])) == [(0, 1), (1, 2), (2, 3), (3, 4), (4, 5)]
+    assert list(langid.batches_of([])) == []
 
 
 def test_readings_that_are_not_decoded_have_no_evidence():

@@ -18,7 +18,8 @@ from tillwise.llm.common import held_by_worker, hide_null, mix64, remainder, sho
 
 VOCABULARY = "piece_bpe_32k.model"
 ROUNDS = 2  # of expectation maximisation
-SEGMENT = 64  # a longer run of letters is scored in segments of so many
+LONG = 64  # letters; longer runs are summed in logarithms, as their products leave the range of doubles
+BATCH = 100_000  # letters of words that are scored together; a longer run goes alone
 UNSEEN = 1e-7  # probability of a character that no piece holds
 PSEUDO = 0.1  # added to each expected count
 HELD_WORDS = 200_000
@@ -51,12 +52,20 @@ def vocabulary(path: str | None = None) -> list[str]:
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case, cut into segments; the first segment of a run has the mark."""
-    out = []
-    for run in _LETTERS.findall(text.lower()):
-        out.append(_MARK + run[:SEGMENT])
-        out += [run[k:k + SEGMENT] for k in range(SEGMENT, len(run), SEGMENT)]
-    return out
+    """Runs of letters in lower case, whole, each behind the mark."""
+    return [_MARK + run for run in _LETTERS.findall(text.lower())]
+
+
+def batches_of(words: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of words with about BATCH letters each."""
+    start, held = 0, 0
+    for k, word in enumerate(words):
+        if held and held + len(word) > BATCH:
+            yield start, k
+            start, held = k, 0
+        held += len(word)
+    if held:
+        yield start, len(words)
 
 
 class Lattice:
@@ -64,8 +73,7 @@ class Lattice:
 
     def __init__(self, pieces: list[str]):
         self.longest = max(map(len, pieces), default=1)
-        self.powers = np.array([pow(_BASE, k, 1 << 64) for k in range(1 << 10)], dtype=np.uint64)
-        self.inverses = np.array([pow(pow(_BASE, -1, 1 << 64), k, 1 << 64) for k in range(1 << 10)], dtype=np.uint64)
+        self._reach(1 << 10)
         codes, _, offsets = self._codes(pieces)
         hashes = self._spans(codes, offsets[:-1], offsets[1:], self._sums(codes, offsets))
         self.order = np.argsort(hashes)
@@ -73,6 +81,13 @@ class Lattice:
         self.size = len(pieces)
         self.lengths = np.array([len(p) for p in pieces])
 
+    def _reach(self, places: int) -> None:
+        """Powers of the base, and of its inverse, for so many places of a word."""
+        def powers(base: int) -> np.ndarray:
+            return np.concatenate([[np.uint64(1)], np.cumprod(np.full(places - 1, base, dtype=np.uint64))])
+
+        self.powers, self.inverses = powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+
     @staticmethod
     def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         codes = np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4").astype(np.uint64)
@@ -94,6 +109,8 @@ class Lattice:
     def edges(self, words: list[str]) -> Edges:
         """All spans of the words that are pieces; each single character has one (piece ``size`` where it is unknown)."""
         codes, lengths, offsets = self._codes(words)
+        if len(lengths) and lengths.max() > len(self.powers):
+            self._reach(2 * int(lengths.max()))
         sums, place = self._sums(codes, offsets), self._place(offsets, len(codes))
         left = np.repeat(lengths, lengths) - place
         found = []
@@ -148,26 +165,53 @@ class Model:
             sums[places] = np.add.reduceat(sums[edges.tail[some]] * self.table[edges.piece[some]], first, axis=0)
         return sums
 
+    def _forward_logs(self, edges: Edges, back: bool = False) -> np.ndarray:
+        """Logarithms of the scaled sums over all segmentations up to (back: from) each place."""
+        logs = np.full((edges.places, self.table.shape[1]), -np.inf)
+        logs[edges.first + (edges.lengths if back else 0)] = 0.0
+        weight = np.log(self.table)[edges.piece]
+        source = edges.head if back else edges.tail
+        for some, first, places in edges.steps(back):
+            logs[places] = np.logaddexp.reduceat(logs[source[some]] + weight[some], first, axis=0)
+        return logs
+
     def score(self, words: list[str]) -> np.ndarray:
         """Log probability of each word in each language."""
-        edges = self.lattice.edges(words)
-        whole = self.forward(edges)[edges.first + edges.lengths]
-        return np.log(np.maximum(whole, 1e-300)) - edges.lengths[:, None] * np.log(_SCALE)
+        out = np.zeros((len(words), self.table.shape[1]))
+        long = np.fromiter((len(w) > LONG for w in words), dtype=bool, count=len(words))
+        for own, logs in ((~long, False), (long, True)):
+            if own.any():
+                edges = self.lattice.edges([w for w, o in zip(words, own.tolist(), strict=True) if o])
+                ends = edges.first + edges.lengths
+                whole = self._forward_logs(edges)[ends] if logs else np.log(np.maximum(self.forward(edges)[ends], 1e-300))
+                out[own] = whole - edges.lengths[:, None] * np.log(_SCALE)
+        return out
 
     def expected(self, words: list[str], language: int, times: np.ndarray) -> np.ndarray:
         """Expected number of uses of each piece in the words of one language."""
-        edges = self.lattice.edges(words)
         column = Model.__new__(Model)
         column.lattice, column.table = self.lattice, self.table[:, language:language + 1]
-        sums = column.forward(edges)[:, 0]
-        weight = column.table[edges.piece, 0]
-        ahead = np.zeros(edges.places)
-        ahead[edges.first + edges.lengths] = 1.0
-        for some, first, places in edges.steps(back=True):
-            ahead[places] = np.add.reduceat(weight[some] * ahead[edges.head[some]], first)
-        whole = np.maximum(sums[edges.first + edges.lengths], 1e-300)
-        use = sums[edges.tail] * weight * ahead[edges.head] / whole[edges.owner] * times[edges.owner]
-        return np.bincount(edges.piece, weights=use, minlength=self.lattice.size + 1)[: self.lattice.size]
+        long = np.fromiter((len(w) > LONG for w in words), dtype=bool, count=len(words))
+        counts = np.zeros(self.lattice.size)
+        for own, logs in ((~long, False), (long, True)):
+            if own.any():
+                edges = self.lattice.edges([w for w, o in zip(words, own.tolist(), strict=True) if o])
+                counts += column._uses(edges, times[own], logs)
+        return counts
+
+    def _uses(self, edges: Edges, times: np.ndarray, logs: bool) -> np.ndarray:
+        ends, weight = edges.first + edges.lengths, self.table[edges.piece, 0]
+        if logs:
+            sums, ahead = self._forward_logs(edges)[:, 0], self._forward_logs(edges, back=True)[:, 0]
+            share = np.exp(sums[edges.tail] + np.log(weight) + ahead[edges.head] - sums[ends][edges.owner])
+        else:
+            sums = self.forward(edges)[:, 0]
+            ahead = np.zeros(edges.places)
+            ahead[ends] = 1.0
+            for some, first, places in edges.steps(back=True):
+                ahead[places] = np.add.reduceat(weight[some] * ahead[edges.head[some]], first)
+            share = sums[edges.tail] * weight * ahead[edges.head] / np.maximum(sums[ends], 1e-300)[edges.owner]
+        return np.bincount(edges.piece, weights=share * times[edges.owner], minlength=self.lattice.size + 1)[: self.lattice.size]
 
 
 def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -203,8 +247,8 @@ def _expect(pieces: list[str], languages: list[str], probabilities: np.ndarray):
                 at = languages.index(lang)
                 model = Model(lattice, probabilities[:, at:at + 1])
                 words, times = group["word"].tolist(), group["n"].to_numpy(dtype=float)
-                for k in range(0, len(words), 5000):
-                    counts[at] += model.expected(words[k:k + 5000], 0, times[k:k + 5000])
+                for k, end in batches_of(words):
+                    counts[at] += model.expected(words[k:end], 0, times[k:end])
         for at, row in enumerate(counts):
             used = np.flatnonzero(row)
             if len(used):
@@ -261,7 +305,7 @@ class Scorer:
             self.letters = np.concatenate([self.letters, np.zeros_like(self.letters)])
         split = [words_of(c) for c in new]
         flat = sorted({w for ws in split for w in ws})
-        scores = np.vstack([self.model.score(flat[k:k + 5000]) for k in range(0, len(flat), 5000)]) if flat else np.zeros((0, n))
+        scores = np.vstack([self.model.score(flat[k:end]) for k, end in batches_of(flat)]) if flat else np.zeros((0, n))
         at = dict(zip(flat, range(len(flat)), strict=True))
         number.update(zip(new, range(start, start + len(new)), strict=True))
         sizes = np.fromiter(map(len, split), dtype=np.int64, count=len(split))

@@ -18,7 +18,6 @@ from tillwise.llm.sampling import labelled_sample
 
 SAMPLE = 6000  # labelled documents of each class, at most, used for fitting
 SEED = 13
-MOST_FEATURES = 20_000
 LEAST_DOCUMENTS = 4  # toxic documents that must have a feature
 LEAST_EVIDENCE = 1.5
 THRESHOLD = 0.5
@@ -70,6 +69,16 @@ def _grams(chars: np.ndarray) -> np.ndarray:
     return out
 
 
+def _grams_of(texts: list[bytes]) -> np.ndarray:
+    """Grams of each text by itself, for many texts at once: zeros part them, and no gram begins at a zero or goes over one."""
+    raw = np.frombuffer(b"".join([b" " + t.replace(b"\0", b" ").lower() + b" \0\0\0" for t in texts]), dtype=np.uint8)
+    chars = np.where(_LETTER[raw] | (raw == 0), raw, 32)
+    keep = np.ones(len(chars), dtype=bool)
+    keep[1:] = (chars[1:] != 32) | (chars[:-1] != 32)
+    chars = chars[keep]
+    return _grams(chars)[chars != 0]
+
+
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order, and the sums of their counts."""
     order = np.argsort(keys, kind="stable")
@@ -85,7 +94,7 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     def add(own: list[bytes]) -> None:
         nonlocal size
-        grams = _grams(_normal(b" ".join(own)))
+        grams = _grams_of(own)
         for k in range(0, len(grams), PIECE):
             held.append(np.unique(grams[k:k + PIECE], return_counts=True))
             size += len(held[-1][0])
@@ -492,8 +501,8 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer | None:
     """The character model from all texts; evidence and weights from a sample of labelled documents.
 
-    Evidence is the log ratio of document frequencies in the classes; at most MOST_FEATURES of the strongest
-    and six numbers for each document of the sample go to the driver. None without labels of both classes.
+    Evidence is the log ratio of document frequencies in the classes. The features with enough of it, which are bounded as the sample
+    is, and six numbers for each document of the sample go to the driver. None without labels of both classes.
     """
     model = CharModel.learn(docs)
     rows = labelled_sample(docs, labels, "toxic", remainder(F.col("doc_id"), 5) != 0, sample, SEED)
@@ -505,7 +514,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer | No
         rows.mapInPandas(_count_features(model), "feature string, toxic long, clean long")
         .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         .where(F.col("toxic") >= LEAST_DOCUMENTS).withColumn("evidence", ratio)
-        .where(F.col("evidence") >= LEAST_EVIDENCE).orderBy(F.desc("evidence"), "feature").limit(MOST_FEATURES).collect()
+        .where(F.col("evidence") >= LEAST_EVIDENCE).collect()
     )
     evidence = {r["feature"]: r["evidence"] for r in kept}
 
