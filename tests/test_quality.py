@@ -66,6 +66,13 @@ def test_key_dedup_is_the_row_number_rule(spark):
         quality.dedup_by_key(df, "key", "id", null_key="drop")
 
 
+def test_approximate_fences_are_near_the_exact_ones(spark):
+    df = spark.range(20_000).selectExpr("id % 3 AS g", "double(id * 7919 % 20011) AS x")
+    exact = {r["g"]: r for r in quality.iqr_fences(df, "x", by=["g"]).collect()}
+    for r in quality.iqr_fences(df, "x", by=["g"], approx=True).collect():
+        assert abs(r["q1"] - exact[r["g"]]["q1"]) <= 20 and abs(r["upper"] - exact[r["g"]]["upper"]) <= 80
+
+
 def test_constant_column_has_no_outliers(spark):
     df = spark.createDataFrame([(2.0,)] * 5, "x DOUBLE")
     assert {r["z_outlier"] for r in quality.zscore_flag(df, "x").collect()} == {False}
