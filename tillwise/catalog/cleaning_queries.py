@@ -20,6 +20,7 @@ from tillwise.schema import (
     CUSTOMER_COUNTRIES, KNOWN_DATES, LOYALTY_TIERS, MONEY, ISO_DATE, SHARE, TIER_SPELLINGS,
 )
 from tillwise.sources.files import row_counts
+from tillwise.sources.layout import store_star
 
 
 def _raw(star: DriverStar) -> dict[str, DataFrame]:
@@ -401,6 +402,8 @@ CLEANING = {
         lambda star: measures.measures(star, ["total_discount"], ["channel"])),
     "d28_dense_id": d28,
     "s03_keyed_append": s03,
+    "s02_q12_on_stored_layout": lambda star: Q.q12(store_star(star, star.spark, buckets=4)),
+    "s02_q19_on_stored_layout": lambda star: Q.q19(store_star(star, star.spark, buckets=4)),
     "d29_quality_report": d29,
     "d30_clean_customers": d30_customers,
     "d30_clean_products": d30_products,

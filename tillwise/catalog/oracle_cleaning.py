@@ -357,6 +357,8 @@ SELECT {dbl(DISCOUNT)} AS discount_pct, COUNT(*) AS lines FROM raw_i GROUP BY 1"
     q["d27_line_total"] = raw("order_items", body=f"""
 SELECT order_id, item_id, {dbl(f"ROUND(abs({number('quantity', 'INT')}) * {cents('unit_price')} * (1 - {DISCOUNT}), 2)")}
   AS line_total FROM raw_i""")
+    for key in ("q12_channel_performance", "q19_revenue_by_weekday"):
+        q[f"s02_{key.split('_')[0]}_on_stored_layout"] = named_queries()[key]
     q["s03_keyed_append"] = over("od", "cu", body="""
 , o AS (SELECT order_id, customer_id, order_date, channel, status FROM od),
 batch AS (

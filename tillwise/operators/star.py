@@ -58,6 +58,8 @@ class Star:
 def with_tables(star: Star, **tables: DataFrame) -> Star:
     """The same star with some tables replaced, for instance by a part of their rows."""
     other = copy.copy(star)
+    if "orders" in tables:
+        other.__dict__.pop("orders_geo", None)  # kept from the orders before
     other.__dict__.update(tables)
     return other
 
@@ -179,12 +181,20 @@ def apply_slice(df: DataFrame, spec: SliceSpec | None) -> DataFrame:
     """Conjunction of the set slicers, applied before aggregation so that it reaches the scan."""
     if spec is None:
         return df
+    # The folder of stored orders ('yyyy-MM'): its months are named too, so that others are not read.
+    by_month = "order_month" in df.columns and df.schema["order_month"].dataType.typeName() == "string"
     if spec.years is not None:
         df = df.where(F.year("order_date").isin(*spec.years))
+        if by_month:
+            df = df.where(F.substring("order_month", 1, 4).isin(*[f"{y:04d}" for y in spec.years]))
     if spec.date_from is not None:
         df = df.where(F.col("order_date") >= F.lit(spec.date_from))
+        if by_month:
+            df = df.where(F.col("order_month") >= f"{spec.date_from:%Y-%m}")
     if spec.date_to is not None:
         df = df.where(F.col("order_date") <= F.lit(spec.date_to))
+        if by_month:
+            df = df.where(F.col("order_month") <= f"{spec.date_to:%Y-%m}")
     for slicer, column in SLICER_COLUMNS.items():
         wanted = getattr(spec, slicer)
         if wanted is not None:

@@ -38,8 +38,7 @@ def _orders_with(star: Star, wanted: set[str]) -> DataFrame:
     """Orders with year and month, plus state, loyalty tier or RFM segment where wanted."""
     orders = star.orders_geo if "state" in wanted else star.orders
     cols = ["order_id", "customer_id", "order_date", "channel", "status"]
-    if "state" in wanted:
-        cols.append("state")
+    cols += [c for c in ("state",) if c in wanted] + [c for c in ("order_month",) if c in orders.columns]
     orders = orders.select(
         *cols, F.year("order_date").alias("year"), month_start("order_date").alias("month")
     )
