@@ -5,9 +5,11 @@ import re
 
 import pytest
 
+from tillwise.catalog.cleaning_queries import CLEANING
 from tillwise.catalog.driver import DriverStar
 from tillwise.operators.star import SliceSpec, order_revenue
-from tillwise.plans import measures
+from tillwise.plans import measures, queries
+from tillwise.sources import layout
 from tillwise.sources.layout import store_star
 
 FOLDER = "/root/testdata/sf0.001"
@@ -53,3 +55,27 @@ def test_orders_without_a_date_stay(spark, tmp_path):
     kept = store_star(star, spark, f"file://{tmp_path}", buckets=3)
     assert sorted(kept.orders.drop("order_month").collect(), key=repr) == sorted(star.orders.collect(), key=repr)
     assert kept.lines.count() == star.lines.count()
+
+
+def own_star(spark, orders, lines):
+    """Orders of own rows, some without a date, and their lines, some without an order."""
+    star = DriverStar(spark, FOLDER)
+    star.__dict__["orders"] = spark.range(orders).selectExpr(
+        "id AS order_id", "id % 7 AS customer_id", "IF(id % 10 = 0, NULL, date_add(DATE'1997-01-30', CAST(id % 5 AS INT))) AS order_date",
+        "concat('c', id % 3) AS channel", "IF(id % 4 = 0, 'P', 'F') AS status")
+    star.__dict__["lines"] = spark.range(lines).selectExpr(
+        "id AS item_id", f"IF(id % 50 = 0, NULL, id % {orders}) AS order_id", "id % 20 + 1 AS product_id", "CAST(id % 3 AS INT) AS quantity",
+        "CAST(0.05 AS DECIMAL(5,4)) AS discount_pct", "id % 1000 AS amount", "id % 100 AS price")
+    return star
+
+
+@pytest.mark.parametrize("name, build", [("s02_q19_on_stored_layout", queries.q19)])
+def test_larger_tables_get_more_buckets(spark, monkeypatch, name, build):
+    """One task has one bucket: with four of them for any table, its rows grow with the table."""
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 500, raising=False)
+    for orders, lines, buckets in ((300, 1500, 4), (2400, 12000, 24), (6000, 3000, 12)):
+        plain = own_star(spark, orders, lines)
+        kept = CLEANING[name](plain)
+        written = {re.search(r"_(\d{5})\.c", f)[1] for f in kept.inputFiles() if "star_" in f}
+        assert len(written) == buckets
+        assert kept.collect() == build(plain).collect() != []
