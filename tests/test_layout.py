@@ -69,7 +69,7 @@ def own_star(spark, orders, lines):
     return star
 
 
-@pytest.mark.parametrize("name, build", [("s02_q19_on_stored_layout", queries.q19)])
+@pytest.mark.parametrize("name, build", [("s02_q19_on_stored_layout", queries.q19), ("s02_q12_on_stored_layout", queries.q12)])
 def test_larger_tables_get_more_buckets(spark, monkeypatch, name, build):
     """One task has one bucket: with four of them for any table, its rows grow with the table."""
     monkeypatch.setattr(layout, "BUCKET_ROWS", 500, raising=False)
